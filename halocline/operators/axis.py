@@ -3,35 +3,42 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from halocline.operators.sizing import need_keys, small_side
 from halocline.schema import CELL
 
 
-def time_axis(df: DataFrame, dataset: Sequence[str]) -> DataFrame:
-    """(dataset keys, time, t_idx, n_time): position of each distinct time.
+def _axis_arrays(df: DataFrame, keys: list[str], counted: Sequence[str] = ()) -> DataFrame:
+    """(keys, _axis): the sorted distinct times of each dataset.
+
+    Distinct first, so one task receives a dataset's time axis and never its rows.
+    """
+    steps = _counted(df, [*keys, "time"], counted) if counted else df.select(*keys, "time").distinct()
+    return steps.groupBy(*keys).agg(F.array_sort(F.collect_list("time")).alias("_axis"))
 
-    Ranked in two steps, inside each year and then over the years, so that no
-    window spans an unbounded axis.
+
+def _counted(df: DataFrame, keys: list[str], values: Sequence[str], *extra: Column) -> DataFrame:
+    """Distinct keys that still read ``values``.
+
+    With the same columns in use everywhere, Spark runs the aggregate below once
+    and reuses its exchange; pruned differently it would scan the source per use.
     """
+    seen = [F.count(v).alias(f"_n{i}") for i, v in enumerate(values)]
+    out = df.groupBy(*keys).agg(*extra, *seen)
+    for i in range(len(values)):
+        out = out.where(F.col(f"_n{i}") >= 0)
+    return out.drop(*[f"_n{i}" for i in range(len(values))])
+
+
+def time_axis(df: DataFrame, dataset: Sequence[str]) -> DataFrame:
+    """(dataset keys, time, t_idx, n_time): position of each distinct time."""
     keys = need_keys(dataset)
-    steps = df.select(*keys, "time").distinct().withColumn("_year", F.year("time"))
-    years = steps.groupBy(*keys, "_year").agg(F.count("*").alias("_n"))
-    by_dataset = Window.partitionBy(*keys)
-    running = by_dataset.orderBy("_year").rowsBetween(Window.unboundedPreceding, -1)
-    years = years.select(
-        *keys, "_year",
-        F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_before"),
-        F.sum("_n").over(by_dataset).alias("n_time"),
-    )
-    in_year = Window.partitionBy(*keys, "_year").orderBy("time")
-    return (
-        steps.withColumn("_pos", F.row_number().over(in_year))
-        .join(years, [*keys, "_year"])
-        .select(*keys, "time", (F.col("_before") + F.col("_pos") - 1).alias("t_idx"), "n_time")
-    )
+    arrays = _axis_arrays(df, keys).withColumn("n_time", F.size("_axis"))
+    return arrays.select(*keys, "n_time", F.posexplode("_axis").alias("t_idx", "time")).select(
+        *keys, "time", "t_idx", "n_time")
 
 
 def with_time_index(df: DataFrame, dataset: Sequence[str]) -> DataFrame:
@@ -49,17 +56,18 @@ def densify(
 ) -> DataFrame:
     """One row for every (cell, time) of each dataset, NULL where nothing was observed.
 
-    ``df`` has at most one row per (dataset, cell, time).  The cube is built by
+    ``df`` has at most one row per (dataset, cell, time), none with a NULL key.  The cube is built by
     exploding each dataset's time axis (at most one entry per step) over its cells;
     t_idx and n_time come along.
     """
     keys, at = need_keys(dataset), [*dataset, *cell, "time"]
-    axis = (
-        time_axis(df, keys).groupBy(*keys, "n_time")
-        .agg(F.collect_list(F.struct("t_idx", "time")).alias("_axis"))
-    )
-    cells = df.groupBy(*keys, *cell).agg(*[F.min(c).alias(c) for c in coords])
-    frame = cells.join(axis, keys).select(*keys, *cell, *coords, "n_time", F.inline("_axis"))
+    # Stated for all three uses, as the join would state it for one of them.
+    df = df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in at]))
+    axis = _axis_arrays(df, keys, values)
+    cells = _counted(df, [*keys, *cell], values, *[F.min(c).alias(c) for c in coords])
+    frame = cells.join(axis, keys).select(
+        *keys, *cell, *coords, F.size("_axis").alias("n_time"),
+        F.posexplode("_axis").alias("t_idx", "time"))
     return frame.join(df.select(*at, *values), at, "left").select(
         *at, *coords, "t_idx", "n_time", *values
     )

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from halocline.functions.numeric import ratio
-from halocline.operators.sizing import BROADCAST_ROWS
+from halocline.operators.sizing import BROADCAST_ROWS, settle
 from halocline.schema import CELL, TargetGrid
 
 CORNERS = ("00", "01", "10", "11")
@@ -46,7 +46,8 @@ def bilinear_weights(grid: DataFrame, target: TargetGrid = TargetGrid(), keys: S
     """
     keys = list(keys)
     eps = F.lit(1e-9)
-    q = _quads(grid, keys, cyclic_nx)
+    # Joined to itself below: computed once, whatever it is derived from.
+    q = _quads(settle(grid), keys, cyclic_nx)
     lats, lons = ([F.col(f"{a}{c}") for c in CORNERS] for a in ("lat", "lon"))
     q = q.withColumns({
         "_s": F.greatest(*lats) + eps, "_n": F.least(*lats) - eps,

@@ -8,35 +8,36 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from halocline.functions.calendar import day_label
 from halocline.operators.merge import sampled_steps
-from halocline.operators.sizing import need_keys, small_side
+from halocline.operators.sizing import need_keys, settle, small_side
 
-# Rank error of the bracketing sketch is at most 1/ACCURACY of the group.
+# Rank error of the bracketing sketch is at most 1/accuracy of the group.
 ACCURACY = 10_000
 SPLITS = 1_024
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], probs: Sequence[float],
-                    value: str = "value") -> DataFrame:
+                    value: str = "value", accuracy: int = ACCURACY) -> DataFrame:
     """Exact, linearly interpolated quantiles: (keys, p, quantile).
 
     The built-in ``percentile`` keeps all distinct values of a group in one task.
     Here a fixed-size sketch first brackets the wanted ranks; one more pass counts
     what lies below and keeps only the bracket, itself cut into slices of which
     only those holding the two ranks are ordered.  The sketch's rank error is
-    bounded, so the bracket always holds them and the result is exact.
+    bounded, so the bracket always holds them and the result is exact.  ``df`` is
+    read three times: pass a stored field rather than a long derivation.
     """
     keys = need_keys(keys)
     data = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
-    slack = 2.0 / ACCURACY
+    slack = 2.0 / accuracy
     asked = [float(p) for p in probs]
     lows = [max(p - slack, 0.0) for p in asked]
     highs = [min(p + slack, 1.0) for p in asked]
 
     def sketch(ps: Sequence[float]):
-        return F.percentile_approx("_v", [float(p) for p in ps], ACCURACY)
+        return F.percentile_approx("_v", [float(p) for p in ps], accuracy)
 
     # A group smaller than the sketch is bracketed by its own range.
-    tiny = F.col("_n") < 4 * ACCURACY
+    tiny = F.col("_n") < 4 * accuracy
     brackets = (
         data.groupBy(*keys)
         .agg(F.count("*").alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
@@ -138,7 +139,8 @@ def frames(df: DataFrame, dataset: Sequence[str], every: int = 3, value: str = "
     steps only.
     """
     steps = small_side(sampled_steps(df, dataset, every))
-    shown = df.drop("t_idx", "n_time").join(steps, [*dataset, "time"])
+    # Read by each pass of the quantiles and once more for output.
+    shown = settle(df.drop("t_idx", "n_time").join(steps, [*dataset, "time"]))
     limits = symmetric_limits(shown, [*dataset, "var"], value)
     return (
         shown.join(small_side(limits), [*dataset, "var"])

@@ -40,8 +40,8 @@ def located(df: DataFrame) -> DataFrame:
 
 
 def exact_mean(amount: Column) -> Column:
-    """Mean of two-decimal amounts; the sum is exact in any order."""
-    return F.sum(amount.cast("decimal(18,2)")).cast("double") / F.count(amount).cast("double")
+    """Mean of two-decimal amounts, summed as whole cents: exact in any order."""
+    return F.sum(F.round(amount * 100e0).cast("bigint")) / 100e0 / F.count(amount)
 
 
 def lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -73,11 +73,11 @@ def order_cube(spark: SparkSession, sf: str) -> DataFrame:
 
 def daily_wind(spark: SparkSession, sf: str) -> DataFrame:
     """Signed daily means per cell."""
-    gust = F.col("l_extendedprice").cast("decimal(18,2)") * (
-        F.lit("0.05").cast("decimal(3,2)") - F.col("l_discount").cast("decimal(3,2)"))
+    gust = F.round(F.col("l_extendedprice") * 100e0).cast("bigint") * (
+        5 - F.round(F.col("l_discount") * 100e0).cast("bigint"))
     return located(
         lines(spark, sf).groupBy("member", "iy", "ix", F.col("time"))
-        .agg((F.sum(gust).cast("double") / F.count("*").cast("double")).alias("value")))
+        .agg((F.sum(gust) / 10000e0 / F.count("*")).alias("value")))
 
 
 def field(df: DataFrame, var: str) -> DataFrame:

@@ -354,7 +354,8 @@ c AS (SELECT member, count(*) FILTER (sy > 180) AS wraps_iy, count(DISTINCT iy)
 SELECT *, CASE WHEN wraps_ix + size_ix * 1e-6 > wraps_iy + size_iy * 1e-6 THEN 'ix' ELSE 'iy' END AS lon_axis FROM c"""
 
 SQL["field_quantiles"] = " UNION ALL ".join(
-    f"SELECT 'price' AS var, {p}e0 AS p, {r(f'quantile_cont(l_extendedprice, {p})', 4, 'quantile')} FROM lineitem"
+    f"SELECT l_returnflag, {p}e0 AS p, {r(f'quantile_cont(l_extendedprice, {p})', 4, 'quantile')} "
+    "FROM lineitem GROUP BY 1"
     for p in (0.0, 0.02, 0.5, 0.98, 1.0))
 
 

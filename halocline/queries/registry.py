@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from halocline.functions import calendar as cal, names as N, numeric as num, position as pos
 from halocline.functions.seawater import with_linear_sigma
 from halocline.operators import axis, checks, merge, regrid, series, space, stats, vertical
+from halocline.operators.sizing import settle
 from halocline.queries import adapters as A
 from halocline.queries.adapters import AT, COARSE, MEMBER
 from halocline.schema import clean_missing
@@ -345,14 +346,15 @@ def wrap_count(spark, sf):
 # ---- statistics and frames -------------------------------------------------
 @query
 def field_quantiles(spark, sf):
-    lines = A.lines(spark, sf).withColumn("var", F.lit("price"))
-    out = stats.exact_quantiles(lines, ["var"], (0.0, 0.02, 0.5, 0.98, 1.0), "l_extendedprice")
+    """A coarse sketch, so that bracketing is at work on the small tables too."""
+    out = stats.exact_quantiles(
+        A.lines(spark, sf), ["l_returnflag"], (0.0, 0.02, 0.5, 0.98, 1.0), "l_extendedprice", accuracy=1000)
     return rounded(out, "quantile")
 
 
 @query
 def symmetric_limits(spark, sf):
-    cube = series.anomaly(A.line_cube(spark, sf), MEMBER)
+    cube = settle(series.anomaly(A.line_cube(spark, sf), MEMBER).select("member", "value"))
     return rounded(stats.symmetric_limits(cube, MEMBER), "vmin", "vmax", digits=3)
 
 
