@@ -32,7 +32,10 @@ def first_level(df: DataFrame, index: str = "lev_idx") -> DataFrame:
 
 def layer_thickness(df: DataFrame, dataset: Sequence[str], zmax: float = 300.0,
                     zmin: float = 0.0, lev: str = "lev") -> DataFrame:
-    """Depth axis with edges and the thickness of each layer inside [zmin, zmax]."""
+    """Depth axis with edges and the thickness of each layer inside [zmin, zmax].
+
+    ``df`` is the field or any smaller table that has its depths.
+    """
     axis = level_axis(df, dataset, lev)
     return axis.withColumn("dz", overlap_thickness(F.col("z_lo"), F.col("z_hi"), zmin, zmax))
 
@@ -49,15 +52,17 @@ def heat_content(
     cp0: float = 3992.0,
     mask_shallow: bool = False,
     shallow_eps: float = 1e-3,
+    depths: DataFrame | None = None,
 ) -> DataFrame:
     """Integral of temperature over 0..zmax times rho0*cp0, per cell and time.
 
     A missing layer counts as 0 and an all-missing column is NULL.  With
     ``mask_shallow`` a cell must also be wet down to ``zmax`` at the first time
-    step of its dataset.
+    step of its dataset.  ``depths`` (dataset, lev), where known from elsewhere,
+    spares a pass over ``df``; so does a t_idx column for the mask.
     """
     keys = need_keys(dataset)
-    thick = layer_thickness(df, keys, zmax, lev=lev).select(*keys, lev, "dz")
+    thick = layer_thickness(df if depths is None else depths, keys, zmax, lev=lev).select(*keys, lev, "dz")
     layered = df.join(small_side(thick), [*keys, lev])
     t = F.col(value)
     out = layered.groupBy(*keys, *cell, "time").agg(
@@ -69,10 +74,13 @@ def heat_content(
     )
     if not mask_shallow:
         return out
-    start = df.groupBy(*keys).agg(F.min("time").alias("time"))
+    if "t_idx" in df.columns:
+        first = layered.where(F.col("t_idx") == 0)
+    else:
+        start = df.groupBy(*keys).agg(F.min("time").alias("time"))
+        first = layered.join(small_side(start), [*keys, "time"])
     deep = (
-        layered.join(small_side(start), [*keys, "time"])
-        .groupBy(*keys, *cell)
+        first.groupBy(*keys, *cell)
         .agg(F.sum(F.when(t.isNotNull(), F.col("dz")).otherwise(0e0)).alias("_wet"))
         .where(F.col("_wet") >= float(zmax) - float(shallow_eps))
         .select(*keys, *cell, F.lit(True).alias("_deep"))

@@ -55,10 +55,22 @@ def line_obs(spark: SparkSession, sf: str, amount: str = "l_extendedprice") -> D
         .agg(exact_mean(F.col(amount)).alias("value")))
 
 
-def order_obs(spark: SparkSession, sf: str) -> DataFrame:
+def line_cells(spark: SparkSession, sf: str) -> DataFrame:
+    return located(lines(spark, sf).select("member", "iy", "ix"))
+
+
+def order_rows(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").withColumn("_cell", F.expr("o_custkey div 15"))
+    return on_cells(orders, "_cell")
+
+
+def order_cells(spark: SparkSession, sf: str) -> DataFrame:
+    return located(order_rows(spark, sf).select("member", "iy", "ix"))
+
+
+def order_obs(spark: SparkSession, sf: str) -> DataFrame:
     return located(
-        on_cells(orders, "_cell").groupBy(
+        order_rows(spark, sf).groupBy(
             "member", "iy", "ix", month_start("o_orderdate").alias("time"))
         .agg(exact_mean(F.col("o_totalprice")).alias("value")))
 
@@ -93,13 +105,21 @@ def fields(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _depth() -> Column:
+    return F.element_at(F.array(*[F.lit(d) for d in DEPTHS]), F.col("l_linenumber"))
+
+
+def depth_table(spark: SparkSession, sf: str) -> DataFrame:
+    """(member, lev) straight from the observations."""
+    return lines(spark, sf).select("member", _depth().alias("lev")).distinct()
+
+
 def profile(spark: SparkSession, sf: str) -> DataFrame:
     """Temperature and salinity columns with gaps, dense in time and depth."""
-    depth = F.element_at(F.array(*[F.lit(d) for d in DEPTHS]), F.col("l_linenumber"))
     obs = (
         lines(spark, sf)
         .groupBy("member", "iy", "ix", F.col("l_linenumber").alias("lev_idx"),
-                 depth.alias("lev"), month_start("time").alias("time"))
+                 _depth().alias("lev"), month_start("time").alias("time"))
         .agg(exact_mean(F.col("l_quantity")).alias("_q"), exact_mean(F.col("l_discount")).alias("_d"))
     )
     obs = located(obs).select(

@@ -149,17 +149,18 @@ def surface_level_first(spark, sf):
 
 @query
 def depth_bounds(spark, sf):
-    return axis.level_axis(A.profile(spark, sf), MEMBER)
+    return axis.level_axis(A.depth_table(spark, sf), MEMBER)
 
 
 @query
 def layer_overlap(spark, sf):
-    return vertical.layer_thickness(A.profile(spark, sf), MEMBER, zmax=300.0)
+    return vertical.layer_thickness(A.depth_table(spark, sf), MEMBER, zmax=300.0)
 
 
 @query
 def heat_content(spark, sf):
-    out = vertical.heat_content(A.profile(spark, sf), MEMBER, "temp")
+    out = vertical.heat_content(
+        A.profile(spark, sf), MEMBER, "temp", depths=A.depth_table(spark, sf))
     return out.withColumn("ohc", r(F.col("ohc") / 1e6, 3))
 
 
@@ -293,37 +294,39 @@ def time_bounds(spark, sf):
 
 
 # ---- regrid and seams ------------------------------------------------------
-def _weights(cube):
+def _weights(cells):
     """All members share one grid."""
-    return regrid.bilinear_weights(regrid.grid_of(cube), COARSE, cyclic_nx=18)
+    return regrid.bilinear_weights(regrid.grid_of(cells), COARSE, cyclic_nx=18)
 
 
 @query
 def regrid_weights(spark, sf):
-    return rounded(_weights(A.line_obs(spark, sf)), "w", digits=9)
+    return rounded(_weights(A.line_cells(spark, sf)), "w", digits=9)
+
+
+def _regridded_orders(spark, sf, **options):
+    out = regrid.apply_weights(
+        A.order_cube(spark, sf), _weights(A.order_cells(spark, sf)), ["member", "time"],
+        target=COARSE, **options)
+    return rounded(out, "value", digits=3)
 
 
 @query
 def regrid_bilinear(spark, sf):
-    cube = A.order_cube(spark, sf)
-    out = regrid.apply_weights(cube, _weights(cube), ["member", "time"], target=COARSE)
-    return rounded(out, "value", digits=3)
+    return _regridded_orders(spark, sf)
 
 
 @query
 def regrid_strict(spark, sf):
-    cube = A.order_cube(spark, sf)
-    out = regrid.apply_weights(
-        cube, _weights(cube), ["member", "time"], target=COARSE, missing="strict")
-    return rounded(out, "value", digits=3)
+    return _regridded_orders(spark, sf, missing="strict")
 
 
 @query
 def anomaly_regridded(spark, sf):
     """Anomalies on the source grid first, then the target grid."""
-    cube = A.line_cube(spark, sf)
     out = regrid.apply_weights(
-        series.anomaly(cube, MEMBER), _weights(cube), ["member", "time"], target=COARSE)
+        series.anomaly(A.line_cube(spark, sf), MEMBER), _weights(A.line_cells(spark, sf)),
+        ["member", "time"], target=COARSE)
     return rounded(out, "value", digits=3)
 
 
