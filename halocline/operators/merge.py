@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from halocline.functions.calendar import within_months
 from halocline.functions.numeric import all_close
 from halocline.operators.axis import time_axis
+from halocline.operators.sizing import small_side
 from halocline.schema import CELL, OCEAN_VARS, VAR_ORDER
 
 
@@ -83,7 +84,7 @@ def harmonise_coords(other: DataFrame, reference: DataFrame, keys: Sequence[str]
     """
     at = [*keys, *cell]
     ref = reference.groupBy(*at).agg(F.min("lat").alias("lat"), F.min("lon").alias("lon"))
-    return other.drop("lat", "lon").join(ref, at)
+    return other.drop("lat", "lon").join(small_side(ref), at)
 
 
 def union_in_time(*parts: DataFrame, ordered: bool = False) -> DataFrame:

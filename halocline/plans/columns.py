@@ -47,11 +47,24 @@ def mixed_layer_job(temperature: DataFrame, salinity: DataFrame, dataset: Sequen
         checks.require_none(merge.unmatched_keys(temperature, salinity, at), "fields do not align")
         checks.require_none(
             merge.grid_mismatch(temperature, salinity, dataset), "grids differ")
-    t = temperature.select(*at, "lat", "lon", "lev", F.col("value").alias("temp"))
-    s = salinity.select(*at, F.col("value").alias("salt"))
-    both = t.join(s, at).withColumns({
-        "lev": depth_metres(F.col("lev"), F.lit(depth_units)),
-        "temp": celsius(F.col("temp"), F.lit(temp_units)),
-    })
+    # Both fields meet by column of water, which is also how the search below
+    # needs them: one exchange for the pairing and the search.
+    sides = temperature.select(*at, "lat", "lon", "lev", "value", F.lit(True).alias("_t")).unionByName(
+        salinity.select(*at, "lat", "lon", "lev", "value", F.lit(False).alias("_t")))
+
+    def of(col: str, warm: bool):
+        return F.max(F.when(F.col("_t") == warm, F.col(col)))
+
+    both = (
+        sides.repartition(*dataset, *CELL, "time").groupBy(*at)
+        .agg(*[of(c, True).alias(c) for c in ("lat", "lon", "lev")],
+             of("value", True).alias("temp"), of("value", False).alias("salt"),
+             (F.max("_t") & ~F.min("_t")).alias("_both"))
+        .where("_both")
+        .withColumns({
+            "lev": depth_metres(F.col("lev"), F.lit(depth_units)),
+            "temp": celsius(F.col("temp"), F.lit(temp_units)),
+        })
+    )
     out = vertical.mixed_layer_depth(both, dataset, **options)
     return out.withColumnRenamed("mld", "value").withColumn("var", F.lit("mlotst"))

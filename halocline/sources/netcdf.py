@@ -392,14 +392,16 @@ def write_classic(path: str, dims: Mapping[str, int], variables: Mapping[str, tu
 
 
 def write_netcdf(df: DataFrame, folder: str, dataset: Sequence[str] = ("var",), value: str = "value",
-                 attrs: Mapping[str, str] | None = None) -> DataFrame:
-    """Export a regular-grid field, one file per dataset and year: (file, steps).
+                 attrs: Mapping[str, str] | None = None, span: str = "month") -> DataFrame:
+    """Export a regular-grid field, one file per dataset and month (or ``span`` "year"): (file, steps).
 
-    Years bound what a task assembles to twelve monthly grids.  Each file is
-    written aside and renamed, so repeated attempts leave one whole file.  Run the
-    returned listing to execute the export; ``folder`` must be shared.
+    A task assembles one such span: a grid for monthly fields, at most 31 for daily
+    ones.  Each file is written aside and renamed, so repeated attempts leave one
+    whole file.  Run the returned listing to execute the export; ``folder`` must
+    be shared.
     """
-    keys = [*dataset, "year"]
+    keys = [*dataset, "span"]
+    form = {"month": "yyyyMM", "year": "yyyy"}[span]
     extra = dict(attrs or {})
     os.makedirs(folder, exist_ok=True)
 
@@ -430,5 +432,5 @@ def write_netcdf(df: DataFrame, folder: str, dataset: Sequence[str] = ("var",),
         )
         return pd.DataFrame({"file": [f"{name}.nc"], "steps": [len(times)]})
 
-    src = df.select(*dataset, F.year("time").alias("year"), "time", "iy", "ix", "lat", "lon", value)
+    src = df.select(*dataset, F.date_format("time", form).alias("span"), "time", "iy", "ix", "lat", "lon", value)
     return src.groupBy(*keys).applyInPandas(save, "file string, steps int")

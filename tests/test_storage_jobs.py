@@ -104,9 +104,10 @@ def test_calendars():
 def test_netcdf_round_trip(spark, make_field, tmp_path):
     cube = np.random.default_rng(1).normal(size=(26, 3, 2)).astype("f4")
     cube[5, 2, 1] = np.nan
-    done = write_netcdf(make_field(cube, lat=[-1, 0, 1], lon=[10, 20]), str(tmp_path)).collect()
+    done = write_netcdf(make_field(cube, lat=[-1, 0, 1], lon=[10, 20]), str(tmp_path), span="year").collect()
     assert sorted((r["file"], r["steps"]) for r in done) == [("tos.2000.nc", 12), ("tos.2001.nc", 12), ("tos.2002.nc", 2)]
     np.testing.assert_array_equal(to_cube(read_netcdf(spark, str(tmp_path), "tos")).astype("f4"), cube)
+    assert write_netcdf(make_field(cube), str(tmp_path / "m")).count() == 26
 
 
 def test_fill_and_nan_become_null(spark):
