@@ -31,6 +31,11 @@ def _series_keys(df: DataFrame) -> list[str]:
     return [c for c in ("source", *GROUP) if c in df.columns]
 
 
+def _grid_keys(df: DataFrame) -> list[str]:
+    """Every model brings its own grids."""
+    return [c for c in ("model", "var") if c in df.columns]
+
+
 def _publish(spark: SparkSession, df: DataFrame, args: argparse.Namespace, note: str,
              values: Sequence[str] = ("value",), by: Sequence[str] = ("var",)) -> None:
     if write_field(df, args.out, by, overwrite=args.overwrite, values=values):
@@ -58,7 +63,7 @@ def anom(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.keep:
         for name, step in anomalies.anomaly_steps(df, keys).items():
             write_field(step, f"{args.keep.rstrip('/')}/{name}", overwrite=args.overwrite)
-    out = anomalies.anomaly_job(df, keys, cyclic_nx=args.cyclic_nx)
+    out = anomalies.anomaly_job(df, keys, cyclic_nx=args.cyclic_nx, grid_keys=_grid_keys(df))
     _publish(spark, out, args, "quadratic detrend, calendar-month anomaly, bilinear regrid")
 
 
@@ -73,7 +78,7 @@ def uasmax(spark: SparkSession, args: argparse.Namespace) -> None:
         daily = read_netcdf(spark, args.root, aliases).withColumn("source", F.lit(args.source))
     daily = daily.withColumn("var", F.lit("uas"))
     out = anomalies.wind_maximum_job(
-        daily, [*_series_keys(daily), "var"], cyclic_nx=args.cyclic_nx, grids=1)
+        daily, [*_series_keys(daily), "var"], cyclic_nx=args.cyclic_nx, grid_keys=_grid_keys(daily))
     _publish(spark, out, args, "monthly maximum of daily winds as anomaly")
 
 

@@ -136,36 +136,45 @@ def apply_weights(
     keys: Sequence[str] = (),
     *,
     target: TargetGrid = TargetGrid(),
-    grids: int = 1,
+    grids: int | None = 1,
     missing: str = "renormalise",
     min_weight: float = 0.5,
 ) -> DataFrame:
     """Regrid every slice of ``step`` (dataset keys and time).
 
-    Source rows are exchanged by slice *before* they fan out to up to four targets
-    each, so the weighted sums are taken where the rows already are.  The weights
-    hold at most 4 rows per target point and grid; they are broadcast only while
-    that bound is small.
+    The weights hold at most 4 rows per target point and grid.  While that bound
+    is small they are broadcast, and source rows are exchanged by slice *before*
+    they fan out to up to four targets each, so the weighted sums are taken where
+    the rows already are.  Beyond it, source rows meet the weights by cell and the
+    partial sums are exchanged.  ``grids`` is how many source grids there are at
+    most; None counts the weights instead.
 
     ``missing`` "renormalise": rescale over present corners when they carry at
-    least ``min_weight``; "strict": any missing corner gives NULL.  Targets outside
-    the source grid are not returned.
+    least ``min_weight``; "strict": any missing or absent corner gives NULL.
+    Targets outside the source grid are not returned.
     """
-    bound = 4 * target.nlat * target.nlon * grids
-    w = F.broadcast(weights) if bound <= BROADCAST_ROWS else weights
+    if grids is None:
+        weights = settle(weights)
+        small = weights.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    else:
+        small = 4 * target.nlat * target.nlon * grids <= BROADCAST_ROWS
     v = F.col(value)
     num = F.sum(F.col("w") * v)
     have = F.sum(F.when(v.isNotNull(), F.col("w")).otherwise(0e0))
-    lost = F.sum(F.when(v.isNull(), 1).otherwise(0))
     if missing == "strict":
-        result = F.when(lost == 0, num)
+        # The weights of a target add up to 1.
+        result = F.when(have >= 1 - 1e-9, num)
     elif missing == "renormalise":
         result = F.when(have >= F.lit(float(min_weight)) - 1e-12, ratio(num, have))
     else:
         raise ValueError(f"missing must be 'renormalise' or 'strict', not {missing!r}")
-    slices = df.select(*dict.fromkeys([*step, *keys, *CELL, value])).repartition(*step)
+    slices = df.select(*dict.fromkeys([*step, *keys, *CELL, value]))
+    joined = (
+        slices.repartition(*step).join(F.broadcast(weights), [*keys, *CELL]) if small
+        else slices.join(weights, [*keys, *CELL])
+    )
     return (
-        slices.join(w, [*keys, *CELL])
+        joined
         .groupBy(*step, "ty", "tx")
         .agg(F.min("tlat").alias("lat"), F.min("tlon").alias("lon"), result.alias(value))
         .withColumnsRenamed({"ty": "iy", "tx": "ix"})

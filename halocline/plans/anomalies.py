@@ -12,11 +12,12 @@ from halocline.schema import OCEAN_VARS, TargetGrid
 
 
 def regrid_field(df: DataFrame, dataset: Sequence[str], target: TargetGrid = TargetGrid(), *,
-                 grid_keys: Sequence[str] = ("var",), grids: int = 10, cyclic_nx: int | None = None,
+                 grid_keys: Sequence[str] = ("var",), grids: int | None = None, cyclic_nx: int | None = None,
                  missing: str = "renormalise") -> DataFrame:
     """Bilinear to ``target``; longitudes of ocean grids are run on across their seam first.
 
-    ``grid_keys`` tell source grids apart and ``grids`` is how many there are at most.
+    ``grid_keys`` tell source grids apart (models have their own); ``grids`` is how
+    many there are at most, counted if not given.
     """
     keys = list(grid_keys)
     grid = settle(regrid.grid_of(df, keys))

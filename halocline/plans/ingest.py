@@ -13,14 +13,15 @@ from halocline.schema import EXCLUDED_MODELS, SOURCE_ALIASES
 from halocline.sources import catalog
 from halocline.sources.netcdf import read_netcdf
 
-FIELD = ("var", "time", "t_idx", "n_time", "iy", "ix", "lat", "lon", "value")
+FIELD = ("var", "time", "iy", "ix", "lat", "lon", "value")
+POSITION = {"step": "t_idx", "n_steps": "n_time"}
 
 
 def load_fixed(spark: SparkSession, source: str, root: str, files: Mapping[str, str],
                monthly: bool = True) -> DataFrame:
     """One variable per file, whatever it is called inside.
 
-    Times snap to the month start unless ``monthly`` is off.
+    Each file is a whole series, so its steps are the time positions.  Times snap to the month start unless ``monthly`` is off.
     """
     aliases = SOURCE_ALIASES.get(source, {})
     parts = []
@@ -29,20 +30,22 @@ def load_fixed(spark: SparkSession, source: str, root: str, files: Mapping[str,
         if not os.path.exists(path):
             continue
         raw = read_netcdf(spark, path, ",".join(aliases.get(var, (var,))))
-        parts.append(raw.withColumn("var", F.lit(var)))
+        parts.append(raw.withColumn("var", F.lit(var)).withColumnsRenamed(POSITION))
     if not parts:
         raise FileNotFoundError(f"no input of {source} under {root}")
     df = union_in_time(*parts)
     if monthly:
         df = df.withColumn("time", month_start("time"))
-    return df.select(F.lit(source).alias("source"), *FIELD)
+    return df.select(F.lit(source).alias("source"), *FIELD, *POSITION.values())
 
 
 def load_cmip6(spark: SparkSession, root: str, variables: Sequence[str], experiment: str | None = None,
                leaf: str = "monthly") -> DataFrame:
     """All models, members and variables of a CMIP6 tree in one DataFrame.
 
-    The variable is the file stem up to the first underscore.
+    The variable is the file stem up to the first underscore.  File steps become
+    time positions where every series is one file; otherwise the positions are
+    left to be found on the joined axis.
     """
     listing = catalog.with_groups(catalog.list_files(spark, root), experiment, leaf)
     kept = listing.withColumn("var", F.split("name", "_")[0]).where(F.col("var").isin(*variables))
@@ -65,7 +68,10 @@ def load_cmip6(spark: SparkSession, root: str, variables: Sequence[str], experim
     })
     if leaf == "monthly":
         named = named.withColumn("time", month_start("time"))
-    return named.select("exp", "model", "member", *FIELD)
+    series = chosen.groupBy("exp", "model", "member", "wanted").agg(F.count("*").alias("files"))
+    whole = series.where(F.col("files") > 1).isEmpty()
+    position = POSITION.values() if whole else ()
+    return named.withColumnsRenamed(POSITION).select("exp", "model", "member", *FIELD, *position)
 
 
 def union_scenarios(historical: DataFrame, scenario: DataFrame,

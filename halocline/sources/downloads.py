@@ -15,8 +15,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from halocline.functions.calendar import tidy_months
 
-# Fixed area of all requests: north, west, south, east.
+# ---- fixed values ----------------------------------------------------------
+# Area of all requests: north, west, south, east.
 AREA = [60, -180, -60, 180]
+# Ocean reanalysis variables by kind.
+OCEAN_2D = (
+    "mixed_layer_depth_0_03", "ocean_heat_content_for_the_upper_300m",
+    "sea_surface_salinity", "sea_surface_temperature",
+)
+OCEAN_3D = ("meridional_velocity", "zonal_velocity")
+# ----------------------------------------------------------------------------
 
 
 def monthly_request(var: str, years: Sequence[int], months: Sequence[int]) -> dict:
@@ -47,6 +55,35 @@ def daily_request(var: str, year: int, month: int) -> dict:
     }
 
 
+def ocean_request(var: str, year: int) -> dict:
+    if var not in OCEAN_2D + OCEAN_3D:
+        raise ValueError(f"unknown ocean variable: {var}")
+    return {
+        "product_type": ["consolidated"],
+        "vertical_resolution": "single_level" if var in OCEAN_2D else "all_levels",
+        "variable": [var],
+        "year": [str(year)],
+        "month": [f"{m:02d}" for m in range(1, 13)],
+    }
+
+
+def ocean_variables(kind: str = "all", wanted: Sequence[str] | None = None) -> list[str]:
+    if wanted:
+        bad = [v for v in wanted if v not in OCEAN_2D + OCEAN_3D]
+        if bad:
+            raise ValueError(f"unknown ocean variables: {', '.join(bad)}")
+        return list(wanted)
+    return list({"2d": OCEAN_2D, "3d": OCEAN_3D}.get(kind, OCEAN_2D + OCEAN_3D))
+
+
+def monthly_name(var: str, years: Sequence[int], months: Sequence[int]) -> str:
+    return f"ERA5_monthly_{var}_{years[0]}{months[0]:02d}_{years[-1]}{months[-1]:02d}"
+
+
+def daily_name(var: str, month: str, with_variable: bool = True) -> str:
+    return f"ERA5_daily_{var}_{month}.nc" if with_variable else f"ERA5_daily_{month}.nc"
+
+
 def file_kind(head: Column) -> Column:
     """"zip", "netcdf" or "unknown" from the first bytes of a file."""
     start = F.hex(F.substring(head, 1, 8))
@@ -78,6 +115,16 @@ def with_heads(listing: DataFrame, n: int = 16) -> DataFrame:
     return listing.mapInPandas(heads, f"{schema}, head binary")
 
 
+def previews(listing: DataFrame, n: int = 400) -> DataFrame:
+    """(path, preview): the start of each file as text, for files of unknown kind."""
+    def texts(batches):
+        for pdf in batches:
+            yield pdf[["path"]].assign(
+                preview=[bytes(h).decode("utf-8", "replace") for h in pdf["head"]])
+
+    return with_heads(listing, n).mapInPandas(texts, "path string, preview string")
+
+
 def extract_archives(listing: DataFrame, folder: str, only_one: bool = False) -> DataFrame:
     """Unpack the NetCDF members of each listed zip into a shared folder.
 

@@ -26,7 +26,7 @@ from halocline.schema import (
 )
 
 SCHEMA = (
-    "path string, var string, time timestamp_ntz, raw_time double, t_idx int, n_time int, "
+    "path string, var string, time timestamp_ntz, raw_time double, step int, n_steps int, "
     "lev double, lev_idx int, iy int, ix int, lat double, lon double, value double"
 )
 # Fixed by the file format: external type code -> big-endian numpy type.
@@ -273,7 +273,7 @@ class FieldReader(DataSourceReader):
         iy, ix = np.divmod(np.arange(ny * nx, dtype="int32"), np.int32(nx))
         levels = physical(nc.read(at.lev), {}) if at.lev and at.lev in nc.variables else None
         n_lev = v.shape[v.dims.index(at.lev)] if at.lev else 1
-        n_time = v.shape[0] if at.time else 1
+        n_steps = v.shape[0] if at.time else 1
         raw = times = None
         if at.time and at.time in nc.variables:
             t = nc.variables[at.time]
@@ -295,7 +295,7 @@ class FieldReader(DataSourceReader):
                         "path": partition.path, "var": at.var,
                         "time": times[step] if times else None,
                         "raw_time": float(raw[step]) if raw is not None else None,
-                        "t_idx": step, "n_time": n_time,
+                        "step": step, "n_steps": n_steps,
                         "lev": float(levels[k]) if levels is not None else None,
                         "lev_idx": k if at.lev else None,
                     }
@@ -313,6 +313,7 @@ class FieldReader(DataSourceReader):
 class FieldSource(DataSource):
     """``spark.read.format("ncfield")``; options path, variable, rule, decodeTimes, chunkSteps.
 
+    ``step`` is the position inside the file, out of ``n_steps``.
     ``variable`` may list aliases separated by commas: the first present is read,
     else the file's first data variable.
     """

@@ -26,18 +26,16 @@ def write_field(df: DataFrame, path: str, partition_by: Sequence[str] = ("var",)
                 overwrite: bool = False, values: Sequence[str] = ("value",)) -> bool:
     """Store values in single precision, once: an existing dataset is kept unless ``overwrite``.
 
-    Rows are clustered by partition and spread over ``time`` inside it, so that a
-    large variable is written by many tasks.  Spark's commit makes the result
-    appear whole.  Returns whether anything was written.
+    Rows are rebalanced by partition: a variable holding most rows is split over
+    many tasks and small ones share a task, by their sizes at run time.  Spark's
+    commit makes the result appear whole.  Returns whether anything was written.
     """
     spark = df.sparkSession
     if not overwrite and exists(spark, path):
         return False
     out = df.withColumns({v: F.col(v).cast("float") for v in values if v in df.columns})
     keys = [k for k in partition_by if k in out.columns]
-    spread = [*keys, "time"] if "time" in out.columns else keys
-    if spread:
-        out = out.repartition(*spread)
+    out = out.hint("rebalance", *keys) if keys else out.hint("rebalance")
     writer = out.write.mode("overwrite").option("compression", "zstd")
     (writer.partitionBy(*keys) if keys else writer).parquet(path)
     return True

@@ -216,6 +216,10 @@ def test_file_kinds_and_archives(spark, tmp_path):
     got = {r["path"].split("/")[-1]: r for r in downloads.extract_archives(listing, str(out)).collect()}
     assert len(got["two.zip"]["files"]) == 2 and got["two.zip"]["problem"] is None
     assert got["broken.zip"]["problem"] and sorted(p.name for p in out.iterdir()) == ["a.nc", "b.nc"]
+    assert downloads.previews(listing).where("path like '%broken%'").collect()[0]["preview"].startswith("PK")
+    assert catalog.first_existing(str(src), ["no", "n.zip"]).endswith("n.zip")
+    with pytest.raises(FileNotFoundError):
+        catalog.require_existing(str(src), ["no"], "input")
     one = downloads.extract_archives(listing, str(out), only_one=True).where("path like '%two.zip'").collect()[0]
     assert "found 2" in one["problem"]
 
@@ -223,4 +227,9 @@ def test_file_kinds_and_archives(spark, tmp_path):
 def test_requests():
     assert downloads.daily_request("u", 2000, 2)["day"][-1] == "29"
     assert downloads.monthly_request("u", [1999], [2, 1])["month"] == ["01", "02"]
+    assert downloads.ocean_request("zonal_velocity", 1958)["vertical_resolution"] == "all_levels"
+    assert len(downloads.ocean_variables()) == 6 and len(downloads.ocean_variables("2d")) == 4
+    with pytest.raises(ValueError):
+        downloads.ocean_variables(wanted=["x"])
+    assert downloads.monthly_name("u", [1958, 1960], [1, 12]) == "ERA5_monthly_u_195801_196012"
     assert VAR_ORDER[0] == "tos" and len(VAR_ORDER) == 10

@@ -157,6 +157,26 @@ def test_missing_corner_without_weight_does_not_matter(spark):
     assert apply(spark, lat, lon, v, target, missing="strict")["value"][0] == pytest.approx(6.0)
 
 
+def test_an_absent_corner_is_a_missing_corner(spark):
+    """The weights may cover cells some dataset does not have."""
+    lat, lon = np.meshgrid([0.0, 10], [0.0, 10], indexing="ij")
+    target = TargetGrid(lat0=6, dlat=1, nlat=1, lon0=6, dlon=1, nlon=1)
+    w = regrid.bilinear_weights(grid_df(spark, lat, lon).drop("grid"), target)
+    df = spark.createDataFrame([(0, 0, 1, 2.0), (0, 1, 0, 4.0), (0, 1, 1, 8.0)], "time int, iy int, ix int, value double")
+    assert regrid.apply_weights(df, w, ["time"], target=target, missing="strict").collect()[0]["value"] is None
+    got = regrid.apply_weights(df, w, ["time"], target=target).collect()[0]["value"]
+    assert got == pytest.approx((0.24 * 2 + 0.24 * 4 + 0.36 * 8) / 0.84)
+
+
+@pytest.mark.parametrize("grids", [None, 10**9])
+def test_regrid_plans_agree(spark, grids):
+    """Counted weights, and the shuffled join beyond the broadcast bound."""
+    lat, lon = regular()
+    out = apply(spark, lat, lon, 3 * lat, cyclic_nx=12, grids=grids)
+    assert len(out) == 9 * 72
+    np.testing.assert_allclose(out["value"], 3 * out["lat"], atol=1e-9)
+
+
 def test_regrid_exchanges_the_source_rows_only(spark, make_field):
     """The fan-out to targets happens after the exchange by slice."""
     df = make_field(np.ones((2, 3, 3)))

@@ -44,8 +44,8 @@ def test_netcdf_three_dimensions(spark, tmp_path):
     df = read_netcdf(spark, str(tmp_path / "tos.nc"), "tos", chunkSteps=7)
     assert df.rdd.getNumPartitions() == 5
     np.testing.assert_array_equal(to_cube(df).astype("f4"), cube)
-    row = df.where("t_idx = 1 and iy = 2 and ix = 3").collect()[0]
-    assert row["time"] == datetime(2000, 2, 15) and row["n_time"] == 30 and row["lev"] is None
+    row = df.where("step = 1 and iy = 2 and ix = 3").collect()[0]
+    assert row["time"] == datetime(2000, 2, 15) and row["n_steps"] == 30 and row["lev"] is None
     assert (row["lat"], row["lon"]) == (2.0, 3.0)
 
 
@@ -56,7 +56,7 @@ def test_netcdf_depth_curvilinear_and_packing(spark, tmp_path):
          attrs={"scale_factor": 2.0, "add_offset": 1.0})
     pdf = read_netcdf(spark, str(tmp_path), "thetao", decodeTimes=False).toPandas()
     assert len(pdf) == 24 and pdf["time"].isna().all() and pdf["raw_time"].notna().all()
-    got = pdf.set_index(["t_idx", "lev_idx", "iy", "ix"])
+    got = pdf.set_index(["step", "lev_idx", "iy", "ix"])
     assert got.loc[(1, 1, 1, 2), "value"] == 2 * cube[1, 1, 1, 2] + 1
     assert got.loc[(0, 1, 1, 2), "lev"] == 15.0 and got.loc[(0, 0, 1, 2), "lat"] == 21.5
 
@@ -81,7 +81,7 @@ def test_netcdf_record_layout(spark, tmp_path):
     for step in range(2):
         body += np.array([31.0 * step], ">f8").tobytes() + np.array([10 * step + i for i in range(3)], ">i2").tobytes() + b"\0\0"
     (tmp_path / "r.nc").write_bytes(header(at) + body)
-    pdf = read_netcdf(spark, str(tmp_path / "r.nc"), "psl").toPandas().sort_values(["t_idx", "ix"])
+    pdf = read_netcdf(spark, str(tmp_path / "r.nc"), "psl").toPandas().sort_values(["step", "ix"])
     assert pdf["value"].tolist() == [0, 1, 2, 10, 11, 12] and pdf["time"].iloc[-1] == datetime(2000, 2, 1)
 
 
@@ -170,6 +170,20 @@ def test_cmip6_tree_to_predictors_and_targets(spark, tmp_path):
     assert short.count() == 2
 
 
+def test_cmip6_series_in_several_files_is_one_axis(spark, tmp_path):
+    cube = np.random.default_rng(2).normal(size=(24, 3, 3))
+    folder = tmp_path / "h" / "M" / "r1i1p1f1" / "monthly"
+    save(folder / "tos_a_200001.nc", cube[:12], start=2000)
+    save(folder / "tos_a_200101.nc", cube[12:], start=2001)
+    df = ingest.load_cmip6(spark, str(tmp_path), ("tos",))
+    assert "t_idx" not in df.columns
+    from halocline.operators import series
+    got = to_cube(series.quadratic_detrend(df, ["exp", "model", "member", "var"]))
+    x = np.linspace(-1, 1, 24)
+    want = cube[:, 1, 1] - np.polyval(np.polyfit(x, cube[:, 1, 1].astype("f4"), 2), x)
+    np.testing.assert_allclose(got[:, 1, 1], want, atol=1e-5)
+
+
 def period_fields(make_field):
     a = make_field(np.ones((24, 1, 1)), var="tos").unionByName(make_field(np.ones((12, 1, 1)), var="psl", start=2001))
     return a.withColumn("model", F.lit("M"))
