@@ -21,8 +21,8 @@ from halocline.schema import (
 )
 from halocline.session import get_session
 from halocline.sources import catalog, configs
-from halocline.sources.netcdf import read_netcdf
-from halocline.sources.store import append_history, read_field, write_field
+from halocline.sources.netcdf import read_netcdf, units_of
+from halocline.sources.store import append_history, read_field, write_attrs, write_field
 
 GROUP = ("exp", "model", "member")
 
@@ -37,9 +37,13 @@ def _grid_keys(df: DataFrame) -> list[str]:
 
 
 def _publish(spark: SparkSession, df: DataFrame, args: argparse.Namespace, note: str,
-             values: Sequence[str] = ("value",), by: Sequence[str] = ("var",)) -> None:
-    if write_field(df, args.out, by, overwrite=args.overwrite, values=values):
+             values: Sequence[str] = ("value",), by: Sequence[str] = ("var",),
+             attrs: dict[str, str] | None = None) -> None:
+    if args.dry_run:
+        df.explain("formatted")
+    elif write_field(df, args.out, by, overwrite=args.overwrite, values=values):
         append_history(spark, args.out, note)
+        write_attrs(spark, args.out, {v: {"derivation": note, **(attrs or {})} for v in values})
     else:
         print(f"kept existing {args.out}")
 
@@ -60,7 +64,7 @@ def _raw(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 def anom(spark: SparkSession, args: argparse.Namespace) -> None:
     df = _raw(spark, args)
     keys = [*_series_keys(df), "var"]
-    if args.keep:
+    if args.keep and not args.dry_run:
         for name, step in anomalies.anomaly_steps(df, keys).items():
             write_field(step, f"{args.keep.rstrip('/')}/{name}", overwrite=args.overwrite)
     out = anomalies.anomaly_job(df, keys, cyclic_nx=args.cyclic_nx, grid_keys=_grid_keys(df))
@@ -85,17 +89,20 @@ def uasmax(spark: SparkSession, args: argparse.Namespace) -> None:
 def surface(spark: SparkSession, args: argparse.Namespace) -> None:
     df = read_netcdf(spark, args.root, args.var).withColumn("var", F.lit(args.var))
     df = df.withColumn("time", month_start("time"))
-    out = columns.surface_job(df, ["var"], by_depth=not args.file_order, units=args.units)
+    units = args.units if args.units is not None else units_of(args.root, args.var)
+    out = columns.surface_job(df, ["var"], by_depth=not args.file_order, units=units)
     _publish(spark, out, args, f"first vertical level of {args.var}")
 
 
 def ohc(spark: SparkSession, args: argparse.Namespace) -> None:
     df = read_netcdf(spark, args.root, args.var).withColumn("var", F.lit(args.var))
+    units = args.units if args.units is not None else units_of(args.root, args.var)
     out = columns.heat_content_job(
-        df.withColumn("time", month_start("time")), ["var"], args.units or "", not args.keep_kelvin,
+        df.withColumn("time", month_start("time")), ["var"], units, not args.keep_kelvin,
         zmax=args.zmax, rho0=args.rho0, cp0=args.cp0, mask_shallow=args.mask_shallow,
         shallow_eps=args.shallow_eps)
-    _publish(spark, out, args, f"heat content 0-{args.zmax:g} m of {args.var}")
+    _publish(spark, out, args, f"heat content 0-{args.zmax:g} m of {args.var}",
+             attrs={"units": "J m-2", "rho0": str(args.rho0), "cp0": str(args.cp0)})
 
 
 def mlotst(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -105,10 +112,11 @@ def mlotst(spark: SparkSession, args: argparse.Namespace) -> None:
 
     out = columns.mixed_layer_job(
         one(args.temp, args.temp_var), one(args.salt, args.salt_var), ["source"],
-        temp_units=args.temp_units, depth_units=args.depth_units, ref_depth=args.ref_depth,
+        temp_units=args.temp_units or units_of(args.temp, args.temp_var), depth_units=args.depth_units, ref_depth=args.ref_depth,
         delta_sigma=args.delta_sigma, zmax=args.zmax,
         density=with_linear_sigma if args.linear else with_sigma0)
-    _publish(spark, out, args, "mixed-layer depth by density threshold")
+    _publish(spark, out, args, "mixed-layer depth by density threshold",
+             attrs={"units": "m", "ref_depth": str(args.ref_depth), "delta_sigma": str(args.delta_sigma)})
 
 
 def scenarios(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -150,7 +158,8 @@ def target(spark: SparkSession, args: argparse.Namespace) -> None:
             print("[FAIL]", row.asDict())
     else:
         out = targets.index_of_field(df.where(F.col("var") == "tos"), (), args.start, args.end)
-    _publish(spark, out, args, "area-weighted mean 5S-5N, 170W-120W", ("nino34",), ())
+    _publish(spark, out, args, "area-weighted mean 5S-5N, 170W-120W", ("nino34",), (),
+             {"long_name": "Niño3.4 index", "region": "5S-5N, 170W-120W", "source": args.fields})
 
 
 def qc(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -167,6 +176,9 @@ def qc(spark: SparkSession, args: argparse.Namespace) -> None:
 def overview(spark: SparkSession, args: argparse.Namespace) -> None:
     found = configs.read_configs(spark, f"{args.root.rstrip('/')}/configs/experiments/*/*.yaml", args.root)
     report = configs.overview(configs.parse_configs(found))
+    if args.dry_run:
+        report.explain("formatted")
+        return
     report.write.mode("overwrite" if args.overwrite else "errorifexists").text(args.out)
 
 
@@ -180,6 +192,7 @@ def build_parser() -> argparse.ArgumentParser:
         p.set_defaults(run=fn)
         p.add_argument("--out", required=True)
         p.add_argument("--overwrite", action="store_true")
+        p.add_argument("--dry-run", action="store_true", help="show the plan, write nothing")
         for name, default in names.items():
             flag = "--" + name.replace("_", "-")
             if default is bool:
@@ -199,7 +212,7 @@ def build_parser() -> argparse.ArgumentParser:
     command(surface, root=str, var=str, units=None, file_order=bool)
     command(ohc, root=str, var=str, units=None, keep_kelvin=bool, zmax=300.0, rho0=1025.0, cp0=3992.0,
             mask_shallow=bool, shallow_eps=1e-3)
-    command(mlotst, temp=str, salt=str, temp_var=str, salt_var=str, temp_units="degC", depth_units="m",
+    command(mlotst, temp=str, salt=str, temp_var=str, salt_var=str, temp_units=None, depth_units="m",
             source_name="custom", ref_depth=10.0, delta_sigma=0.03, zmax=1000.0, linear=bool)
     command(scenarios, root=str, vars=None, leaf="monthly", exclude=",".join(EXCLUDED_MODELS))
     p = command(inputs, vars=None, start=None, end=None)

@@ -14,14 +14,15 @@ from halocline.schema import CELL
 
 
 def surface_level(df: DataFrame, dataset: Sequence[str], value: str = "value", lev: str = "lev",
-                  cell: Sequence[str] = CELL) -> DataFrame:
+                  cell: Sequence[str] = CELL, depths: DataFrame | None = None) -> DataFrame:
     """Value at the shallowest level of each dataset, missing or not.
 
     The shallowest level belongs to the shared axis, not to the cell, so it is
     found once per dataset and the cube is only filtered: no shuffle of the cube.
+    ``depths`` (dataset, lev), where known from elsewhere, spares a pass over ``df``.
     """
     keys = need_keys(dataset)
-    top = df.groupBy(*keys).agg(F.min(lev).alias(lev))
+    top = (df if depths is None else depths).groupBy(*keys).agg(F.min(lev).alias(lev))
     return df.join(small_side(top), [*keys, lev]).select(*keys, *cell, "time", "lat", "lon", lev, value)
 
 

@@ -138,7 +138,8 @@ def time_index(spark, sf):
 # ---- vertical --------------------------------------------------------------
 @query
 def surface_level_sorted(spark, sf):
-    return rounded(vertical.surface_level(A.profile(spark, sf), MEMBER, "temp"), "temp", digits=6)
+    top = vertical.surface_level(A.profile(spark, sf), MEMBER, "temp", depths=A.depth_table(spark, sf))
+    return rounded(top, "temp", digits=6)
 
 
 @query

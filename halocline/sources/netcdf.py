@@ -13,6 +13,7 @@ import re
 import struct
 import uuid
 from collections.abc import Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field as dc_field
 from datetime import date, datetime, timedelta
 from typing import Any
@@ -33,6 +34,7 @@ SCHEMA = (
 TYPES = {1: "i1", 2: "S1", 3: ">i2", 4: ">i4", 5: ">f4", 6: ">f8",
          7: "u1", 8: ">u2", 9: ">u4", 10: ">i8", 11: ">u8"}
 SLAB = 262_144
+TASK_ROWS = 4_000_000
 CALENDAR_DAYS = {"noleap": 365, "365_day": 365, "all_leap": 366, "366_day": 366, "360_day": 360}
 UNIT_SECONDS = {"day": 86400.0, "hour": 3600.0, "minute": 60.0, "min": 60.0, "second": 1.0, "sec": 1.0,
                 "d": 86400.0, "h": 3600.0, "hr": 3600.0, "s": 1.0}
@@ -237,12 +239,15 @@ class FieldReader(DataSourceReader):
         self.variable = options.get("variable") or None
         self.rule = options.get("rule", "predictor")
         self.decode = options.get("decodetimes", options.get("decodeTimes", "true")).lower() == "true"
-        self.run = int(options.get("chunksteps", options.get("chunkSteps", "12")))
+        self.run = int(options.get("chunksteps", options.get("chunkSteps", "0")))
 
     def files(self) -> list[str]:
         found: list[str] = []
-        for part in self.options["path"].split(","):
+        paths = self.options["path"]
+        for part in paths.split("\n" if "\n" in paths else ","):
             part = re.sub(r"^file:/*", "/", part.strip())
+            if not part:
+                continue
             if os.path.isdir(part):
                 found += glob.glob(os.path.join(part, "**", "*.nc"), recursive=True)
             else:
@@ -252,13 +257,17 @@ class FieldReader(DataSourceReader):
         return sorted(set(found))
 
     def partitions(self) -> Sequence[Steps]:
-        out = []
-        for path in self.files():
+        def split(path: str) -> list[Steps]:
             nc = open_file(path)
             at = Layout.of(nc, self.variable, self.rule)
-            n = nc.variables[at.var].shape[0] if at.time else 1
-            out += [Steps(path, i, min(i + self.run, n)) for i in range(0, n, self.run)]
-        return out
+            shape = nc.variables[at.var].shape
+            n, slab = (shape[0], shape[1:]) if at.time else (1, shape)
+            run = self.run or max(1, TASK_ROWS // max(1, int(np.prod(slab, dtype=np.int64))))
+            return [Steps(path, i, min(i + run, n)) for i in range(0, n, run)]
+
+        # Headers only; the waiting is on the file system.
+        with ThreadPoolExecutor(32) as pool:
+            return [s for steps in pool.map(split, self.files()) for s in steps]
 
     def read(self, partition: Steps) -> Iterator:
         import pyarrow as pa
@@ -313,6 +322,8 @@ class FieldReader(DataSourceReader):
 class FieldSource(DataSource):
     """``spark.read.format("ncfield")``; options path, variable, rule, decodeTimes, chunkSteps.
 
+    Without ``chunkSteps`` a task takes as many steps as make about four million rows.
+
     ``step`` is the position inside the file, out of ``n_steps``.
     ``variable`` may list aliases separated by commas: the first present is read,
     else the file's first data variable.
@@ -333,7 +344,7 @@ def read_netcdf(spark: SparkSession, path: str | Sequence[str], variable: str |
                 **options: Any) -> DataFrame:
     """The long form of one variable of one or many files."""
     spark.dataSource.register(FieldSource)
-    reader = spark.read.format("ncfield").option("path", path if isinstance(path, str) else ",".join(path))
+    reader = spark.read.format("ncfield").option("path", path if isinstance(path, str) else "\n".join([*path, ""]))
     if variable:
         reader = reader.option("variable", variable)
     for key, value in options.items():
@@ -341,6 +352,33 @@ def read_netcdf(spark: SparkSession, path: str | Sequence[str], variable: str |
     return reader.load()
 
 
+def variable_names(path: str) -> list[str]:
+    """Names in file order, from the header."""
+    return list(open_file(path).variables)
+
+
+def file_attrs(listing: DataFrame) -> DataFrame:
+    """(path, var, key, value) of every attribute in the headers of listed files."""
+    def each(batches):
+        import pandas as pd
+        for pdf in batches:
+            rows = [
+                (path, var, key, str(value))
+                for path in pdf["path"] for var, v in open_file(path).variables.items()
+                for key, value in v.attrs.items()
+            ]
+            yield pd.DataFrame(rows, columns=["path", "var", "key", "value"])
+
+    return listing.select("path").mapInPandas(each, "path string, var string, key string, value string")
+
+
+def units_of(path: str, var: str) -> str:
+    """Unit of a variable in a file, or in the first file of a folder; '' if none is given."""
+    first = FieldReader({"path": path}).files()[0]
+    found = open_file(first).variables.get(var)
+    return str(found.attrs.get("units", "")) if found else ""
+
+
 # ---- writing ---------------------------------------------------------------
 def _pad(raw: bytes) -> bytes:
     return raw + b"\0" * (-len(raw) % 4)

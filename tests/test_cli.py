@@ -40,6 +40,8 @@ def test_columns_and_winds(spark, tmp_path):
     save(tmp_path / "temp.nc", temp, "temp", lev=z)
     save(tmp_path / "salt.nc", 35 + 0 * temp, "salt", lev=z)
     p = lambda n: str(tmp_path / n)
+    main(["surface", "--root", p("temp.nc"), "--var", "temp", "--out", p("nothing"), "--dry-run"])
+    assert not (tmp_path / "nothing").exists()
     main(["surface", "--root", p("temp.nc"), "--var", "temp", "--out", p("surf")])
     main(["ohc", "--root", p("temp.nc"), "--var", "temp", "--out", p("ohc")])
     main(["mlotst", "--temp", p("temp.nc"), "--salt", p("salt.nc"), "--temp-var", "temp", "--salt-var", "salt",

@@ -129,6 +129,16 @@ def test_store_skips_what_exists(spark, make_field, tmp_path):
     assert store.read_attrs(spark, path).collect()[0]["value"] == "degC"
 
 
+def test_headers(spark, tmp_path):
+    from halocline.sources import catalog
+    from halocline.sources.netcdf import file_attrs, units_of, variable_names
+    save(tmp_path / "a.nc", np.ones((2, 2, 2)), "tos", attrs={"units": "K"})
+    assert variable_names(str(tmp_path / "a.nc")) == ["time", "lat", "lon", "tos"]
+    assert units_of(str(tmp_path), "tos") == "K" and units_of(str(tmp_path), "none") == ""
+    got = {(r["var"], r["key"]): r["value"] for r in file_attrs(catalog.list_files(spark, str(tmp_path))).collect()}
+    assert got["tos", "units"] == "K" and got["time", "units"].startswith("days since")
+
+
 def test_fixed_source_ingest_uses_aliases(spark, tmp_path):
     save(tmp_path / "uwnd.10m.mon.mean.nc", np.ones((2, 2, 2)), "uwnd")
     save(tmp_path / "prmsl.mon.mean.nc", np.ones((2, 2, 2)), "odd_name")
