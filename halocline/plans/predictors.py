@@ -15,19 +15,24 @@ def rejected(df: DataFrame, dataset: Sequence[str], variables: Sequence[str] = V
              start: str | None = None, end: str | None = None) -> DataFrame:
     """(dataset, problem) of datasets that cannot be merged.
 
-    A dataset fails alone: a missing variable, no common period, or a window it
-    does not cover.
+    A dataset fails alone: a missing variable, no common step, or a window its
+    common steps do not cover.
     """
-    keys = list(dataset)
-    lacking = merge.missing_variables(df, keys, variables).where(F.size("missing") > 0).select(
+    keys, names = list(dataset), list(dict.fromkeys(variables))
+    lacking = merge.missing_variables(df, keys, names).select(*keys, "missing")
+    incomplete = F.size("missing") > 0
+    # Steps every variable has: what the merge will keep.
+    shared = (
+        df.where(F.col("var").isin(*names)).select(*keys, "var", "time").distinct()
+        .groupBy(*keys, "time").agg(F.count("*").alias("_n")).where(F.col("_n") == len(names))
+    )
+    out = lacking.where(incomplete).select(
         *keys, F.concat(F.lit("missing "), F.array_join("missing", ",")).alias("problem"))
-    spans = merge.common_period(df.where(F.col("var").isin(*variables)), keys)
-    disjoint = spans.where(F.col("start") > F.col("end")).select(
-        *keys, F.lit("no common period").alias("problem"))
-    out = lacking.unionByName(disjoint)
+    out = out.unionByName(
+        lacking.where(~incomplete).join(shared, keys, "left_anti")
+        .select(*keys, F.lit("no common step").alias("problem")))
     if start is not None or end is not None:
-        steps = spans.select(*keys, F.explode(F.array("start", "end")).alias("time"))
-        out = out.unionByName(checks.uncovered(steps, keys, start, end).select(*keys, "problem"))
+        out = out.unionByName(checks.uncovered(shared, keys, start, end).select(*keys, "problem"))
     return out.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_set("problem")), "; ").alias("problem"))
 
 

@@ -9,16 +9,24 @@ from pyspark.sql import DataFrame, functions as F
 from halocline.functions.calendar import month_start, year_month
 from halocline.operators import checks, merge, space
 from halocline.operators.sizing import small_side
-from halocline.schema import EXCLUDED_MODELS, VAR_ORDER, main_variable
+from halocline.schema import CELL, EXCLUDED_MODELS, VAR_ORDER, main_variable
+
+NOT_VALUES = frozenset({
+    "path", "var", "time", "raw_time", "step", "n_steps", "t_idx", "n_time", "lev", "lev_idx", *CELL, "lat", "lon",
+})
 
 
 def index_series(df: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
-    """A ready-made index: (time, nino34), whatever the value column is called."""
-    values = [c for c in df.columns if c not in ("time", "path", "var")]
+    """A ready-made index: (time, nino34), whatever the value column is called.
+
+    It must be a plain series, one value for each time.
+    """
+    values = [c for c in df.columns if c not in NOT_VALUES]
     col = main_variable(values, "nino34", "target")
     one = df.select(month_start("time").alias("time"), F.col(col).cast("double").alias("nino34"))
     one = checks.time_slice(one.withColumn("_one", F.lit(1)), ["_one"], start, end).drop("_one")
     checks.require_some(one, "the index has no steps")
+    checks.require_none(checks.repeated_steps(one, (), ()), "the index is not a plain series")
     return one
 
 

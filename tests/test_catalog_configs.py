@@ -34,6 +34,8 @@ def test_aliases_fall_back_to_the_first_column():
 def test_coordinates_by_name_then_attributes(spark):
     df = spark.createDataFrame([(1, 2.0, 3.0)], "valid_time int, latitude double, nav_lon double")
     assert canonical_coords(df).columns == ["time", "lat", "lon"]
+    loud = spark.createDataFrame([(1, 2.0, 3.0)], "month int, LATITUDE double, LONGITUDE double")
+    assert canonical_coords(loud).columns == ["time", "lat", "lon"]
     assert find_time_column(["when", "v"], {"when": {"units": "days since 1950-01-01"}}) == "when"
     assert find_time_column(["a"], {"a": {"axis": "t"}}) == "a"
 

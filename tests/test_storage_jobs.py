@@ -223,6 +223,23 @@ def test_ready_index(spark):
         targets.index_series(df, "2000-03", "2001-10")
 
 
+def test_index_must_be_plain(make_field):
+    with pytest.raises(checks.CheckFailed):
+        targets.index_series(make_field(np.ones((3, 1, 2))))
+    assert targets.index_series(make_field(np.ones((3, 1, 1)))).count() == 3
+
+
+def test_rejections(make_field):
+    a = make_field(np.ones((24, 1, 1)), var="tos")
+    b = make_field(np.ones((24, 1, 1)), var="psl", start=2001)
+    def why(df, **kw):
+        return [r["problem"] for r in predictors.rejected(df.withColumn("m", F.lit(1)), ["m"], ("tos", "psl"), **kw).collect()]
+    assert why(a.unionByName(b)) == [] and why(a) == ["missing psl"]
+    assert why(a.unionByName(b.where("year(time) = 2002"))) == ["no common step"]
+    assert why(a.unionByName(b), start="2000-06") == ["starts late"]
+    assert why(a.unionByName(b), start="2001-01", end="2002-01") == ["ends early"]
+
+
 def test_index_needs_cells_in_the_region(make_field):
     with pytest.raises(checks.CheckFailed):
         targets.index_of_field(make_field(np.ones((2, 2, 2)), lat=[50, 60]))
