@@ -18,7 +18,8 @@ def surface_job(df: DataFrame, dataset: Sequence[str], *, by_depth: bool = True,
     ``by_depth`` takes the shallowest level, otherwise the first in file order.
     Salinity in mass-fraction ``units`` becomes g/kg.
     """
-    top = vertical.surface_level(df, dataset) if by_depth else vertical.first_level(df)
+    keys = list(dict.fromkeys([*dataset, "var"]))
+    top = vertical.surface_level(df, keys) if by_depth else vertical.first_level(df)
     var = F.col("var")
     value = F.when(var == "salt", salinity_g_per_kg(F.col("value"), F.lit(units))).otherwise(F.col("value"))
     renamed = F.coalesce(F.create_map(*[F.lit(x) for kv in SURFACE_OUTPUT.items() for x in kv])[var], var)

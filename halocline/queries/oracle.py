@@ -461,3 +461,61 @@ FROM (SELECT p_partkey, p_size % 5 + 1 AS k, p_retailprice AS v FROM part)"""
 SQL["missing_values"] = f"""SELECT p_brand, count(*) AS n_rows,
   count(CASE WHEN p_size % 10 > 1 THEN 1 END) AS n_values,
   {r('max(CASE WHEN p_size % 10 > 1 THEN p_retailprice END)', 4, 'top')} FROM part GROUP BY 1"""
+
+# ---- whole jobs ------------------------------------------------------------
+SERIES = LINE_OBS + ", " + ORDER_OBS + """, ser AS (
+  SELECT 'tos' AS var, member, iy, ix, time FROM lobs UNION ALL SELECT 'psl', member, iy, ix, time FROM oobs),
+have AS (SELECT member, iy, ix, bool_or(var = 'tos') AS t, bool_or(var = 'psl') AS p FROM ser GROUP BY 1, 2, 3)"""
+SQL["predictor_rejections"] = f"""WITH {SERIES}, shared AS (
+  SELECT l.member, l.iy, l.ix, min(l.time) AS a, max(l.time) AS b FROM lobs l JOIN oobs o
+    ON o.member = l.member AND o.iy = l.iy AND o.ix = l.ix AND o.time = l.time GROUP BY 1, 2, 3),
+found AS (SELECT h.member, h.iy, h.ix, CASE
+    WHEN NOT p THEN 'missing psl' WHEN NOT t THEN 'missing tos' WHEN a IS NULL THEN 'no common step'
+    WHEN strftime(a, '%Y-%m') > '1995-02' THEN 'starts late'
+    WHEN strftime(b, '%Y-%m') < '2001-06' THEN 'ends early' END AS problem
+  FROM have h LEFT JOIN shared s ON s.member = h.member AND s.iy = h.iy AND s.ix = h.ix)
+SELECT member, iy, ix, problem FROM found WHERE problem IS NOT NULL"""
+SQL["target_periods"] = f"""WITH {SERIES},
+inp AS (SELECT member, iy, ix, min(time) AS a, max(time) AS b FROM oobs WHERE value > 450000 GROUP BY 1, 2, 3),
+com AS (SELECT member, iy, ix, max(a) AS a, min(b) AS b FROM (
+    SELECT member, iy, ix, var, min(time) AS a, max(time) AS b FROM ser GROUP BY 1, 2, 3, 4) GROUP BY 1, 2, 3)
+SELECT h.member, h.iy, h.ix,
+  strftime(COALESCE(i.a, CASE WHEN c.a <= c.b THEN c.a END), '%Y-%m') AS start,
+  strftime(COALESCE(i.b, CASE WHEN c.a <= c.b THEN c.b END), '%Y-%m') AS "end",
+  CASE WHEN i.a IS NOT NULL THEN 'input' WHEN c.a > c.b THEN 'tos_full_period'
+       ELSE 'common_predictor_overlap;missing=' || CASE WHEN p THEN 'uas' ELSE 'psl,uas' END END AS period_source
+FROM have h LEFT JOIN inp i ON i.member = h.member AND i.iy = h.iy AND i.ix = h.ix
+JOIN com c ON c.member = h.member AND c.iy = h.iy AND c.ix = h.ix WHERE h.t"""
+SQL["member_targets"] = f"""WITH {FIELDS}, span AS (SELECT member, max(a) AS a, min(b) AS b FROM (
+    SELECT member, var, min(time) AS a, max(time) AS b FROM fields GROUP BY 1, 2) GROUP BY 1),
+used AS (SELECT 'M' || member AS model, 'common_predictor_overlap' AS period_source, time, lat, lon, value
+  FROM lcube JOIN span USING (member) WHERE member <> 1 AND time BETWEEN a AND b)
+""" + area_mean("used", BOX, "model, period_source, time", "nino34")
+SQL["scenario_union"] = f"""WITH {LINE_OBS}, {ORDER_OBS}, parts AS (
+  SELECT 1 AS side, member AS m, iy, ix, time, lat, lon, value FROM lobs WHERE time < TIMESTAMP '1999-01-01'
+  UNION ALL SELECT 2, member, iy, ix, time, lat, lon, value FROM oobs
+  WHERE time >= TIMESTAMP '1999-01-01' AND value > 400000),
+both_sides AS (SELECT m, iy, ix FROM parts GROUP BY 1, 2, 3 HAVING count(DISTINCT side) = 2)
+SELECT 'M' || iy AS model, 'r' || ix || '_' || m AS member, 'tos' AS var, 'historical_ssp370' AS exp,
+  iy, ix, time, lat, lon, {r('value', 7)} FROM parts JOIN both_sides USING (m, iy, ix) WHERE iy <> 7"""
+SQL["surface_salinity"] = (
+    f"WITH {PROFILE} SELECT member, iy, ix, time, lat, lon, 'sos' AS var, {r('salt * 1000e0', 4, 'value')} "
+    "FROM prof WHERE lev = 5")
+SQL["heat_content_kelvin"] = f"""WITH {LAYERS} SELECT member, iy, ix, time, min(lat) AS lat, min(lon) AS lon, 'ohc300' AS var,
+  {rnd("""CASE WHEN count(temp) > 0 THEN sum(COALESCE(temp - 273.15e0, 0) * greatest(least(z_hi, 300e0) - z_lo, 0e0))
+    * (1025e0 * 3992e0) END / 1e6""", 3)} AS value
+FROM prof JOIN layers USING (member, lev) GROUP BY 1, 2, 3, 4"""
+SQL["mixed_layer_paired"] = (
+    f"SELECT member, iy, ix, time, lat, lon, 'mlotst' AS var, mld AS value FROM ({SQL['mixed_layer_teos10']})")
+SQL["last_files"] = f"""WITH {FILES} SELECT split_part(name, '.', 1) AS var, max(name) AS path FROM files
+WHERE name LIKE '%.%.nc' AND split_part(name, '.', 1) IN {_KNOWN} GROUP BY 1"""
+
+
+def _best(where: str) -> str:
+    return preferred(f"ends_with(name, '.anom_1x2.nc') AND {_LEAD} IN {_KNOWN} AND {where}")
+
+
+SQL["file_map_override"] = f"""SELECT e.model, e.var, COALESCE(h.path, e.path) AS path, COALESCE(h.is_raw, e.is_raw) AS is_raw
+FROM ({_best('TRUE')}) e LEFT JOIN ({_best("exp = 'historical'")}) h ON h.model = e.model AND h.var = e.var"""
+SQL["file_kinds"] = """SELECT p_partkey,
+  ['zip', 'netcdf', 'netcdf', 'netcdf', 'unknown', 'unknown'][p_size % 6 + 1] AS kind FROM part"""

@@ -12,8 +12,9 @@ from halocline.operators import axis, checks, merge, regrid, series, space, stat
 from halocline.operators.sizing import settle
 from halocline.queries import adapters as A
 from halocline.queries.adapters import AT, COARSE, MEMBER
-from halocline.schema import clean_missing
-from halocline.sources import catalog, configs
+from halocline.plans import columns, ingest, predictors, targets
+from halocline.schema import VAR_ORDER, clean_missing
+from halocline.sources import catalog, configs, downloads
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -499,3 +500,93 @@ def missing_values(spark, sf):
     return clean.groupBy("p_brand").agg(
         F.count("*").alias("n_rows"), F.count("value").alias("n_values"),
         r(F.max("value")).alias("top"))
+
+
+# ---- whole jobs ------------------------------------------------------------
+CELL_KEYS = ["member", "iy", "ix"]
+
+
+def _cell_series(spark, sf):
+    """Every cell as a dataset of its own: tos from lines, psl from orders, only where observed."""
+    return A.field(A.line_obs(spark, sf), "tos").unionByName(A.field(A.order_obs(spark, sf), "psl"))
+
+
+@query
+def predictor_rejections(spark, sf):
+    return predictors.rejected(
+        _cell_series(spark, sf), CELL_KEYS, ("tos", "psl"), "1995-02", "2001-06")
+
+
+@query
+def target_periods(spark, sf):
+    held = A.order_obs(spark, sf).where(F.col("value") > 450000)
+    return targets.target_periods(
+        _cell_series(spark, sf), CELL_KEYS, inputs=held, predictors=("tos", "psl", "uas"))
+
+
+@query
+def member_targets(spark, sf):
+    """Index of every member but one over the period its variables share."""
+    fields = A.fields(spark, sf).withColumn("model", F.concat(F.lit("M"), "member"))
+    index, _ = targets.cmip6_target_job(
+        fields, ["model"], exclude=("M1",), mode="common", predictors=THREE)
+    return rounded(index, "nino34")
+
+
+@query
+def scenario_union(spark, sf):
+    def part(obs, exp):
+        return A.field(obs, "tos").withColumns({
+            "exp": F.lit(exp), "model": F.concat(F.lit("M"), "iy"),
+            "member": F.concat_ws("_", F.concat(F.lit("r"), "ix"), "member")})
+
+    early = part(A.line_obs(spark, sf).where(cal.within_months("time", None, "1998-12")), "historical")
+    late = part(A.order_obs(spark, sf).where(
+        cal.within_months("time", "1999-01", None) & (F.col("value") > 400000)), "ssp370")
+    return rounded(ingest.union_scenarios(early, late, exclude=("M7",)), "value", digits=7)
+
+
+def _column_field(spark, sf, value, var):
+    return A.profile(spark, sf).select(
+        F.lit(var).alias("var"), *AT, "lat", "lon", "lev", "lev_idx", F.col(value).alias("value"))
+
+
+@query
+def surface_salinity(spark, sf):
+    out = columns.surface_job(_column_field(spark, sf, "salt", "salt"), MEMBER, units="kg kg**-1")
+    return rounded(out, "value")
+
+
+@query
+def heat_content_kelvin(spark, sf):
+    out = columns.heat_content_job(
+        _column_field(spark, sf, "temp", "thetao"), MEMBER, " K ", depths=A.depth_table(spark, sf))
+    return out.withColumn("value", r(F.col("value") / 1e6, 3))
+
+
+@query
+def mixed_layer_paired(spark, sf):
+    out = columns.mixed_layer_job(
+        _column_field(spark, sf, "temp", "thetao"), _column_field(spark, sf, "salt", "so"), MEMBER, check=False)
+    return rounded(out, "value")
+
+
+@query
+def last_files(spark, sf):
+    named = A.files(spark, sf).select(F.col("name").alias("path"), "name")
+    return catalog.last_match(named, VAR_ORDER)
+
+
+@query
+def file_map_override(spark, sf):
+    files = A.files(spark, sf)
+    every = catalog.preferred_files(files, ["model"])
+    ours = catalog.preferred_files(files.where(F.col("exp") == "historical"), ["model"])
+    return catalog.later_wins(every, ours, ["model", "var"])
+
+
+@query
+def file_kinds(spark, sf):
+    marks = ("504B0304AA", "43444601", "43444605FF", "894844460D0A1A0A00", "504B0102", "")
+    head = F.unhex(F.element_at(F.array(*[F.lit(m) for m in marks]), F.expr("p_size % 6 + 1")))
+    return A.table(spark, sf, "part").select("p_partkey", downloads.file_kind(head).alias("kind"))
