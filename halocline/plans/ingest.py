@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from halocline.functions.calendar import month_start
 from halocline.operators.merge import union_in_time
+from halocline.operators.sizing import small_side
 from halocline.schema import EXCLUDED_MODELS, SOURCE_ALIASES
 from halocline.sources import catalog
 from halocline.sources.netcdf import read_netcdf
@@ -80,7 +81,8 @@ def union_scenarios(historical: DataFrame, scenario: DataFrame,
     keys = ["model", "member", "var"]
     held = [df.where(~F.col("model").isin(*exclude)) for df in (historical, scenario)]
     series = [df.select(*keys).distinct() for df in held]
-    both = series[0].intersect(series[1])
+    # One row per series; broadcast when counted small, so the cubes stay in place.
+    both = small_side(series[0].intersect(series[1]))
     joined = union_in_time(*held).withColumn("exp", F.lit("historical_ssp370"))
     # Positions restart per period; they are recomputed on the joined axis.
     return joined.drop("t_idx", "n_time").join(both, keys, "left_semi")
