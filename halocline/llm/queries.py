@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from halocline.llm import bpe, chat, fit, langid, packing, quality
+from halocline.llm import bpe, chat, fit, jaccard, langid, packing, passages, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_repeated_passages": passages.op1_passages,
     "op2_chat_formatting": chat.op2_chat_formatting,
     "op3_packed_ids": packing.op3_packed_ids,
+    "op4_ngram_jaccard": jaccard.op4_ngram_jaccard,
     "op5_bpe_round_trip": bpe.op5_bpe_round_trip,
     "op6_language": langid.op6_language,
     "op7_quality": quality.op7_quality,
@@ -19,4 +21,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 SQL: dict[str, str] = {
     "op2_chat_formatting": chat.SQL,
+    "op4_ngram_jaccard": jaccard.SQL,
 }
