@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from halocline.llm import bpe, chat, fit, jaccard, langid, packing, passages, quality
+from halocline.llm import ann, bpe, chat, fit, jaccard, langid, neardup, packing, passages, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repeated_passages": passages.op1_passages,
@@ -17,9 +17,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_language": langid.op6_language,
     "op7_quality": quality.op7_quality,
     "op8_best_fit": fit.op8_best_fit,
+    "op9_near_duplicates": neardup.op9_near_duplicates,
+    "op10_nearest": ann.op10_nearest,
 }
 
 SQL: dict[str, str] = {
     "op2_chat_formatting": chat.SQL,
     "op4_ngram_jaccard": jaccard.SQL,
+    "op9_near_duplicates": neardup.SQL,
 }
