@@ -18,6 +18,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from halocline.llm.shared import fresh, read
+
 TURN = "array<struct<role: string, text: string>>"
 OPEN, BODY, CLOSE = "<|turn|>", "<|text|>", "<|end|>"
 #: Where an escape goes: before every backslash, and inside every control string after its first character.
@@ -68,11 +70,6 @@ LAYOUTS: Mapping[str, Layout] = {
 ROWS = ("conv_id", "role", "text", "turn")
 
 
-def fingerprint(paths: Column) -> Column:
-    """Hash of a sorted array of field paths."""
-    return F.xxhash64(F.array_join(paths, "\n"))
-
-
 def schema_paths(schema: T.StructType, prefix: str = "") -> list[str]:
     """Sorted nested field paths of a frame's schema."""
     found: list[str] = []
@@ -89,15 +86,16 @@ def schema_paths(schema: T.StructType, prefix: str = "") -> list[str]:
 
 def turns_of_json(df: DataFrame, value: str, layouts: Mapping[str, Layout] = LAYOUTS) -> DataFrame:
     """Adds ``layout`` and ``turns`` for a column of JSON documents of mixed layouts."""
-    marked = df.withColumn("_v", F.expr(f"try_parse_json(`{value}`)"))
-    marked = marked.withColumn("_f", F.expr(f"xxhash64(array_join({_paths_sql('_v')}, '\\n'))"))
+    v, f = fresh(df, "_v"), fresh(df, "_f")
+    marked = df.withColumn(v, F.expr(f"try_parse_json(`{value}`)"))
+    marked = marked.withColumn(f, F.expr(f"xxhash64(array_join({_paths_sql(v)}, '\\n'))"))
     known = {name: F.xxhash64(F.lit("\n".join(x.paths))) for name, x in layouts.items()}
     layout, turns = F.lit("unknown"), F.lit(None).cast(TURN)
     for name, x in layouts.items():
-        hit = F.col("_f") == known[name]
+        hit = F.col(f) == known[name]
         layout = F.when(hit, F.lit(name)).otherwise(layout)
-        turns = F.when(hit, F.expr(x.turns.replace("(v,", "(_v,")).cast(TURN)).otherwise(turns)
-    return marked.withColumn("layout", layout).withColumn("turns", turns).drop("_v", "_f")
+        turns = F.when(hit, F.expr(x.turns.replace("(v,", f"({v},")).cast(TURN)).otherwise(turns)
+    return marked.withColumn("layout", layout).withColumn("turns", turns).drop(v, f)
 
 
 def _paths_sql(value: str) -> str:
@@ -198,7 +196,6 @@ def digest(df: DataFrame) -> DataFrame:
 
 def op2_chat_formatting(spark, sf_dir: str) -> DataFrame:
     """All ``conversations`` and conversation -1, formatted and read back."""
-    from halocline.llm.shared import read
     probe = "</s>[INST] ok [/INST]"
     rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.range(2).select(

@@ -29,9 +29,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from halocline.llm.shared import WordHashes, ascii_lower_words, columns_of, read, shingles, stored
+from halocline.llm.shared import WordHashes, ascii_lower_words, columns_of, fresh, read, shingles, stored
 
-K, WINDOW = 5, 10
+K, WINDOW = 5, 8
 LEAST, SHARE = 50, 0.8
 GAP = 0.08
 #: Words that an alignment may skip on either side before the next agreeing words.
@@ -377,9 +377,9 @@ def without_repeats(docs: DataFrame, passages: DataFrame) -> DataFrame:
 
     A document's spans are bounded by its own length.  ``n_chars``, where there is one, is counted anew.
     """
-    spans = passages.groupBy(F.col("doc_id").alias("_id")).agg(
-        F.collect_set(F.struct("start_word", "end_word")).alias("_spans"))
-    joined = docs.join(spans, docs["doc_id"].cast("long") == spans["_id"], "left").drop("_id")
+    key, own = fresh(docs, "_id"), fresh(docs, "_spans")
+    spans = passages.groupBy(F.col("doc_id").alias(key)).agg(F.collect_set(F.struct("start_word", "end_word")).alias(own))
+    joined = docs.join(spans, docs["doc_id"].cast("long") == spans[key], "left").drop(key)
     at, names = docs.columns.index("text"), docs.columns
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

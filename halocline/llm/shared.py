@@ -6,7 +6,6 @@ import os
 import tempfile
 import uuid
 import zipfile
-import zlib
 from collections.abc import Iterable, Iterator
 from pathlib import Path
 
@@ -64,10 +63,6 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def partitions_for(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def held_out(doc_id: Column) -> Column:
     """True for the fifth of ids that no model learns from; null ids count as held out."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
@@ -131,10 +126,9 @@ def shingles(words: np.ndarray, k: int) -> np.ndarray:
         return h
 
 
-def crc32_of_text(value: object) -> int:
-    return zlib.crc32(str(value).encode())
-
-
-def id_column(df: DataFrame, name: str) -> DataFrame:
-    """The id as long; other columns untouched."""
-    return df.withColumn(name, F.col(name).cast("long"))
+def fresh(df: DataFrame, name: str) -> str:
+    """The name, lengthened until no column has it."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
