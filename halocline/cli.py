@@ -67,7 +67,7 @@ def anom(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.keep and not args.dry_run:
         for name, step in anomalies.anomaly_steps(df, keys).items():
             write_field(step, f"{args.keep.rstrip('/')}/{name}", overwrite=args.overwrite)
-    out = anomalies.anomaly_job(df, keys, cyclic_nx=args.cyclic_nx, grid_keys=_grid_keys(df))
+    out = anomalies.anomaly_job(df, keys, grid_keys=_grid_keys(df))
     _publish(spark, out, args, "quadratic detrend, calendar-month anomaly, bilinear regrid")
 
 
@@ -82,7 +82,7 @@ def uasmax(spark: SparkSession, args: argparse.Namespace) -> None:
         daily = read_netcdf(spark, args.root, aliases).withColumn("source", F.lit(args.source))
     daily = daily.withColumn("var", F.lit("uas"))
     out = anomalies.wind_maximum_job(
-        daily, [*_series_keys(daily), "var"], cyclic_nx=args.cyclic_nx, grid_keys=_grid_keys(daily))
+        daily, [*_series_keys(daily), "var"], grid_keys=_grid_keys(daily))
     _publish(spark, out, args, "monthly maximum of daily winds as anomaly")
 
 
@@ -205,10 +205,8 @@ def build_parser() -> argparse.ArgumentParser:
 
     p = command(anom, root=str, vars=None, tag=None, experiment=None, keep=None)
     p.add_argument("--source", required=True, choices=sorted(SOURCE_ALIASES))
-    p.add_argument("--cyclic-nx", type=int)
     p = command(uasmax, root=str, experiment=None, models=None, members=None)
     p.add_argument("--source", required=True, choices=sorted(DAILY_WIND_ALIASES))
-    p.add_argument("--cyclic-nx", type=int)
     command(surface, root=str, var=str, units=None, file_order=bool)
     command(ohc, root=str, var=str, units=None, keep_kelvin=bool, zmax=300.0, rho0=1025.0, cp0=3992.0,
             mask_shallow=bool, shallow_eps=1e-3)

@@ -9,13 +9,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from halocline.functions.numeric import ratio
+from halocline.functions.position import shortest_step
 from halocline.operators.sizing import BROADCAST_ROWS, settle
 from halocline.schema import CELL, TargetGrid
 
 CORNERS = ("00", "01", "10", "11")
+#: Index of the made-up source cell that keeps targets without sources.
+NOWHERE = -1
 
 
 def _near(lon: Column, anchor: Column) -> Column:
@@ -23,13 +26,32 @@ def _near(lon: Column, anchor: Column) -> Column:
     return lon + 360e0 * F.round((anchor - lon) / 360e0)
 
 
-def _quads(grid: DataFrame, keys: list[str], cyclic_nx: int | None) -> DataFrame:
-    """Neighbouring corners side by side; the last column meets the first if cyclic."""
-    nxt = F.col("ix") + 1
-    if cyclic_nx:
-        nxt = F.pmod(nxt, F.lit(cyclic_nx))
-    out = grid.select(*keys, "iy", "ix", nxt.alias("jx"), (F.col("iy") + 1).alias("jy"),
-                      F.col("lat").alias("lat00"), F.col("lon").alias("lon00"))
+def seams(grid: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys, nx): the width of every grid whose last column is about one step short of its first, one turn on.
+
+    Found from the grid's own longitudes, over its full rows; a grid that overlaps itself needs no closing.
+    """
+    keys = list(keys)
+    at = lambda i: F.max(F.when(F.col("ix") == i, F.col("lon")))
+    rows = grid.groupBy(*keys, "iy").agg(
+        F.max("ix").alias("_last"), F.max_by("lon", "ix").alias("_end"), at(0).alias("_first"), at(1).alias("_second"))
+    widest = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))  # a row for each grid row
+    full = rows.withColumn("_nx", F.max("_last").over(widest) + 1).where("_last + 1 = _nx")
+    step, gap = (F.avg(shortest_step(x)) for x in (F.col("_second") - F.col("_first"), F.col("_first") - F.col("_end")))
+    found = full.groupBy(*keys).agg(F.max("_nx").alias("nx"), step.alias("_step"), gap.alias("_gap"))
+    closes = (F.col("nx") > 2) & (F.col("_gap") * F.col("_step") > 0) & (F.abs("_gap") <= 1.5e0 * F.abs("_step"))
+    return found.where(closes).select(*keys, "nx")
+
+
+def _quads(grid: DataFrame, keys: list[str]) -> DataFrame:
+    """Neighbouring corners side by side; the last column meets the first where the grid goes round."""
+    on = keys or ["_one"]
+    sized = grid if keys else grid.withColumn("_one", F.lit(1))
+    closed = seams(grid, keys) if keys else seams(grid).withColumn("_one", F.lit(1))
+    sized = sized.join(closed, on, "left")
+    nxt = F.when(F.col("ix") + 1 == F.col("nx"), F.lit(0)).otherwise(F.col("ix") + 1)
+    out = sized.select(*keys, "iy", "ix", nxt.alias("jx"), (F.col("iy") + 1).alias("jy"),
+                       F.col("lat").alias("lat00"), F.col("lon").alias("lon00"))
     for corner, row, col in (("01", "iy", "jx"), ("10", "jy", "ix"), ("11", "jy", "jx")):
         side = grid.select(*keys, F.col("iy").alias(row), F.col("ix").alias(col),
                            F.col("lat").alias(f"lat{corner}"), F.col("lon").alias(f"lon{corner}"))
@@ -37,17 +59,19 @@ def _quads(grid: DataFrame, keys: list[str], cyclic_nx: int | None) -> DataFrame
     return out.withColumns({f"lon{c}": _near(F.col(f"lon{c}"), F.col("lon00")) for c in CORNERS[1:]})
 
 
-def bilinear_weights(grid: DataFrame, target: TargetGrid = TargetGrid(), keys: Sequence[str] = (),
-                     cyclic_nx: int | None = None) -> DataFrame:
+def bilinear_weights(grid: DataFrame, target: TargetGrid = TargetGrid(), keys: Sequence[str] = ()) -> DataFrame:
     """(keys, ty, tx, tlat, tlon, iy, ix, w): up to four sources per target point.
 
     ``grid`` holds (keys, iy, ix, lat, lon), one row per corner; ``keys`` name the
-    grid where there are several.  Targets outside every quad get no row.
+    grid where there are several.  Each grid is closed round the globe if its own
+    longitudes say so.  Every target has one row more, from the made-up cell NOWHERE
+    with weight 0, so that targets outside every quad are not lost.
     """
     keys = list(keys)
     eps = F.lit(1e-9)
     # Joined to itself below: computed once, whatever it is derived from.
-    q = _quads(settle(grid), keys, cyclic_nx)
+    grid = settle(grid)
+    q = _quads(grid, keys)
     lats, lons = ([F.col(f"{a}{c}") for c in CORNERS] for a in ("lat", "lon"))
     q = q.withColumns({
         "_s": F.greatest(*lats) + eps, "_n": F.least(*lats) - eps,
@@ -83,10 +107,17 @@ def bilinear_weights(grid: DataFrame, target: TargetGrid = TargetGrid(), keys: S
         corner("iy", "ix", (1e0 - a) * (1e0 - b)), corner("iy", "jx", (1e0 - a) * b),
         corner("jy", "ix", a * (1e0 - b)), corner("jy", "jx", a * b),
     )
-    return chosen.select(
+    inside = chosen.select(
         *keys, F.col("ty").cast("int").alias("ty"), F.col("tx").cast("int").alias("tx"),
         "tlat", "tlon", F.inline(four),
     ).where(F.col("w") > 0)
+    every = (grid.select(*keys).distinct() if keys else grid.sparkSession.range(1)).select(
+        *keys, F.explode(F.sequence(F.lit(0), F.lit(t.nlat * t.nlon - 1))).alias("_t"))
+    ty, tx = F.expr(f"int(_t div {t.nlon})"), F.expr(f"int(_t % {t.nlon})")
+    return inside.unionByName(every.select(
+        *keys, ty.alias("ty"), tx.alias("tx"), (F.lit(t.lat0) + ty * t.dlat).alias("tlat"),
+        (F.lit(t.lon0) + tx * t.dlon).alias("tlon"), F.lit(NOWHERE).alias("iy"), F.lit(NOWHERE).alias("ix"),
+        F.lit(0e0).alias("w")))
 
 
 def _range(first: Column, last: Column) -> Column:
@@ -135,29 +166,23 @@ def apply_weights(
     value: str = "value",
     keys: Sequence[str] = (),
     *,
-    target: TargetGrid = TargetGrid(),
-    grids: int | None = 1,
     missing: str = "renormalise",
     min_weight: float = 0.5,
 ) -> DataFrame:
     """Regrid every slice of ``step`` (dataset keys and time).
 
-    The weights hold at most 4 rows per target point and grid.  While that bound
-    is small they are broadcast, and source rows are exchanged by slice *before*
-    they fan out to up to four targets each, so the weighted sums are taken where
-    the rows already are.  Beyond it, source rows meet the weights by cell and the
-    partial sums are exchanged.  ``grids`` is how many source grids there are at
-    most; None counts the weights instead.
+    The weights hold at most 5 rows per target point and grid.  Counted small they
+    are broadcast, and source rows are exchanged by slice *before* they fan out to
+    up to four targets each, so the weighted sums are taken where the rows already
+    are.  Beyond that, source rows meet the weights by cell and the partial sums
+    are exchanged.
 
     ``missing`` "renormalise": rescale over present corners when they carry at
     least ``min_weight``; "strict": any missing or absent corner gives NULL.
-    Targets outside the source grid are not returned.
+    Every slice returns every target, NULL outside the source grid.
     """
-    if grids is None:
-        weights = settle(weights)
-        small = weights.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    else:
-        small = 4 * target.nlat * target.nlon * grids <= BROADCAST_ROWS
+    weights = settle(weights)
+    small = weights.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     v = F.col(value)
     num = F.sum(F.col("w") * v)
     have = F.sum(F.when(v.isNotNull(), F.col("w")).otherwise(0e0))
@@ -168,7 +193,10 @@ def apply_weights(
         result = F.when(have >= F.lit(float(min_weight)) - 1e-12, ratio(num, have))
     else:
         raise ValueError(f"missing must be 'renormalise' or 'strict', not {missing!r}")
-    slices = df.select(*dict.fromkeys([*step, *keys, *CELL, value]))
+    at = list(dict.fromkeys([*step, *keys]))
+    slices = df.select(*dict.fromkeys([*at, *CELL, value]))
+    slices = slices.unionByName(df.select(*at).distinct().select(
+        *at, *[F.lit(NOWHERE).alias(c) for c in CELL], F.lit(None).cast(df.schema[value].dataType).alias(value)))
     joined = (
         slices.repartition(*step).join(F.broadcast(weights), [*keys, *CELL]) if small
         else slices.join(weights, [*keys, *CELL])

@@ -12,12 +12,10 @@ from halocline.schema import OCEAN_VARS, TargetGrid
 
 
 def regrid_field(df: DataFrame, dataset: Sequence[str], target: TargetGrid = TargetGrid(), *,
-                 grid_keys: Sequence[str] = ("var",), grids: int | None = None, cyclic_nx: int | None = None,
-                 missing: str = "renormalise") -> DataFrame:
+                 grid_keys: Sequence[str] = ("var",), missing: str = "renormalise") -> DataFrame:
     """Bilinear to ``target``; longitudes of ocean grids are run on across their seam first.
 
-    ``grid_keys`` tell source grids apart (models have their own); ``grids`` is how
-    many there are at most, counted if not given.
+    ``grid_keys`` tell source grids apart (models have their own).
     """
     keys = list(grid_keys)
     grid = settle(regrid.grid_of(df, keys))
@@ -25,9 +23,8 @@ def regrid_field(df: DataFrame, dataset: Sequence[str], target: TargetGrid = Tar
         ocean = F.col("var").isin(*sorted(OCEAN_VARS))
         mended = space.unwrap_longitude(grid.where(ocean), keys).drop("seam")
         grid = mended.unionByName(grid.where(~ocean))
-    weights = regrid.bilinear_weights(grid, target, keys, cyclic_nx)
-    return regrid.apply_weights(
-        df, weights, [*dataset, "time"], keys=keys, target=target, grids=grids, missing=missing)
+    weights = regrid.bilinear_weights(grid, target, keys)
+    return regrid.apply_weights(df, weights, [*dataset, "time"], keys=keys, missing=missing)
 
 
 def anomaly_job(df: DataFrame, dataset: Sequence[str], target: TargetGrid = TargetGrid(),

@@ -60,7 +60,6 @@ def build_splits(
     target: TargetGrid = TargetGrid(),
     validation: Split = VALIDATION,
     test: Split = TEST,
-    cyclic_nx: int | None = None,
     overwrite: bool = False,
     check: bool = True,
 ) -> dict[str, str]:
@@ -72,7 +71,7 @@ def build_splits(
     paths = {k: f"{out_root.rstrip('/')}/{k}" for k in (
         "ocean_anomaly", "validation_input", "validation_target", "test_input", "test_target")}
     raw = extend_raw(ocean_held, ocean_added)
-    write_field(anomaly_job(raw, ["var"], target, cyclic_nx=cyclic_nx), paths["ocean_anomaly"],
+    write_field(anomaly_job(raw, ["var"], target), paths["ocean_anomaly"],
                 overwrite=overwrite)
     ocean = read_field(spark, paths["ocean_anomaly"])
 

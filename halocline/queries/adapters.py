@@ -1,9 +1,11 @@
 """The relational test tables read as gridded fields.
 
-A supplier is a grid cell: every 216 suppliers form one ensemble member on a
-12 x 18 grid (10 x 20 degrees), so the number of cells grows with the data while
-each keeps about seven observations a month.  Orders are placed on the same cells
-by customer, fifteen customers to a cell.
+A supplier is a grid cell: suppliers are dealt to four ensemble members, and every
+216 of a member fill a 12 x 18 grid (10 x 20 degrees), after which four more members
+begin, so the number of cells grows with the data while each keeps about seven
+observations a month.  Members differ in their time axis (later by a month each), in
+their depths and in the longitudes of their grids.  Orders are placed on the same
+cells by customer, fifteen customers to a cell.
 """
 
 from __future__ import annotations
@@ -27,15 +29,21 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 def on_cells(df: DataFrame, key: str) -> DataFrame:
     return df.withColumns({
-        "member": F.expr(f"{key} div 216"),
-        "iy": F.expr(f"int({key} % 12)"),
-        "ix": F.expr(f"int({key} div 12 % 18)"),
+        "member": F.expr(f"{key} % 4 + 4 * ({key} div 864)"),
+        "iy": F.expr(f"int({key} div 4 % 12)"),
+        "ix": F.expr(f"int({key} div 48 % 18)"),
     })
 
 
+def later(time: str) -> Column:
+    """Members are months apart."""
+    return F.expr(f"{time} + make_ym_interval(0, int(member % 4))")
+
+
 def located(df: DataFrame) -> DataFrame:
     return df.withColumns({
-        "lat": F.lit(-55e0) + F.col("iy") * 10e0, "lon": F.lit(-170e0) + F.col("ix") * 20e0,
+        "lat": F.lit(-55e0) + F.col("iy") * 10e0,
+        "lon": F.lit(-170e0) + F.col("ix") * 20e0 + F.col("member") % 4 * 3e0,
     })
 
 
@@ -45,7 +53,7 @@ def exact_mean(amount: Column) -> Column:
 
 
 def lines(spark: SparkSession, sf: str) -> DataFrame:
-    return on_cells(table(spark, sf, "lineitem"), "l_suppkey").withColumn("time", F.col("l_shipdate"))
+    return on_cells(table(spark, sf, "lineitem"), "l_suppkey").withColumn("time", later("l_shipdate"))
 
 
 def line_obs(spark: SparkSession, sf: str, amount: str = "l_extendedprice") -> DataFrame:
@@ -71,7 +79,7 @@ def order_cells(spark: SparkSession, sf: str) -> DataFrame:
 def order_obs(spark: SparkSession, sf: str) -> DataFrame:
     return located(
         order_rows(spark, sf).groupBy(
-            "member", "iy", "ix", month_start("o_orderdate").alias("time"))
+            "member", "iy", "ix", month_start(later("o_orderdate")).alias("time"))
         .agg(exact_mean(F.col("o_totalprice")).alias("value")))
 
 
@@ -106,7 +114,8 @@ def fields(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _depth() -> Column:
-    return F.element_at(F.array(*[F.lit(d) for d in DEPTHS]), F.col("l_linenumber"))
+    depth = F.element_at(F.array(*[F.lit(d) for d in DEPTHS]), F.col("l_linenumber"))
+    return depth * (1e0 + F.col("member") % 4 * 0.25e0)
 
 
 def depth_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -131,6 +140,25 @@ def profile(spark: SparkSession, sf: str) -> DataFrame:
                    coords=("lat", "lon", "lev"))
 
 
+#: Width, first longitude and step of the grids of three models; the last one is regional.
+MODEL_GRIDS = ((6, -170.0, 60.0), (8, 10.0, 45.0), (5, 102.0, 20.0))
+ROUND = TargetGrid(lat0=-50.0, dlat=20.0, nlat=6, lon0=5.0, dlon=15.0, nlon=24)
+
+
+def model_cube(spark: SparkSession, sf: str) -> DataFrame:
+    """Yearly means of orders as fields of three models, each on a grid of its own width."""
+    def of_model(i: int) -> Column:
+        return F.element_at(F.array(*[F.lit(g[i]) for g in MODEL_GRIDS]), F.expr("int(model + 1)"))
+
+    rows = table(spark, sf, "orders").withColumn("model", F.expr("o_orderkey % 3"))
+    rows = rows.withColumns({"iy": F.expr("int(o_orderkey div 3 % 4)"), "ix": F.expr("o_orderkey div 12") % of_model(0)})
+    obs = rows.withColumn("ix", F.col("ix").cast("int")).groupBy(
+        "model", "iy", "ix", F.date_trunc("year", "o_orderdate").cast("timestamp_ntz").alias("time")).agg(
+            exact_mean(F.col("o_totalprice")).alias("value"))
+    return densify(obs.withColumns({
+        "lat": F.col("iy") * 30e0 - 45e0, "lon": of_model(1) + F.col("ix") * of_model(2)}), ["model"])
+
+
 def files(spark: SparkSession, sf: str) -> DataFrame:
     """A file listing: every order names one file of some model, member and variable."""
     kinds = F.array(*[F.lit(v) for v in VAR_ORDER])

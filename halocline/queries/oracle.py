@@ -14,18 +14,18 @@ SQL: dict[str, str] = {}
 
 
 def _cells(table: str, key: str, rest: str) -> str:
-    return (f"SELECT ({key}) // 216 AS member, CAST(({key}) % 12 AS INTEGER) AS iy, "
-            f"CAST((({key}) // 12) % 18 AS INTEGER) AS ix, {rest} FROM {table}")
+    return (f"SELECT ({key}) % 4 + 4 * (({key}) // 864) AS member, CAST((({key}) // 4) % 12 AS INTEGER) AS iy, "
+            f"CAST((({key}) // 48) % 18 AS INTEGER) AS ix, {rest} FROM {table}")
 
 
-LATLON = "-55e0 + iy * 10e0 AS lat, -170e0 + ix * 20e0 AS lon"
+LATLON = "-55e0 + iy * 10e0 AS lat, -170e0 + ix * 20e0 + member % 4 * 3e0 AS lon"
 MEAN = "CAST(SUM(CAST({0} AS DECIMAL(18,2))) AS DOUBLE) / CAST(COUNT({0}) AS DOUBLE)"
 
 LINES = "lines AS (" + _cells(
     "lineitem", "l_suppkey",
-    "l_shipdate AS time, l_extendedprice, l_quantity, l_discount, l_linenumber") + ")"
+    "l_shipdate + to_months(CAST(l_suppkey % 4 AS INTEGER)) AS time, l_extendedprice, l_quantity, l_discount, l_linenumber") + ")"
 ORDERS = "ord AS (" + _cells(
-    "orders", "o_custkey // 15", "o_orderdate AS time, o_totalprice") + ")"
+    "orders", "o_custkey // 15", "o_orderdate + to_months(CAST((o_custkey // 15) % 4 AS INTEGER)) AS time, o_totalprice") + ")"
 
 
 def obs(name: str, src: str, amount: str) -> str:
@@ -62,9 +62,11 @@ WIND_MAX = WIND + """, wmax AS (
   SELECT member, iy, ix, date_trunc('month', time) AS time, min(lat) AS lat, min(lon) AS lon,
          max(value) AS value
   FROM wind GROUP BY 1, 2, 3, 4)"""
+THREE_CUBES = LINE_CUBE + ", " + obs("qobs", "lines", "l_quantity") + ", " + cube("qcube", "qobs") + ", " + ORDER_CUBE
+for _c in ("lines", "lobs", "qobs", "ord", "oobs", "lcube", "qcube", "ocube"):
+    THREE_CUBES = THREE_CUBES.replace(f"{_c} AS (", f"{_c} AS MATERIALIZED (")
 FIELDS = (
-    LINE_CUBE + ", " + obs("qobs", "lines", "l_quantity") + ", " + cube("qcube", "qobs")
-    + ", " + ORDER_CUBE + """, fields AS (
+    THREE_CUBES + """, fields AS MATERIALIZED (
   SELECT 'tos' AS var, member, iy, ix, time, lat, lon, value FROM lcube
   UNION ALL SELECT 'sos', member, iy, ix, time, lat, lon, value FROM qcube
   UNION ALL SELECT 'psl', member, iy, ix, time, lat, lon, value FROM ocube)"""
@@ -75,9 +77,10 @@ PROFILE = LINES + f""", pobs AS (
   FROM lines GROUP BY 1, 2, 3, 4, 5),
 depths(lev_idx, lev) AS (VALUES (0, 5e0), (1, 15e0), (2, 40e0), (3, 90e0), (4, 160e0), (5, 250e0), (6, 400e0)),
 prof AS (
-  SELECT c.member, c.iy, c.ix, c.lev_idx, z.lev, a.time, -55e0 + c.iy * 10e0 AS lat, -170e0 + c.ix * 20e0 AS lon,
-         28e0 - z.lev * 0.06e0 + (o.q - 25e0) / 50e0 AS temp,
-         34e0 + z.lev * 0.004e0 + (o.d - 0.05e0) * 4e0 AS salt
+  SELECT c.member, c.iy, c.ix, c.lev_idx, z.lev * (1e0 + c.member % 4 * 0.25e0) AS lev, a.time,
+         -55e0 + c.iy * 10e0 AS lat, -170e0 + c.ix * 20e0 + c.member % 4 * 3e0 AS lon,
+         28e0 - z.lev * (1e0 + c.member % 4 * 0.25e0) * 0.06e0 + (o.q - 25e0) / 50e0 AS temp,
+         34e0 + z.lev * (1e0 + c.member % 4 * 0.25e0) * 0.004e0 + (o.d - 0.05e0) * 4e0 AS salt
   FROM (SELECT DISTINCT member, iy, ix, lev_idx FROM pobs) c
   JOIN (SELECT DISTINCT member, time FROM pobs) a ON a.member = c.member
   JOIN depths z ON z.lev_idx = c.lev_idx
@@ -246,11 +249,10 @@ def merged(fill: dict[str, bool], where: str = "TRUE") -> str:
         value = f"{name}.value"
         return r(f"COALESCE({value}, 0e0)" if fill.get(name) else value, 4, name)
 
-    return f"""WITH {FIELDS} SELECT tos.member, tos.time, tos.iy, tos.ix, tos.lat, tos.lon,
+    return f"""WITH {THREE_CUBES} SELECT tos.member, tos.time, tos.iy, tos.ix, tos.lat, tos.lon,
   {v('tos')}, {v('sos')}, {v('psl')}
-FROM (SELECT * FROM fields WHERE var = 'tos') tos
-JOIN (SELECT * FROM fields WHERE var = 'sos') sos USING (member, time, iy, ix)
-JOIN (SELECT * FROM fields WHERE var = 'psl') psl USING (member, time, iy, ix) WHERE {where}"""
+FROM lcube tos JOIN qcube sos ON sos.member = tos.member AND sos.time = tos.time AND sos.iy = tos.iy AND sos.ix = tos.ix
+JOIN ocube psl ON psl.member = tos.member AND psl.time = tos.time AND psl.iy = tos.iy AND psl.ix = tos.ix WHERE {where}"""
 
 
 SQL["merge_inner"] = merged({})
@@ -269,7 +271,7 @@ UNION ALL SELECT {_KEYS}, 'right' FROM (SELECT {_KEYS} FROM oobs EXCEPT SELECT {
 SUPP = "supp AS (" + _cells("supplier", "s_suppkey", "s_acctbal") + ")"
 _GRIDS = LINES + ", " + SUPP + f""", g1 AS (SELECT DISTINCT member, iy, ix, {LATLON} FROM lines),
 g2 AS (SELECT member, iy, ix, -55e0 + iy * 10e0 + CASE WHEN s_acctbal > 8000 THEN 0.5e0 ELSE 1e-9 END AS lat2,
-       -170e0 + ix * 20e0 AS lon2, s_acctbal FROM supp)"""
+       -170e0 + ix * 20e0 + member % 4 * 3e0 AS lon2, s_acctbal FROM supp)"""
 SQL["grid_check"] = (
     f"WITH {_GRIDS} SELECT member, iy, ix, lat, lon, lat2, lon2 FROM g1 FULL JOIN g2 USING (member, iy, ix) "
     "WHERE lat IS NULL OR lat2 IS NULL OR abs(lat - lat2) > 1e-8 + 1e-5 * abs(lat2)")
@@ -301,39 +303,73 @@ SQL["time_bounds"] = f"""WITH {FIELDS} SELECT var, member, min(time) AS start, m
 
 
 def corners(src: str) -> str:
-    """Target points with their quad found by arithmetic: CTE ``tgt`` (ty, tx, tlat, tlon, iy, ix, jx, a, b)."""
-    return f"""gr AS (SELECT DISTINCT iy, ix FROM {src}),
+    """Target points of every member with their quad found by arithmetic; ``weights`` has whole quads only."""
+    pos = "((5 + 10 * tx - 190 - m % 4 * 3 + 360) % 360) / 20e0"
+    return f"""gr AS MATERIALIZED (SELECT DISTINCT member, iy, ix FROM {src}),
 tgt AS (SELECT *, (ix + 1) % 18 AS jx FROM (
-  SELECT CAST(ty AS INTEGER) AS ty, CAST(tx AS INTEGER) AS tx, -52.5e0 + 5e0 * ty AS tlat, 5e0 + 10e0 * tx AS tlon,
-    CAST(floor((2.5e0 + 5e0 * ty) / 10) AS INTEGER) AS iy,
-    CAST(floor(((5 + 10 * tx - 190 + 360) % 360) / 20e0) AS INTEGER) AS ix,
-    (2.5e0 + 5e0 * ty) / 10 - floor((2.5e0 + 5e0 * ty) / 10) AS a,
-    ((5 + 10 * tx - 190 + 360) % 360) / 20e0 - floor(((5 + 10 * tx - 190 + 360) % 360) / 20e0) AS b
-  FROM range(22) y(ty), range(36) x(tx))),
+  SELECT m AS member, CAST(ty AS INTEGER) AS ty, CAST(tx AS INTEGER) AS tx, -52.5e0 + 5e0 * ty AS tlat, 5e0 + 10e0 * tx AS tlon,
+    CAST(floor((2.5e0 + 5e0 * ty) / 10) AS INTEGER) AS iy, CAST(floor({pos}) AS INTEGER) AS ix,
+    (2.5e0 + 5e0 * ty) / 10 - floor((2.5e0 + 5e0 * ty) / 10) AS a, {pos} - floor({pos}) AS b
+  FROM (SELECT DISTINCT member AS m FROM gr), range(22) y(ty), range(36) x(tx))),
 wts AS (
-  SELECT ty, tx, tlat, tlon, iy, ix, (1-a)*(1-b) AS w FROM tgt UNION ALL
-  SELECT ty, tx, tlat, tlon, iy, jx, (1-a)*b FROM tgt UNION ALL
-  SELECT ty, tx, tlat, tlon, iy + 1, ix, a*(1-b) FROM tgt UNION ALL
-  SELECT ty, tx, tlat, tlon, iy + 1, jx, a*b FROM tgt),
-whole AS (SELECT ty, tx FROM wts JOIN gr USING (iy, ix) GROUP BY 1, 2 HAVING count(*) = 4),
-weights AS (SELECT wts.* FROM wts JOIN whole USING (ty, tx))"""
+  SELECT member, ty, tx, tlat, tlon, iy, ix, (1-a)*(1-b) AS w FROM tgt UNION ALL
+  SELECT member, ty, tx, tlat, tlon, iy, jx, (1-a)*b FROM tgt UNION ALL
+  SELECT member, ty, tx, tlat, tlon, iy + 1, ix, a*(1-b) FROM tgt UNION ALL
+  SELECT member, ty, tx, tlat, tlon, iy + 1, jx, a*b FROM tgt),
+whole AS (SELECT member, ty, tx FROM wts JOIN gr USING (member, iy, ix) GROUP BY 1, 2, 3 HAVING count(*) = 4),
+weights AS MATERIALIZED (SELECT wts.* FROM wts JOIN whole USING (member, ty, tx))"""
 
 
-def regridded(src: str, strict: bool = False) -> str:
-    value = (
+def _weighted(strict: bool) -> str:
+    return (
         "CASE WHEN count(*) = count(value) AND count(*) = 4 THEN sum(w * value) END" if strict else
         "CASE WHEN sum(CASE WHEN value IS NOT NULL THEN w ELSE 0 END) >= 0.5 - 1e-12 "
         "THEN sum(w * value) / sum(CASE WHEN value IS NOT NULL THEN w END) END")
-    return f"""SELECT member, time, ty AS iy, tx AS ix, min(tlat) AS lat, min(tlon) AS lon,
-  {r(value, 3, 'value')} FROM {src} JOIN weights USING (iy, ix) GROUP BY 1, 2, 3, 4"""
+
+
+def regridded(src: str, strict: bool = False, more: str = "") -> str:
+    return f"""SELECT s.member, {more}s.time, g.ty AS iy, g.tx AS ix, g.tlat AS lat, g.tlon AS lon, {r('v', 3, 'value')}
+FROM (SELECT DISTINCT member, time FROM {src}) s JOIN tgt g ON g.member = s.member
+LEFT JOIN (SELECT member, time, ty, tx, {_weighted(strict)} AS v FROM {src} JOIN weights USING (member, iy, ix) GROUP BY 1, 2, 3, 4) f
+  ON f.member = s.member AND f.time = s.time AND f.ty = g.ty AND f.tx = g.tx"""
 
 
 SQL["regrid_weights"] = (
-    f"WITH {LINE_OBS}, {corners('lobs')} SELECT ty, tx, tlat, tlon, iy, ix, {r('w', 9)} FROM weights")
+    f"WITH {LINE_OBS}, {corners('lobs')} SELECT member, ty, tx, tlat, tlon, iy, ix, {r('w', 9)} FROM weights")
 SQL["regrid_bilinear"] = f"WITH {ORDER_CUBE}, {corners('ocube')} " + regridded("ocube")
 SQL["regrid_strict"] = f"WITH {ORDER_CUBE}, {corners('ocube')} " + regridded("ocube", True)
 SQL["anomaly_regridded"] = (
     f"WITH {LINE_CUBE}, {detrended('lcube')}, {anomalies('det')}, {corners('lcube')} " + regridded("anom"))
+SQL["anomaly_job"] = (
+    f"WITH {LINE_CUBE}, {detrended('lcube')}, {anomalies('det')}, {corners('lcube')} " + regridded("anom", more="'tos' AS var, "))
+SQL["wind_maximum_job"] = (
+    f"WITH {WIND_MAX}, {cube('wcube', 'wmax')}, sparse AS (SELECT * FROM wcube WHERE value IS NOT NULL), "
+    f"{detrended('sparse')}, {anomalies('det')}, {corners('wmax')} " + regridded("anom", more="'uasmax' AS var, "))
+
+_MANY = """o AS (SELECT o_orderkey % 3 AS model, CAST(o_orderkey // 3 % 4 AS INTEGER) AS iy,
+    CAST(o_orderkey // 12 % [6, 8, 5][o_orderkey % 3 + 1] AS INTEGER) AS ix, date_trunc('year', o_orderdate) AS time, o_totalprice FROM orders),
+obs AS MATERIALIZED (SELECT model, iy, ix, time, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS value FROM o GROUP BY 1, 2, 3, 4),
+shape(model, nx, lon0, dlon, round) AS (VALUES (0, 6, -170e0, 60e0, TRUE), (1, 8, 10e0, 45e0, TRUE), (2, 5, 102e0, 20e0, FALSE)),
+tgt AS (SELECT *, floor(y) AS iy, floor(x) AS ix, y - floor(y) AS a, x - floor(x) AS b FROM (
+  SELECT s.*, CAST(ty AS INTEGER) AS ty, CAST(tx AS INTEGER) AS tx, -50e0 + 20e0 * ty AS tlat, 5e0 + 15e0 * tx AS tlon,
+    (-50e0 + 20e0 * ty + 45e0) / 30e0 AS y, ((5e0 + 15e0 * tx - lon0 + 720e0) % 360e0) / dlon AS x
+  FROM shape s, range(6) a(ty), range(24) b(tx))),
+inside AS (SELECT *, CASE WHEN round THEN (ix + 1) % nx ELSE ix + 1 END AS jx FROM tgt WHERE y BETWEEN 0 AND 3 AND (round OR x <= nx - 1)),
+weights AS (
+  SELECT model, ty, tx, iy, ix, (1-a)*(1-b) AS w FROM inside UNION ALL SELECT model, ty, tx, iy, jx, (1-a)*b FROM inside UNION ALL
+  SELECT model, ty, tx, iy + 1, ix, a*(1-b) FROM inside UNION ALL SELECT model, ty, tx, iy + 1, jx, a*b FROM inside)"""
+
+
+def _many(strict: bool) -> str:
+    return f"""SELECT t.model, t.time, g.ty AS iy, g.tx AS ix, g.tlat AS lat, g.tlon AS lon, {r('v', 3, 'value')}
+FROM (SELECT DISTINCT model, time FROM obs) t JOIN tgt g ON g.model = t.model
+LEFT JOIN (SELECT model, time, ty, tx, {_weighted(strict)} AS v FROM obs JOIN weights USING (model, iy, ix) GROUP BY 1, 2, 3, 4) f
+  ON f.model = t.model AND f.time = t.time AND f.ty = g.ty AND f.tx = g.tx"""
+
+
+SQL["regrid_many_grids"] = f"WITH {_MANY} {_many(False)}"
+SQL["regrid_full_target"] = (
+    f"WITH {_MANY} SELECT model, iy, ix, lat, lon, count(*) AS steps, count(value) AS present FROM ({_many(True)}) GROUP BY 1, 2, 3, 4, 5")
 
 _SEAM = SUPP + """, raw AS (
   SELECT member, iy, ix, (ix * 20e0 + iy * 7e0 + 250e0 + s_acctbal / 10000e0) AS l FROM supp),
@@ -476,7 +512,7 @@ found AS (SELECT h.member, h.iy, h.ix, CASE
   FROM have h LEFT JOIN shared s ON s.member = h.member AND s.iy = h.iy AND s.ix = h.ix)
 SELECT member, iy, ix, problem FROM found WHERE problem IS NOT NULL"""
 SQL["target_periods"] = f"""WITH {SERIES},
-inp AS (SELECT member, iy, ix, min(time) AS a, max(time) AS b FROM oobs WHERE value > 450000 GROUP BY 1, 2, 3),
+inp AS (SELECT member, iy, ix, min(time) AS a, max(time) AS b FROM oobs WHERE iy % 3 <> 1 GROUP BY 1, 2, 3),
 com AS (SELECT member, iy, ix, max(a) AS a, min(b) AS b FROM (
     SELECT member, iy, ix, var, min(time) AS a, max(time) AS b FROM ser GROUP BY 1, 2, 3, 4) GROUP BY 1, 2, 3)
 SELECT h.member, h.iy, h.ix,
@@ -492,15 +528,15 @@ used AS (SELECT 'M' || member AS model, 'common_predictor_overlap' AS period_sou
   FROM lcube JOIN span USING (member) WHERE member <> 1 AND time BETWEEN a AND b)
 """ + area_mean("used", BOX, "model, period_source, time", "nino34")
 SQL["scenario_union"] = f"""WITH {LINE_OBS}, {ORDER_OBS}, parts AS (
-  SELECT 1 AS side, member AS m, iy, ix, time, lat, lon, value FROM lobs WHERE time < TIMESTAMP '1999-01-01'
-  UNION ALL SELECT 2, member, iy, ix, time, lat, lon, value FROM oobs
-  WHERE time >= TIMESTAMP '1999-01-01' AND value > 400000),
-both_sides AS (SELECT m, iy, ix FROM parts GROUP BY 1, 2, 3 HAVING count(DISTINCT side) = 2)
-SELECT 'M' || iy AS model, 'r' || ix || '_' || m AS member, 'tos' AS var, 'historical_ssp370' AS exp,
-  iy, ix, time, lat, lon, {r('value', 7)} FROM parts JOIN both_sides USING (m, iy, ix) WHERE iy <> 7"""
+  SELECT 1 AS side, member AS m, iy, ix, ix AS r, time, lat, lon, value FROM lobs WHERE time < TIMESTAMP '1999-01-01'
+  UNION ALL SELECT 2, member, iy, ix, ix + CASE WHEN iy % 5 = 4 THEN 100 ELSE 0 END, time, lat, lon, value FROM oobs
+  WHERE time >= TIMESTAMP '1999-01-01'),
+both_sides AS (SELECT m, iy, r FROM parts GROUP BY 1, 2, 3 HAVING count(DISTINCT side) = 2)
+SELECT 'M' || iy AS model, 'r' || r || '_' || m AS member, 'tos' AS var, 'historical_ssp370' AS exp,
+  iy, ix, time, lat, lon, {r('value', 7)} FROM parts JOIN both_sides USING (m, iy, r) WHERE iy <> 7"""
 SQL["surface_salinity"] = (
     f"WITH {PROFILE} SELECT member, iy, ix, time, lat, lon, 'sos' AS var, {r('salt * 1000e0', 4, 'value')} "
-    "FROM prof WHERE lev = 5")
+    "FROM prof WHERE lev = 5e0 * (1e0 + member % 4 * 0.25e0)")
 SQL["heat_content_kelvin"] = f"""WITH {LAYERS} SELECT member, iy, ix, time, min(lat) AS lat, min(lon) AS lon, 'ohc300' AS var,
   {rnd("""CASE WHEN count(temp) > 0 THEN sum(COALESCE(temp - 273.15e0, 0) * greatest(least(z_hi, 300e0) - z_lo, 0e0))
     * (1025e0 * 3992e0) END / 1e6""", 3)} AS value

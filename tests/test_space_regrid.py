@@ -89,17 +89,16 @@ def regular(ny=5, nx=12):
 
 def apply(spark, lat, lon, values, target=TARGET, **kw):
     grid = grid_df(spark, lat, lon).drop("grid")
-    cyclic = kw.pop("cyclic_nx", None)
     rows = [(0, y, x, None if np.isnan(values[y, x]) else float(values[y, x]))
             for y in range(values.shape[0]) for x in range(values.shape[1])]
     df = spark.createDataFrame(rows, "time int, iy int, ix int, value double")
-    w = regrid.bilinear_weights(grid, target, cyclic_nx=cyclic)
-    return regrid.apply_weights(df, w, ["time"], target=target, **kw).toPandas()
+    w = regrid.bilinear_weights(grid, target)
+    return regrid.apply_weights(df, w, ["time"], **kw).toPandas()
 
 
 def test_plane_is_reproduced_including_nodes_and_edges(spark):
     lat, lon = regular()
-    out = apply(spark, lat, lon, 2 * lat + 0.5 * lat * 0 + 1, cyclic_nx=12)
+    out = apply(spark, lat, lon, 2 * lat + 0.5 * lat * 0 + 1)
     assert len(out) == 9 * 72
     np.testing.assert_allclose(out["value"], 2 * out["lat"] + 1, atol=1e-9)
 
@@ -108,7 +107,7 @@ def test_against_direct_interpolation(spark):
     rng = np.random.default_rng(5)
     lat, lon = regular()
     v = rng.normal(size=lat.shape)
-    out = apply(spark, lat, lon, v, cyclic_nx=12)
+    out = apply(spark, lat, lon, v)
     j = np.clip(np.floor((out.lat + 10) / 5).astype(int), 0, 3)
     a = (out.lat + 10) / 5 - j
     pos = ((out.lon + 180) % 360) / 30
@@ -119,10 +118,40 @@ def test_against_direct_interpolation(spark):
     np.testing.assert_allclose(out["value"], want, atol=1e-9)
 
 
-def test_without_cyclic_closure_the_gap_has_no_targets(spark):
+def test_regional_grid_returns_every_target(spark):
+    lat, lon = np.meshgrid(np.linspace(-5, 5, 3), np.arange(5) * 30.0 + 90, indexing="ij")
+    out = apply(spark, lat, lon, 2 * lat)
+    inside = out.lat.between(-5, 5) & out.lon.between(90, 210)
+    assert len(out) == 9 * 72 and (out["value"].notna() == inside).all()
+    np.testing.assert_allclose(out["value"][inside], 2 * out["lat"][inside], atol=1e-9)
+
+
+def test_each_grid_closes_its_own_seam(spark):
+    """Widths 36 and 72 in one table, and a regional one, whose edge stays open."""
+    rows = []
+    for name, nx, step, start in (("a", 36, 10.0, -175.0), ("b", 72, 5.0, 2.5), ("c", 12, 10.0, 30.0)):
+        for iy in range(3):
+            for ix in range(nx):
+                lon = start + ix * step
+                rows.append((name, iy, ix, iy * 10.0 - 10, (lon + 180) % 360 - 180, 0, float(np.cos(np.radians(lon)))))
+    df = spark.createDataFrame(rows, "model string, iy int, ix int, lat double, lon double, time int, value double")
+    assert {r["model"]: r["nx"] for r in regrid.seams(df, ["model"]).collect()} == {"a": 36, "b": 72}
+    target = TargetGrid(lat0=-5.0, dlat=5.0, nlat=3, lon0=0.0, dlon=1.0, nlon=360)
+    w = regrid.bilinear_weights(regrid.grid_of(df, ["model"]), target, ["model"])
+    out = regrid.apply_weights(df, w, ["model", "time"], keys=["model"]).toPandas()
+    assert out.groupby("model").size().to_dict() == {"a": 1080, "b": 1080, "c": 1080}
+    for name, most in (("a", 0.004), ("b", 0.001)):
+        own = out[out.model == name]
+        assert np.abs(own["value"] - np.cos(np.radians(own["lon"]))).max() < most
+    own = out[out.model == "c"]
+    assert (own["value"].notna() == own["lon"].between(30, 140)).all()
+
+
+def test_absent_source_rows_lose_no_target(spark):
     lat, lon = regular()
-    out = apply(spark, lat, lon, lat)
-    assert out["lon"].between(150.1, 179.9).sum() == 0 and len(out) > 0
+    df = spark.createDataFrame([(0, 0, 0, 1.0), (1, 2, 3, None)], "time int, iy int, ix int, value double")
+    out = regrid.apply_weights(df, regrid.bilinear_weights(grid_df(spark, lat, lon).drop("grid"), TARGET), ["time"])
+    assert sorted(tuple(r) for r in out.groupBy("time").count().collect()) == [(0, 648), (1, 648)]
 
 
 def test_curvilinear_plane(spark):
@@ -163,16 +192,17 @@ def test_an_absent_corner_is_a_missing_corner(spark):
     target = TargetGrid(lat0=6, dlat=1, nlat=1, lon0=6, dlon=1, nlon=1)
     w = regrid.bilinear_weights(grid_df(spark, lat, lon).drop("grid"), target)
     df = spark.createDataFrame([(0, 0, 1, 2.0), (0, 1, 0, 4.0), (0, 1, 1, 8.0)], "time int, iy int, ix int, value double")
-    assert regrid.apply_weights(df, w, ["time"], target=target, missing="strict").collect()[0]["value"] is None
-    got = regrid.apply_weights(df, w, ["time"], target=target).collect()[0]["value"]
+    assert regrid.apply_weights(df, w, ["time"], missing="strict").collect()[0]["value"] is None
+    got = regrid.apply_weights(df, w, ["time"]).collect()[0]["value"]
     assert got == pytest.approx((0.24 * 2 + 0.24 * 4 + 0.36 * 8) / 0.84)
 
 
-@pytest.mark.parametrize("grids", [None, 10**9])
-def test_regrid_plans_agree(spark, grids):
-    """Counted weights, and the shuffled join beyond the broadcast bound."""
+@pytest.mark.parametrize("bound", [10, 10**6])
+def test_regrid_plans_agree(spark, bound, monkeypatch):
+    """The broadcast, and the shuffled join beyond its bound."""
+    monkeypatch.setattr(regrid, "BROADCAST_ROWS", bound)
     lat, lon = regular()
-    out = apply(spark, lat, lon, 3 * lat, cyclic_nx=12, grids=grids)
+    out = apply(spark, lat, lon, 3 * lat)
     assert len(out) == 9 * 72
     np.testing.assert_allclose(out["value"], 3 * out["lat"], atol=1e-9)
 
@@ -181,7 +211,7 @@ def test_regrid_exchanges_the_source_rows_only(spark, make_field):
     """The fan-out to targets happens after the exchange by slice."""
     df = make_field(np.ones((2, 3, 3)))
     w = regrid.bilinear_weights(regrid.grid_of(df), TargetGrid(0, 0.5, 4, 0, 0.5, 4))
-    plan = regrid.apply_weights(df, w, ["var", "time"], target=TargetGrid(0, 0.5, 4, 0, 0.5, 4))
+    plan = regrid.apply_weights(df, w, ["var", "time"])
     text = plan._jdf.queryExecution().executedPlan().toString()
     top = text[: text.index("BroadcastHashJoin")]
     assert "Exchange" not in top
