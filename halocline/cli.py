@@ -87,21 +87,20 @@ def uasmax(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def surface(spark: SparkSession, args: argparse.Namespace) -> None:
-    df = read_netcdf(spark, args.root, args.var).withColumn("var", F.lit(args.var))
-    df = df.withColumn("time", month_start("time"))
-    units = args.units if args.units is not None else units_of(args.root, args.var)
-    out = columns.surface_job(df, ["var"], by_depth=not args.file_order, units=units)
-    _publish(spark, out, args, f"first vertical level of {args.var}")
+    df, keys = ingest.load_levels(spark, args.root, args.var, args.experiment)
+    units = args.units if args.units is not None else F.col("units")
+    out = columns.surface_job(df, [*keys, "var"], by_depth=not args.file_order, units=units)
+    out = out.select(*keys, "var", "time", "iy", "ix", "lat", "lon", "value")
+    _publish(spark, out, args, f"first vertical level of {args.var}", by=[*keys[1:2], "var"])
 
 
 def ohc(spark: SparkSession, args: argparse.Namespace) -> None:
-    df = read_netcdf(spark, args.root, args.var).withColumn("var", F.lit(args.var))
-    units = args.units if args.units is not None else units_of(args.root, args.var)
+    df, keys = ingest.load_levels(spark, args.root, args.var, args.experiment)
+    units = args.units if args.units is not None else F.col("units")
     out = columns.heat_content_job(
-        df.withColumn("time", month_start("time")), ["var"], units, not args.keep_kelvin,
-        zmax=args.zmax, rho0=args.rho0, cp0=args.cp0, mask_shallow=args.mask_shallow,
-        shallow_eps=args.shallow_eps)
-    _publish(spark, out, args, f"heat content 0-{args.zmax:g} m of {args.var}",
+        df, [*keys, "var"], units, not args.keep_kelvin, zmax=args.zmax, rho0=args.rho0, cp0=args.cp0,
+        mask_shallow=args.mask_shallow, shallow_eps=args.shallow_eps)
+    _publish(spark, out, args, f"heat content 0-{args.zmax:g} m of {args.var}", by=[*keys[1:2], "var"],
              attrs={"units": "J m-2", "rho0": str(args.rho0), "cp0": str(args.cp0)})
 
 
@@ -123,6 +122,9 @@ def scenarios(spark: SparkSession, args: argparse.Namespace) -> None:
     wanted = csv_items(args.vars) or list(SOURCE_ALIASES["cmip6"])
     both = [ingest.load_cmip6(spark, args.root, wanted, leaf=args.leaf).where(F.col("exp") == e)
             for e in ("historical", "ssp370")]
+    if not args.dry_run:
+        for row in ingest.unpaired_series(*both, exclude=csv_items(args.exclude)).toLocalIterator():
+            print("[WARN]", row.asDict())
     out = ingest.union_scenarios(*both, exclude=csv_items(args.exclude))
     _publish(spark, out, args, "historical and scenario periods joined", by=("model", "var"))
 
@@ -207,8 +209,8 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--source", required=True, choices=sorted(SOURCE_ALIASES))
     p = command(uasmax, root=str, experiment=None, models=None, members=None)
     p.add_argument("--source", required=True, choices=sorted(DAILY_WIND_ALIASES))
-    command(surface, root=str, var=str, units=None, file_order=bool)
-    command(ohc, root=str, var=str, units=None, keep_kelvin=bool, zmax=300.0, rho0=1025.0, cp0=3992.0,
+    command(surface, root=str, var=str, experiment=None, units=None, file_order=bool)
+    command(ohc, root=str, var=str, experiment=None, units=None, keep_kelvin=bool, zmax=300.0, rho0=1025.0, cp0=3992.0,
             mask_shallow=bool, shallow_eps=1e-3)
     command(mlotst, temp=str, salt=str, temp_var=str, salt_var=str, temp_units=None, depth_units="m",
             source_name="custom", ref_depth=10.0, delta_sigma=0.03, zmax=1000.0, linear=bool)

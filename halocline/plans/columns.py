@@ -4,33 +4,39 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from halocline.functions.numeric import celsius, depth_metres, salinity_g_per_kg
 from halocline.operators import checks, merge, vertical
 from halocline.schema import CELL, SURFACE_OUTPUT
 
 
+def _unit(units: str | Column | None) -> Column:
+    return units if isinstance(units, Column) else F.lit(units)
+
+
 def surface_job(df: DataFrame, dataset: Sequence[str], *, by_depth: bool = True,
-                units: str | None = None) -> DataFrame:
-    """First vertical level under its surface name.
+                units: str | Column | None = None, depths: DataFrame | None = None) -> DataFrame:
+    """First vertical level of every dataset under its surface name.
 
     ``by_depth`` takes the shallowest level, otherwise the first in file order.
-    Salinity in mass-fraction ``units`` becomes g/kg.
+    Salinity in mass-fraction ``units`` (one for all, or a column of ``df``) becomes g/kg.
     """
     keys = list(dict.fromkeys([*dataset, "var"]))
-    top = vertical.surface_level(df, keys) if by_depth else vertical.first_level(df)
     var = F.col("var")
-    value = F.when(var == "salt", salinity_g_per_kg(F.col("value"), F.lit(units))).otherwise(F.col("value"))
+    fixed = F.when(var == "salt", salinity_g_per_kg(F.col("value"), _unit(units))).otherwise(F.col("value"))
+    df = df.withColumn("value", fixed)
+    top = vertical.surface_level(df, keys, depths=depths) if by_depth else vertical.first_level(df)
+    value = F.col("value")
     renamed = F.coalesce(F.create_map(*[F.lit(x) for kv in SURFACE_OUTPUT.items() for x in kv])[var], var)
     keep = [c for c in top.columns if c not in ("lev", "lev_idx")]
     return top.select(*keep).withColumns({"value": value, "var": renamed})
 
 
-def heat_content_job(df: DataFrame, dataset: Sequence[str], units: str = "degC",
+def heat_content_job(df: DataFrame, dataset: Sequence[str], units: str | Column = "degC",
                      to_celsius: bool = True, **options) -> DataFrame:
     """Heat content as variable ``ohc300``; Kelvin is converted when the unit says so."""
-    warm = df.withColumn("value", celsius(F.col("value"), F.lit(units), loose=False)) if to_celsius else df
+    warm = df.withColumn("value", celsius(F.col("value"), _unit(units), loose=False)) if to_celsius else df
     out = vertical.heat_content(warm, dataset, **options)
     return out.withColumnRenamed("ohc", "value").withColumn("var", F.lit("ohc300"))
 

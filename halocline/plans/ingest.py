@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import os
 from collections.abc import Mapping, Sequence
 
@@ -12,23 +13,34 @@ from halocline.operators.merge import union_in_time
 from halocline.operators.sizing import small_side
 from halocline.schema import EXCLUDED_MODELS, SOURCE_ALIASES
 from halocline.sources import catalog
-from halocline.sources.netcdf import read_netcdf
+from halocline.sources.netcdf import file_attrs, read_netcdf
 
 FIELD = ("var", "time", "iy", "ix", "lat", "lon", "value")
+log = logging.getLogger(__name__)
 POSITION = {"step": "t_idx", "n_steps": "n_time"}
 
 
+def absent_inputs(root: str, files: Mapping[str, str]) -> dict[str, str]:
+    """Variables whose file is not there, with the path looked for."""
+    paths = {var: name if os.path.isabs(name) else os.path.join(root, name) for var, name in files.items()}
+    return {var: path for var, path in paths.items() if not os.path.exists(path)}
+
+
 def load_fixed(spark: SparkSession, source: str, root: str, files: Mapping[str, str],
                monthly: bool = True) -> DataFrame:
     """One variable per file, whatever it is called inside.
 
     Each file is a whole series, so its steps are the time positions.  Times snap to the month start unless ``monthly`` is off.
+    Variables without a file are warned of (see ``absent_inputs``).
     """
     aliases = SOURCE_ALIASES.get(source, {})
+    absent = absent_inputs(root, files)
+    for var, path in absent.items():
+        log.warning("%s has no input for %s: %s", source, var, path)
     parts = []
     for var, name in files.items():
         path = name if os.path.isabs(name) else os.path.join(root, name)
-        if not os.path.exists(path):
+        if var in absent:
             continue
         raw = read_netcdf(spark, path, ",".join(aliases.get(var, (var,))))
         parts.append(raw.withColumn("var", F.lit(var)).withColumnsRenamed(POSITION))
@@ -75,9 +87,41 @@ def load_cmip6(spark: SparkSession, root: str, variables: Sequence[str], experim
     return named.withColumnsRenamed(POSITION).select("exp", "model", "member", *FIELD, *position)
 
 
+def load_levels(spark: SparkSession, root: str, var: str, experiment: str | None = None) -> tuple[DataFrame, list[str]]:
+    """A depth-resolved variable with the unit of its file, and the columns that name its datasets.
+
+    In a tree of ``[exp/]model/member/<leaf>/file`` every member is a dataset with its own depths;
+    any other folder is one dataset.
+    """
+    listing = catalog.list_files(spark, root) if os.path.isdir(root) else None
+    tree = catalog.with_groups(listing, experiment, leaf="") if listing is not None else None
+    keys = [] if tree is None or tree.isEmpty() else ["exp", "model", "member"]
+    df = read_netcdf(spark, root, var).withColumns({"var": F.lit(var), "time": month_start("time")})
+    files = df.select("path").distinct()
+    units = file_attrs(files).where((F.col("var") == var) & (F.col("key") == "units")).select("path", F.col("value").alias("units"))
+    df = df.join(small_side(units), "path", "left").na.fill("", "units")
+    if keys:
+        df = df.join(small_side(tree.select("path", *keys)), "path")
+    return df, keys
+
+
+def unpaired_series(historical: DataFrame, scenario: DataFrame,
+                    exclude: Sequence[str] = EXCLUDED_MODELS) -> DataFrame:
+    """(model, member, var, problem) of series that ``union_scenarios`` leaves out."""
+    keys = ["model", "member", "var"]
+    sides = [df.select(*keys).distinct().withColumn("_side", F.lit(i)) for i, df in enumerate((historical, scenario))]
+    both = sides[0].unionByName(sides[1]).groupBy(*keys).agg(F.sum(F.lit(1)).alias("_n"), F.min("_side").alias("_side"))
+    problem = (
+        F.when(F.col("model").isin(*exclude), "excluded")
+        .when((F.col("_n") == 1) & (F.col("_side") == 0), "no scenario")
+        .when(F.col("_n") == 1, "no historical period")
+    )
+    return both.withColumn("problem", problem).where("problem is not null").select(*keys, "problem")
+
+
 def union_scenarios(historical: DataFrame, scenario: DataFrame,
                     exclude: Sequence[str] = EXCLUDED_MODELS) -> DataFrame:
-    """Historical and scenario periods of every (model, member, var) that has both."""
+    """Historical and scenario periods of every (model, member, var) that has both; ``unpaired_series`` names the rest."""
     keys = ["model", "member", "var"]
     held = [df.where(~F.col("model").isin(*exclude)) for df in (historical, scenario)]
     series = [df.select(*keys).distinct() for df in held]

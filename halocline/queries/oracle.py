@@ -527,13 +527,19 @@ SQL["member_targets"] = f"""WITH {FIELDS}, span AS (SELECT member, max(a) AS a,
 used AS (SELECT 'M' || member AS model, 'common_predictor_overlap' AS period_source, time, lat, lon, value
   FROM lcube JOIN span USING (member) WHERE member <> 1 AND time BETWEEN a AND b)
 """ + area_mean("used", BOX, "model, period_source, time", "nino34")
-SQL["scenario_union"] = f"""WITH {LINE_OBS}, {ORDER_OBS}, parts AS (
+_SCENARIOS = f"""{LINE_OBS}, {ORDER_OBS}, parts AS (
   SELECT 1 AS side, member AS m, iy, ix, ix AS r, time, lat, lon, value FROM lobs WHERE time < TIMESTAMP '1999-01-01'
   UNION ALL SELECT 2, member, iy, ix, ix + CASE WHEN iy % 5 = 4 THEN 100 ELSE 0 END, time, lat, lon, value FROM oobs
-  WHERE time >= TIMESTAMP '1999-01-01'),
+  WHERE time >= TIMESTAMP '1999-01-01')"""
+SQL["scenario_union"] = f"""WITH {_SCENARIOS},
 both_sides AS (SELECT m, iy, r FROM parts GROUP BY 1, 2, 3 HAVING count(DISTINCT side) = 2)
 SELECT 'M' || iy AS model, 'r' || r || '_' || m AS member, 'tos' AS var, 'historical_ssp370' AS exp,
   iy, ix, time, lat, lon, {r('value', 7)} FROM parts JOIN both_sides USING (m, iy, r) WHERE iy <> 7"""
+SQL["scenario_unpaired"] = f"""WITH {_SCENARIOS}, s AS (
+  SELECT m, iy, r, count(DISTINCT side) AS n, min(side) AS side FROM parts GROUP BY 1, 2, 3)
+SELECT 'M' || iy AS model, 'r' || r || '_' || m AS member, 'tos' AS var,
+  CASE WHEN iy = 7 THEN 'excluded' WHEN side = 1 THEN 'no scenario' ELSE 'no historical period' END AS problem
+FROM s WHERE iy = 7 OR n = 1"""
 SQL["surface_salinity"] = (
     f"WITH {PROFILE} SELECT member, iy, ix, time, lat, lon, 'sos' AS var, {r('salt * 1000e0', 4, 'value')} "
     "FROM prof WHERE lev = 5e0 * (1e0 + member % 4 * 0.25e0)")

@@ -564,8 +564,7 @@ def member_targets(spark, sf):
     return rounded(index, "nino34")
 
 
-@query
-def scenario_union(spark, sf):
+def _scenario_parts(spark, sf):
     def part(obs, exp):
         # some series have another name in the scenario, so neither side finds its partner
         other = F.when((F.col("iy") % 5 == 4) & (F.lit(exp) == "ssp370"), 100).otherwise(0)
@@ -575,7 +574,17 @@ def scenario_union(spark, sf):
 
     early = part(A.line_obs(spark, sf).where(cal.within_months("time", None, "1998-12")), "historical")
     late = part(A.order_obs(spark, sf).where(cal.within_months("time", "1999-01", None)), "ssp370")
-    return rounded(ingest.union_scenarios(early, late, exclude=("M7",)), "value", digits=7)
+    return early, late
+
+
+@query
+def scenario_union(spark, sf):
+    return rounded(ingest.union_scenarios(*_scenario_parts(spark, sf), exclude=("M7",)), "value", digits=7)
+
+
+@query
+def scenario_unpaired(spark, sf):
+    return ingest.unpaired_series(*_scenario_parts(spark, sf), exclude=("M7",))
 
 
 def _column_field(spark, sf, value, var):

@@ -8,6 +8,7 @@ decoded here; HDF5-based files need the netCDF4 package on the executors.
 from __future__ import annotations
 
 import glob
+import operator
 import os
 import re
 import struct
@@ -114,8 +115,13 @@ class Classic:
         """A whole variable, or its slice at one position of the leading dimension."""
         v = self.variables[name]
         if v.stride is not None and step is None:
-            parts = [self.read(name, i) for i in range(v.shape[0])]
-            return np.stack(parts) if parts else np.empty(v.shape)
+            count = int(np.prod(v.shape[1:], dtype=np.int64))
+            out = np.empty((v.shape[0], count), v.dtype)
+            with open(self.path, "rb") as f:
+                for i in range(v.shape[0]):
+                    f.seek(v.begin + i * v.stride)
+                    out[i] = np.frombuffer(f.read(count * np.dtype(v.dtype).itemsize), v.dtype)
+            return out.reshape(v.shape)
         shape = v.shape if step is None else v.shape[1:]
         width = np.dtype(v.dtype).itemsize
         count = int(np.prod(shape, dtype=np.int64))
@@ -152,32 +158,69 @@ def open_file(path: str):
 
 
 # ---- decoding --------------------------------------------------------------
+def day_number(year: int, month: int, day: int, julian: bool = False) -> int:
+    """Days since 1970-01-01 of the Gregorian calendar; years are astronomical, so year 0 is a year."""
+    y, m = (year - 1, month + 12) if month <= 2 else (year, month)
+    leaps = y // 4 - (2 if julian else y // 100 - y // 400)
+    return 365 * y + leaps + (153 * (m - 3) + 2) // 5 + day - 719469
+
+
+def civil(days: int, julian: bool = False) -> tuple[int, int, int]:
+    """The date of a day number."""
+    year = 1970 + days // 366 if days >= 0 else 1970 + days // 365 - 1
+    while day_number(year + 1, 1, 1, julian) <= days:
+        year += 1
+    month = 1
+    while month < 12 and day_number(year, month + 1, 1, julian) <= days:
+        month += 1
+    return year, month, days - day_number(year, month, 1, julian) + 1
+
+
+#: First day of the Gregorian calendar; the days before it are Julian in the mixed one.
+REFORM = day_number(1582, 10, 15)
+
+
 def decode_times(values: np.ndarray, units: str, calendar: str = "standard") -> list[datetime]:
-    """CF time coordinates as datetimes; days a real month lacks move to its last day."""
+    """CF time coordinates as datetimes; days a real month lacks move to its last day.
+
+    ``standard`` and ``gregorian`` are Julian before 1582-10-15.  A result before year 1 cannot be held.
+    """
     match = re.match(r"\s*(\w+?)s?\s+since\s+(-?\d+)-(\d+)-(\d+)(?:[T\s]+(\d+):(\d+)(?::(\d+))?)?", units)
     if not match or match.group(1).lower() not in UNIT_SECONDS:
         raise ValueError(f"cannot decode time units {units!r}")
     unit = UNIT_SECONDS[match.group(1).lower()]
     y, m, d, hh, mm, ss = (int(g) if g else 0 for g in match.groups()[1:])
-    seconds = np.asarray(values, dtype="float64") * unit
-    length = CALENDAR_DAYS.get(calendar.lower())
+    name = calendar.lower()
+    length = CALENDAR_DAYS.get(name)
     if length is None:
-        start = datetime(max(y, 1), m, d, hh, mm, ss)
-        return [start + timedelta(seconds=round(float(s), 3)) for s in seconds]
-    months = (
-        [30] * 12 if length == 360
-        else [31, 28 + (length == 366), 31, 30, 31, 30, 31, 31, 30, 31, 30, 31]
-    )
-    before = np.concatenate([[0], np.cumsum(months)])
-    origin = (y * length + before[m - 1] + d - 1) * 86400.0 + hh * 3600 + mm * 60 + ss
+        if name not in ("standard", "gregorian", "mixed", "proleptic_gregorian", "julian"):
+            raise ValueError(f"unknown calendar {calendar!r}")
+        julian = name == "julian" or name != "proleptic_gregorian" and (y, m, d) < (1582, 10, 15)
+        first = day_number(y, m, d, julian)
+
+        def date_of(day: int) -> tuple[int, int, int]:
+            return civil(first + day, name == "julian" or name != "proleptic_gregorian" and first + day < REFORM)
+    else:
+        months = (
+            [30] * 12 if length == 360
+            else [31, 28 + (length == 366), 31, 30, 31, 30, 31, 31, 30, 31, 30, 31]
+        )
+        before = np.concatenate([[0], np.cumsum(months)])
+        first = y * length + int(before[m - 1]) + d - 1
+
+        def date_of(day: int) -> tuple[int, int, int]:
+            year, in_year = divmod(first + day, length)
+            month = int(np.searchsorted(before, in_year, side="right"))
+            return year, month, in_year - int(before[month - 1]) + 1
+
     out = []
-    for s in seconds:
-        day, rest = divmod(round(origin + float(s), 3), 86400.0)
-        year, in_year = divmod(int(day), length)
-        month = int(np.searchsorted(before, in_year, side="right"))
+    for s in np.asarray(values, dtype="float64") * unit:
+        day, rest = divmod(round(hh * 3600 + mm * 60 + ss + float(s), 3), 86400.0)
+        year, month, dom = date_of(int(day))
+        if year < 1:
+            raise ValueError(f"{units!r} reaches back before year 1")
         last = ((date(year + month // 12, month % 12 + 1, 1)) - timedelta(days=1)).day
-        at = datetime(year, month, min(in_year - int(before[month - 1]) + 1, last))
-        out.append(at + timedelta(seconds=rest))
+        out.append(datetime(year, month, min(dom, last)) + timedelta(seconds=rest))
     return out
 
 
@@ -240,6 +283,19 @@ class FieldReader(DataSourceReader):
         self.rule = options.get("rule", "predictor")
         self.decode = options.get("decodetimes", options.get("decodeTimes", "true")).lower() == "true"
         self.run = int(options.get("chunksteps", options.get("chunkSteps", "0")))
+        self.bounds: dict[str, list[tuple[str, Any]]] = {"time": [], "step": [], "lev_idx": []}
+
+    def pushFilters(self, filters):
+        """Comparisons of time, step and level spare reads; Spark applies all of them again."""
+        from pyspark.sql.datasource import EqualTo, GreaterThan, GreaterThanOrEqual, LessThan, LessThanOrEqual
+        kinds = {EqualTo: "eq", GreaterThan: "gt", GreaterThanOrEqual: "ge", LessThan: "lt", LessThanOrEqual: "le"}
+        for f in filters:
+            if type(f) in kinds and f.attribute[0] in self.bounds:
+                self.bounds[f.attribute[0]].append((kinds[type(f)], f.value))
+            yield f
+
+    def wanted(self, column: str, value: Any) -> bool:
+        return value is None or all(getattr(operator, k)(value, v) for k, v in self.bounds[column])
 
     def files(self) -> list[str]:
         found: list[str] = []
@@ -295,8 +351,12 @@ class FieldReader(DataSourceReader):
         kinds = {"string": pa.string(), "timestamp_ntz": pa.timestamp("us"), "double": pa.float64(), "int": pa.int32()}
         schema = pa.schema([(f.split()[0], kinds[f.split()[1]]) for f in SCHEMA.split(", ")])
         for step in range(partition.first, partition.last):
+            if not (self.wanted("step", step) and self.wanted("time", times[step] if times else None)):
+                continue
             cube = physical(nc.read(at.var, step if at.time else None), v.attrs).reshape(n_lev, ny * nx)
             for k in range(n_lev):
+                if at.lev and not self.wanted("lev_idx", k):
+                    continue
                 for lo in range(0, ny * nx, SLAB):
                     part = slice(lo, min(lo + SLAB, ny * nx))
                     n = part.stop - part.start
@@ -343,6 +403,7 @@ class FieldSource(DataSource):
 def read_netcdf(spark: SparkSession, path: str | Sequence[str], variable: str | None = None,
                 **options: Any) -> DataFrame:
     """The long form of one variable of one or many files."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(FieldSource)
     reader = spark.read.format("ncfield").option("path", path if isinstance(path, str) else "\n".join([*path, ""]))
     if variable:

@@ -12,23 +12,20 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from halocline.functions.calendar import month_start
-from halocline.session import ensure_checkpoint_dir
-
-
-def _checkpoint(spark: SparkSession, name: str, given: str | None) -> str:
-    root = given or ensure_checkpoint_dir(spark)
-    if root is None:
-        raise ValueError("name a checkpoint folder that all executors share")
-    return f"{root.rstrip('/')}/{name}"
 
 
 def append_arrivals(spark: SparkSession, folder: str, store: str, schema, *, name: str = "arrivals",
                     partition_by: Sequence[str] = ("var",), checkpoint: str | None = None) -> StreamingQuery:
-    """Take all files not yet taken from ``folder`` (Parquet) into ``store``, then stop."""
+    """Take all files not yet taken from ``folder`` (Parquet) into ``store``, then stop.
+
+    What was taken is remembered beside the store unless ``checkpoint`` names another
+    folder, so it outlives the application as the store's own log of batches does.
+    """
+    memory = checkpoint or f"{store.rstrip('/')}_arrivals"
     arriving = spark.readStream.schema(schema).parquet(folder)
     arriving = arriving.withColumn("time", month_start("time"))
     return (
         arriving.writeStream.format("parquet").option("path", store)
-        .option("checkpointLocation", _checkpoint(spark, name, checkpoint))
+        .option("checkpointLocation", f"{memory.rstrip('/')}/{name}")
         .partitionBy(*partition_by).trigger(availableNow=True).start()
     )

@@ -219,9 +219,6 @@ def test_file_kinds_and_archives(spark, tmp_path):
     assert len(got["two.zip"]["files"]) == 2 and got["two.zip"]["problem"] is None
     assert got["broken.zip"]["problem"] and sorted(p.name for p in out.iterdir()) == ["a.nc", "b.nc"]
     assert downloads.previews(listing).where("path like '%broken%'").collect()[0]["preview"].startswith("PK")
-    assert catalog.first_existing(str(src), ["no", "n.zip"]).endswith("n.zip")
-    with pytest.raises(FileNotFoundError):
-        catalog.require_existing(str(src), ["no"], "input")
     one = downloads.extract_archives(listing, str(out), only_one=True).where("path like '%two.zip'").collect()[0]
     assert "found 2" in one["problem"]
 

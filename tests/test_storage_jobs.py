@@ -1,5 +1,5 @@
 import struct
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
@@ -164,7 +164,7 @@ def test_cmip6_tree_to_predictors_and_targets(spark, tmp_path):
     assert {r["model"] for r in joined.select("model").distinct().collect()} == {"M1", "M2"}
     keys = ["exp", "model", "member"]
     target = TargetGrid(lat0=-9, dlat=3, nlat=7, lon0=180, dlon=10, nlon=7)
-    anom = anomalies.anomaly_job(joined, [*keys, "var"], target, grids=2)
+    anom = anomalies.anomaly_job(joined, [*keys, "var"], target)
     assert anom.count() == 48 * 3 * 49
 
     merged, bad = predictors.predictor_job(anom, keys, ("tos", "psl"), start="2000-06", end="2003-05")
@@ -249,8 +249,8 @@ def test_wind_maximum(make_field, spark):
     base = make_field(np.random.default_rng(5).normal(size=(24, 3, 3)), var="uas")
     daily = base.unionByName(base.withColumns({"time": F.expr("time + interval 9 days"), "value": F.col("value") - 1}))
     target = TargetGrid(lat0=0.5, dlat=1, nlat=2, lon0=0.5, dlon=1, nlon=2)
-    got = anomalies.wind_maximum_job(daily, ["var"], target, grids=1)
-    want = anomalies.anomaly_job(base, ["var"], target, grids=1)
+    got = anomalies.wind_maximum_job(daily, ["var"], target)
+    want = anomalies.anomaly_job(base, ["var"], target)
     assert got.select("var").distinct().collect()[0]["var"] == "uasmax"
     np.testing.assert_allclose(to_cube(got), to_cube(want), atol=1e-9)
     steps = anomalies.anomaly_steps(base, ["var"])
@@ -287,6 +287,78 @@ def test_arrivals_are_taken_once(spark, make_field, tmp_path):
     for n, extra in ((3, None), (3, None), (5, 2)):
         if extra:
             make_field(np.ones((extra, 1, 1)), start=2001).coalesce(1).write.mode("append").parquet(drop)
-        append_arrivals(spark, drop, held, schema, checkpoint=str(tmp_path / "ck")).awaitTermination(60)
+        # another application has another checkpoint folder; what was taken is remembered beside the store
+        spark.sparkContext.setCheckpointDir(str(tmp_path / f"application-{n}-{extra}"))
+        append_arrivals(spark.newSession(), drop, held, schema).awaitTermination(60)
         assert spark.read.parquet(held).count() == n
     assert checks.repeated_steps(merge.union_in_time(spark.read.parquet(held)), ["var"]).count() == 0
+
+
+def test_calendars():
+    day = lambda n, units, calendar: decode_times(np.array([n]), units, calendar)[0]
+    assert day(1.0, "days since 1582-10-04", "standard") == datetime(1582, 10, 15)
+    assert day(1.0, "days since 1582-10-04", "proleptic_gregorian") == datetime(1582, 10, 5)
+    assert day(59.0, "days since 1900-01-01", "julian") == datetime(1900, 2, 28)  # the 29th there
+    assert day(60.0, "days since 1900-01-01", "julian") == datetime(1900, 3, 1)
+    assert day(366.0, "days since 0000-01-01", "proleptic_gregorian") == datetime(1, 1, 1)
+    assert day(366.0 + 31, "days since 0000-01-01", "julian") == datetime(1, 2, 1)
+    assert day(365.0 + 31, "days since 0000-01-01", "noleap") == datetime(1, 2, 1)
+    assert day(-1.0, "days since 1970-01-01", "standard") == datetime(1969, 12, 31)
+    for n in range(0, 800_000, 9_973):
+        assert day(float(n), "days since 0001-01-01", "proleptic_gregorian") == datetime(1, 1, 1) + timedelta(days=n)
+    for calendar, units in (("lunar", "days since 2000-01-01"), ("standard", "days since 0000-01-01")):
+        with pytest.raises(ValueError):
+            day(1.0, units, calendar)
+
+
+def column_file(path, depths, steps, value, units="K"):
+    n = len(depths)
+    cube = np.zeros((steps, n, 2, 2), "f4") + np.asarray(value, "f4")[None, :, None, None]
+    write_classic(str(path), {"time": steps, "lev": n, "lat": 2, "lon": 2}, {
+        "time": (("time",), np.arange(steps) * 31.0, {"units": "days since 2000-01-01"}),
+        "lev": (("lev",), np.asarray(depths, "f8"), {"units": "m"}),
+        "lat": (("lat",), np.array([0.0, 1.0]), {}), "lon": (("lon",), np.array([0.0, 1.0]), {}),
+        "thetao": (("time", "lev", "lat", "lon"), cube, {"units": units})}, {})
+
+
+def test_levels_of_a_tree_keep_their_own_depths(spark, tmp_path):
+    from halocline.plans import columns, ingest
+    for model, depths, value, units in (("A", [5.0, 300.0], [280.0, 280.0], "K"), ("B", [10.0, 20.0, 400.0], [7.0, 7.0, 7.0], "degC")):
+        folder = tmp_path / "historical" / model / "r1" / "monthly"
+        folder.mkdir(parents=True)
+        column_file(folder / "thetao_x.nc", depths, 2, value, units)
+    df, keys = ingest.load_levels(spark, str(tmp_path), "thetao")
+    assert keys == ["exp", "model", "member"]
+    top = columns.surface_job(df, [*keys, "var"])
+    assert {r["model"]: r["count"] for r in top.groupBy("model").count().collect()} == {"A": 8, "B": 8}
+    heat = columns.heat_content_job(df, [*keys, "var"], df["units"]).toPandas()
+    got = heat.groupby("model")["value"].first()
+    assert got["A"] == pytest.approx(300 * (280 - 273.15) * 1025 * 3992, rel=1e-5)
+    assert got["B"] == pytest.approx(300 * 7 * 1025 * 3992, rel=1e-5)
+    single, none = ingest.load_levels(spark, str(tmp_path / "historical" / "A" / "r1" / "monthly" / "thetao_x.nc"), "thetao")
+    assert none == [] and single.count() == 16
+
+
+def test_filters_reach_the_file(spark, tmp_path, monkeypatch):
+    from halocline.sources import netcdf
+    column_file(tmp_path / "a.nc", [5.0, 10.0, 20.0], 6, [1.0, 2.0, 3.0])
+    steps = []
+    read = netcdf.Classic.read
+    monkeypatch.setattr(netcdf.Classic, "read", lambda self, name, step=None: (name == "thetao" and steps.append(step), read(self, name, step))[1])
+    from pyspark.sql.datasource import EqualTo, GreaterThanOrEqual
+    reader = netcdf.FieldReader({"path": str(tmp_path / "a.nc"), "variable": "thetao"})
+    pushed = [EqualTo(("lev_idx",), 0), GreaterThanOrEqual(("time",), datetime(2000, 4, 1))]
+    assert list(reader.pushFilters(pushed)) == pushed  # Spark applies them again
+    rows = sum(b.num_rows for part in reader.partitions() for b in reader.read(part))
+    assert steps == [3, 4, 5] and rows == 3 * 4
+    got = read_netcdf(spark, str(tmp_path / "a.nc"), "thetao").where("lev_idx = 0 and step = 2")
+    assert got.count() == 4 and got.first()["value"] == 1.0
+
+
+def test_absent_inputs_are_named(tmp_path, caplog, spark):
+    from halocline.plans import ingest
+    column_file(tmp_path / "here.nc", [5.0], 1, [1.0])
+    assert list(ingest.absent_inputs(str(tmp_path), {"a": "here.nc", "b": "gone.nc"})) == ["b"]
+    with pytest.raises(FileNotFoundError):
+        ingest.load_fixed(spark, "era5", str(tmp_path), {"b": "gone.nc"})
+    assert "gone.nc" in caplog.text
