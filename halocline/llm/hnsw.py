@@ -75,14 +75,13 @@ class Layer:
         closest = np.full((n, width), -np.inf, np.float32)  # of each candidate to what is chosen
         count = np.zeros(n, int)
         cand = self.x[ids]
+        among = np.matmul(cand, cand.transpose(0, 2, 1))
+        fits = (ids >= 0) & (ids != of[:, None])
         for c in range(width):
-            take = (ids[:, c] >= 0) & (sims[:, c] > closest[:, c]) & (count < self.degree) & (ids[:, c] != of)
-            rows = np.flatnonzero(take)
-            if len(rows):
-                chosen[rows, c] = True
-                count[rows] += 1
-                s = np.einsum("bd,bkd->bk", cand[rows, c], cand[rows])
-                closest[rows] = np.maximum(closest[rows], s)
+            take = fits[:, c] & (sims[:, c] > closest[:, c]) & (count < self.degree)
+            chosen[:, c] = take
+            count += take
+            np.maximum(closest, among[:, c], out=closest, where=take[:, None])
         rank = np.where(chosen, 0, 1) + np.where((ids < 0) | (ids == of[:, None]), 2, 0)
         order = np.argsort(rank, axis=1, kind="stable")[:, :self.degree]
         out = np.take_along_axis(np.where((ids < 0) | (ids == of[:, None]), -1, ids), order, 1)
@@ -101,15 +100,20 @@ class Layer:
         begin = np.flatnonzero(np.r_[True, to[1:] != to[:-1]]) if len(to) else np.empty(0, int)
         place = np.arange(len(to)) - np.repeat(begin, np.diff(np.r_[begin, len(to)]))
         own = to[begin]
-        more = np.full((len(own), 2 * self.degree), -1, np.int64)
+        more = np.full((len(own), self.degree), -1, np.int64)
         fits = place < more.shape[1]
         more[np.repeat(np.arange(len(own)), np.diff(np.r_[begin, len(to)]))[fits], place[fits]] = source[fits]
         every = np.concatenate([self.near[own].astype(np.int64), more], axis=1)
         every.sort(axis=1)
         every[:, 1:][every[:, 1:] == every[:, :-1]] = -1
-        s = np.where(every >= 0, np.einsum("bd,bkd->bk", self.x[own], self.x[every]), -np.inf)
+        every = -np.sort(-every, axis=1)  # free places last
+        room = (every >= 0).sum(axis=1) <= self.degree
+        self.near[own[room]] = every[room, :self.degree]
+        own, every = own[~room], every[~room]
         for at in range(0, len(own), BATCH):
-            self.near[own[at:at + BATCH]] = self.diverse(own[at:at + BATCH], every[at:at + BATCH], s[at:at + BATCH])
+            part, near = own[at:at + BATCH], every[at:at + BATCH]
+            s = np.where(near >= 0, np.einsum("bd,bkd->bk", self.x[part], self.x[near]), -np.inf)
+            self.near[part] = self.diverse(part, near, s)
 
 
 class Hnsw:

@@ -4,8 +4,8 @@ Equal vectors of a label are one row with a count.  A label's vectors are dealt
 shards of about SHARD rows; each shard builds its graph, and every vector of the label
 queries every shard.  A query whose whole beam is linked widens its beam until it is
 not, and a shard's queries begin with a wider beam until an audit, which compares a
-sample of them with all vectors of the shard, finds every link; a beam as wide as half
-the shard is an exact scan.  Links are verified in double precision on the original
+sample of them with all vectors of the shard, finds every link; a beam that would touch
+most of the shard is an exact scan.  Links are verified in double precision on the original
 vectors.  A task returns a count for each query and the links that join something
 new, so rows do not grow with the pairs of a group.
 
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from halocline.llm.components import connected
-from halocline.llm.hnsw import Hnsw
+from halocline.llm.hnsw import M_BASE, Hnsw
 from halocline.llm.shared import read, stored
 from halocline.llm.vectors import cosine_pairs, matrix, unit, usable
 
@@ -45,15 +45,19 @@ def _scan(x: np.ndarray, q: np.ndarray, least: float) -> list[np.ndarray]:
 
 
 def near_lists(graph: Hnsw, q: np.ndarray, ef: int, least: float) -> list[np.ndarray]:
-    """Vectors at ``least`` or nearer of each query; beams widen while they are full of such vectors."""
-    n, found = len(graph.x), [np.empty(0, np.int64)] * len(q)
+    """Vectors at ``least`` or nearer of each query; beams widen while they are full of such vectors.
+
+    A beam as wide as half the shard, or a widened one that would touch about as many vectors as
+    the shard has, is an exact scan.
+    """
+    n, found, first = len(graph.x), [np.empty(0, np.int64)] * len(q), ef
     todo = np.arange(len(q))
     while len(todo):
         wide = []
         step = max(8, min(BLOCK, (1 << 22) // max(n, 1)))
         for at in range(0, len(todo), step):
             own = todo[at:at + step]
-            if 2 * ef >= n:
+            if 2 * ef >= n or ef > first and 2 * M_BASE * ef >= n:
                 for i, hit in zip(own, _scan(graph.x, q[own], least), strict=True):
                     found[i] = hit
                 continue
