@@ -15,7 +15,7 @@ from halocline.functions.calendar import month_start
 from halocline.functions.names import csv_items
 from halocline.functions.seawater import with_linear_sigma, with_sigma0
 from halocline.operators import stats
-from halocline.plans import anomalies, columns, ingest, predictors, targets
+from halocline.plans import anomalies, columns, ingest, predictors, splits, targets
 from halocline.schema import (
     DAILY_WIND_ALIASES, EXCLUDED_MODELS, QC_VAR_ORDER, SOURCE_ALIASES, VAR_ORDER, plottable,
 )
@@ -48,6 +48,26 @@ def _publish(spark: SparkSession, df: DataFrame, args: argparse.Namespace, note:
         print(f"kept existing {args.out}")
 
 
+def _report(rows: DataFrame, tag: str) -> None:
+    for row in rows.toLocalIterator():
+        print(tag, row.asDict())
+
+
+def _fields(spark: SparkSession, args: argparse.Namespace, variables: Sequence[str]) -> DataFrame:
+    """Stored fields, and the preferred files of a tree."""
+    parts = [read_field(spark, p) for p in args.fields]
+    if args.root:
+        chosen = ingest.choose_files(spark, args.root, variables, args.experiment, args.leaf, args.raw)
+        _report(chosen.where("is_raw").select("path"), "[RAW]")
+        parts.append(ingest.load_chosen(spark, chosen))
+    if not parts:
+        raise SystemExit("give --fields or --root")
+    df = parts[0]
+    for p in parts[1:]:
+        df = df.unionByName(p, allowMissingColumns=True)
+    return df
+
+
 def _raw(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     wanted = csv_items(args.vars) or list(SOURCE_ALIASES[args.source])
     if args.source == "cmip6":
@@ -73,6 +93,8 @@ def anom(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def uasmax(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.source == "cmip6":
+        if not args.dry_run:
+            _report(ingest.daily_rejects(spark, args.root, args.experiment), "[SKIP]")
         daily = ingest.load_cmip6(spark, args.root, ("uas",), args.experiment, leaf="daily")
         for col, wanted in (("model", args.models), ("member", args.members)):
             if wanted:
@@ -123,24 +145,19 @@ def scenarios(spark: SparkSession, args: argparse.Namespace) -> None:
     both = [ingest.load_cmip6(spark, args.root, wanted, leaf=args.leaf).where(F.col("exp") == e)
             for e in ("historical", "ssp370")]
     if not args.dry_run:
-        for row in ingest.unpaired_series(*both, exclude=csv_items(args.exclude)).toLocalIterator():
-            print("[WARN]", row.asDict())
+        _report(ingest.unpaired_series(*both, exclude=csv_items(args.exclude)), "[WARN]")
     out = ingest.union_scenarios(*both, exclude=csv_items(args.exclude))
     _publish(spark, out, args, "historical and scenario periods joined", by=("model", "var"))
 
 
 def inputs(spark: SparkSession, args: argparse.Namespace) -> None:
-    parts = [read_field(spark, p) for p in args.fields]
-    df = parts[0]
-    for p in parts[1:]:
-        df = df.unionByName(p, allowMissingColumns=True)
     variables = csv_items(args.vars) or list(VAR_ORDER)
+    df = _fields(spark, args, variables)
     keys = [c for c in GROUP if c in df.columns]
     if keys:
         out, bad = predictors.predictor_job(
             df, keys, variables, fill=args.fill, start=args.start, end=args.end)
-        for row in bad.toLocalIterator():
-            print("[FAIL]", row.asDict())
+        _report(bad, "[FAIL]")
     else:
         out = predictors.reanalysis_job(
             df, df.limit(0), variables, fill=args.fill, start=args.start, end=args.end)
@@ -148,7 +165,7 @@ def inputs(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def target(spark: SparkSession, args: argparse.Namespace) -> None:
-    df = spark.read.parquet(args.fields)
+    df = spark.read.parquet(*args.fields) if args.kind == "nino34" else _fields(spark, args, VAR_ORDER)
     if args.kind == "nino34":
         out = targets.index_series(df, args.start, args.end)
     elif "model" in df.columns:
@@ -156,12 +173,35 @@ def target(spark: SparkSession, args: argparse.Namespace) -> None:
             df, experiments=csv_items(args.experiments) or None, exclude=csv_items(args.exclude),
             start=args.start, end=args.end, mode=args.period_mode,
             inputs=spark.read.parquet(args.inputs) if args.inputs else None)
-        for row in bad.toLocalIterator():
-            print("[FAIL]", row.asDict())
+        _report(bad, "[FAIL]")
     else:
         out = targets.index_of_field(df.where(F.col("var") == "tos"), (), args.start, args.end)
     _publish(spark, out, args, "area-weighted mean 5S-5N, 170W-120W", ("nino34",), (),
-             {"long_name": "Niño3.4 index", "region": "5S-5N, 170W-120W", "source": args.fields})
+             {"long_name": "Niño3.4 index", "region": "5S-5N, 170W-120W", "source": ",".join([*args.fields, *filter(None, [args.root])])})
+
+
+def split(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Both extended splits from stored fields, verified."""
+    fields = [read_field(spark, p) for p in (
+        args.ocean_held, args.ocean_added, args.validation_atmosphere, args.test_ocean, args.test_atmosphere)]
+    if args.dry_run:
+        splits.extend_raw(*fields[:2]).explain("formatted")
+        return
+    paths = splits.build_splits(
+        spark, args.out, *fields, spark.read.parquet(args.test_index), overwrite=args.overwrite,
+        **({"variables": csv_items(args.vars)} if args.vars else {}),
+        **{n: splits.Split(n, *w) for n in ("validation", "test") if (w := _window(getattr(args, n)))})
+    for name, path in paths.items():
+        print(name, path)
+
+
+def _window(text: str | None) -> tuple[str, str, int] | None:
+    """``start,end`` as months, and how many months that is."""
+    if not text:
+        return None
+    start, end = csv_items(text)
+    months = [int(m[:4]) * 12 + int(m[5:7]) for m in (start, end)]
+    return start, end, months[1] - months[0] + 1
 
 
 def qc(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -215,13 +255,16 @@ def build_parser() -> argparse.ArgumentParser:
     command(mlotst, temp=str, salt=str, temp_var=str, salt_var=str, temp_units=None, depth_units="m",
             source_name="custom", ref_depth=10.0, delta_sigma=0.03, zmax=1000.0, linear=bool)
     command(scenarios, root=str, vars=None, leaf="monthly", exclude=",".join(EXCLUDED_MODELS))
-    p = command(inputs, vars=None, start=None, end=None)
-    p.add_argument("--fields", nargs="+", required=True)
+    p = command(inputs, vars=None, start=None, end=None, root=None, experiment=None, leaf="monthly", raw=bool)
+    p.add_argument("--fields", nargs="+", default=[])
     p.add_argument("--fill", choices=("none", "ocean", "all"), default="none")
-    p = command(target, fields=str, start=None, end=None, inputs=None, experiments=None,
-                exclude=",".join(EXCLUDED_MODELS))
+    p = command(target, start=None, end=None, inputs=None, experiments=None, root=None, experiment=None,
+                leaf="monthly", raw=bool, exclude=",".join(EXCLUDED_MODELS))
+    p.add_argument("--fields", nargs="+", default=[])
     p.add_argument("--kind", choices=("tos", "nino34"), default="tos")
     p.add_argument("--period-mode", choices=("auto", "input", "common", "tos"), default="auto")
+    command(split, ocean_held=str, ocean_added=str, validation_atmosphere=str, test_ocean=str, test_atmosphere=str,
+            test_index=str, vars=None, validation=None, test=None)
     command(qc, fields=str, vars=None, frame_step=3)
     command(overview, root=str)
     return parser

@@ -6,8 +6,9 @@ import logging
 import os
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from halocline.functions import names as N
 from halocline.functions.calendar import month_start
 from halocline.operators.merge import union_in_time
 from halocline.operators.sizing import small_side
@@ -52,27 +53,72 @@ def load_fixed(spark: SparkSession, source: str, root: str, files: Mapping[str,
     return df.select(F.lit(source).alias("source"), *FIELD, *POSITION.values())
 
 
+def _paths_by(chosen: DataFrame, var: str) -> dict[str, list[str]]:
+    """The listing is the file plan; its size is the number of files."""
+    by_var: dict[str, list[str]] = {}
+    for row in chosen.select(var, "path").toLocalIterator():
+        by_var.setdefault(row[var], []).append(row["path"])
+    return by_var
+
+
+def _read_by_variable(spark: SparkSession, by_var: Mapping[str, Sequence[str]]) -> list[DataFrame]:
+    return [
+        read_netcdf(spark, sorted(paths), f"{var},").withColumn("var", F.lit(var))
+        for var, paths in by_var.items()
+    ]
+
+
+def daily_problem() -> Column:
+    """What a daily wind file's name has against its folders; NULL if nothing."""
+    return N.daily_parts(F.col("name"), F.col("model"), F.col("member"))["problem"]
+
+
+def daily_rejects(spark: SparkSession, root: str, experiment: str | None = None) -> DataFrame:
+    """(path, problem) of daily files that ``load_cmip6`` leaves out."""
+    listing = catalog.with_groups(catalog.list_files(spark, root), experiment, "daily")
+    return listing.select("path", daily_problem().alias("problem")).where("problem is not null")
+
+
+def choose_files(spark: SparkSession, root: str, variables: Sequence[str], experiment: str | None = None,
+                 leaf: str = "monthly", allow_raw: bool = False, instead: DataFrame | None = None) -> DataFrame:
+    """The best file of every dataset and variable in a tree: (exp, model, member, var, path, is_raw).
+
+    Anomalies come before raw files, which count only if allowed; files of ``instead`` win.
+    """
+    keys = ["exp", "model", "member"]
+    listing = catalog.with_groups(catalog.list_files(spark, root), experiment, leaf)
+    best = catalog.preferred_files(listing, keys, variables, allow_raw)
+    return catalog.later_wins(best, instead.select(best.columns), [*keys, "var"]) if instead is not None else best
+
+
+def load_chosen(spark: SparkSession, chosen: DataFrame) -> DataFrame:
+    """The fields of the files that ``choose_files`` found."""
+    by_var = _paths_by(chosen, "var")
+    if not by_var:
+        raise FileNotFoundError("no file was chosen")
+    named = chosen.select("path", "exp", "model", "member")
+    df = union_in_time(*_read_by_variable(spark, by_var)).join(small_side(named), "path")
+    return df.withColumn("time", month_start("time")).select("exp", "model", "member", *FIELD)
+
+
 def load_cmip6(spark: SparkSession, root: str, variables: Sequence[str], experiment: str | None = None,
                leaf: str = "monthly") -> DataFrame:
     """All models, members and variables of a CMIP6 tree in one DataFrame.
 
-    The variable is the file stem up to the first underscore.  File steps become
+    The variable is the file stem up to the first underscore.  Daily files whose name disagrees with
+    their folders are left out (see ``daily_rejects``).  File steps become
     time positions where every series is one file; otherwise the positions are
     left to be found on the joined axis.
     """
     listing = catalog.with_groups(catalog.list_files(spark, root), experiment, leaf)
     kept = listing.withColumn("var", F.split("name", "_")[0]).where(F.col("var").isin(*variables))
+    if leaf == "daily":
+        kept = kept.where(daily_problem().isNull())
     chosen = kept.select("path", "exp", "model", "member", F.col("var").alias("wanted"))
-    # The listing is the file plan; its size is the number of files.
-    by_var: dict[str, list[str]] = {}
-    for row in chosen.select("wanted", "path").toLocalIterator():
-        by_var.setdefault(row["wanted"], []).append(row["path"])
+    by_var = _paths_by(chosen, "wanted")
     if not by_var:
         raise FileNotFoundError(f"no {leaf} files of {list(variables)} under {root}")
-    parts = [
-        read_netcdf(spark, sorted(paths), f"{var},").withColumn("var", F.lit(var))
-        for var, paths in by_var.items()
-    ]
+    parts = _read_by_variable(spark, by_var)
     # Dataset names come straight from the path: no join of the cube with the listing.
     bits = F.split("path", "/")
     named = union_in_time(*parts).withColumns({

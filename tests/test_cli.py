@@ -1,5 +1,6 @@
 import numpy as np
 from conftest import month
+from pyspark.sql import functions as F
 from test_storage_jobs import save
 
 from halocline.cli import main
@@ -53,6 +54,60 @@ def test_columns_and_winds(spark, tmp_path):
     assert {r[0] for r in spark.read.parquet(p("uasmax")).select("var").distinct().collect()} == {"uasmax"}
 
 
+def test_inputs_and_target_of_a_tree(spark, tmp_path, capsys):
+    """Anomalies are preferred, raw files only where allowed, a dataset without a variable is reported."""
+    rng = np.random.default_rng(2)
+    lat, lon = [-3.0, 3], [200.0, 220]
+    tree = tmp_path / "tree" / "historical"
+    for model, names in (("A", ("tos_a.anom_1x2.nc", "tos_a.nc", "psl.200001-200112.anom_1x2.nc")), ("B", ("tos_b.anom_1x2.nc", "psl_b.nc"))):
+        for name in names:
+            shift = 0 if "anom" in name else 100
+            save(tree / model / "r1" / "monthly" / name, shift + rng.normal(size=(24, 2, 2)), name[:3], lat, lon)
+    p = lambda n: str(tmp_path / n)
+    main(["inputs", "--root", p("tree"), "--vars", "tos,psl", "--out", p("strict")])
+    assert "missing psl" in capsys.readouterr().out
+    assert {r["model"] for r in spark.read.parquet(p("strict")).select("model").distinct().collect()} == {"A"}
+    main(["inputs", "--root", p("tree"), "--vars", "tos,psl", "--raw", "--out", p("loose")])
+    assert "psl_b.nc" in capsys.readouterr().out
+    both = spark.read.parquet(p("loose"))
+    assert both.count() == 2 * 24 * 4 and both.where("abs(tos) > 50").count() == 0 and both.where("psl > 50").count() == 96
+    main(["target", "--root", p("tree"), "--raw", "--out", p("target"), "--period-mode", "tos"])
+    assert spark.read.parquet(p("target")).count() == 48
+
+
+def test_daily_names_are_checked_against_folders(spark, tmp_path, capsys):
+    rng = np.random.default_rng(3)
+    folder = tmp_path / "historical" / "M" / "r1i1p1f1" / "daily"
+    lat, lon = np.linspace(-10, 10, 6), np.linspace(180, 250, 8)
+    save(folder / "uas_day_M_historical_r1i1p1f1_gn_time.nc", rng.normal(size=(24, 6, 8)), "uas", lat, lon)
+    save(folder / "uas_day_M_historical_r2i1p1f1_gn_time.nc", 50 + rng.normal(size=(24, 6, 8)), "uas", lat, lon)
+    main(["uasmax", "--source", "cmip6", "--root", str(tmp_path), "--out", str(tmp_path / "out")])
+    assert "member folder mismatch" in capsys.readouterr().out
+    assert spark.read.parquet(str(tmp_path / "out")).where("abs(value) > 20").count() == 0
+
+
+def test_split_command(spark, tmp_path, make_field):
+    rng = np.random.default_rng(4)
+    lat, lon = [-8.0, 0, 8], [190.0, 210, 230]
+    p = lambda n: str(tmp_path / n)
+    from halocline.schema import TargetGrid
+    t = TargetGrid()
+    grid = [t.lat0 + i * t.dlat for i in (55, 56)], [t.lon0 + i * t.dlon for i in (100, 101)]
+    for name, n, start, var, where in (("held", 24, 2000, "tos", (lat, lon)), ("added", 24, 2002, "tos", (lat, lon)), ("air", 60, 2000, "psl", None),
+                                       ("sea", 24, 2005, "tos", grid), ("air2", 24, 2005, "psl", grid)):
+        if where is None:
+            df = make_field(rng.normal(size=(n, 1, 1)), var=var, start=start).withColumns({"iy": F.lit(60), "ix": F.lit(105)})
+        else:
+            df = make_field(rng.normal(size=(n, len(where[0]), len(where[1]))), *where, var=var, start=start)
+        df.write.parquet(p(name))
+    spark.createDataFrame([(month(i, 2004), 1.0) for i in range(40)], "time timestamp_ntz, nino34 double").write.parquet(p("index"))
+    main(["split", "--ocean-held", p("held"), "--ocean-added", p("added"), "--validation-atmosphere", p("air"), "--test-ocean", p("sea"),
+          "--test-atmosphere", p("air2"), "--test-index", p("index"), "--vars", "tos,psl", "--validation", "2000-01,2003-12",
+          "--test", "2005-01,2006-12", "--out", p("out")])
+    assert spark.read.parquet(p("out") + "/validation_input").count() == 48
+    assert spark.read.parquet(p("out") + "/test_target").count() == 24
+
+
 def test_overview_command(spark, tmp_path):
     d = tmp_path / "configs/experiments/a"
     d.mkdir(parents=True)
