@@ -11,6 +11,10 @@ from halocline.operators.sizing import need_keys, small_side
 from halocline.schema import CELL
 
 
+#: Parts into which a dataset's cells are dealt where they meet its time axis.
+SALTS = 64
+
+
 def _axis_arrays(df: DataFrame, keys: list[str], counted: Sequence[str] = ()) -> DataFrame:
     """(keys, _axis): the sorted distinct times of each dataset.
 
@@ -65,7 +69,11 @@ def densify(
     df = df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in at]))
     axis = _axis_arrays(df, keys, values)
     cells = _counted(df, [*keys, *cell], values, *[F.min(c).alias(c) for c in coords])
-    frame = cells.join(axis, keys).select(
+    # A dataset's cells are spread over SALTS parts, each with its own copy of the axis, so that
+    # the largest dataset is not exploded to its cube in one task.
+    salted = cells.withColumn("_salt", F.pmod(F.hash(*cell), F.lit(SALTS)))
+    copies = axis.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    frame = salted.join(copies, [*keys, "_salt"]).select(
         *keys, *cell, *coords, F.size("_axis").alias("n_time"),
         F.posexplode("_axis").alias("t_idx", "time"))
     return frame.join(df.select(*at, *values), at, "left").select(
