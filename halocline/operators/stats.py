@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from halocline.functions.calendar import day_label
 from halocline.operators.merge import sampled_steps
-from halocline.operators.sizing import need_keys, settle, small_side
+from halocline.operators.sizing import BROADCAST_ROWS, need_keys, settle, small_side
 
 # Rank error of the bracketing sketch is at most 1/accuracy of the group.
 ACCURACY = 10_000
@@ -23,38 +23,48 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], probs: Sequence[float],
     Here a fixed-size sketch first brackets the wanted ranks; one more pass counts
     what lies below and keeps only the bracket, itself cut into slices of which
     only those holding the two ranks are ordered.  The sketch's rank error is
-    bounded, so the bracket always holds them and the result is exact.  ``df`` is
-    read three times: pass a stored field rather than a long derivation.
+    bounded, so the bracket always holds them and the result is exact.  The ends of
+    the range are the least and the greatest value and need no bracket, which with
+    heavy tails would be one crowded slice.  ``df`` is read three times (once for the
+    ends alone): pass a stored field rather than a long derivation.
     """
     keys = need_keys(keys)
     data = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
     slack = 2.0 / accuracy
     asked = [float(p) for p in probs]
-    lows = [max(p - slack, 0.0) for p in asked]
-    highs = [min(p + slack, 1.0) for p in asked]
+    inner = [p for p in asked if 0 < p < 1]
+    lows = [max(p - slack, 0.0) for p in inner]
+    highs = [min(p + slack, 1.0) for p in inner]
 
     def sketch(ps: Sequence[float]):
-        return F.percentile_approx("_v", [float(p) for p in ps], accuracy)
-
+        return F.percentile_approx("_v", ps, accuracy) if ps else F.array().cast("array<double>")
+
+    # A row for each group, read by the ends and by the brackets.
+    base = settle(data.groupBy(*keys).agg(
+        F.count("*").alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
+        sketch(lows).alias("_lo"), sketch(highs).alias("_hi")))
+    ends = [F.struct(F.lit(p).alias("p"), F.col("_min" if p == 0 else "_max").alias("quantile")) for p in asked if p in (0.0, 1.0)]
+    outer = base.select(*keys, F.inline(F.array(*ends))) if ends else None
+    if not inner:
+        return outer
     # A group smaller than the sketch is bracketed by its own range.
     tiny = F.col("_n") < 4 * accuracy
     brackets = (
-        data.groupBy(*keys)
-        .agg(F.count("*").alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
-             sketch(lows).alias("_lo"), sketch(highs).alias("_hi"))
-        .select(*keys, "_n", "_min", "_max", F.posexplode(F.arrays_zip("_lo", "_hi")).alias("_i", "_b"))
+        base.select(*keys, "_n", "_min", "_max", F.posexplode(F.arrays_zip("_lo", "_hi")).alias("_i", "_b"))
         .select(
             *keys, "_n",
-            F.element_at(F.array(*[F.lit(p) for p in asked]), F.col("_i") + 1).alias("p"),
+            F.element_at(F.array(*[F.lit(p) for p in inner]), F.col("_i") + 1).alias("p"),
             F.when(tiny, F.col("_min")).otherwise(F.col("_b._lo")).alias("_lo"),
             F.when(tiny, F.col("_max")).otherwise(F.col("_b._hi")).alias("_hi"),
         )
         .withColumn("_rank", F.col("p") * (F.col("_n") - 1))
         .withColumn("_k", F.floor("_rank"))
     )
+    if brackets.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        brackets = F.broadcast(brackets)
     # Two rows per probability at most are emitted for any value, and those above
     # the bracket are dropped at once.
-    hits = data.join(small_side(brackets), keys).where(F.col("_v") <= F.col("_hi"))
+    hits = data.join(brackets, keys).where(F.col("_v") <= F.col("_hi"))
     width = F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0e0))
     part = F.coalesce(F.floor((F.col("_v") - F.col("_lo")) / width * SPLITS), F.lit(0))
     part = F.when(F.col("_v") < F.col("_lo"), F.lit(-1)).otherwise(part)
@@ -83,8 +93,9 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], probs: Sequence[float],
     first = F.min(F.when(F.col("_upto") > F.col("_k"), F.col("_v")))
     second = F.min(F.when(F.col("_upto") > F.col("_k") + 1, F.col("_v")))
     frac = F.min("_rank") - F.min("_k")
-    return ordered.groupBy(*group).agg(
+    found = ordered.groupBy(*group).agg(
         (first + frac * (F.coalesce(second, first) - first)).alias("quantile"))
+    return found.unionByName(outer) if outer is not None else found
 
 
 def symmetric_limits(df: DataFrame, keys: Sequence[str], value: str = "value",

@@ -122,3 +122,15 @@ def test_hot_cell_in_raw_rows(spark):
     out = series.monthly(hot, ["var"], "max")
     assert out.where("ix = 0").collect()[0]["value"] == 19_998.0
     assert out._jdf.queryExecution().executedPlan().toString().count("partial_max") >= 1
+
+
+def test_quantiles_with_heavy_tails(spark):
+    """A few huge values stretch the range; the ends are exact and the inner ranks too."""
+    rng = np.random.default_rng(6)
+    v = np.concatenate([rng.normal(size=20_000), [1e12, -1e15, 3e14]])
+    df = spark.createDataFrame([("g", float(x)) for x in v], "k string, value double")
+    got = {r["p"]: r["quantile"] for r in stats.exact_quantiles(df, ["k"], (0.0, 0.001, 0.5, 0.999, 1.0), accuracy=1000).collect()}
+    for p, q in got.items():
+        assert q == pytest.approx(np.quantile(v, p), rel=1e-12)
+    ends = stats.exact_quantiles(df, ["k"], (1.0,)).collect()
+    assert [(r["p"], r["quantile"]) for r in ends] == [(1.0, 1e12 * 300)]
