@@ -14,16 +14,19 @@ from halocline.schema import CELL
 
 
 def surface_level(df: DataFrame, dataset: Sequence[str], value: str = "value", lev: str = "lev",
-                  cell: Sequence[str] = CELL, depths: DataFrame | None = None) -> DataFrame:
+                  cell: Sequence[str] = CELL, depths: DataFrame | None = None,
+                  carry: Sequence[str] = ()) -> DataFrame:
     """Value at the shallowest level of each dataset, missing or not.
 
     The shallowest level belongs to the shared axis, not to the cell, so it is
     found once per dataset and the cube is only filtered: no shuffle of the cube.
     ``depths`` (dataset, lev), where known from elsewhere, spares a pass over ``df``.
+    ``carry`` names further columns to keep.
     """
     keys = need_keys(dataset)
     top = (df if depths is None else depths).groupBy(*keys).agg(F.min(lev).alias(lev))
-    return df.join(small_side(top), [*keys, lev]).select(*keys, *cell, "time", "lat", "lon", lev, value)
+    return df.join(small_side(top), [*keys, lev]).select(
+        *dict.fromkeys([*keys, *cell, "time", "lat", "lon", lev, value, *carry]))
 
 
 def first_level(df: DataFrame, index: str = "lev_idx") -> DataFrame:
@@ -54,13 +57,15 @@ def heat_content(
     mask_shallow: bool = False,
     shallow_eps: float = 1e-3,
     depths: DataFrame | None = None,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Integral of temperature over 0..zmax times rho0*cp0, per cell and time.
 
     A missing layer counts as 0 and an all-missing column is NULL.  With
     ``mask_shallow`` a cell must also be wet down to ``zmax`` at the first time
     step of its dataset.  ``depths`` (dataset, lev), where known from elsewhere,
-    spares a pass over ``df``; so does a t_idx column for the mask.
+    spares a pass over ``df``; so does a t_idx column for the mask.  ``carry`` names
+    columns that are the same on all levels of a column of water and go along.
     """
     keys = need_keys(dataset)
     thick = layer_thickness(df if depths is None else depths, keys, zmax, lev=lev).select(*keys, lev, "dz")
@@ -72,6 +77,7 @@ def heat_content(
             F.count(t) > 0,
             F.sum(F.coalesce(t, F.lit(0e0)) * F.col("dz")) * F.lit(float(rho0) * float(cp0)),
         ).alias("ohc"),
+        *[F.min(c).alias(c) for c in carry],
     )
     if not mask_shallow:
         return out
@@ -105,6 +111,7 @@ def mixed_layer_depth(
     delta_sigma: float = 0.03,
     zmax: float = 1000.0,
     density: Callable[[DataFrame, str, str, str], DataFrame] = with_sigma0,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Depth where density first reaches that at ``ref_depth`` plus ``delta_sigma``.
 
@@ -112,7 +119,7 @@ def mixed_layer_depth(
     is interpolated.  NULL where fewer than two levels are valid, where the
     reference depth is not strictly inside the valid range, or where no level
     reaches the threshold.  ``density(df, salinity, temperature, out)`` adds the
-    density column.  One exchange and one sort by column; a column is at
+    density column.  ``carry`` names columns that are the same on all levels and go along.  One exchange and one sort by column; a column is at
     most one depth axis long.
     """
     column = [*dataset, *cell, "time"]
@@ -123,7 +130,7 @@ def mixed_layer_depth(
     )
     # Single-precision inputs, double-precision arithmetic.
     rows = df.select(
-        *column, "lat", "lon", F.when(usable, z).alias("_z"), (~usable).alias("_gap"),
+        *column, "lat", "lon", *carry, F.when(usable, z).alias("_z"), (~usable).alias("_gap"),
         *[F.when(usable, F.col(c).cast("float").cast("double")).alias(n)
           for c, n in ((salinity, "_salt"), (temperature, "_temp"))],
     )
@@ -153,4 +160,5 @@ def mixed_layer_depth(
     crossing = F.when(d1 >= 0, F.struct("_z", F.coalesce(between, F.col("_z")).alias("_mld")))
     return rows.groupBy(*column).agg(
         F.min("lat").alias("lat"), F.min("lon").alias("lon"), F.min(crossing)["_mld"].alias("mld"),
+        *[F.min(c).alias(c) for c in carry],
     )

@@ -158,3 +158,15 @@ def test_heat_content_job_kelvin_rule(spark):
     kelvin = C.heat_content_job(df, ["var"], "K").collect()[0]["value"]
     loose = C.heat_content_job(df, ["var"], "degrees kelvin").collect()[0]["value"]
     assert kelvin == pytest.approx(150 * 1025.0 * 3992.0) and loose > kelvin * 200
+
+
+def test_auxiliary_columns_go_along(spark):
+    df = profile(spark, [5.0, 15, 400], [([9, 8, 7], [34, 34.5, 36]), ([9, 8, 7], [34, 34.5, 36])]).withColumn(
+        "basin", F.concat(F.lit("b"), F.col("ix")))
+    outs = (
+        vertical.surface_level(df, ["var"], "temp", carry=["basin"]),
+        vertical.heat_content(df, ["var"], "temp", carry=["basin"]),
+        vertical.mixed_layer_depth(df, ["var"], carry=["basin"]),
+    )
+    for out in outs:
+        assert {(r["ix"], r["basin"]) for r in out.collect()} == {(0, "b0"), (1, "b1")}
