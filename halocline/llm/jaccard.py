@@ -1,15 +1,19 @@
-"""Exact n-gram Jaccard join: size-banded tiles, hashed bitmap signatures, then sorted-array intersection.
+"""N-gram Jaccard join: size-banded tiles, hashed bitmap signatures, then sorted-array intersection.
 
 A document's set holds the hashes of its distinct word shingles.  Equal sets are one
 class, found by a fingerprint and represented by its smallest id.
 
 *Families.*  Linked sets differ in few shingles, so of more parts than that, into which
-a hash deals the shingles, some agree as a whole.  Representatives are dealt by
-(size band, part, hash of the part); those that meet anywhere form a family, and every
-link lies within a family.  Parts of fewer than two shingles say little; up to the
-spare number of parts are left out, and a set with more of those deals them too, so no
-link is lost: agreeing parts outnumber the spare ones, and agreeing parts are equally
-weak on both sides.
+a hash deals the shingles, some agree as a whole.  Sets are dealt by (size band, part,
+hash of the part); those that meet anywhere form a family, and links lie within a
+family.  Parts of fewer than two shingles say little; up to the spare number of parts
+are left out, and a set with more of those deals them too, so no link is lost:
+agreeing parts outnumber the spare ones, and agreeing parts are equally weak on both
+sides.  This is exact while parts keep about PART shingles, which holds at similarities
+from about 0.88 up.  Below that, parts of PART shingles (LESS in small sets) are dealt
+without that guarantee: at 0.8, the worst case, a part of a large set still agrees with
+probability 0.3, so of 100 shingles or more fewer than one pair in 200 has none, and
+of 200 or more fewer than one in 10,000; a test measures it.
 
 *Tiles.*  A family is cut into size bands and hashed blocks; two blocks of one band or
 of neighbouring bands make a tile, the only place where their sets are compared.
@@ -39,6 +43,8 @@ BAND_GROWTH = 1.25
 #: Sets in a block of a family; a tile compares two blocks.
 BLOCK = 512
 BITMAP_WORDS = 16
+#: Shingles in a part where differences leave fewer in an exact one; in sets of fewer than SMALL shingles, LESS.
+PART, LESS, SMALL = 6, 3, 120
 
 
 @lru_cache(maxsize=None)
@@ -56,6 +62,17 @@ def most_different(band: int, share: tuple[int, int]) -> int:
     return 2 * largest * (q - p) // (q + p)
 
 
+def parts_of(band: int, share: tuple[int, int]) -> tuple[int, int]:
+    """Parts that a band deals its sets into, and how many of them a set may leave out; -1: all weak ones."""
+    h = most_different(band, share)
+    spare = 1 + h // 12
+    largest = int(band_edges()[band + 1]) - 1
+    part = PART if largest >= SMALL else LESS
+    if (h + 1 + spare) * part <= largest or largest < 8 * LESS:
+        return h + 1 + spare, spare
+    return largest // part, -1
+
+
 def tiles_of(size: int, share: tuple[int, int]) -> list[int]:
     """The bands in which a set of this size can be the smaller or larger of two linked sets."""
     p, q = share
@@ -73,9 +90,7 @@ def signatures(s: np.ndarray, share: tuple[int, int]) -> np.ndarray:
     """Hashes of the parts that a set deals, for every band that it takes part in."""
     out = []
     for band in tiles_of(len(s), share):
-        h = most_different(band, share)
-        spare = 1 + h // 12
-        k = h + 1 + spare
+        k, spare = parts_of(band, share)
         part = ((s >> np.uint64(20)) % np.uint64(k)).astype(np.int64)
         count = np.bincount(part, minlength=k)
         order = np.argsort(part, kind="stable")
@@ -86,7 +101,7 @@ def signatures(s: np.ndarray, share: tuple[int, int]) -> np.ndarray:
                 total[filled] = np.add.reduceat(mix(s[order]), np.r_[0, np.cumsum(count[filled])[:-1]])
             key = mix(total ^ mix(np.arange(k, dtype=np.uint64) + np.uint64((band + 1) << 32)))
         weak = count < 2
-        out.append(key if weak.sum() > spare else key[~weak])
+        out.append(key if 0 <= spare < weak.sum() else key[~weak])
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
@@ -96,23 +111,39 @@ def set_of(text: str, words: WordHashes, k: int) -> np.ndarray:
     return np.unique(shingles(np.array([words[w] for w in own], np.uint64), k))
 
 
-def _sets(k: int, share: tuple[int, int]):
+def _fingerprint(s: np.ndarray) -> tuple[int, int, int]:
+    with np.errstate(over="ignore"):
+        a, b = (int(mix(s ^ np.uint64(x)).sum(dtype=np.uint64)) for x in (0, 0x5851F42D4C957F2D))
+    return len(s), a, b
+
+
+def _sets(k: int):
+    """``doc_id, n_shingles, f1, f2`` of every document."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
         for batch, texts in columns_of(batches):
-            n, first, second, sigs = [], [], [], []
-            for text in texts:
-                s = set_of(text, words, k)
-                with np.errstate(over="ignore"):
-                    a, b = (int(mix(s ^ np.uint64(x)).sum(dtype=np.uint64)) for x in (0, 0x5851F42D4C957F2D))
-                n.append(len(s))
-                first.append(a)
-                second.append(b)
-                sigs.append(signatures(s, share).view(np.int64))
+            n, a, b = zip(*(_fingerprint(set_of(t, words, k)) for t in texts), strict=True)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(np.array(first, np.uint64).view(np.int64)),
-                 pa.array(np.array(second, np.uint64).view(np.int64)), pa.array(sigs, pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "f1", "f2", "sigs"])
+                [batch.column(0), pa.array(n, pa.int64()), *(pa.array(np.array(f, np.uint64).view(np.int64)) for f in (a, b))],
+                ["doc_id", "n_shingles", "f1", "f2"])
+
+    return run
+
+
+def _dealt(k: int, share: tuple[int, int]):
+    """``sig, doc``: the signatures of every set, of equal sets of a batch once."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = WordHashes()
+        for batch, texts in columns_of(batches):
+            seen, sigs, docs = set(), [], []
+            for doc, text in zip(batch.column(0).to_pylist(), texts, strict=True):
+                s = set_of(text, words, k)
+                if len(s) and (f := _fingerprint(s)) not in seen:
+                    seen.add(f)
+                    sigs.append(signatures(s, share).view(np.int64))
+                    docs.append(np.full(len(sigs[-1]), doc, np.int64))
+            if sigs:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs)), pa.array(np.concatenate(docs))], ["sig", "doc"])
 
     return run
 
@@ -212,11 +243,8 @@ def _arrays(k: int):
 
 
 def _tiled(family: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """``doc, family, band, blocks``: how many blocks the band of the family has, and its neighbours.
-
-    A family of at most BLOCK sets is a single tile: band 0, one block.
-    """
-    sized = family.groupBy("family").agg(F.count("*").alias("members"))
+    """Adds ``band`` to families of several sets; one of at most BLOCK sets is a single tile, in band 0."""
+    sized = family.groupBy("family").agg(F.count("*").alias("members")).where("members > 1")
     p, q = share
     band = F.floor(F.log(F.col("n_shingles").cast("double")) / float(np.log(q / p)) * (1 - 1e-12)).cast("int")
     return family.join(sized, "family").withColumn("band", F.when(F.col("members") <= BLOCK, F.lit(0)).otherwise(band))
@@ -225,15 +253,16 @@ def _tiled(family: DataFrame, share: tuple[int, int]) -> DataFrame:
 def components(docs: DataFrame, k: int = WORDS_IN_SHINGLE, share: tuple[int, int] = SHARE) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row; sets link at a Jaccard similarity of ``share`` or more."""
     docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text")
-    sets = stored(docs.mapInArrow(_sets(k, share), "doc_id long, n_shingles long, f1 long, f2 long, sigs array<long>"), "jaccard-sets")
+    sets = stored(docs.mapInArrow(_sets(k), "doc_id long, n_shingles long, f1 long, f2 long"), "jaccard-sets")
     real = sets.where("n_shingles > 0 and doc_id is not null")
     # a repeated id with several texts has several classes, which its rows join
-    classes = stored(real.groupBy("n_shingles", "f1", "f2").agg(F.min(F.struct("doc_id", "sigs")).alias("m")).select(
-        "n_shingles", "f1", "f2", F.col("m.doc_id").alias("rep"), F.col("m.sigs").alias("sigs")), "jaccard-classes")
-    dealt = classes.select(F.explode("sigs").alias("sig"), F.col("rep").alias("doc"))
+    classes = stored(real.groupBy("n_shingles", "f1", "f2").agg(F.min("doc_id").alias("rep")), "jaccard-classes")
+    dealt = docs.where("doc_id is not null").mapInArrow(_dealt(k, share), "sig long, doc long")
     met = dealt.repartition("sig").sortWithinPartitions("sig", "doc").mapInArrow(_stars, EDGES)
-    family = stored(connected(met, "jaccard-families").select(F.col("node").alias("rep"), F.col("component").alias("family")),
-                    "jaccard-family")
+    # whichever copy dealt the signatures, its representative belongs to the family
+    copies = real.join(classes, ["n_shingles", "f1", "f2"]).select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).where("a <> b")
+    family = stored(connected(met.union(copies), "jaccard-families").select(
+        F.col("node").alias("rep"), F.col("component").alias("family")), "jaccard-family")
     members = _tiled(classes.select("rep", "n_shingles").join(family, "rep").groupBy("rep", "family").agg(
         F.max("n_shingles").alias("n_shingles")), share)
     # the texts of representatives that have a family, once each
@@ -261,7 +290,7 @@ def components(docs: DataFrame, k: int = WORDS_IN_SHINGLE, share: tuple[int, int
     links = spread.repartition("tile").sortWithinPartitions("tile", "doc").mapInArrow(_verify(share), EDGES)
     # rows of one class, and links between classes
     own = connected(links, "jaccard-links")
-    reps = sets.join(classes.drop("sigs"), ["n_shingles", "f1", "f2"], "left").join(
+    reps = sets.join(classes, ["n_shingles", "f1", "f2"], "left").join(
         own.withColumnRenamed("node", "rep"), "rep", "left")
     return reps.select("doc_id", "n_shingles", F.when(
         (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.coalesce("component", "rep")).otherwise(F.col("doc_id")).alias("component_id"))
@@ -272,13 +301,13 @@ def op4_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
 
 
 SQL = r"""
-WITH RECURSIVE w AS (
+WITH RECURSIVE w AS MATERIALIZED (
   SELECT doc_id, [x FOR x IN regexp_split_to_array(translate(coalesce(text, ''),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') IF x <> ''] AS ws FROM documents),
-s AS (
+s AS MATERIALIZED (
   SELECT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
-    ELSE list_distinct([array_to_string(ws[i:i+2], ' ') FOR i IN range(1, len(ws) - 1)]) END) AS sh FROM w),
-n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    ELSE list_distinct([ws[i] || ' ' || ws[i+1] || ' ' || ws[i+2] FOR i IN range(1, len(ws) - 1)]) END) AS sh FROM w),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 p AS (
   SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM (s JOIN n USING (doc_id)) a JOIN (s JOIN n USING (doc_id)) b
     ON a.sh = b.sh AND a.doc_id < b.doc_id AND 9 * a.n <= 10 * b.n AND 9 * b.n <= 10 * a.n GROUP BY 1, 2),
