@@ -29,7 +29,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from halocline.llm.shared import WordHashes, ascii_lower_words, columns_of, fresh, read, shingles, stored
+from halocline.llm.shared import (
+    WordHashes, ascii_lower_words, columns_of, fresh, read, shingles, stored, text_slices,
+)
 
 K, WINDOW = 5, 8
 LEAST, SHARE = 50, 0.8
@@ -382,22 +384,27 @@ def without_repeats(docs: DataFrame, passages: DataFrame) -> DataFrame:
     joined = docs.join(spans, docs["doc_id"].cast("long") == spans[key], "left").drop(key)
     at, names = docs.columns.index("text"), docs.columns
 
+    def cut(batch: pa.RecordBatch, texts: list[str]) -> pa.RecordBatch:
+        spans = batch.column(batch.num_columns - 1).to_pylist()
+        columns, keep = list(batch.columns[:-1]), np.ones(batch.num_rows, bool)
+        changed = [i for i, own in enumerate(spans) if own and texts[i]]
+        if changed:
+            held = columns[at].to_pylist()
+            sizes = columns[names.index("n_chars")].to_pylist() if "n_chars" in names else None
+            for i in changed:
+                held[i] = cut_words(texts[i], [(s["start_word"], s["end_word"]) for s in spans[i]])
+                keep[i] = bool(held[i].strip())
+                if sizes is not None:
+                    sizes[i] = len(held[i])
+            columns[at] = pa.array(held, columns[at].type)
+            if sizes is not None:
+                columns[names.index("n_chars")] = pa.array(sizes, columns[names.index("n_chars")].type)
+        return pa.RecordBatch.from_arrays(columns, names).filter(pa.array(keep))
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            spans = batch.column(batch.num_columns - 1).to_pylist()
-            texts = batch.column(at).to_pylist()
-            keep = np.ones(batch.num_rows, bool)
-            for i, own in enumerate(spans):
-                if own and texts[i]:
-                    texts[i] = cut_words(texts[i], [(s["start_word"], s["end_word"]) for s in own])
-                    keep[i] = bool(texts[i].strip())
-            columns = list(batch.columns[:-1])
-            columns[at] = pa.array(texts, columns[at].type)
-            if "n_chars" in names:
-                n = names.index("n_chars")
-                old = columns[n].to_pylist()
-                columns[n] = pa.array([len(t or "") if s else o for t, s, o in zip(texts, spans, old, strict=True)], columns[n].type)
-            yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(keep))
+            for part, texts in text_slices(batch, at):
+                yield cut(part, texts)
 
     return joined.mapInArrow(run, docs.schema)
 

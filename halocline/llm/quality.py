@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from halocline.llm.shared import columns_of, held_out, read, stored
+from halocline.llm.shared import columns_of, held_out, read, stored, text_slices
 
 NAMES = ("words", "word_length", "upper", "symbols", "digits", "lone", "distinct", "repeats", "pairs", "entropy",
          "lines", "tails", "commonest")
@@ -191,9 +191,8 @@ def keep_good(docs: DataFrame, model: Discriminant, accept: float = ACCEPT) -> D
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                x = np.array([statistics(t or "") for t in batch.column(at).to_pylist()])
-                yield batch.filter(pa.array(model.score(x) >= accept))
+            for part, texts in text_slices(batch, at):
+                yield part.filter(pa.array(model.score(np.array([statistics(t) for t in texts])) >= accept))
 
     return docs.mapInArrow(run, docs.schema)
 

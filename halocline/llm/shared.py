@@ -17,7 +17,7 @@ from halocline.session import ensure_checkpoint_dir
 
 ROOT = Path(__file__).resolve().parents[2]
 #: Characters of text that a task holds as arrays at once; a longer text is a batch of its own.
-BATCH_CHARS = 1_500_000
+BATCH_CHARS = 1_000_000
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -68,16 +68,27 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
+def text_slices(batch: pa.RecordBatch, at: int, chars: int = BATCH_CHARS) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Successive slices of a batch with the texts of column ``at``, about ``chars`` characters in each; null is empty.
+
+    Texts become Python strings a few rows at a time, so a wide batch is never held twice.
+    """
+    start, size, texts = 0, 0, []
+    for low in range(0, batch.num_rows, 64):
+        for t in batch.column(at).slice(low, 64).to_pylist():
+            texts.append(t or "")
+            size += len(texts[-1])
+            if size >= chars:
+                yield batch.slice(start, len(texts)), texts
+                start, size, texts = start + len(texts), 0, []
+    if texts:
+        yield batch.slice(start, len(texts)), texts
+
+
 def columns_of(batches: Iterable[pa.RecordBatch], chars: int = BATCH_CHARS) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Cut batches whose last column is text so that a piece has about ``chars`` characters; null text is empty."""
+    """``text_slices`` of batches whose last column is the text."""
     for batch in batches:
-        texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
-        start = size = 0
-        for i, t in enumerate(texts):
-            size += len(t)
-            if size >= chars or i + 1 == len(texts):
-                yield batch.slice(start, i + 1 - start), texts[start:i + 1]
-                start, size = i + 1, 0
+        yield from text_slices(batch, batch.num_columns - 1, chars)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -94,7 +105,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """Word (bytes) to 64-bit hash, remembered for frequent words and bounded in size."""
 
-    MOST = 400_000
+    MOST = 150_000
 
     def __missing__(self, word: bytes) -> int:
         import xxhash
