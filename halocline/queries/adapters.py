@@ -3,7 +3,7 @@
 A supplier is a grid cell: suppliers are dealt to four ensemble members, and every
 216 of a member fill a 12 x 18 grid (10 x 20 degrees), after which four more members
 begin, so the number of cells grows with the data while each keeps about seven
-observations a month.  Members differ in their time axis (later by a month each), in
+observations a month.  The first cells lie at the equator.  Members differ in their time axis (later by a month each), in
 their depths and in the longitudes of their grids.  Orders are placed on the same
 cells by customer, fifteen customers to a cell.
 """
@@ -30,7 +30,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 def on_cells(df: DataFrame, key: str) -> DataFrame:
     return df.withColumns({
         "member": F.expr(f"{key} % 4 + 4 * ({key} div 864)"),
-        "iy": F.expr(f"int({key} div 4 % 12)"),
+        "iy": F.expr(f"int(({key} div 4 + 5) % 12)"),
         "ix": F.expr(f"int({key} div 48 % 18)"),
     })
 

@@ -14,7 +14,7 @@ SQL: dict[str, str] = {}
 
 
 def _cells(table: str, key: str, rest: str) -> str:
-    return (f"SELECT ({key}) % 4 + 4 * (({key}) // 864) AS member, CAST((({key}) // 4) % 12 AS INTEGER) AS iy, "
+    return (f"SELECT ({key}) % 4 + 4 * (({key}) // 864) AS member, CAST((({key}) // 4 + 5) % 12 AS INTEGER) AS iy, "
             f"CAST((({key}) // 48) % 18 AS INTEGER) AS ix, {rest} FROM {table}")
 
 
