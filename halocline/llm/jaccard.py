@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from halocline.llm.components import EDGES, connected
-from halocline.llm.shared import WordHashes, ascii_lower_words, columns_of, mix, read, shingles, stored
+from halocline.llm.shared import columns_of, mix, read, shingles, stored, word_hashes
 
 WORDS_IN_SHINGLE, SHARE = 3, (9, 10)
 BAND_GROWTH = 1.25
@@ -105,10 +105,9 @@ def signatures(s: np.ndarray, share: tuple[int, int]) -> np.ndarray:
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
-def set_of(text: str, words: WordHashes, k: int) -> np.ndarray:
+def set_of(text: str, k: int) -> np.ndarray:
     """Sorted distinct shingle hashes of a whole text."""
-    own = ascii_lower_words(text)
-    return np.unique(shingles(np.array([words[w] for w in own], np.uint64), k))
+    return np.unique(shingles(word_hashes(text), k))
 
 
 def _fingerprint(s: np.ndarray) -> tuple[int, int, int]:
@@ -120,9 +119,8 @@ def _fingerprint(s: np.ndarray) -> tuple[int, int, int]:
 def _sets(k: int):
     """``doc_id, n_shingles, f1, f2`` of every document."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHashes()
         for batch, texts in columns_of(batches):
-            n, a, b = zip(*(_fingerprint(set_of(t, words, k)) for t in texts), strict=True)
+            n, a, b = zip(*(_fingerprint(set_of(t, k)) for t in texts), strict=True)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), *(pa.array(np.array(f, np.uint64).view(np.int64)) for f in (a, b))],
                 ["doc_id", "n_shingles", "f1", "f2"])
@@ -133,11 +131,10 @@ def _sets(k: int):
 def _dealt(k: int, share: tuple[int, int]):
     """``sig, doc``: the signatures of every set, of equal sets of a batch once."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHashes()
         for batch, texts in columns_of(batches):
             seen, sigs, docs = set(), [], []
             for doc, text in zip(batch.column(0).to_pylist(), texts, strict=True):
-                s = set_of(text, words, k)
+                s = set_of(text, k)
                 if len(s) and (f := _fingerprint(s)) not in seen:
                     seen.add(f)
                     sigs.append(signatures(s, share).view(np.int64))
@@ -234,9 +231,8 @@ def _verify(share: tuple[int, int]):
 
 def _arrays(k: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHashes()
         for batch, texts in columns_of(batches):
-            sets = [set_of(t, words, k).tobytes() for t in texts]
+            sets = [set_of(t, k).tobytes() for t in texts]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(sets, pa.binary())], ["family", "band", "doc", "s"])
 
     return run

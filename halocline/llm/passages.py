@@ -29,9 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from halocline.llm.shared import (
-    WordHashes, ascii_lower_words, columns_of, fresh, read, shingles, stored, text_slices,
-)
+from halocline.llm.shared import columns_of, fresh, read, shingles, stored, text_slices, word_hashes
 
 K, WINDOW = 5, 8
 LEAST, SHARE = 50, 0.8
@@ -60,14 +58,13 @@ def winnow(h: np.ndarray, window: int) -> np.ndarray:
 
 def _seeds(k: int, window: int, least: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHashes()
         for batch, texts in columns_of(batches):
             hashes, docs, places = [], [], []
             for doc, text in zip(batch.column(0).to_pylist(), texts, strict=True):
-                own = ascii_lower_words(text)
+                own = word_hashes(text)
                 if len(own) < least:
                     continue
-                h = shingles(np.array([words[w] for w in own], np.uint64), k)
+                h = shingles(own, k)
                 at = winnow(h, window)
                 hashes.append(h[at].view(np.int64))
                 docs.append(np.full(len(at), doc, np.int64))
@@ -220,11 +217,10 @@ def _rows(rows: list[tuple], schema: str) -> pa.RecordBatch:
 
 def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Wanted blocks of each document's words, as 32-bit hashes."""
-    words = WordHashes()
     for batch, texts in columns_of(batches):
         docs, numbers, data = [], [], []
         for doc, wanted, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts, strict=True):
-            h = (np.array([words[w] for w in ascii_lower_words(text)], np.uint64) >> np.uint64(32)).astype(np.uint32)
+            h = (word_hashes(text) >> np.uint64(32)).astype(np.uint32)
             for b in wanted:
                 if b * BLOCK < len(h):
                     docs.append(doc)

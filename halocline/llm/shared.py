@@ -7,6 +7,7 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from pathlib import Path
 
 import numpy as np
@@ -102,22 +103,47 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-class WordHashes(dict):
-    """Word (bytes) to 64-bit hash, remembered for frequent words and bounded in size."""
+#: Of a byte: a random-looking number, and whether it is a space or one of 0x09 to 0x0D.
+_BYTE = mix(np.arange(1, 257, dtype=np.uint64))
+_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+_BASE = 0x9E3779B97F4A7C15
+#: Bytes hashed at once; a piece ends at white space.
+PIECE_BYTES = 1 << 20
 
-    MOST = 150_000
 
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-        if len(self) >= self.MOST:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
+@lru_cache(maxsize=4)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, modulo 2**64."""
+    def of(base: int) -> np.ndarray:
+        out = np.full(n, base, np.uint64)
+        out[0] = 1
+        return np.cumprod(out, dtype=np.uint64)
 
+    return of(_BASE), of(pow(_BASE, -1, 1 << 64))
 
-def ascii_lower_words(text: str) -> list[bytes]:
-    """Words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, as UTF-8."""
-    return text.encode("utf-8", "surrogatepass").lower().split()
+
+def word_hashes(text: str) -> np.ndarray:
+    """64-bit hashes of the words ``[^\\x20\\x09-\\x0D]+`` of a whole text, A-Z lower-cased, in order.
+
+    A word's hash is the sum of its bytes' numbers times powers of the base, taken from
+    running sums over the text, and mixed.
+    """
+    data = np.frombuffer(text.encode("utf-8", "surrogatepass").lower(), np.uint8)
+    out, low = [], 0
+    while low < len(data):
+        high = min(len(data), low + PIECE_BYTES)
+        while high < len(data) and not _SPACE[data[high]]:
+            more = np.flatnonzero(_SPACE[data[high:high + PIECE_BYTES]])
+            high = high + int(more[0]) if len(more) else min(len(data), high + PIECE_BYTES)
+        piece = data[low:high]
+        edge = np.flatnonzero(np.diff(np.concatenate([[True], _SPACE[piece], [True]])))
+        start, end = edge[::2], edge[1::2]
+        up, down = _powers(1 << max(16, int(len(piece)).bit_length()))
+        with np.errstate(over="ignore"):
+            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[piece] * up[:len(piece)], dtype=np.uint64)])
+            out.append(mix((sums[end] - sums[start]) * down[start]))
+        low = high
+    return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
 def shingles(words: np.ndarray, k: int) -> np.ndarray:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import compare
-from halocline.llm import ann, components, jaccard, neardup, passages
+from halocline.llm import ann, components, jaccard, neardup, passages, shared
 from halocline.llm.hnsw import Hnsw
 
 SF = "/root/testdata/sf0.001"
@@ -83,6 +83,20 @@ def test_jaccard_edges(spark, make_docs):
     assert got.component_id.tolist() == [1, 1, 1] and got.n_shingles.tolist() == [2, 2, 2]
 
 
+def test_word_hashes(monkeypatch):
+    """One hash for each word, equal for equal words only, wherever pieces end."""
+    rng = random.Random(9)
+    pool = ["".join(rng.choice("abcÄß日.!1") for _ in range(rng.randrange(1, 30))) for _ in range(20_000)]
+    text = " ".join(pool) + "\n\t A\x0bB\x0c\r" + "x" * 5000 + " " + "\u00a0nbsp"
+    words = text.encode().lower().split()
+    whole = shared.word_hashes(text)
+    assert len(whole) == len(words) and len(set(whole.tolist())) == len(set(words))
+    assert len({(w, h) for w, h in zip(words, whole.tolist(), strict=True)}) == len(set(words))
+    monkeypatch.setattr(shared, "PIECE_BYTES", 64)
+    assert (shared.word_hashes(text) == whole).all()
+    assert len(shared.word_hashes("")) == len(shared.word_hashes(" \n ")) == 0
+
+
 def test_signatures_of_just_similar_sets():
     """At 0.9 every such pair shares one; at 0.8 nearly all do."""
     rng = np.random.default_rng(2)
