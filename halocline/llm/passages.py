@@ -11,8 +11,10 @@ each match adds K, each word between two matches takes GAP on either side.  Best
 predecessors come from a Fenwick tree of prefix maxima over the other document's
 positions.
 
-*Alignment.*  A chain is aligned from its first match outwards in both directions.
-A passage is reported if it has at least LEAST words and SHARE of them agree.
+*Alignment.*  A chain is aligned from its first match outwards in both directions, then
+from its first match that this leaves unexplained, and so on to its end.  A passage is
+reported if it has at least LEAST words and SHARE of them agree; an alignment of which too
+few agree is split at its longest gap and its parts are tried.
 
 Defined results: null, empty and short texts have no passages; ids that are null take
 no part; rows that share an id count as one document and are never matched with each
@@ -23,6 +25,7 @@ ignored by ``repeats`` and kept by ``without_repeats``.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -41,7 +44,7 @@ BLOCK = 64
 COMMON = 8
 
 MATCHES = "hash long, doc long, pos int, source long, at int"
-CHAINS = "doc long, source long, x0 int, x1 int, y0 int, y1 int"
+CHAINS = "doc long, source long, x0 int, x1 int, y0 int, y1 int, matches binary"
 PASSAGES = ("doc_id long, source_doc_id long, start_word int, end_word int, source_start int, source_end int, "
             "matched int, similarity double")
 
@@ -186,7 +189,8 @@ def _chained(k: int, gap: float):
                 ranges = chains(p, a, k, gap)
             for number, c in enumerate(ranges):
                 if len(c) > 1 or number == 0 and len(p) >= 5:
-                    rows.append((*key, int(p[c[0]]), int(p[c[-1]]) + k, int(a[c[0]]), int(a[c[-1]]) + k))
+                    rows.append((*key, int(p[c[0]]), int(p[c[-1]]) + k, int(a[c[0]]), int(a[c[-1]]) + k,
+                                 np.stack([p[c], a[c]]).astype(np.int32).tobytes()))
             return rows
 
         for batch in batches:
@@ -209,7 +213,7 @@ def _chained(k: int, gap: float):
 
 
 def _rows(rows: list[tuple], schema: str) -> pa.RecordBatch:
-    kinds = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64()}
+    kinds = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "binary": pa.binary()}
     fields = [f.split() for f in schema.split(", ")]
     columns = list(zip(*rows, strict=True)) if rows else [[] for _ in fields]
     return pa.RecordBatch.from_arrays([pa.array(c, kinds[t]) for c, (_, t) in zip(columns, fields, strict=True)], [n for n, _ in fields])
@@ -230,20 +234,22 @@ def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          ["of", "block", "words"])
 
 
-def extend(a: np.ndarray, b: np.ndarray, skip: int = SKIP) -> tuple[int, int, int]:
-    """Words of a and of b that align from their starts, and how many agree; ends where agreement pays most.
+def extend(a: np.ndarray, b: np.ndarray, skip: int = SKIP) -> list[tuple[int, int, int]]:
+    """Runs (place in a, place in b, words) that agree when a and b are aligned from their starts; ends where agreement pays most.
 
     After a disagreement the nearest three (at the end: remaining) agreeing words within ``skip`` words go on.
     """
-    x = y = same = 0
-    best, score, result = 0.0, 0.0, (0, 0, 0)
+    x = y = 0
+    best, score, runs, kept = 0.0, 0.0, [], 0
     while x < len(a) and y < len(b):
         n = min(len(a) - x, len(b) - y)
         off = a[x:x + n] != b[y:y + n]
         run = int(off.argmax()) if off.any() else n
-        x, y, same, score = x + run, y + run, same + run, score + run
+        if run:
+            runs.append((x, y, run))
+        x, y, score = x + run, y + run, score + run
         if score > best:
-            best, result = score, (x, y, same)
+            best, kept = score, len(runs)
         if x >= len(a) or y >= len(b):
             break
         nxt = None
@@ -265,51 +271,78 @@ def extend(a: np.ndarray, b: np.ndarray, skip: int = SKIP) -> tuple[int, int, in
         score -= 1.5 * max(nxt)
         if score < best - 2 * skip:
             break
-    return result
+    return runs[:kept]
 
 
-def align(a: np.ndarray, b: np.ndarray, x: int, y: int) -> tuple[int, int, int, int, int]:
-    """Spans of a and b around the match at (x, y), and words that agree."""
-    fx, fy, fs = extend(a[x:], b[y:])
-    bx, by, bs = extend(a[:x][::-1], b[:y][::-1])
-    return x - bx, x + fx, y - by, y + fy, fs + bs
+def align(a: np.ndarray, b: np.ndarray, x: int, y: int, x_from: int = 0, y_from: int = 0) -> list[tuple[int, int, int]]:
+    """Runs of a and b that agree around the match at (x, y), in order; none begins before ``x_from`` and ``y_from``."""
+    back = extend(a[x_from:x][::-1], b[y_from:y][::-1])
+    return [(x - i - n, y - j - n, n) for i, j, n in reversed(back)] + [(x + i, y + j, n) for i, j, n in extend(a[x:], b[y:])]
+
+
+def accepted(runs: list[tuple[int, int, int]], least: int, share: float) -> list[tuple[int, int, int, int, int]]:
+    """Spans in both documents and agreeing words of the passages of an alignment; split at its longest gap while too few agree."""
+    found, todo = [], [runs]
+    while todo:
+        part = todo.pop()
+        if not part:
+            continue
+        (xs, ys, _), (x, y, n) = part[0], part[-1]
+        xe, ye, same = x + n, y + n, sum(r[2] for r in part)
+        if xe - xs < least:
+            continue
+        if same >= share * max(xe - xs, ye - ys):
+            found.append((xs, xe, ys, ye, same))
+            continue
+        gaps = [max(q[0] - p[0], q[1] - p[1]) - p[2] for p, q in zip(part, part[1:])]
+        cut = int(np.argmax(gaps)) + 1
+        todo += [part[cut:], part[:cut]]
+    return found
+
+
+def along(a: np.ndarray, b: np.ndarray, matches: list[tuple[int, int]], least: int, share: float) -> list[tuple[int, int, int, int, int]]:
+    """Passages along a chain: aligned anew from each match that no passage and no run before it holds."""
+    found, runs, x_from, y_from = [], [], 0, 0
+    for x, y in matches:
+        at = bisect_right(runs, x, key=lambda r: r[0]) - 1
+        if x < x_from or y < y_from or at >= 0 and x < runs[at][0] + runs[at][2] and y - x == runs[at][1] - runs[at][0]:
+            continue
+        runs = align(a, b, x, y, x_from, y_from)
+        own = accepted(runs, least, share)
+        if own:
+            found += own
+            x_from, y_from = own[-1][1], own[-1][3]
+    return found
 
 
 def _aligned(least: int, share: float):
-    """Rows sorted by chain, side and block; a chain's blocks are bounded by its two documents."""
+    """Rows sorted by chain, side and block; a chain's blocks and matches are bounded by its two documents."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, head, held = None, None, ({}, {})
+        key, head, held = None, None, ({}, {}, {})
 
-        def passage() -> list[tuple]:
-            doc, source, x0, y0 = head
+        def passages() -> list[tuple]:
+            if not held[0] or not held[1] or not held[2]:
+                return []
             words, base = [], []
-            for side, want in ((0, x0 // BLOCK), (1, y0 // BLOCK)):
-                low = high = want  # the run of blocks around the match
-                if want not in held[side]:
-                    return []
-                while low - 1 in held[side]:
-                    low -= 1
-                while high + 1 in held[side]:
-                    high += 1
+            for side in (0, 1):
+                low, high = min(held[side]), max(held[side])
                 words.append(np.concatenate([np.frombuffer(held[side][b], np.uint32) for b in range(low, high + 1)]))
                 base.append(low * BLOCK)
-            xs, xe, ys, ye, same = align(words[0], words[1], x0 - base[0], y0 - base[1])
-            longest = max(xe - xs, ye - ys)
-            if xe - xs < least or same < share * longest:
-                return []
-            return [(doc, source, xs + base[0], xe + base[0], ys + base[1], ye + base[1], same, same / longest)]
+            x, y = np.frombuffer(held[2][0], np.int32).reshape(2, -1) - np.array(base)[:, None]
+            return [(*head, xs + base[0], xe + base[0], ys + base[1], ye + base[1], same, same / max(xe - xs, ye - ys))
+                    for xs, xe, ys, ye, same in along(*words, list(zip(x.tolist(), y.tolist(), strict=True)), least, share)]
 
         for batch in batches:
             out = []
-            for c, doc, source, x0, y0, side, block, words in zip(*(v.to_pylist() for v in batch.columns), strict=True):
+            for c, doc, source, side, block, words in zip(*(v.to_pylist() for v in batch.columns), strict=True):
                 if c != key:
                     if head:
-                        out += passage()
-                    key, head, held = c, (doc, source, x0, y0), ({}, {})
+                        out += passages()
+                    key, head, held = c, (doc, source), ({}, {}, {})
                 held[side][block] = words
             yield _rows(out, PASSAGES)
         if head:
-            yield _rows(passage(), PASSAGES)
+            yield _rows(passages(), PASSAGES)
 
     return run
 
@@ -317,7 +350,7 @@ def _aligned(least: int, share: float):
 def repeats(docs: DataFrame, k: int = K, window: int = WINDOW, least: int = LEAST, share: float = SHARE) -> DataFrame:
     """A row for each passage of a document that an earlier document has too, with both word spans.
 
-    Overlapping passages of one pair are reported once, the longest.
+    Passages of one pair that begin or end at one place are reported once, the longest.
     """
     docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text").where("doc_id is not null")
     seeds = docs.mapInArrow(_seeds(k, window, int(least * share)), MATCHES)
@@ -328,7 +361,7 @@ def repeats(docs: DataFrame, k: int = K, window: int = WINDOW, least: int = LEAS
     reach = least
     low = lambda c: F.greatest(F.floor((F.col(c) - reach) / BLOCK), F.lit(0)).cast("int")
     high = lambda c: F.floor((F.col(c) + reach) / BLOCK).cast("int")
-    head = ("chain", "doc", "source", "x0", "y0")
+    head = ("chain", "doc", "source")
     wanted = chained.select(*head, F.explode(F.array(
         F.struct(F.lit(0).alias("side"), F.col("doc").alias("of"), F.sequence(low("x0"), high("x1")).alias("b")),
         F.struct(F.lit(1).alias("side"), F.col("source").alias("of"), F.sequence(low("y0"), high("y1")).alias("b")))).alias("w")).select(
@@ -337,7 +370,8 @@ def repeats(docs: DataFrame, k: int = K, window: int = WINDOW, least: int = LEAS
     per_doc = wanted.select("of", "block").distinct().groupBy("of").agg(F.collect_set("block").alias("wanted"))
     blocks = docs.join(per_doc, docs["doc_id"] == per_doc["of"]).select("of", "wanted", "text").mapInArrow(
         _blocks, "of long, block int, words binary")
-    sides = wanted.join(blocks, ["of", "block"]).select(*head, "side", "block", "words")
+    matches = chained.select(*head, F.lit(2).alias("side"), F.lit(0).alias("block"), F.col("matches").alias("words"))
+    sides = wanted.join(blocks, ["of", "block"]).select(*head, "side", "block", "words").unionByName(matches)
     aligned = sides.repartition("chain").sortWithinPartitions("chain").mapInArrow(_aligned(least, share), PASSAGES)
     return _longest(aligned)
 

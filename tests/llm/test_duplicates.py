@@ -149,6 +149,28 @@ def test_passages(spark, make_docs, words):
     assert passages.repeats(make_docs([])).count() == 0 and passages.without_repeats(make_docs([]), passages.repeats(make_docs([]))).count() == 0
 
 
+def test_every_passage_of_a_chain(spark, make_docs, words):
+    """Each of several passages that a document shares in order with its source, whatever lies between them."""
+    parts = {0: (60, 60), 1: (60, 60), 2: (20, 60), 3: (60, 20, 60), 4: (50, 37), 5: (55, 55, 55)}
+    gap = {0: 300, 1: 40, 2: 45, 3: 60, 4: 24, 5: 26}
+    rows, want = [], set()
+    for n, sizes in parts.items():
+        shared = [words(size) for size in sizes]
+        for doc in (10 * n, 10 * n + 1):
+            text = words(15)
+            for size, part in zip(sizes, shared, strict=True):
+                if doc % 10 and size >= 50:
+                    want.add((doc, doc - 1, len(text), len(text) + size))
+                text += part + words(gap[n])
+            rows.append((doc, " ".join(text)))
+    got = passages.repeats(make_docs(rows)).toPandas()
+    assert {(r.doc_id, r.source_doc_id) for r in got.itertuples()} == {(d, s) for d, s, _, _ in want}
+    for doc, source, start, end in want:  # by chance a word beside a passage may agree too
+        near = got[(got.doc_id == doc) & ((got.start_word - start).abs() <= 1) & ((got.end_word - end).abs() <= 1)]
+        assert len(near) == 1 and near.source_doc_id.item() == source, (doc, start, end)
+    assert len(got) == len(want)
+
+
 def test_common_seed_within_a_batch(spark, make_docs, words):
     passage = words(60)
     rows = [(i, " ".join(words(40) + passage + words(20))) for i in range(200)]
