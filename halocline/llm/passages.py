@@ -5,6 +5,10 @@ least hash is a seed, so each common run of WINDOW + K - 1 words shares one.  A
 matched with the first document that holds it, which is the one of least id, so matches
 are as many as seeds and never pairs of a group.  A seed that many documents of a batch
 share is matched within the batch first, and only the batch's first one is shuffled.
+Runs of shared seeds as long as every exact passage of LEAST words has one are keys too.
+A run that no passage holds yet is matched with all its earlier holders, twice as many in
+each round, until it is in a passage or has met them all, so an exact passage is found
+whatever the first holders of its single seeds are.
 
 *Chains.*  The matches of a document with one earlier document are chained by score:
 each match adds K, each word between two matches takes GAP on either side.  Best
@@ -30,9 +34,9 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from halocline.llm.shared import columns_of, fresh, read, shingles, stored, text_slices, word_hashes
+from halocline.llm.shared import columns_of, fresh, mix, read, shingles, stored, text_slices, word_hashes
 
 K, WINDOW = 5, 8
 LEAST, SHARE = 50, 0.8
@@ -44,6 +48,7 @@ BLOCK = 64
 COMMON = 8
 
 MATCHES = "hash long, doc long, pos int, source long, at int"
+RUNS = "hash long, doc long, pos int, stop int, open boolean"
 CHAINS = "doc long, source long, x0 int, x1 int, y0 int, y1 int, matches binary"
 PASSAGES = ("doc_id long, source_doc_id long, start_word int, end_word int, source_start int, source_end int, "
             "matched int, similarity double")
@@ -110,7 +115,7 @@ def _matched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at[mine] = np.where(known, pm[np.maximum(first, 0)], pos0)
             last, doc0, pos0 = hm[-1], source[mine][-1], at[mine][-1]
         keep = source != d
-        yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (d, source, p, at)], ["doc", "source", "pos", "at"])
+        yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (h, d, p, source, at)], ["hash", "doc", "pos", "source", "at"])
 
 
 class PrefixMaximum:
@@ -172,14 +177,14 @@ def chains(pos: np.ndarray, at: np.ndarray, k: int = K, gap: float = GAP) -> lis
     return found
 
 
-def _chained(k: int, gap: float):
+def _chained(k: int, gap: float, fewest: int = 2):
     """Rows sorted by (doc, source): a document's matches with one other are bounded by the document."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, []
 
         def found() -> list[tuple]:
             p, a = (np.concatenate([h[i] for h in held]) for i in (0, 1))
-            if len(p) < 2:
+            if len(p) < fewest:
                 return []
             rows = []
             step, rise = np.diff(p), np.diff(a)
@@ -188,7 +193,7 @@ def _chained(k: int, gap: float):
             else:
                 ranges = chains(p, a, k, gap)
             for number, c in enumerate(ranges):
-                if len(c) > 1 or number == 0 and len(p) >= 5:
+                if len(c) >= fewest or number == 0 and len(p) >= 5:
                     rows.append((*key, int(p[c[0]]), int(p[c[-1]]) + k, int(a[c[0]]), int(a[c[-1]]) + k,
                                  np.stack([p[c], a[c]]).astype(np.int32).tobytes()))
             return rows
@@ -347,16 +352,91 @@ def _aligned(least: int, share: float):
     return run
 
 
-def repeats(docs: DataFrame, k: int = K, window: int = WINDOW, least: int = LEAST, share: float = SHARE) -> DataFrame:
-    """A row for each passage of a document that an earlier document has too, with both word spans.
+def _runs(k: int, window: int, reach: int):
+    """Rows sorted by (doc, kind, pos), a document's passages before its shared seeds: the shortest run of ``reach`` words from each seed.
 
-    Passages of one pair that begin or end at one place are reported once, the longest.
+    Seeds of an exact passage are at most ``window`` words apart.  A run is open if a seed of it is in no passage.
     """
-    docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text").where("doc_id is not null")
-    seeds = docs.mapInArrow(_seeds(k, window, int(least * share)), MATCHES)
-    by = F.when(F.col("source").isNull(), F.col("hash")).otherwise(F.xxhash64("doc", "source"))
-    met = seeds.repartition(by).sortWithinPartitions("hash", "doc", "pos").mapInArrow(_matched, "doc long, source long, pos int, at int")
-    found = met.repartition("doc", "source").sortWithinPartitions("doc", "source", "pos", "at").mapInArrow(_chained(k, GAP), CHAINS)
+    def found(held: list[list[np.ndarray]]) -> tuple[np.ndarray, ...] | None:
+        kind, pos, end, h = (np.concatenate([x[i] for x in held]) for i in range(4))
+        own = kind == 1
+        p, h, s, e = pos[own].astype(np.int64), h[own].view(np.uint64), pos[~own], end[~own]
+        if len(p) == 0 or p[-1] + k - p[0] < reach:
+            return None
+        free = np.ones(len(p), bool)
+        if len(s):
+            i = np.searchsorted(s, p, "right") - 1
+            free = (i < 0) | (np.maximum.accumulate(e)[i] < p + k)
+        last = np.searchsorted(p, p + reach - k)
+        broken = np.r_[0, np.cumsum(np.diff(p) > window)]
+        at = np.flatnonzero(last < len(p))
+        at = at[broken[last[at]] == broken[at]]
+        if len(at) == 0:
+            return None
+        last = last[at]
+        with np.errstate(over="ignore"):
+            # a sum of mixed (seed, distance from the first seed) over each run
+            key = np.zeros(len(at), np.uint64)
+            for step in range(int((last - at).max()) + 1):
+                i = np.minimum(at + step, last)
+                key += np.where(at + step <= last, mix(h[i] + mix((p[i] - p[at]).astype(np.uint64))), np.uint64(0))
+        count = np.r_[0, np.cumsum(free)]
+        return key.view(np.int64), p[at].astype(np.int32), (p[last] + k).astype(np.int32), count[last + 1] > count[at]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
+
+        def closed() -> Iterator[tuple]:
+            got = found(held) if held else None
+            if got:
+                yield got[0], np.full(len(got[0]), key, np.int64), *got[1:]
+
+        def rows(parts: list[tuple]) -> Iterator[pa.RecordBatch]:
+            if parts:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts, strict=True)], _names(RUNS))
+
+        for batch in batches:
+            out = []
+            if batch.num_rows:
+                d, *rest = (np.asarray(c) for c in batch.columns)
+                cut = np.flatnonzero(d[1:] != d[:-1]) + 1
+                for b, e in zip(np.r_[0, cut], np.r_[cut, len(d)], strict=True):
+                    if d[b] != key:
+                        out += closed()
+                        key, held = d[b], []
+                    held.append([x[b:e] for x in rest])
+            yield from rows(out)
+        yield from rows(list(closed()))
+
+    return run
+
+
+def _shared_runs(met: DataFrame, passages: DataFrame, k: int, window: int, least: int) -> DataFrame:
+    """The runs of seeds that a document shares with any other."""
+    seeds = met.select("doc", "pos", "hash").union(met.select("source", "at", "hash").distinct())
+    kinds = seeds.select("doc", F.lit(1).alias("kind"), "pos", F.lit(0).alias("end"), "hash").unionByName(passages.select(
+        F.col("doc_id").alias("doc"), F.lit(0).alias("kind"), F.col("start_word").alias("pos"), F.col("end_word").alias("end"), F.lit(0).cast("long").alias("hash")))
+    # an exact passage of ``least`` words has seeds within ``window`` k-mers of both its ends
+    distinct = kinds.repartition("doc").sortWithinPartitions("doc", "kind", "pos").mapInArrow(_first_of_place, kinds.schema)
+    return distinct.mapInArrow(_runs(k, window, max(least - 2 * (window - 1), k)), RUNS)
+
+
+def _first_of_place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of sorted rows each seed once: one that is matched and has been matched with comes twice."""
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        d, kind, p = (np.asarray(batch.column(i)) for i in range(3))
+        new = (kind == 0) | np.r_[(d[0], kind[0], p[0]) != last, (d[1:] != d[:-1]) | (kind[1:] != kind[:-1]) | (p[1:] != p[:-1])]
+        last = (d[-1], kind[-1], p[-1])
+        yield batch.filter(pa.array(new))
+
+
+def _passages(docs: DataFrame, met: DataFrame, k: int, least: int, share: float, fewest: int = 2) -> DataFrame:
+    """The passages that matches ``doc, source, pos, at`` lead to."""
+    found = met.select("doc", "source", "pos", "at").repartition("doc", "source").sortWithinPartitions("doc", "source", "pos", "at").mapInArrow(
+        _chained(k, GAP, fewest), CHAINS)
     chained = stored(found.withColumn("chain", F.monotonically_increasing_id()), "passage-chains")
     reach = least
     low = lambda c: F.greatest(F.floor((F.col(c) - reach) / BLOCK), F.lit(0)).cast("int")
@@ -373,7 +453,42 @@ def repeats(docs: DataFrame, k: int = K, window: int = WINDOW, least: int = LEAS
     matches = chained.select(*head, F.lit(2).alias("side"), F.lit(0).alias("block"), F.col("matches").alias("words"))
     sides = wanted.join(blocks, ["of", "block"]).select(*head, "side", "block", "words").unionByName(matches)
     aligned = sides.repartition("chain").sortWithinPartitions("chain").mapInArrow(_aligned(least, share), PASSAGES)
-    return _longest(aligned)
+    return stored(_longest(aligned), "passages")
+
+
+def repeats(docs: DataFrame, k: int = K, window: int = WINDOW, least: int = LEAST, share: float = SHARE) -> DataFrame:
+    """A row for each passage of a document that an earlier document has too, with both word spans.
+
+    Passages of one pair that begin or end at one place are reported once, the longest.
+    """
+    docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text").where("doc_id is not null")
+    seeds = docs.mapInArrow(_seeds(k, window, int(least * share)), MATCHES)
+    by = F.when(F.col("source").isNull(), F.col("hash")).otherwise(F.xxhash64("doc", "source"))
+    met = stored(seeds.repartition(by).sortWithinPartitions("hash", "doc", "pos").mapInArrow(_matched, MATCHES), "passage-matches")
+    found = _passages(docs, met, k, least, share)
+    runs = stored(_shared_runs(met, found, k, window, least), "passage-runs")
+    rest = stored(runs.where("open").drop("open"), "passage-open")
+    if rest.isEmpty():
+        return found
+    # a run that one document alone has needs no holders
+    holders = runs.join(rest.select("hash").distinct(), "hash", "left_semi").select("hash", F.col("doc").alias("source"), F.col("pos").alias("at"))
+    number = F.dense_rank().over(Window.partitionBy("hash").orderBy("source"))
+    holders = stored(holders.withColumn("number", number), "passage-holders")
+    first, count = 1, 1
+    while not rest.isEmpty():
+        now = holders.where(F.col("number").between(first, first + count - 1))
+        again = stored(rest.join(now, "hash").where(F.col("source") < F.col("doc")).select("doc", "source", "pos", "at"), "passage-matches")
+        if again.isEmpty():  # numbers follow ids, so no earlier holder is left
+            break
+        found = found.unionByName(_passages(docs, again, k, least, share, fewest=1))
+        first, count = first + count, 2 * count
+        held = (rest["doc"] == found["doc_id"]) & (rest["pos"] >= found["start_word"]) & (rest["stop"] <= found["end_word"])
+        rest = stored(rest.join(found, held, "left_anti"), "passage-open")
+    return _longest(found)
+
+
+def _names(schema: str) -> list[str]:
+    return [f.split()[0] for f in schema.split(", ")]
 
 
 def _longest(passages: DataFrame) -> DataFrame:

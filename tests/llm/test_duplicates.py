@@ -171,6 +171,28 @@ def test_every_passage_of_a_chain(spark, make_docs, words):
     assert len(got) == len(want)
 
 
+def test_passage_whose_parts_are_in_earlier_documents(spark, make_docs, words):
+    """The first holders of all its seeds share too little each; later holders, the tenth too, share all of it."""
+    halves, thirds, tail = [words(30), words(30)], [words(20) for _ in range(3)], words(60)
+    alone = [(i, " ".join(words(40) + part + words(40))) for i, part in enumerate(halves + thirds, 1)]
+    often = [(i, " ".join(words(30) + thirds[i % 3] + words(30))) for i in range(10, 40)]
+    # the last 30 of 90 words are in an earlier document than the first 60
+    longer = [(6, " ".join(words(30) + tail)), (7, " ".join(words(30) + halves[1] + words(9)))]
+    lines = words(30)
+    longer.insert(0, (5 + 60, " ".join(words(20) + lines + words(20))))
+    whole = [(70, halves[0] + halves[1]), (71, sum(thirds, [])), (72, tail + lines)]
+    rows = alone + often + longer
+    want = {}
+    for doc, part in whole:
+        rows += [(doc, " ".join(words(25) + part + words(25))), (doc + 10, " ".join(words(12) + part + words(8)))]
+        want[doc + 10] = (12, 12 + len(part))
+    got = passages.repeats(make_docs(rows)).toPandas()
+    for doc, (start, end) in want.items():
+        own = got[(got.doc_id == doc) & (got.source_doc_id == doc - 10)]
+        assert ((own.start_word - start).abs() <= 1).any() and ((own.end_word - end).abs() <= 1).any(), (doc, own)
+    assert set(got.doc_id) == {72, *want}
+
+
 def test_common_seed_within_a_batch(spark, make_docs, words):
     passage = words(60)
     rows = [(i, " ".join(words(40) + passage + words(20))) for i in range(200)]
