@@ -88,6 +88,28 @@ def test_language_odd_rows(spark, make_docs):
     assert langid.keep_known(df, langid.fit(df)).columns == df.columns
 
 
+def test_language_rejection(spark, make_docs):
+    """Ambiguous texts, a language never learnt and random letters are rejected; clean texts of learnt languages stay."""
+    rng = np.random.default_rng(3)
+    vocabulary = {lang: ["".join(rng.choice(list(own), rng.integers(2, 8))) for _ in range(300)]
+                  for lang, own in (("aa", "abcdefghij"), ("bb", "fghijklmno"), ("unlearnt", "pqrstuvwxyz"))}
+
+    def text(lang, n=60):
+        return " ".join(rng.choice(vocabulary[lang], n))
+
+    learnt = [(i, text("aa" if i % 2 else "bb"), "aa" if i % 2 else "bb") for i in range(400)]
+    clean = [(1000 + i, text("aa" if i % 2 else "bb")) for i in range(100)]
+    foreign = [(2000 + i, text("unlearnt")) for i in range(50)]
+    noise = [(3000 + i, " ".join("".join(rng.choice(list("abcdefghijklmno"), 5)) for _ in range(60))) for i in range(50)]
+    models = langid.fit(make_docs(learnt))
+    got = langid.predictions(make_docs(clean + foreign + noise), models).toPandas().set_index("doc_id")
+    assert got.loc[[r[0] for r in clean]].rejected.mean() <= 0.05
+    assert got.loc[[r[0] for r in foreign + noise]].rejected.all()
+    kept = langid.keep_known(make_docs(clean + foreign + noise), models).toPandas()
+    assert set(kept.doc_id) == set(got.index[~got.rejected])
+    assert models.shift < 0  # without a margin a text counts as ambiguous
+
+
 def test_kneser_ney_by_dictionaries():
     """Log probabilities against a plain recursive version; they sum to one over the alphabet."""
     texts = {"a": "abra cadabra abra", "b": "banana bandana"}
