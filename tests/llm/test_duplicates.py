@@ -180,7 +180,9 @@ def test_passage_whose_parts_are_in_earlier_documents(spark, make_docs, words):
     longer = [(6, " ".join(words(30) + tail)), (7, " ".join(words(30) + halves[1] + words(9)))]
     lines = words(30)
     longer.insert(0, (5 + 60, " ".join(words(20) + lines + words(20))))
-    whole = [(70, halves[0] + halves[1]), (71, sum(thirds, [])), (72, tail + lines)]
+    covered = words(60)  # every one of its k-mers is in an earlier document
+    alone += [(8, " ".join(words(40) + covered[:35] + words(40))), (9, " ".join(words(40) + covered[25:] + words(40)))]
+    whole = [(70, halves[0] + halves[1]), (71, sum(thirds, [])), (72, tail + lines), (73, covered)]
     rows = alone + often + longer
     want = {}
     for doc, part in whole:
