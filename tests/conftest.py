@@ -1,15 +1,14 @@
 import sys
-from datetime import datetime
 from pathlib import Path
 
 import numpy as np
-import pandas as pd
 import pytest
 
 ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
 sys.path.insert(0, str(ROOT / "tools"))
 
+from fields import month  # noqa: E402
 from halocline.session import get_session  # noqa: E402
 
 
@@ -22,10 +21,6 @@ def spark():
     return session
 
 
-def month(i: int, start: int = 2000) -> datetime:
-    return datetime(start + i // 12, i % 12 + 1, 1)
-
-
 FIELD = "var string, time timestamp_ntz, iy int, ix int, lat double, lon double, value double"
 
 
@@ -43,10 +38,3 @@ def make_field(spark):
         ]
         return spark.createDataFrame(rows, FIELD)
     return build
-
-
-def to_cube(df, value="value") -> np.ndarray:
-    """Back to (time, y, x)."""
-    pdf = df.select("time", "iy", "ix", value).toPandas()
-    return pdf.pivot(index="time", columns=["iy", "ix"], values=value).sort_index(axis=1).to_numpy(float).reshape(
-        pdf["time"].nunique(), pdf["iy"].nunique(), pdf["ix"].nunique())

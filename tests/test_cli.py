@@ -1,5 +1,5 @@
 import numpy as np
-from conftest import month
+from fields import month
 from pyspark.sql import functions as F
 from test_storage_jobs import save
 

@@ -1,6 +1,6 @@
 import numpy as np
 import pytest
-from conftest import month
+from fields import month
 from pyspark.sql import functions as F
 
 from halocline.operators import checks, merge, stats

@@ -1,6 +1,6 @@
 import numpy as np
 import pytest
-from conftest import month, to_cube
+from fields import month, to_cube
 from hypothesis import HealthCheck, given, settings, strategies as st
 
 from halocline.operators import axis, series

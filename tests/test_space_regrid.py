@@ -1,6 +1,6 @@
 import numpy as np
 import pytest
-from conftest import to_cube
+from fields import to_cube
 from pyspark.sql import functions as F
 
 from halocline.functions.position import lon_360, lon_modulo

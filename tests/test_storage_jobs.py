@@ -3,7 +3,7 @@ from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
-from conftest import month, to_cube
+from fields import month, to_cube
 from pyspark.sql import functions as F
 
 from halocline.operators import checks, merge
