@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from halocline.llm import ann, bpe, chat, fit, jaccard, langid, neardup, packing, passages, quality
+from halocline.llm import ann, bpe, chat, fit, jaccard, langid, neardup, packing, passages, quality, resample, spelling
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repeated_passages": passages.op1_passages,
@@ -19,10 +19,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit": fit.op8_best_fit,
     "op9_near_duplicates": neardup.op9_near_duplicates,
     "op10_nearest": ann.op10_nearest,
+    "op11_spelling_variants": spelling.op11_spelling_variants,
+    "op12_importance_resampling": resample.op12_importance_resampling,
 }
 
 SQL: dict[str, str] = {
     "op2_chat_formatting": chat.SQL,
     "op4_ngram_jaccard": jaccard.SQL,
     "op9_near_duplicates": neardup.SQL,
+    "op11_spelling_variants": spelling.SQL,
+    "op12_importance_resampling": resample.SQL,
 }
