@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from halocline.llm import ann, bpe, chat, fit, jaccard, langid, neardup, packing, passages, quality, resample, spelling
+from halocline.llm import ann, bpe, chat, fit, jaccard, langid, minhash, neardup, packing, passages, quality, resample, spelling
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repeated_passages": passages.op1_passages,
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_nearest": ann.op10_nearest,
     "op11_spelling_variants": spelling.op11_spelling_variants,
     "op12_importance_resampling": resample.op12_importance_resampling,
+    "op13_fingerprints": minhash.op13_fingerprints,
 }
 
 SQL: dict[str, str] = {
