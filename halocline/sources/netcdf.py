@@ -1,32 +1,42 @@
 """NetCDF as a Spark source and sink.
 
-Reading splits every file into runs of time steps, one Spark partition each; a
-task holds one slab of one step at a time.  Classic files (CDF-1, -2 and -5) are
-decoded here; HDF5-based files need the netCDF4 package on the executors.
+A scan is planned in two stages.  The driver lists names; tasks read the headers and
+return runs of time steps with their bounds of time and depth (``chunk_index``).  Filters
+then leave out whole runs, and what is left is dealt to tasks of about equal size.  A task
+holds one slab of one step at a time and reads only the levels it needs.  Classic files
+(CDF-1, -2 and -5) are decoded here; HDF5-based files need the netCDF4 package on the
+executors.  Axes are found by name and by what their attributes say (``schema.EVIDENCE``).
+
+Writing (``FieldWriter``) assembles one file for each dataset and span in a task, in a
+staging folder; the driver's commit moves all files to their names, an abort removes them.
 """
 
 from __future__ import annotations
 
+import base64
 import glob
+import json
+import mmap
 import operator
 import os
 import re
+import shutil
 import struct
 import uuid
+import zlib
 from collections.abc import Iterator, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field as dc_field
 from datetime import date, datetime, timedelta
 from typing import Any
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-
-from halocline.schema import (
-    DEPTH_NAMES, FILL_VALUE, LAT_NAMES, LON_NAMES, TIME_NAMES, first_present, main_variable,
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.datasource import (
+    DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage,
 )
 
+from halocline.schema import FILL_VALUE, STALE_ATTRS, axis_score, best_axis, column_attrs, first_present, main_variable
+
 SCHEMA = (
     "path string, var string, time timestamp_ntz, raw_time double, step int, n_steps int, "
     "lev double, lev_idx int, iy int, ix int, lat double, lon double, value double"
@@ -111,25 +121,35 @@ class Classic:
                 if v.stride is not None:
                     v.stride = stride
 
-    def read(self, name: str, step: int | None = None) -> np.ndarray:
-        """A whole variable, or its slice at one position of the leading dimension."""
+    def read(self, name: str, step: int | None = None, levels: tuple[int, int] | None = None) -> np.ndarray:
+        """A whole variable, its slice at one position of the leading dimension, or some of that slice's leading rows."""
         v = self.variables[name]
-        if v.stride is not None and step is None:
-            count = int(np.prod(v.shape[1:], dtype=np.int64))
-            out = np.empty((v.shape[0], count), v.dtype)
-            with open(self.path, "rb") as f:
-                for i in range(v.shape[0]):
-                    f.seek(v.begin + i * v.stride)
-                    out[i] = np.frombuffer(f.read(count * np.dtype(v.dtype).itemsize), v.dtype)
-            return out.reshape(v.shape)
         shape = v.shape if step is None else v.shape[1:]
         width = np.dtype(v.dtype).itemsize
+        if v.stride is not None and step is None:
+            return self.records(name, 0, v.shape[0])
+        row = int(np.prod(v.shape[1:], dtype=np.int64)) * width
+        at = v.begin if step is None else v.begin + step * (v.stride if v.stride is not None else row)
+        if levels is not None:
+            at += levels[0] * int(np.prod(shape[1:], dtype=np.int64)) * width
+            shape = (levels[1] - levels[0], *shape[1:])
         count = int(np.prod(shape, dtype=np.int64))
-        at = v.begin if step is None else v.begin + step * (v.stride if v.stride is not None else count * width)
         with open(self.path, "rb") as f:
             f.seek(at)
             return np.frombuffer(f.read(count * width), v.dtype).reshape(shape)
 
+    def records(self, name: str, first: int, last: int) -> np.ndarray:
+        """Positions ``first`` to ``last`` of the leading dimension, records picked out of the mapped file."""
+        v = self.variables[name]
+        form = np.dtype(v.dtype)
+        inner = int(np.prod(v.shape[1:], dtype=np.int64))
+        step = v.stride if v.stride is not None else inner * form.itemsize
+        if last <= first or inner == 0:
+            return np.empty((max(last - first, 0), *v.shape[1:]), form)
+        with open(self.path, "rb") as f, mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ) as m:
+            rows = np.ndarray((last - first, inner), form, m, v.begin + first * step, (step, form.itemsize)).copy()
+        return rows.reshape(last - first, *v.shape[1:])
+
 
 class Library:
     """The same reads through the optional netCDF4 package, for HDF5-based files."""
@@ -147,8 +167,12 @@ class Library:
             for n, v in self.data.variables.items()
         }
 
-    def read(self, name: str, step: int | None = None) -> np.ndarray:
-        return np.asarray(self.data.variables[name][:] if step is None else self.data.variables[name][step])
+    def read(self, name: str, step: int | None = None, levels: tuple[int, int] | None = None) -> np.ndarray:
+        data = self.data.variables[name]
+        return np.asarray(data[:] if step is None else data[step] if levels is None else data[step, levels[0]:levels[1]])
+
+    def records(self, name: str, first: int, last: int) -> np.ndarray:
+        return np.asarray(self.data.variables[name][first:last])
 
 
 def open_file(path: str):
@@ -237,20 +261,31 @@ def physical(raw: np.ndarray, attrs: Mapping[str, Any]) -> np.ndarray:
 
 @dataclass
 class Layout:
-    """Where a data variable keeps its axes."""
+    """Where a data variable keeps its axes; ``y``, ``x`` and ``lev`` are dimensions, the others variables."""
 
     var: str
     time: str | None
     lev: str | None
     lat: str
     lon: str
+    y: str
+    x: str
 
     @classmethod
     def of(cls, nc, wanted: str | None, rule: str) -> "Layout":
         v = nc.variables
-        coords = {*LAT_NAMES, *LON_NAMES, *TIME_NAMES, *DEPTH_NAMES}
+        attrs = {n: x.attrs for n, x in v.items()}
+        bounds = {str(a["bounds"]) for a in attrs.values() if "bounds" in a}
+        spatial = {n: attrs[n] for n, x in v.items() if 1 <= len(x.dims) <= 2 and n not in bounds and x.dtype[-2:-1] in "fiu"}
+        lat, lon = best_axis("lat", spatial), best_axis("lon", spatial)
+        if lat is None or lon is None or lat == lon:
+            raise ValueError("no latitude or longitude")
+        on_axis = {n: attrs.get(n, {}) for n in nc.dims}
+        times = {n for n in on_axis if best_axis("time", {n: on_axis[n]})}
+        levels = {n for n in on_axis if best_axis("lev", {n: on_axis[n]})} - times
+        coords = {lat, lon, *times, *levels, *bounds, *nc.dims}
         data = [n for n, x in v.items() if n not in coords and len(x.dims) >= 2]
-        timed = {n: int(np.prod(v[n].shape, dtype=np.int64)) for n in data if set(v[n].dims) & set(TIME_NAMES)}
+        timed = {n: int(np.prod(v[n].shape, dtype=np.int64)) for n in data if set(v[n].dims) & times}
         if wanted and "," in wanted:
             var = first_present(wanted.split(","), data) or (data[0] if data else None)
             if var is None:
@@ -258,35 +293,141 @@ class Layout:
         else:
             var = main_variable(data, wanted or None, rule, timed)
         dims = v[var].dims
-        lat, lon = first_present(LAT_NAMES, v), first_present(LON_NAMES, v)
-        if lat is None or lon is None:
-            raise ValueError(f"{var}: no latitude or longitude")
-        time, lev = first_present(TIME_NAMES, dims), first_present(DEPTH_NAMES, dims)
+        y, x = v[lat].dims if len(v[lat].dims) == 2 else (v[lat].dims[0], v[lon].dims[0])
+        if y == x or not {y, x} <= set(dims):
+            raise ValueError(f"{var}: axes {lat} and {lon} lie along {y} and {x}, the data along {dims}")
+        time = best_axis("time", {d: on_axis[d] for d in dims if d not in (y, x)})
         if time is not None and dims[0] != time:
             raise ValueError(f"{var}: time must be the leading dimension, got {dims}")
-        if len(dims) != 2 + (time is not None) + (lev is not None):
+        left = [d for d in dims if d not in (time, y, x)]
+        if len(left) > 1:
             raise ValueError(f"{var}: unexpected dimensions {dims}")
-        return cls(var, time, lev, lat, lon)
+        return cls(var, time, left[0] if left else None, lat, lon, y, x)
+
+    def slab(self, nc, step: int, levels: tuple[int, int]) -> np.ndarray:
+        """Physical values of one step and a range of levels: (level, cell), cells row by row."""
+        v = nc.variables[self.var]
+        dims = list(v.dims[1:] if self.time else v.dims)
+        if self.lev and dims[0] == self.lev and self.time:
+            raw = nc.read(self.var, step, levels)
+        else:
+            raw = nc.read(self.var, step if self.time else None)
+            if self.lev:
+                raw = raw.take(range(*levels), axis=dims.index(self.lev))
+        raw = raw.transpose([dims.index(d) for d in ([self.lev] if self.lev else []) + [self.y, self.x]])
+        return physical(raw, v.attrs).reshape(levels[1] - levels[0], -1)
+
+
+def _times(nc, at: Layout, first: int, last: int) -> tuple[np.ndarray | None, list[datetime] | None]:
+    """Raw and decoded times of some steps; a range that fits no calendar is an error."""
+    if not at.time or at.time not in nc.variables:
+        return None, None
+    t = nc.variables[at.time]
+    raw = nc.records(at.time, first, last).astype("float64")
+    return raw, decode_times(raw, str(t.attrs.get("units", "")), str(t.attrs.get("calendar", "standard")))
 
 
 @dataclass
-class Steps(InputPartition):
+class Chunk:
+    """Successive time steps of a file, and what is known of them from the header.
+
+    Without a header the chunk is part ``first`` of ``last`` of the file, and ``n_steps`` is None.
+    """
+
     path: str
     first: int
     last: int
+    n_steps: int | None = None
+    times: tuple[str, str] | None = None
+    levels: tuple[float, float] | None = None
+    n_lev: int = 1
+    rows: int = 0
+
+    def may_hold(self, bounds: Mapping[str, list[tuple[str, Any]]]) -> bool:
+        """Whether any row can satisfy the comparisons."""
+        ranges = {"time": tuple(map(datetime.fromisoformat, self.times)) if self.times else None,
+                  "step": (self.first, self.last - 1), "lev": self.levels, "lev_idx": (0, self.n_lev - 1)}
+        return self.n_steps is None or all(
+            _overlaps(ranges[c], k, v) for c, tests in bounds.items() for k, v in tests if ranges[c] is not None)
+
+
+def _overlaps(span: tuple[Any, Any], kind: str, value: Any) -> bool:
+    low, high = span
+    return {"eq": low <= value <= high, "gt": high > value, "ge": high >= value, "lt": low < value, "le": low <= value}[kind]
+
+
+@dataclass
+class Task(InputPartition):
+    chunks: list[Chunk]
+
+
+def chunks_of(path: str, variable: str | None, rule: str, decode: bool, run: int) -> tuple[list[Chunk], dict[str, dict[str, str]]]:
+    """The chunks of a file, and the attributes of its value and coordinates."""
+    nc = open_file(path)
+    at = Layout.of(nc, variable, rule)
+    v = nc.variables[at.var]
+    n = v.shape[0] if at.time else 1
+    slab = int(np.prod(v.shape[1:] if at.time else v.shape, dtype=np.int64))
+    run = run or max(1, TASK_ROWS // max(1, slab))
+    known = at.lev is not None and at.lev in nc.variables
+    depth = physical(nc.read(at.lev), {}) if known else None
+    levels = (float(np.nanmin(depth)), float(np.nanmax(depth))) if known and np.isfinite(depth).any() else None
+    decoded = _times(nc, at, 0, n)[1] if decode and at.time else None
+    out = []
+    for i in range(0, n, run):
+        part = decoded[i:i + run] if decoded else None
+        span = (min(part).isoformat(), max(part).isoformat()) if part else None
+        out.append(Chunk(path, i, min(i + run, n), n, span, levels, v.shape[v.dims.index(at.lev)] if at.lev else 1,
+                         slab * (min(i + run, n) - i)))
+    attrs = {column: {k: str(x) for k, x in nc.variables[name].attrs.items() if not isinstance(x, np.ndarray)}
+             for column, name in (("value", at.var), ("time", at.time), ("lev", at.lev), ("lat", at.lat), ("lon", at.lon))
+             if name in nc.variables}
+    return out, attrs
+
+
+INDEX = ("path string, first int, last int, n_steps int, first_time string, last_time string, "
+         "first_lev double, last_lev double, n_lev int, rows long, attrs string")
+
+
+def chunk_index(spark: SparkSession, paths: Sequence[str], variable: str | None = None, rule: str = "predictor",
+                decode: bool = True, run: int = 0) -> DataFrame:
+    """One row for each run of steps of the listed files, from their headers, which tasks read.
+
+    Times are ISO texts; ``attrs`` is JSON and stands in a file's first row.
+    """
+    def scan(batches):
+        import pandas as pd
+        for pdf in batches:
+            rows = []
+            for path in pdf["path"]:
+                chunks, attrs = chunks_of(path, variable, rule, decode, run)
+                for i, c in enumerate(chunks):
+                    rows.append((c.path, c.first, c.last, c.n_steps, *(c.times or (None, None)), *(c.levels or (None, None)),
+                                 c.n_lev, c.rows, None if i else json.dumps(attrs)))
+            yield pd.DataFrame(rows, columns=[f.split()[0] for f in INDEX.split(", ")])
+
+    return spark.createDataFrame([(p,) for p in paths], "path string").mapInPandas(scan, INDEX)
+
+
+def time_extent(spark: SparkSession, path: str | Sequence[str], variable: str | None = None, rule: str = "predictor") -> DataFrame:
+    """``path, first_time, last_time, n_steps`` of every file, from headers and time axes alone."""
+    paths = FieldReader({"path": _joined(path)}).files()
+    return chunk_index(spark, paths, variable, rule).groupBy("path").agg(
+        F.min("first_time").cast("timestamp_ntz").alias("first_time"), F.max("last_time").cast("timestamp_ntz").alias("last_time"),
+        F.max("n_steps").alias("n_steps"))
 
 
 class FieldReader(DataSourceReader):
     def __init__(self, options: Mapping[str, str]) -> None:
-        self.options = dict(options)
-        self.variable = options.get("variable") or None
-        self.rule = options.get("rule", "predictor")
-        self.decode = options.get("decodetimes", options.get("decodeTimes", "true")).lower() == "true"
-        self.run = int(options.get("chunksteps", options.get("chunkSteps", "0")))
-        self.bounds: dict[str, list[tuple[str, Any]]] = {"time": [], "step": [], "lev_idx": []}
+        self.options = {k.lower(): v for k, v in dict(options).items()}
+        self.variable = self.options.get("variable") or None
+        self.rule = self.options.get("rule", "predictor")
+        self.decode = self.options.get("decodetimes", "true").lower() == "true"
+        self.run = int(self.options.get("chunksteps", "0"))
+        self.bounds: dict[str, list[tuple[str, Any]]] = {"time": [], "step": [], "lev": [], "lev_idx": []}
 
     def pushFilters(self, filters):
-        """Comparisons of time, step and level spare reads; Spark applies all of them again."""
+        """Comparisons of time, step and level spare tasks and reads; Spark applies all of them again."""
         from pyspark.sql.datasource import EqualTo, GreaterThan, GreaterThanOrEqual, LessThan, LessThanOrEqual
         kinds = {EqualTo: "eq", GreaterThan: "gt", GreaterThanOrEqual: "ge", LessThan: "lt", LessThanOrEqual: "le"}
         for f in filters:
@@ -312,60 +453,76 @@ class FieldReader(DataSourceReader):
             raise FileNotFoundError(self.options["path"])
         return sorted(set(found))
 
-    def partitions(self) -> Sequence[Steps]:
-        def split(path: str) -> list[Steps]:
-            nc = open_file(path)
-            at = Layout.of(nc, self.variable, self.rule)
-            shape = nc.variables[at.var].shape
-            n, slab = (shape[0], shape[1:]) if at.time else (1, shape)
-            run = self.run or max(1, TASK_ROWS // max(1, int(np.prod(slab, dtype=np.int64))))
-            return [Steps(path, i, min(i + run, n)) for i in range(0, n, run)]
-
-        # Headers only; the waiting is on the file system.
-        with ThreadPoolExecutor(32) as pool:
-            return [s for steps in pool.map(split, self.files()) for s in steps]
-
-    def read(self, partition: Steps) -> Iterator:
+    def partitions(self) -> Sequence[Task]:
+        """No file is opened here.  Without an index a file is cut by its size alone."""
+        if "chunks" not in self.options:
+            def parts(path: str) -> list[Chunk]:
+                n = -(-os.path.getsize(path) // (4 * TASK_ROWS)) or 1
+                return [Chunk(path, i, n) for i in range(n)]
+            return [Task([c]) for path in self.files() for c in parts(path)]
+        kept = [c for c in unpacked(self.options["chunks"]) if c.may_hold(self.bounds)]
+        if self.run:
+            return [Task([c]) for c in kept]
+        goal = max(1, min(TASK_ROWS, sum(c.rows for c in kept) // int(self.options.get("tasks", "1"))))
+        tasks: list[Task] = []
+        room = 0
+        for c in kept:
+            if c.rows > room or not tasks:
+                tasks.append(Task([]))
+                room = goal
+            tasks[-1].chunks.append(c)
+            room -= c.rows
+        return tasks
+
+    def read(self, partition: Task | None) -> Iterator:
+        # Spark passes None where no partition is left
+        for chunk in partition.chunks if partition else ():
+            yield from self.read_chunk(chunk)
+
+    def read_chunk(self, chunk: Chunk) -> Iterator:
         import pyarrow as pa
 
-        nc = open_file(partition.path)
+        nc = open_file(chunk.path)
         at = Layout.of(nc, self.variable, self.rule)
         v = nc.variables[at.var]
+        n_steps = v.shape[0] if at.time else 1
+        first, last = chunk.first, chunk.last
+        if chunk.n_steps is None:
+            first, last = n_steps * chunk.first // chunk.last, n_steps * (chunk.first + 1) // chunk.last
         lat, lon = (physical(nc.read(n), nc.variables[n].attrs) for n in (at.lat, at.lon))
         if lat.ndim == 1 and lon.ndim == 1:
             lat, lon = np.meshgrid(lat, lon, indexing="ij")
+        elif lon.shape != lat.shape:
+            raise ValueError(f"{chunk.path}: {at.lat} and {at.lon} differ in shape")
         ny, nx = lat.shape
         iy, ix = np.divmod(np.arange(ny * nx, dtype="int32"), np.int32(nx))
-        levels = physical(nc.read(at.lev), {}) if at.lev and at.lev in nc.variables else None
+        depth = physical(nc.read(at.lev), {}) if at.lev and at.lev in nc.variables else None
         n_lev = v.shape[v.dims.index(at.lev)] if at.lev else 1
-        n_steps = v.shape[0] if at.time else 1
-        raw = times = None
-        if at.time and at.time in nc.variables:
-            t = nc.variables[at.time]
-            raw = nc.read(at.time).astype("float64")
-            if self.decode:
-                times = decode_times(raw, str(t.attrs.get("units", "")), str(t.attrs.get("calendar", "standard")))
-        elif self.decode and at.time:
-            raise ValueError(f"{partition.path}: no time coordinate")
+        chosen = [k for k in range(n_lev) if not at.lev or self.wanted("lev_idx", k) and (
+            depth is None or np.isnan(depth[k]) or self.wanted("lev", float(depth[k])))]
+        if not chosen:
+            return
+        if self.decode and at.time and at.time not in nc.variables:
+            raise ValueError(f"{chunk.path}: no time coordinate")
+        raw, times = _times(nc, at, first, last) if self.decode else (
+            nc.records(at.time, first, last).astype("float64") if at.time in nc.variables else None, None)
         names = [f.split()[0] for f in SCHEMA.split(", ")]
         kinds = {"string": pa.string(), "timestamp_ntz": pa.timestamp("us"), "double": pa.float64(), "int": pa.int32()}
         schema = pa.schema([(f.split()[0], kinds[f.split()[1]]) for f in SCHEMA.split(", ")])
-        for step in range(partition.first, partition.last):
-            if not (self.wanted("step", step) and self.wanted("time", times[step] if times else None)):
+        for i, step in enumerate(range(first, last)):
+            if not (self.wanted("step", step) and self.wanted("time", times[i] if times else None)):
                 continue
-            cube = physical(nc.read(at.var, step if at.time else None), v.attrs).reshape(n_lev, ny * nx)
-            for k in range(n_lev):
-                if at.lev and not self.wanted("lev_idx", k):
-                    continue
+            cube = at.slab(nc, step, (chosen[0], chosen[-1] + 1))
+            for k in chosen:
                 for lo in range(0, ny * nx, SLAB):
                     part = slice(lo, min(lo + SLAB, ny * nx))
                     n = part.stop - part.start
                     constants = {
-                        "path": partition.path, "var": at.var,
-                        "time": times[step] if times else None,
-                        "raw_time": float(raw[step]) if raw is not None else None,
+                        "path": chunk.path, "var": at.var,
+                        "time": times[i] if times else None,
+                        "raw_time": float(raw[i]) if raw is not None else None,
                         "step": step, "n_steps": n_steps,
-                        "lev": float(levels[k]) if levels is not None else None,
+                        "lev": float(depth[k]) if depth is not None else None,
                         "lev_idx": k if at.lev else None,
                     }
                     columns = {
@@ -374,19 +531,34 @@ class FieldReader(DataSourceReader):
                         "iy": pa.array(iy[part]), "ix": pa.array(ix[part]),
                         "lat": pa.array(lat.ravel()[part], from_pandas=True),
                         "lon": pa.array(lon.ravel()[part], from_pandas=True),
-                        "value": pa.array(cube[k, part], from_pandas=True),
+                        "value": pa.array(cube[k - chosen[0], part], from_pandas=True),
                     }
                     yield pa.RecordBatch.from_pydict({n_: columns[n_] for n_ in names}, schema=schema)
 
 
+def packed(chunks: Sequence[Chunk]) -> str:
+    """Chunks as an option of the reader."""
+    rows = [(c.path, c.first, c.last, c.n_steps, c.times, c.levels, c.n_lev, c.rows) for c in chunks]
+    return base64.b64encode(zlib.compress(json.dumps(rows).encode())).decode()
+
+
+def unpacked(text: str) -> list[Chunk]:
+    return [Chunk(*row) for row in json.loads(zlib.decompress(base64.b64decode(text)))]
+
+
+def _joined(path: str | Sequence[str]) -> str:
+    return path if isinstance(path, str) else "\n".join([*path, ""])
+
+
 class FieldSource(DataSource):
-    """``spark.read.format("ncfield")``; options path, variable, rule, decodeTimes, chunkSteps.
+    """``spark.read.format("ncfield")`` and ``df.write.format("ncfield")``.
 
-    Without ``chunkSteps`` a task takes as many steps as make about four million rows.
+    Reading: options path, variable, rule, decodeTimes, chunkSteps.  Without ``chunkSteps`` a task takes
+    about four million rows.  ``step`` is the position inside the file, out of ``n_steps``.
+    ``variable`` may list aliases separated by commas: the first present is read, else the file's
+    first data variable.  ``read_netcdf`` adds the index of chunks; without it nothing is pruned before the tasks.
 
-    ``step`` is the position inside the file, out of ``n_steps``.
-    ``variable`` may list aliases separated by commas: the first present is read,
-    else the file's first data variable.
+    Writing: options path, dataset, value, span, name, attrs; see ``write_netcdf``.
     """
 
     @classmethod
@@ -399,18 +571,40 @@ class FieldSource(DataSource):
     def reader(self, schema) -> FieldReader:
         return FieldReader(self.options)
 
+    def writer(self, schema, overwrite: bool) -> "FieldWriter":
+        return FieldWriter(self.options)
+
 
 def read_netcdf(spark: SparkSession, path: str | Sequence[str], variable: str | None = None,
                 **options: Any) -> DataFrame:
-    """The long form of one variable of one or many files."""
+    """The long form of one variable of one or many files.
+
+    Names are listed here and headers are read by a job of as many tasks as cores; the driver holds a line for each
+    run of steps, about as many as the scan has tasks.  Attributes that all files share stand as column metadata.
+    """
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(FieldSource)
-    reader = spark.read.format("ncfield").option("path", path if isinstance(path, str) else "\n".join([*path, ""]))
-    if variable:
-        reader = reader.option("variable", variable)
-    for key, value in options.items():
-        reader = reader.option(key, str(value).lower() if isinstance(value, bool) else str(value))
-    return reader.load()
+    given = {k.lower(): str(v).lower() if isinstance(v, bool) else str(v) for k, v in options.items()}
+    plan = FieldReader({"path": _joined(path), "variable": variable or "", **given})
+    found = chunk_index(spark, plan.files(), plan.variable, plan.rule, plan.decode, plan.run).collect()
+    chunks = [Chunk(r.path, r.first, r.last, r.n_steps, r.first_time and (r.first_time, r.last_time),
+                    None if r.first_lev is None else (r.first_lev, r.last_lev), r.n_lev, r.rows) for r in found]
+    reader = spark.read.format("ncfield").option("path", _joined(path)).option("chunks", packed(chunks)).option(
+        "tasks", str(spark.sparkContext.defaultParallelism))
+    for key, value in {"variable": variable or "", **given}.items():
+        reader = reader.option(key, value)
+    df = reader.load()
+    shared: dict[str, dict[str, str]] | None = None
+    for r in found:
+        if r.attrs is not None:
+            own = json.loads(r.attrs)
+            shared = own if shared is None else {
+                c: {k: v for k, v in a.items() if own.get(c, {}).get(k) == v} for c, a in shared.items()}
+    return _with_attrs(df, shared or {})
+
+
+def _with_attrs(df: DataFrame, attrs: Mapping[str, Mapping[str, str]]) -> DataFrame:
+    return df.select(*[F.col(c).alias(c, metadata=dict(attrs[c])) if attrs.get(c) else F.col(c) for c in df.columns])
 
 
 def variable_names(path: str) -> list[str]:
@@ -491,46 +685,141 @@ def write_classic(path: str, dims: Mapping[str, int], variables: Mapping[str, tu
     os.replace(temp, path)
 
 
-def write_netcdf(df: DataFrame, folder: str, dataset: Sequence[str] = ("var",), value: str = "value",
-                 attrs: Mapping[str, str] | None = None, span: str = "month") -> DataFrame:
-    """Export a regular-grid field, one file per dataset and month (or ``span`` "year"): (file, steps).
+class Written(WriterCommitMessage):
+    """Files of one task: (staged path, name, steps)."""
+
+    def __init__(self, files: list[tuple[str, str, int]]) -> None:
+        self.files = files
+
+
+class FieldWriter(DataSourceArrowWriter):
+    """Rows sorted by dataset, span, time and cell become one classic file for each dataset and span.
 
-    A task assembles one such span: a grid for monthly fields, at most 31 for daily
-    ones.  Each file is written aside and renamed, so repeated attempts leave one
-    whole file.  Run the returned listing to execute the export; ``folder`` must
-    be shared.
+    Every attempt of a task writes under a folder of its own, so a lost or repeated attempt changes
+    nothing that is published.  ``commit`` renames the files of the attempts that count and removes the
+    staging folder with all else; two tasks with the same file are an error, as rows were not clustered.
     """
-    keys = [*dataset, "span"]
-    form = {"month": "yyyyMM", "year": "yyyy"}[span]
-    extra = dict(attrs or {})
-    os.makedirs(folder, exist_ok=True)
 
-    def save(pdf):
+    def __init__(self, options: Mapping[str, str]) -> None:
+        o = {k.lower(): v for k, v in dict(options).items()}
+        self.folder = re.sub(r"^file:/*", "/", o["path"])
+        self.dataset = [c for c in o.get("dataset", "var").split(",") if c]
+        self.value = o.get("value", "value")
+        self.span = o.get("span", "month")
+        self.template = o.get("name", ".".join(f"{{{c}}}" for c in [*self.dataset, "span"]))
+        self.attrs = json.loads(o.get("attrs", "{}"))
+        self.columns = json.loads(o.get("columns", "{}"))
+        self.staging = os.path.join(self.folder, f"_staging-{uuid.uuid4().hex}")
+
+    def write(self, iterator) -> Written:
+        attempt = os.path.join(self.staging, uuid.uuid4().hex)
+        files: list[tuple[str, str, int]] = []
+        held: list[Any] = []
+        key: tuple | None = None
+
+        def flush() -> None:
+            if held:
+                name = self.template.format(**dict(zip([*self.dataset, "span"], key))) + ".nc"
+                staged = os.path.join(attempt, name + ".part")
+                os.makedirs(os.path.dirname(staged), exist_ok=True)
+                files.append((staged, name, self.assemble(staged, held)))
+                held.clear()
+
+        for batch in iterator:
+            if batch.num_rows == 0:
+                continue
+            pdf = batch.to_pandas()
+            keys = pdf[[*self.dataset, "span"]].astype(str)
+            new = (keys != keys.shift()).any(axis=1).to_numpy()
+            starts = [*np.flatnonzero(new), len(pdf)]
+            for a, b in zip(starts, starts[1:]):
+                mine = tuple(keys.iloc[a])
+                if mine != key:
+                    flush()
+                    key = mine
+                held.append(pdf.iloc[a:b].reset_index(drop=True))
+        flush()
+        return Written(files)
+
+    def assemble(self, path: str, parts: Sequence[Any]) -> int:
+        """Write one file; the number of its steps."""
         import pandas as pd
 
-        first = pdf.iloc[0]
-        name = ".".join(str(first[k]) for k in keys)
-        var = str(first["var"]) if "var" in pdf.columns else value
-        lat = pdf.groupby("iy")["lat"].first().sort_index()
-        lon = pdf.groupby("ix")["lon"].first().sort_index()
+        pdf = pd.concat(parts, ignore_index=True)
+        var = str(pdf["var"].iloc[0]) if "var" in pdf.columns else self.value
+        lat, lon = (pdf.groupby(i)[c].first().sort_index() for i, c in (("iy", "lat"), ("ix", "lon")))
         times = np.sort(pdf["time"].unique())
-        cube = np.full((len(times), len(lat), len(lon)), FILL_VALUE, "f4")
-        at = (np.searchsorted(times, pdf["time"].to_numpy()), lat.index.get_indexer(pdf["iy"]),
-              lon.index.get_indexer(pdf["ix"]))
-        cube[at] = pdf[value].fillna(FILL_VALUE).to_numpy("f4")
-        days = (times - np.datetime64("1850-01-01")) / np.timedelta64(1, "D")
-        write_classic(
-            os.path.join(folder, f"{name}.nc"),
-            {"time": len(times), "lat": len(lat), "lon": len(lon)},
-            {
-                "time": (("time",), days.astype("f8"), {"units": "days since 1850-01-01", "calendar": "standard"}),
-                "lat": (("lat",), lat.to_numpy("f8"), {"units": "degrees_north"}),
-                "lon": (("lon",), lon.to_numpy("f8"), {"units": "degrees_east"}),
-                var: (("time", "lat", "lon"), cube, {"_FillValue": np.float32(FILL_VALUE)}),
-            },
-            extra,
-        )
-        return pd.DataFrame({"file": [f"{name}.nc"], "steps": [len(times)]})
+        at = [np.searchsorted(times, pdf["time"].to_numpy()), lat.index.get_indexer(pdf["iy"]), lon.index.get_indexer(pdf["ix"])]
+        dims, order = {"time": len(times), "lat": len(lat), "lon": len(lon)}, ["time", "lat", "lon"]
+        days = ((times - np.datetime64("1850-01-01")) / np.timedelta64(1, "D")).astype("f8")
+        flat = bool((pdf.groupby("iy")["lat"].nunique() <= 1).all() and (pdf.groupby("ix")["lon"].nunique() <= 1).all())
+        variables: dict[str, tuple] = {
+            "time": (("time",), days, {"standard_name": "time", **self.kept("time"), "units": "days since 1850-01-01", "calendar": "standard"})}
+        for c, axis, units in (("lat", lat, "degrees_north"), ("lon", lon, "degrees_east")):
+            held, along = axis.to_numpy("f8"), (c,)
+            if not flat:
+                held, along = np.full((len(lat), len(lon)), np.nan), ("lat_index", "lon_index")
+                held[at[1], at[2]] = pdf[c].to_numpy("f8")
+            variables[c] = (along, held, {"units": units, **self.kept(c)})
+        if not flat:
+            dims = {"time": len(times), "lat_index": len(lat), "lon_index": len(lon)}
+            order = list(dims)
+        if "lev" in pdf.columns and pdf["lev"].notna().any():
+            levels = np.sort(pdf["lev"].unique())
+            at.insert(1, np.searchsorted(levels, pdf["lev"].to_numpy()))
+            dims, order = {**dims, "lev": len(levels)}, [order[0], "lev", *order[1:]]
+            variables["lev"] = (("lev",), levels.astype("f8"), {"units": "m", "axis": "Z", **self.kept("lev")})
+        cube = np.full([dims[d] for d in order], FILL_VALUE, "f4")
+        cube[tuple(at)] = pdf[self.value].fillna(FILL_VALUE).to_numpy("f4")
+        variables[var] = (tuple(order), cube, {**self.kept(self.value), "_FillValue": np.float32(FILL_VALUE)})
+        write_classic(path, dims, variables, self.attrs)
+        return len(times)
+
+    def kept(self, column: str) -> dict[str, str]:
+        """Attributes of a column that hold in the new file too."""
+        gone = {*STALE_ATTRS, "_FillValue", "missing_value", "bounds", "coordinates", "cell_measures"}
+        return {k: str(v) for k, v in self.columns.get(column, {}).items() if k not in gone and not k.startswith("__")}
+
+    def commit(self, messages) -> None:
+        files = [f for m in messages if m is not None for f in m.files]
+        names = [name for _, name, _ in files]
+        twice = sorted({n for n in names if names.count(n) > 1}) if len(set(names)) < len(names) else []
+        if twice:
+            raise ValueError(f"rows of one file lie in several tasks: {twice[:3]}")
+        for staged, name, _ in files:
+            os.makedirs(os.path.dirname(os.path.join(self.folder, name)), exist_ok=True)
+            os.replace(staged, os.path.join(self.folder, name))
+        shutil.rmtree(self.staging, ignore_errors=True)
+
+    def abort(self, messages) -> None:
+        shutil.rmtree(self.staging, ignore_errors=True)
+
+
+def span_of(span: str) -> Column:
+    """The part of the time that goes into one file, as text."""
+    form = {"month": "yyyyMM", "year": "yyyy"}.get(span)
+    return F.date_format("time", form) if form else F.lit("all")
+
+
+def write_netcdf(df: DataFrame, folder: str, dataset: Sequence[str] = ("var",), value: str = "value",
+                 attrs: Mapping[str, str] | None = None, span: str = "month", name: str | None = None) -> None:
+    """Export a field: one file for each dataset and month (or ``span`` "year", or "all" for a whole series).
 
-    src = df.select(*dataset, F.date_format("time", form).alias("span"), "time", "iy", "ix", "lat", "lon", value)
-    return src.groupBy(*keys).applyInPandas(save, "file string, steps int")
+    ``name`` is a file name without its ending, with ``{column}`` of the dataset columns and ``{span}``; slashes make
+    folders.  Column metadata become attributes, ``attrs`` global ones.  A task assembles one file, so a span should
+    be a few hundred grids at most.  Files appear when all are written; those of the same names are
+    replaced one by one.  ``folder`` must be shared.
+    """
+    spark = df.sparkSession
+    spark.dataSource.register(FieldSource)
+    keys = [*dataset, "span"]
+    extra = ["lev"] if "lev" in df.columns else []
+    columns = [c for c in dict.fromkeys([*keys, *(["var"] if "var" in df.columns else []), "time", *extra, "iy", "ix", "lat", "lon", value])]
+    rows = df.withColumn("span", span_of(span)).select(*columns)
+    sorted_rows = rows.repartition(*keys).sortWithinPartitions(*keys, "time", *extra, "iy", "ix")
+    meta = {c: a for c, a in column_attrs(df).items() if a}
+    writer = sorted_rows.write.format("ncfield").mode("append").option("dataset", ",".join(dataset)).option(
+        "value", value).option("span", span).option("attrs", json.dumps(dict(attrs or {}))).option("columns", json.dumps(meta))
+    if name:
+        writer = writer.option("name", name)
+    writer.save(folder)
