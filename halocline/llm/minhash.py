@@ -77,10 +77,14 @@ def bins(hashes: Column) -> Column:
             gaps(place(x) - F.when(j > 0, place(F.get(f, j - 1)) + 1).otherwise(0)), F.array(x)))
         return F.concat(F.flatten(before), gaps(BINS - 1 - place(F.get(f, F.size(f) - 1))))
 
+    def tried(values: Column, own: Column, at: Column) -> Column:
+        return F.transform(values, lambda v, i: F.coalesce(v, F.get(own, F.get(at, i))))
+
     def borrowed(f: Column) -> Column:
         def fill(own: Column) -> Column:
-            full = reduce(lambda acc, t: F.transform(acc, lambda v, i, t=t: F.coalesce(
-                v, F.get(own, F.get(_preferred(t), i)))), range(ROUNDS), own)
+            full = own
+            for turn in range(ROUNDS):
+                full = tried(full, own, _preferred(turn))
             return F.transform(full, lambda v, i: F.coalesce(v, F.array_min(F.transform(
                 f, lambda x: F.struct(F.xxhash64(i, place(x)).alias("order"), x.alias("x"))))["x"]))
         return _let(spread(f), fill)

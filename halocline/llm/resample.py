@@ -46,10 +46,13 @@ def feature_buckets(text: Column, buckets: int = BUCKETS, longest: int = 1) -> C
     def all_runs(w: Column) -> Column:
         out = [F.array(F.size(w)), hashed(w)]
         for k in range(2, longest + 1):
-            starts = F.when(F.size(w) >= k, F.sequence(F.lit(1), F.size(w) - (k - 1))).otherwise(F.array().cast("array<int>"))
-            out.append(hashed(F.transform(starts, lambda i, k=k: F.array_join(F.slice(w, i, k), " "))))
+            out.append(hashed(runs(w, k)))
         return F.concat(*out)
 
+    def runs(w: Column, k: int) -> Column:
+        starts = F.when(F.size(w) >= k, F.sequence(F.lit(1), F.size(w) - (k - 1))).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.array_join(F.slice(w, i, k), " "))
+
     # the words are bound as a variable, so the text is split once
     return F.transform(F.array(words), all_runs)[0]
 
