@@ -56,6 +56,32 @@ def _with_month(df: DataFrame) -> DataFrame:
     return df.withColumn("_month", F.month("time"))
 
 
+def solved(df: DataFrame) -> DataFrame:
+    """Adds ``_c0, _c1, _c2``, the quadratic of power sums ``_s0`` to ``_s4`` and cross sums ``_b0`` to ``_b2``."""
+    s = [F.col(f"_s{k}") for k in range(5)]
+    b = [F.col(f"_b{k}") for k in range(3)]
+
+    df = df.withColumns({"_l1": ratio(s[1], s[0]), "_l2": ratio(s[2], s[0])})
+    l1, l2 = F.col("_l1"), F.col("_l2")
+    df = df.withColumns({
+        "_d1": s[2] - l1 * s[1], "_e1": s[3] - l1 * s[2], "_z1": b[1] - l1 * b[0],
+    })
+    d1, e1, z1 = F.col("_d1"), F.col("_e1"), F.col("_z1")
+    slope_ok = d1 > 0
+    df = df.withColumn("_l3", F.when(slope_ok, ratio(e1, d1)).otherwise(0e0))
+    l3 = F.col("_l3")
+    df = df.withColumns({
+        "_d2": s[4] - l2 * s[2] - l3 * e1, "_z2": b[2] - l2 * b[0] - l3 * z1,
+    })
+    df = df.withColumn(
+        "_c2", F.when(slope_ok & (F.col("_d2") > 0), ratio(F.col("_z2"), F.col("_d2"))).otherwise(0e0))
+    c2 = F.col("_c2")
+    df = df.withColumn("_c1", F.when(slope_ok, ratio(z1, d1) - l3 * c2).otherwise(0e0))
+    c1 = F.col("_c1")
+    df = df.withColumn("_c0", ratio(b[0], s[0]) - l1 * c1 - l2 * c2)
+    return df
+
+
 def _detrended(df: DataFrame, whole: Window, value: str) -> DataFrame:
     """Residual of a degree-2 least-squares fit over positions scaled to [-1, 1].
 
@@ -80,29 +106,9 @@ def _detrended(df: DataFrame, whole: Window, value: str) -> DataFrame:
         *[moment(k, False).alias(f"_s{k}") for k in range(5)],
         *[moment(k, True).alias(f"_b{k}") for k in range(3)],
     )
-    s = [F.col(f"_s{k}") for k in range(5)]
-    b = [F.col(f"_b{k}") for k in range(3)]
-
-    df = df.withColumns({"_l1": ratio(s[1], s[0]), "_l2": ratio(s[2], s[0])})
-    l1, l2 = F.col("_l1"), F.col("_l2")
-    df = df.withColumns({
-        "_d1": s[2] - l1 * s[1], "_e1": s[3] - l1 * s[2], "_z1": b[1] - l1 * b[0],
-    })
-    d1, e1, z1 = F.col("_d1"), F.col("_e1"), F.col("_z1")
-    slope_ok = d1 > 0
-    df = df.withColumn("_l3", F.when(slope_ok, ratio(e1, d1)).otherwise(0e0))
-    l3 = F.col("_l3")
-    df = df.withColumns({
-        "_d2": s[4] - l2 * s[2] - l3 * e1, "_z2": b[2] - l2 * b[0] - l3 * z1,
-    })
-    df = df.withColumn(
-        "_c2", F.when(slope_ok & (F.col("_d2") > 0), ratio(F.col("_z2"), F.col("_d2"))).otherwise(0e0))
-    c2 = F.col("_c2")
-    df = df.withColumn("_c1", F.when(slope_ok, ratio(z1, d1) - l3 * c2).otherwise(0e0))
-    c1 = F.col("_c1")
-    df = df.withColumn("_c0", ratio(b[0], s[0]) - l1 * c1 - l2 * c2)
-    fit = F.col("_c0") + x * (c1 + x * c2)
-    return df.withColumn(value, F.when(s[0] >= 3, y - fit))
+    df = solved(df)
+    fit = F.col("_c0") + x * (F.col("_c1") + x * F.col("_c2"))
+    return df.withColumn(value, F.when(F.col("_s0") >= 3, y - fit))
 
 
 def _drop_scratch(df: DataFrame) -> DataFrame:

@@ -170,6 +170,7 @@ SQL["detrend_sparse_cells"] = (
     f"SELECT {_CUBE_OUT}, {r('value', 3)} FROM det")
 SQL["anomaly_full"] = (
     f"WITH {LINE_CUBE}, {detrended('lcube')}, {anomalies('det')} SELECT {_CUBE_OUT}, {r('value', 3)} FROM anom")
+SQL["anomaly_after_append"] = SQL["anomaly_full"]
 SQL["monmax_anomaly"] = (
     f"WITH {WIND_MAX}, {cube('wcube', 'wmax')}, {detrended('wcube')}, {anomalies('det')} "
     f"SELECT {_CUBE_OUT}, {r('value')} FROM anom")

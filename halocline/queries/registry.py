@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from halocline.functions import calendar as cal, names as N, numeric as num, position as pos
 from halocline.functions.seawater import with_linear_sigma
-from halocline.operators import axis, checks, merge, regrid, series, space, stats, vertical
+from halocline.operators import axis, checks, merge, regrid, running, series, space, stats, vertical
 from halocline.operators.sizing import settle
 from halocline.queries import adapters as A
 from halocline.queries.adapters import AT, COARSE, MEMBER
@@ -125,6 +125,18 @@ def anomaly_full(spark, sf):
     return rounded(series.anomaly(A.line_cube(spark, sf), MEMBER), "value", digits=3)
 
 
+@query
+def anomaly_after_append(spark, sf):
+    """The first four years, then the rest, summed apart; the whole field against the trend and climatology of both."""
+    cube = A.line_cube(spark, sf)
+    first = F.col("time") < F.lit("1996-01-01").cast("timestamp_ntz")
+    parts = [running.period_sums(cube.where(part), MEMBER) for part in (first, ~first)]
+    sums = running.merged_sums(parts[0].unionByName(parts[1]), MEMBER)
+    lengths = cube.groupBy(*MEMBER).agg(F.max("n_time").alias("n_time"))
+    out = running.anomalies(cube, running.fitted(sums, lengths, MEMBER), MEMBER)
+    return rounded(out, "value", digits=3)
+
+
 @query
 def monmax_anomaly(spark, sf):
     top = axis.densify(series.monthly(A.daily_wind(spark, sf), MEMBER, "max"), MEMBER)

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from fields import month, to_cube
 from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from halocline.operators import axis, series
 
@@ -115,3 +116,29 @@ def test_dense_cube_keeps_missing_rows(make_field):
 def test_repeated_runs_of_a_dataset_without_keys_are_refused(make_field):
     with pytest.raises(ValueError):
         axis.time_axis(make_field(np.ones((2, 1, 1))), [])
+
+
+def test_appended_periods_are_the_whole(spark, make_field, tmp_path):
+    """Sums of three periods give what the full job gives, and the fit reads no old month."""
+    from halocline.operators.axis import with_time_index
+    from halocline.plans import extend
+    rng = np.random.default_rng(8)
+    t = np.arange(75)
+    cube = 1e3 + 0.3 * t[:, None, None] - 2e-3 * (t ** 2)[:, None, None] + rng.normal(size=(75, 3, 4))
+    cube[rng.random(cube.shape) < 0.2] = np.nan
+    cube[:, 0, 0] = np.nan
+    cube[:73, 0, 1] = np.nan  # two values only
+    field = make_field(cube)
+    root = str(tmp_path / "kept")
+    cuts = [month(0), month(30), month(61), month(75)]
+    for name, low, high in zip("abc", cuts, cuts[1:]):
+        part = field.where((F.col("time") >= F.lit(low)) & (F.col("time") < F.lit(high)))
+        extend.append_period(part, root, name, ["var"])
+        extend.append_period(part, root, name, ["var"])  # a repeated attempt changes nothing
+    want = to_cube(series.anomaly(with_time_index(field, ["var"]), ["var"]))
+    np.testing.assert_allclose(to_cube(extend.anomalies_since(field, root, ["var"])), want, rtol=0, atol=1e-9)
+    last = field.where(F.col("time") >= F.lit(month(61)))
+    np.testing.assert_allclose(to_cube(extend.anomalies_since(last, root, ["var"])), want[61:], rtol=0, atol=1e-9)
+    assert all("/kept/" in p for p in extend.kept_fit(spark, root, ["var"]).inputFiles())
+    with pytest.raises(Exception, match="does not follow"):
+        extend.append_period(field.where(F.col("time") < F.lit(month(20))), root, "late", ["var"])
