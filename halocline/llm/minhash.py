@@ -98,8 +98,8 @@ def packed(text: Column, k: int = SHINGLE) -> Column:
     """The fingerprint: ``array<long>`` of BINS * BITS bits."""
     each = 64 // BITS
     digits = F.transform(bins(shingle_hashes(text, k)), lambda x, i: F.xxhash64(x, i).bitwiseAND(F.lit((1 << BITS) - 1).cast("long")))
-    return _let(digits, lambda d: F.transform(F.sequence(F.lit(0), F.lit(BINS // each - 1)), lambda w: F.aggregate(
-        F.slice(d, w * each + 1, each), F.lit(0).cast("long"), lambda acc, v: F.shiftleft(acc, BITS).bitwiseOR(v))))
+    return _let(digits, lambda d: F.when(d.isNotNull(), F.transform(F.sequence(F.lit(0), F.lit(BINS // each - 1)), lambda w: F.aggregate(
+        F.slice(d, w * each + 1, each), F.lit(0).cast("long"), lambda acc, v: F.shiftleft(acc, BITS).bitwiseOR(v)))))
 
 
 def text_of(fingerprint: Column) -> Column:
