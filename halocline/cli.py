@@ -17,11 +17,11 @@ from halocline.functions.seawater import with_linear_sigma, with_sigma0
 from halocline.operators import stats
 from halocline.plans import anomalies, columns, ingest, predictors, splits, targets
 from halocline.schema import (
-    DAILY_WIND_ALIASES, EXCLUDED_MODELS, QC_VAR_ORDER, SOURCE_ALIASES, VAR_ORDER, plottable,
+    DAILY_WIND_ALIASES, EXCLUDED_MODELS, QC_VAR_ORDER, SOURCE_ALIASES, VAR_ORDER, carry_attrs, plottable,
 )
 from halocline.session import get_session
 from halocline.sources import catalog, configs
-from halocline.sources.netcdf import read_netcdf, units_of
+from halocline.sources.netcdf import read_netcdf, units_of, write_netcdf
 from halocline.sources.store import append_history, read_field, write_attrs, write_field
 
 GROUP = ("exp", "model", "member")
@@ -41,11 +41,26 @@ def _publish(spark: SparkSession, df: DataFrame, args: argparse.Namespace, note:
              attrs: dict[str, str] | None = None) -> None:
     if args.dry_run:
         df.explain("formatted")
-    elif write_field(df, args.out, by, overwrite=args.overwrite, values=values):
+        return
+    if write_field(df, args.out, by, overwrite=args.overwrite, values=values):
         append_history(spark, args.out, note)
         write_attrs(spark, args.out, {v: {"derivation": note, **(attrs or {})} for v in values})
     else:
         print(f"kept existing {args.out}")
+    if args.netcdf:
+        _export(spark, args, note, values)
+
+
+def _export(spark: SparkSession, args: argparse.Namespace, note: str, values: Sequence[str]) -> None:
+    """The published field as NetCDF too: a file for each dataset, variable and ``--netcdf-span``."""
+    df = read_field(spark, args.out, values=values)
+    if not {"iy", "ix", "lat", "lon"} <= set(df.columns):
+        raise SystemExit("--netcdf needs a field on a grid")
+    keys = [c for c in ("source", *GROUP) if c in df.columns]
+    if tuple(values) != ("value",):
+        df = df.unpivot([*keys, "time", "iy", "ix", "lat", "lon"], list(values), "var", "value")
+    write_netcdf(df, args.netcdf, [*keys, "var"], attrs={"history": note}, span=args.netcdf_span,
+                 name="/".join(f"{{{c}}}" for c in keys) + ("/" if keys else "") + "{var}." + args.netcdf_tag.replace("{", "{{").replace("}", "}}") + ".{span}")
 
 
 def _report(rows: DataFrame, tag: str) -> None:
@@ -87,7 +102,8 @@ def anom(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.keep and not args.dry_run:
         for name, step in anomalies.anomaly_steps(df, keys).items():
             write_field(step, f"{args.keep.rstrip('/')}/{name}", overwrite=args.overwrite)
-    out = anomalies.anomaly_job(df, keys, grid_keys=_grid_keys(df))
+    # a regridded field keeps what its values are, not the old coordinates' attributes
+    out = carry_attrs(anomalies.anomaly_job(df, keys, grid_keys=_grid_keys(df)), df.select("value"))
     _publish(spark, out, args, "quadratic detrend, calendar-month anomaly, bilinear regrid")
 
 
@@ -113,6 +129,7 @@ def surface(spark: SparkSession, args: argparse.Namespace) -> None:
     units = args.units if args.units is not None else F.col("units")
     out = columns.surface_job(df, [*keys, "var"], by_depth=not args.file_order, units=units)
     out = out.select(*keys, "var", "time", "iy", "ix", "lat", "lon", "value")
+    out = carry_attrs(out, df, {"value": {"units": "g kg-1"}} if args.var == "salt" else None)
     _publish(spark, out, args, f"first vertical level of {args.var}", by=[*keys[1:2], "var"])
 
 
@@ -122,6 +139,7 @@ def ohc(spark: SparkSession, args: argparse.Namespace) -> None:
     out = columns.heat_content_job(
         df, [*keys, "var"], units, not args.keep_kelvin, zmax=args.zmax, rho0=args.rho0, cp0=args.cp0,
         mask_shallow=args.mask_shallow, shallow_eps=args.shallow_eps)
+    out = carry_attrs(out, df, {"value": {"units": "J m-2", "long_name": f"heat content 0-{args.zmax:g} m"}}, derived=["value"])
     _publish(spark, out, args, f"heat content 0-{args.zmax:g} m of {args.var}", by=[*keys[1:2], "var"],
              attrs={"units": "J m-2", "rho0": str(args.rho0), "cp0": str(args.cp0)})
 
@@ -131,11 +149,13 @@ def mlotst(spark: SparkSession, args: argparse.Namespace) -> None:
         return read_netcdf(spark, path, var).withColumns(
             {"time": month_start("time"), "source": F.lit(args.source_name)})
 
+    warm = one(args.temp, args.temp_var)
     out = columns.mixed_layer_job(
-        one(args.temp, args.temp_var), one(args.salt, args.salt_var), ["source"],
+        warm, one(args.salt, args.salt_var), ["source"],
         temp_units=args.temp_units or units_of(args.temp, args.temp_var), depth_units=args.depth_units, ref_depth=args.ref_depth,
         delta_sigma=args.delta_sigma, zmax=args.zmax,
         density=with_linear_sigma if args.linear else with_sigma0)
+    out = carry_attrs(out, warm, {"value": {"units": "m", "long_name": "ocean mixed layer thickness"}}, derived=["value"])
     _publish(spark, out, args, "mixed-layer depth by density threshold",
              attrs={"units": "m", "ref_depth": str(args.ref_depth), "delta_sigma": str(args.delta_sigma)})
 
@@ -165,6 +185,9 @@ def inputs(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def target(spark: SparkSession, args: argparse.Namespace) -> None:
+    if args.default_of:
+        places = [f"{(args.root or '.').rstrip('/')}/{c}" for c in catalog.TARGET_CANDIDATES[args.default_of]]
+        args.fields, args.root = [catalog.first_existing(None, places, f"{args.default_of} target")], None
     df = spark.read.parquet(*args.fields) if args.kind == "nino34" else _fields(spark, args, VAR_ORDER)
     if args.kind == "nino34":
         out = targets.index_series(df, args.start, args.end)
@@ -235,6 +258,9 @@ def build_parser() -> argparse.ArgumentParser:
         p.add_argument("--out", required=True)
         p.add_argument("--overwrite", action="store_true")
         p.add_argument("--dry-run", action="store_true", help="show the plan, write nothing")
+        p.add_argument("--netcdf", help="shared folder for NetCDF files of the result as well")
+        p.add_argument("--netcdf-span", choices=("month", "year", "all"), default="year", help="what one file holds")
+        p.add_argument("--netcdf-tag", default=fn.__name__, help="second part of the file names")
         for name, default in names.items():
             flag = "--" + name.replace("_", "-")
             if default is bool:
@@ -262,6 +288,7 @@ def build_parser() -> argparse.ArgumentParser:
                 leaf="monthly", raw=bool, exclude=",".join(EXCLUDED_MODELS))
     p.add_argument("--fields", nargs="+", default=[])
     p.add_argument("--kind", choices=("tos", "nino34"), default="tos")
+    p.add_argument("--default-of", choices=sorted(catalog.TARGET_CANDIDATES), help="the stored anomalies under --root that this split uses")
     p.add_argument("--period-mode", choices=("auto", "input", "common", "tos"), default="auto")
     command(split, ocean_held=str, ocean_added=str, validation_atmosphere=str, test_ocean=str, test_atmosphere=str,
             test_index=str, vars=None, validation=None, test=None)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from halocline.operators import axis, regrid, series, space
 from halocline.operators.sizing import settle
-from halocline.schema import OCEAN_VARS, TargetGrid
+from halocline.schema import OCEAN_VARS, TargetGrid, drop_spatial_bounds
 
 
 def regrid_field(df: DataFrame, dataset: Sequence[str], target: TargetGrid = TargetGrid(), *,
@@ -18,6 +18,7 @@ def regrid_field(df: DataFrame, dataset: Sequence[str], target: TargetGrid = Tar
     ``grid_keys`` tell source grids apart (models have their own).
     """
     keys = list(grid_keys)
+    df = drop_spatial_bounds(df, keep=[*dataset, *keys, "value"])  # corners of the old cells mean nothing on the new grid
     grid = settle(regrid.grid_of(df, keys))
     if "var" in keys:
         ocean = F.col("var").isin(*sorted(OCEAN_VARS))

@@ -12,7 +12,7 @@ from halocline.functions import names as N
 from halocline.functions.calendar import month_start
 from halocline.operators.merge import union_in_time
 from halocline.operators.sizing import small_side
-from halocline.schema import EXCLUDED_MODELS, SOURCE_ALIASES
+from halocline.schema import EXCLUDED_MODELS, SOURCE_ALIASES, shared_attrs
 from halocline.sources import catalog
 from halocline.sources.netcdf import file_attrs, read_netcdf
 
@@ -47,7 +47,7 @@ def load_fixed(spark: SparkSession, source: str, root: str, files: Mapping[str,
         parts.append(raw.withColumn("var", F.lit(var)).withColumnsRenamed(POSITION))
     if not parts:
         raise FileNotFoundError(f"no input of {source} under {root}")
-    df = union_in_time(*parts)
+    df = shared_attrs(union_in_time(*parts), parts)
     if monthly:
         df = df.withColumn("time", month_start("time"))
     return df.select(F.lit(source).alias("source"), *FIELD, *POSITION.values())
@@ -97,7 +97,8 @@ def load_chosen(spark: SparkSession, chosen: DataFrame) -> DataFrame:
     if not by_var:
         raise FileNotFoundError("no file was chosen")
     named = chosen.select("path", "exp", "model", "member")
-    df = union_in_time(*_read_by_variable(spark, by_var)).join(small_side(named), "path")
+    parts = _read_by_variable(spark, by_var)
+    df = shared_attrs(union_in_time(*parts), parts).join(small_side(named), "path")
     return df.withColumn("time", month_start("time")).select("exp", "model", "member", *FIELD)
 
 
@@ -121,7 +122,7 @@ def load_cmip6(spark: SparkSession, root: str, variables: Sequence[str], experim
     parts = _read_by_variable(spark, by_var)
     # Dataset names come straight from the path: no join of the cube with the listing.
     bits = F.split("path", "/")
-    named = union_in_time(*parts).withColumns({
+    named = shared_attrs(union_in_time(*parts), parts).withColumns({
         "member": F.element_at(bits, -3), "model": F.element_at(bits, -4),
         "exp": F.lit(experiment) if experiment else F.element_at(bits, -5),
     })

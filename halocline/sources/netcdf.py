@@ -35,7 +35,7 @@ from pyspark.sql.datasource import (
     DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage,
 )
 
-from halocline.schema import FILL_VALUE, STALE_ATTRS, axis_score, best_axis, column_attrs, first_present, main_variable
+from halocline.schema import FILL_VALUE, STALE_ATTRS, best_axis, column_attrs, main_variable, resolve_alias
 
 SCHEMA = (
     "path string, var string, time timestamp_ntz, raw_time double, step int, n_steps int, "
@@ -287,9 +287,7 @@ class Layout:
         data = [n for n, x in v.items() if n not in coords and len(x.dims) >= 2]
         timed = {n: int(np.prod(v[n].shape, dtype=np.int64)) for n in data if set(v[n].dims) & times}
         if wanted and "," in wanted:
-            var = first_present(wanted.split(","), data) or (data[0] if data else None)
-            if var is None:
-                raise ValueError("no data variable")
+            var = resolve_alias(data, wanted.split(","))
         else:
             var = main_variable(data, wanted or None, rule, timed)
         dims = v[var].dims

@@ -8,6 +8,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from halocline.functions.calendar import within_months
+from halocline.schema import canonical_coords, carry_attrs
 
 ATTR_SCHEMA = "var string, key string, value string"
 
@@ -33,7 +34,7 @@ def write_field(df: DataFrame, path: str, partition_by: Sequence[str] = ("var",)
     spark = df.sparkSession
     if not overwrite and exists(spark, path):
         return False
-    out = df.withColumns({v: F.col(v).cast("float") for v in values if v in df.columns})
+    out = carry_attrs(df.withColumns({v: F.col(v).cast("float") for v in values if v in df.columns}), df)
     keys = [k for k in partition_by if k in out.columns]
     out = out.hint("rebalance", *keys) if keys else out.hint("rebalance")
     writer = out.write.mode("overwrite").option("compression", "zstd")
@@ -43,11 +44,14 @@ def write_field(df: DataFrame, path: str, partition_by: Sequence[str] = ("var",)
 
 def read_field(spark: SparkSession, path: str, start: str | None = None, end: str | None = None,
                values: Sequence[str] = ("value",)) -> DataFrame:
-    """Stored field with double-precision values, cut to a month window at the scan."""
-    df = spark.read.parquet(path)
+    """Stored field with double-precision values, cut to a month window at the scan.
+
+    Coordinates go by time, lat and lon, however the store spells them; attributes come along as column metadata.
+    """
+    df = canonical_coords(spark.read.parquet(path))
     if "time" in df.columns:
         df = df.where(within_months("time", start, end))
-    return df.withColumns({v: F.col(v).cast("double") for v in values if v in df.columns})
+    return carry_attrs(df.withColumns({v: F.col(v).cast("double") for v in values if v in df.columns}), df)
 
 
 def write_attrs(spark: SparkSession, path: str, attrs: Mapping[str, Mapping[str, str]]) -> None:

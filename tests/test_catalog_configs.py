@@ -232,3 +232,12 @@ def test_requests():
         downloads.ocean_variables(wanted=["x"])
     assert downloads.monthly_name("u", [1958, 1960], [1, 12]) == "ERA5_monthly_u_195801_196012"
     assert VAR_ORDER[0] == "tos" and len(VAR_ORDER) == 10
+
+
+def test_first_existing_candidate(tmp_path):
+    paths = [str(tmp_path / n) for n in ("a", "b", "c")]
+    (tmp_path / "b").write_text("")
+    (tmp_path / "c").write_text("")
+    assert catalog.first_existing(None, paths, "target") == paths[1] and catalog.first_existing("x", paths, "target") == "x"
+    with pytest.raises(FileNotFoundError, match="target not found; tried: .*a"):
+        catalog.first_existing(None, paths[:1], "target")

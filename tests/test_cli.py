@@ -115,3 +115,23 @@ def test_overview_command(spark, tmp_path):
     main(["overview", "--root", str(tmp_path), "--out", str(tmp_path / "report")])
     lines = [r[0] for r in spark.read.text(str(tmp_path / "report")).collect()]
     assert "| a |  |  |  |  | `` | `configs/experiments/a/a.yaml` |" in lines and month(0).year == 2000
+
+
+def test_netcdf_export_with_attributes(spark, tmp_path):
+    """Units and coordinate attributes of the input stand in the output; stale and foreign ones are gone."""
+    from halocline.schema import column_attrs
+    from halocline.sources.netcdf import open_file
+    z = [5.0, 400.0]
+    temp = np.full((14, 2, 2, 2), 10.0)
+    save(tmp_path / "temp.nc", temp, "temp", lev=z, attrs={"units": "degC", "standard_name": "sea_water_temperature", "valid_min": 1.0})
+    p = lambda n: str(tmp_path / n)
+    main(["surface", "--root", p("temp.nc"), "--var", "temp", "--out", p("surf"), "--netcdf", p("nc")])
+    meta = column_attrs(spark.read.parquet(p("surf")))["value"]
+    assert meta["units"] == "degC" and "valid_min" not in meta
+    name = spark.read.parquet(p("surf")).first()["var"]
+    assert sorted(f.name for f in (tmp_path / "nc").iterdir()) == [f"{name}.surface.2000.nc", f"{name}.surface.2001.nc"]
+    v = open_file(p(f"nc/{name}.surface.2001.nc")).variables
+    assert v[name].shape == (2, 2, 2) and v[name].attrs["units"] == "degC" and "valid_min" not in v[name].attrs
+    main(["ohc", "--root", p("temp.nc"), "--var", "temp", "--out", p("ohc"), "--netcdf", p("nc2"), "--netcdf-span", "all"])
+    v = open_file(p("nc2/ohc300.ohc.all.nc")).variables["ohc300"]
+    assert v.attrs["units"] == "J m-2" and "standard_name" not in v.attrs and len(v.shape) == 3
