@@ -16,6 +16,8 @@ from halocline.functions.position import shortest_step
 from halocline.operators.sizing import BROADCAST_ROWS, settle
 from halocline.schema import CELL, TargetGrid
 
+#: Source cells of a slice that one task takes.
+BLOCK_CELLS = 8_192
 CORNERS = ("00", "01", "10", "11")
 #: Index of the made-up source cell that keeps targets without sources.
 NOWHERE = -1
@@ -168,13 +170,16 @@ def apply_weights(
     *,
     missing: str = "renormalise",
     min_weight: float = 0.5,
+    block_cells: int = BLOCK_CELLS,
 ) -> DataFrame:
     """Regrid every slice of ``step`` (dataset keys and time).
 
     The weights hold at most 5 rows per target point and grid.  Counted small they
     are broadcast, and source rows are exchanged by slice *before* they fan out to
     up to four targets each, so the weighted sums are taken where the rows already
-    are.  Beyond that, source rows meet the weights by cell and the partial sums
+    are.  A slice of more than ``block_cells`` source cells is cut into bands of whole grid rows
+    that are exchanged apart; a target then adds up partial sums, of two bands at most, so tasks can
+    outnumber slices.  Beyond the broadcast, source rows meet the weights by cell and the partial sums
     are exchanged.
 
     ``missing`` "renormalise": rescale over present corners when they carry at
@@ -182,7 +187,10 @@ def apply_weights(
     Every slice returns every target, NULL outside the source grid.
     """
     weights = settle(weights)
-    small = weights.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    seen = weights.limit(BROADCAST_ROWS + 1).agg(F.count("*"), F.max("iy"), F.max("ix")).first()
+    small = seen[0] <= BROADCAST_ROWS
+    band = max(1, block_cells // ((seen[2] or 0) + 1))
+    blocks = [F.expr(f"iy div {band}")] if small and band <= (seen[1] or 0) else []
     v = F.col(value)
     num = F.sum(F.col("w") * v)
     have = F.sum(F.when(v.isNotNull(), F.col("w")).otherwise(0e0))
@@ -198,7 +206,7 @@ def apply_weights(
     slices = slices.unionByName(df.select(*at).distinct().select(
         *at, *[F.lit(NOWHERE).alias(c) for c in CELL], F.lit(None).cast(df.schema[value].dataType).alias(value)))
     joined = (
-        slices.repartition(*step).join(F.broadcast(weights), [*keys, *CELL]) if small
+        slices.repartition(*step, *blocks).join(F.broadcast(weights), [*keys, *CELL]) if small
         else slices.join(weights, [*keys, *CELL])
     )
     return (

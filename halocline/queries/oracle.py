@@ -512,6 +512,21 @@ found AS (SELECT h.member, h.iy, h.ix, CASE
     WHEN strftime(b, '%Y-%m') < '2001-06' THEN 'ends early' END AS problem
   FROM have h LEFT JOIN shared s ON s.member = h.member AND s.iy = h.iy AND s.ix = h.ix)
 SELECT member, iy, ix, problem FROM found WHERE problem IS NOT NULL"""
+SQL["predictor_table"] = f"""WITH {FIELDS}, shared AS (
+  SELECT member, time FROM (SELECT DISTINCT member, time, var FROM fields) GROUP BY 1, 2 HAVING count(*) = 3),
+spans AS (SELECT member, strftime(min(time), '%Y-%m') AS a, strftime(max(time), '%Y-%m') AS b FROM shared GROUP BY 1),
+judged AS (SELECT m.member, CASE WHEN a IS NULL THEN 'no common step' WHEN a > '1995-03' THEN 'starts late'
+  WHEN b < '2001-06' THEN 'ends early' END AS problem FROM (SELECT DISTINCT member FROM fields) m LEFT JOIN spans USING (member)),
+wide AS (
+  SELECT member, time, iy, ix, any_value(lat) AS lat, any_value(lon) AS lon,
+    coalesce(max(CASE WHEN var = 'tos' THEN value END), 0e0) AS tos, coalesce(max(CASE WHEN var = 'sos' THEN value END), 0e0) AS sos,
+    max(CASE WHEN var = 'psl' THEN value END) AS psl
+  FROM fields WHERE time >= TIMESTAMP '1995-03-01' AND time < TIMESTAMP '2001-07-01'
+    AND member IN (SELECT member FROM judged WHERE problem IS NULL)
+  GROUP BY 1, 2, 3, 4 HAVING count(DISTINCT var) = 3)
+SELECT member, time, iy, ix, lat, lon, {r('tos')}, {r('sos')}, {r('psl')}, CAST(NULL AS VARCHAR) AS problem FROM wide
+UNION ALL
+SELECT member, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, problem FROM judged WHERE problem IS NOT NULL"""
 SQL["target_periods"] = f"""WITH {SERIES},
 inp AS (SELECT member, iy, ix, min(time) AS a, max(time) AS b FROM oobs WHERE iy % 3 <> 1 GROUP BY 1, 2, 3),
 com AS (SELECT member, iy, ix, max(a) AS a, min(b) AS b FROM (

@@ -559,6 +559,14 @@ def predictor_rejections(spark, sf):
         _cell_series(spark, sf), CELL_KEYS, ("tos", "psl"), "1995-02", "2001-06")
 
 
+@query
+def predictor_table(spark, sf):
+    """The merged table of every member that covers the window, and a row for each one that does not."""
+    table, bad = predictors.predictor_job(A.fields(spark, sf), MEMBER, THREE, fill="ocean", start="1995-03", end="2001-06")
+    merged = rounded(table, *THREE).withColumn("problem", F.lit(None).cast("string"))
+    return merged.unionByName(bad, allowMissingColumns=True)
+
+
 @query
 def target_periods(spark, sf):
     # inputs of some rows of cells belong to another dataset

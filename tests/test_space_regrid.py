@@ -216,3 +216,18 @@ def test_regrid_exchanges_the_source_rows_only(spark, make_field):
     top = text[: text.index("BroadcastHashJoin")]
     assert "Exchange" not in top
     np.testing.assert_allclose(to_cube(plan), 1.0)
+
+
+def test_a_slice_is_cut_in_bands(spark, make_field):
+    """Few slices, many tasks, the same values: bands of whole rows add up to the slice."""
+    rng = np.random.default_rng(4)
+    cube = rng.normal(size=(2, 40, 30))
+    cube[rng.random(cube.shape) < 0.1] = np.nan
+    field = make_field(cube, lat=np.linspace(-58, 58, 40), lon=np.arange(30) * 12.0)
+    target = TargetGrid(lat0=-50.0, dlat=2.5, nlat=41, lon0=1.0, dlon=5.0, nlon=72)
+    weights = regrid.bilinear_weights(regrid.grid_of(field), target)
+    whole = regrid.apply_weights(field, weights, ["var", "time"])
+    cut = regrid.apply_weights(field, weights, ["var", "time"], block_cells=90)
+    np.testing.assert_allclose(to_cube(cut), to_cube(whole), rtol=1e-12, atol=1e-12)
+    plan = cut._jdf.queryExecution().toString()
+    assert "div 3" in plan and "div" not in whole._jdf.queryExecution().toString()
