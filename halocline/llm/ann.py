@@ -167,10 +167,14 @@ def _routed(router, names: list[str], at: int, probes: int | None):
     return run
 
 
+#: Bound on the difference between a product of unit vectors and the exact measure.
+ROUNDING = 1e-9
+#: Pairs measured at once.
+PAIRS = 65_536
+
+
 def _ranked(k: int):
     """Rows sorted by cell, queries first: each query's nearest candidates of the cell."""
-    spare = k + 16
-
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cell = None
         held: list[pa.RecordBatch] = []
@@ -187,14 +191,17 @@ def _ranked(k: int):
                 block = part.slice(low, 4096)
                 v, ids = matrix(block.column(4)), np.asarray(block.column(2))
                 u = unit(v)
-                for at in range(0, len(state["id"]), 2048):
-                    s = state["u"][at:at + 2048] @ u.T
-                    n = min(spare, s.shape[1])
-                    near = np.argpartition(-s, n - 1, axis=1)[:, :n]
-                    q = np.repeat(np.arange(at, at + len(s)), n)
-                    c = near.ravel()
-                    # the sum in double precision over the original vectors decides, not the product above
-                    state["rest"].append((q, ids[c], cosine_pairs(state["v"][q], v[c])))
+                for at in range(0, len(state["id"]), 512):
+                    s = state["u"][at:at + 512] @ u.T
+                    last = s.shape[1] - min(k + 1, s.shape[1])
+                    # all that may tie with the last one kept: its product less what rounding can make of it
+                    q, c = np.nonzero(s >= np.partition(s, last, axis=1)[:, last:last + 1] - ROUNDING)
+                    for low_pair in range(0, len(q), PAIRS):
+                        qs, cs = q[low_pair:low_pair + PAIRS] + at, c[low_pair:low_pair + PAIRS]
+                        # the sum in double precision over the original vectors decides, not the product above
+                        state["rest"].append((qs, ids[cs], cosine_pairs(state["v"][qs], v[cs])))
+                        if len(q) > PAIRS:
+                            shrink()
                 shrink()
 
         def shrink() -> None:

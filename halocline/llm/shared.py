@@ -116,15 +116,15 @@ def mix(h: np.ndarray) -> np.ndarray:
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64))
 _SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 _BASE = 0x9E3779B97F4A7C15
-#: Bytes hashed at once; a piece ends at white space.
-PIECE_BYTES = 1 << 20
+#: Bytes hashed at once; a word may go on in the next piece.
+PIECE_BYTES = 1 << 19
 
 
-@lru_cache(maxsize=4)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse, modulo 2**64."""
+@lru_cache(maxsize=1)
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, modulo 2**64, for the places of a piece."""
     def of(base: int) -> np.ndarray:
-        out = np.full(n, base, np.uint64)
+        out = np.full(PIECE_BYTES, base, np.uint64)
         out[0] = 1
         return np.cumprod(out, dtype=np.uint64)
 
@@ -135,24 +135,34 @@ def word_hashes(text: str) -> np.ndarray:
     """64-bit hashes of the words ``[^\\x20\\x09-\\x0D]+`` of a whole text, A-Z lower-cased, in order.
 
     A word's hash is the sum of its bytes' numbers times powers of the base, taken from
-    running sums over the text, and mixed.
+    running sums over a piece of the text, and mixed.  The sum of a word that a piece breaks off is
+    carried into the next, so memory does not grow with a word's length.
     """
     data = np.frombuffer(text.encode("utf-8", "surrogatepass").lower(), np.uint8)
-    out, low = [], 0
-    while low < len(data):
-        high = min(len(data), low + PIECE_BYTES)
-        while high < len(data) and not _SPACE[data[high]]:
-            more = np.flatnonzero(_SPACE[data[high:high + PIECE_BYTES]])
-            high = high + int(more[0]) if len(more) else min(len(data), high + PIECE_BYTES)
-        piece = data[low:high]
-        edge = np.flatnonzero(np.diff(np.concatenate([[True], _SPACE[piece], [True]])))
-        start, end = edge[::2], edge[1::2]
-        up, down = _powers(1 << max(16, int(len(piece)).bit_length()))
-        with np.errstate(over="ignore"):
+    up, down = _powers()
+    out: list[np.ndarray] = []
+    open_sum, open_bytes = np.uint64(0), 0
+    with np.errstate(over="ignore"):
+        for low in range(0, len(data), PIECE_BYTES):
+            piece = data[low:low + PIECE_BYTES]
+            edge = np.flatnonzero(np.diff(np.concatenate([[True], _SPACE[piece], [True]])))
+            start, end = edge[::2], edge[1::2]
             sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[piece] * up[:len(piece)], dtype=np.uint64)])
-            out.append(mix((sums[end] - sums[start]) * down[start]))
-        low = high
-    return np.concatenate(out) if out else np.empty(0, np.uint64)
+            h = (sums[end] - sums[start]) * down[start]
+            goes_on = open_bytes > 0 and len(start) > 0 and start[0] == 0
+            if goes_on:
+                h[0] = open_sum + np.uint64(pow(_BASE, open_bytes, 1 << 64)) * h[0]
+            elif open_bytes:
+                out.append(np.array([open_sum], np.uint64))
+            before = open_bytes if goes_on else 0
+            open_bytes = 0
+            if len(end) and end[-1] == len(piece):
+                open_sum, open_bytes = h[-1], int(end[-1] - start[-1]) + (before if len(h) == 1 else 0)
+                h = h[:-1]
+            out.append(h)
+    if open_bytes:
+        out.append(np.array([open_sum], np.uint64))
+    return mix(np.concatenate(out)) if out else np.empty(0, np.uint64)
 
 
 def shingles(words: np.ndarray, k: int) -> np.ndarray:

@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 import pandas as pd
@@ -343,3 +344,28 @@ def test_pipeline(spark):
     assert set(cut.index) <= set(before.index) and all(len(cut[i]) <= len(before[i]) for i in cut.index)
     assert set(frames[5].doc_id) == set(frames[4].doc_id)
     assert len(quality.NAMES) == 13 and langid.ORDER == 4
+
+
+def test_words_across_pieces(monkeypatch):
+    """A word's hash does not depend on where pieces are cut, and long words need no larger tables."""
+    from halocline.llm import shared
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("aB \n\té") for _ in range(n)) for n in (0, 1, 7, 64, 500)] + ["x" * 300, " " * 40, "ab " * 50, "a" * 64 + " b"]
+    whole = [shared.word_hashes(t) for t in texts]
+    monkeypatch.setattr(shared, "PIECE_BYTES", 8)
+    shared._powers.cache_clear()
+    try:
+        for t, h in zip(texts, whole, strict=True):
+            assert len(h) == len(re.findall(r"[^\x20\x09-\x0D]+", t)) and np.array_equal(shared.word_hashes(t), h)
+    finally:
+        shared._powers.cache_clear()
+
+
+def test_nearest_orders_ties_by_id(spark):
+    """200 multiples of one vector by powers of two: every cosine is 1, so the smallest ids win."""
+    v = [0.3, -0.7, 0.2, 0.9]
+    rows = [(i, [x * 2.0 ** (i - 100) for x in v]) for i in range(200)] + [(i, [1.0, float(i), 0.5, 0.1]) for i in range(200, 260)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.search(df, F.col("vec_id") % 50 == 0).where("query_id < 200").collect()
+    for q in (0, 50, 100, 150):
+        assert sorted((r["rank"], r["vec_id"]) for r in got if r["query_id"] == q) == list(enumerate([i for i in range(7) if i != q][:5], 1))
