@@ -31,6 +31,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from halocline.llm.shared import lower_ascii, mix, read
 
 SHINGLE, BINS, BITS, ROUNDS = 5, 256, 4, 8
+#: Rows of a range of ids, and the number of ranges beyond which they grow instead.
+ROWS_IN_RANGE, MOST_RANGES = 8_192, 65_536
 SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -121,13 +123,13 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a.isNull() & b.isNull(), 1.0).when(a.isNull() | b.isNull(), 0.0).otherwise(F.greatest(F.lit(0.0), share))
 
 
-def _bucketed(docs: DataFrame) -> DataFrame:
+def _bucketed(docs: DataFrame) -> tuple[DataFrame, int]:
     """``doc_id, text, u, h`` with ``bucket``: ranges of the order (doc_id, u, h, text), of about equal numbers of rows.
 
-    Bounds are approximate quantiles of the ids, one less than there are shuffle partitions.  An id that
+    Bounds are approximate quantiles of the ids, a range for every ROWS_IN_RANGE rows.  An id that
     fills several ranges, or a missing one, is split further by the hash of its text.
     """
-    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2)
+    parts = min(max(docs.count() // ROWS_IN_RANGE, 2), MOST_RANGES)
     at = _literal([i / parts for i in range(1, parts)], "double")
     found = docs.agg(F.percentile_approx("doc_id", at, F.lit(max(10_000, 10 * parts)))).first()[0] or []
     often = sorted(Counter(found or [0]).items())
@@ -148,7 +150,7 @@ def _bucketed(docs: DataFrame) -> DataFrame:
     sub = F.when(F.col("doc_id").isNull(), F.shiftright(F.col("u") * parts, 31)) \
         .when(own, F.shiftright(F.col("u") * times, 31)).otherwise(times)
     base = F.when(F.col("doc_id").isNull(), 0).otherwise(F.col("base") + 1)
-    return rows.select("doc_id", "text", "u", "h", (base * (parts + 1) + sub).cast("long").alias("bucket"))
+    return rows.select("doc_id", "text", "u", "h", (base * (parts + 1) + sub).cast("long").alias("bucket")), parts
 
 
 def with_next(docs: DataFrame, fingerprint: Callable[[Column], Column] = packed) -> DataFrame:
@@ -156,11 +158,11 @@ def with_next(docs: DataFrame, fingerprint: Callable[[Column], Column] = packed)
 
     One shuffle by ranges; the first row of each range goes to the last one of the range before.
     """
-    rows = _bucketed(docs)
+    rows, parts = _bucketed(docs)
     order = [F.asc_nulls_first("doc_id"), F.asc("u"), F.asc("h"), F.asc("text")]
     back = [F.desc_nulls_last("doc_id"), F.desc("u"), F.desc("h"), F.desc("text")]
     along, against = Window.partitionBy("bucket").orderBy(*order), Window.partitionBy("bucket").orderBy(*back)
-    inner = rows.withColumn("own", fingerprint(F.col("text")))
+    inner = rows.withColumn("own", fingerprint(F.col("text"))).repartition(parts, "bucket")
     inner = inner.withColumn("next_text", F.lead("text").over(along)).withColumn("next_own", F.lead("own").over(along))
     inner = inner.where(F.col("next_text").isNotNull()).select("doc_id", "text", "own", "next_text", "next_own")
     used = sorted(r.bucket for r in rows.select("bucket").distinct().collect())
