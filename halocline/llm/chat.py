@@ -1,19 +1,23 @@
 """Chat formatting: layouts recognised by a schema fingerprint become canonical turns, then one training text.
 
-Only column expressions are used.  A layout is a set of nested field paths; its hash
-selects a declarative mapping.  Rows of JSON are fingerprinted one by one, so one
-dataset may hold any mixture of layouts; a typed frame is fingerprinted by its schema.
+Only column expressions are used.  A layout names the nested field paths that its mapping reads.
+Of a record, the paths among those are hashed, and one table leads from hashes to mappings; fields that no
+mapping reads change nothing.  JSON records are fingerprinted one by one, so one dataset may hold any mixture of
+layouts, also inside a wrapping object; a typed frame, rows of single turns among them, is
+fingerprinted by its schema and goes through the same table.
 
 Defined results: null text is empty; a null role is ``""``; turns are ordered by
 (turn, role, text), nulls first; a conversation without turns gives no row in row
-layout, and one with no text fields has zero turns in JSON layout; a JSON row that is
-null, malformed or of unknown layout has null turns and layout ``unknown``.  Other
-columns are ignored, so their names cannot clash.
+layout, and one with no text fields, or an empty list of messages, has zero turns in JSON layout; content given in
+parts is their texts joined; a JSON row that is null, malformed or of unknown layout has null turns and layout
+``unknown``.  Where several layouts fit, the first of LAYOUTS does.  Other columns are ignored or kept, and their names
+cannot clash, but for the names of the results themselves.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import hashlib
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -26,12 +30,26 @@ OPEN, BODY, CLOSE = "<|turn|>", "<|text|>", "<|end|>"
 CONTROL = r"(?=\\)|(?<=<)(?=\|[A-Za-z_]+\|>|/?s>|</?SYS>>)|(?<=\[)(?=/?INST\])"
 
 
+#: Objects that may stand around a record.
+WRAPPERS = ("data", "conversation", "record")
+
+
 @dataclass(frozen=True)
 class Layout:
-    """Field paths that identify a layout, and SQL over variant ``v`` that gives its turns."""
+    """Field paths that a mapping reads, and SQL over variant ``v`` that gives its turns (None: a row for each turn).
+
+    The mapping applies where all ``paths``, any of ``maybe`` and none of ``never`` are there.  ``a[].b`` is field b of
+    any object in list a, ``a[]`` an empty list.
+    """
 
     paths: tuple[str, ...]
-    turns: str
+    turns: str | None
+    maybe: tuple[str, ...] = ()
+    never: tuple[str, ...] = ()
+
+    @property
+    def vocabulary(self) -> tuple[str, ...]:
+        return (*self.paths, *self.maybe, *self.never)
 
 
 def _pair(prompt: str, answer: str) -> str:
@@ -39,35 +57,56 @@ def _pair(prompt: str, answer: str) -> str:
             f"named_struct('role', 'assistant', 'text', {answer})), t -> t.text is not null)")
 
 
-def _get(path: str, kind: str = "string") -> str:
-    return f"try_variant_get(v, '$.{path}', '{kind}')"
+def _get(path: str, kind: str = "string", of: str = "v") -> str:
+    return f"try_variant_get({of}, '$.{path}', '{kind}')"
 
 
+def _text(of: str, field: str) -> str:
+    """A string field, or the texts of its parts joined."""
+    parts = _get(field, "array<variant>", of)
+    return (f"coalesce(array_join(transform({parts}, c -> coalesce({_get('text', of='c')}, try_variant_get(c, '$', 'string'))), ''), "
+            f"{_get(field, of=of)})")
+
+
+def _listed(name: str, role: str, text: str, roles: str = "{}") -> str:
+    return (f"transform({_get(name, 'array<variant>')}, m -> named_struct('role', {roles.format(_get(role, of='m'))}, "
+            f"'text', {_text('m', text)}))")
+
+
+_TASK = f"concat_ws('\\n\\n', {_get('instruction')}, nullif({_get('input')}, ''))"
+_EMPTY = "array()"
 LAYOUTS: Mapping[str, Layout] = {
-    "messages": Layout(
-        ("messages[].content", "messages[].role"),
-        "transform(try_variant_get(v, '$.messages', 'array<struct<role: string, content: string>>'), "
-        "m -> named_struct('role', m.role, 'text', m.content))"),
+    "messages": Layout(("messages[].content", "messages[].role"), _listed("messages", "role", "content")),
+    "no_messages": Layout(("messages[]",), _EMPTY),
     "conversations": Layout(
         ("conversations[].from", "conversations[].value"),
-        "transform(try_variant_get(v, '$.conversations', 'array<struct<`from`: string, value: string>>'), "
-        "m -> named_struct('role', case m.`from` when 'human' then 'user' when 'gpt' then 'assistant' "
-        "else m.`from` end, 'text', m.value))"),
+        _listed("conversations", "from", "value", "case {0} when 'human' then 'user' when 'gpt' then 'assistant' else {0} end")),
+    "no_conversations": Layout(("conversations[]",), _EMPTY),
     "prompt_completion": Layout(("completion", "prompt"), _pair(_get("prompt"), _get("completion"))),
     "prompt_response": Layout(("prompt", "response"), _pair(_get("prompt"), _get("response"))),
     "question_answer": Layout(("answer", "question"), _pair(_get("question"), _get("answer"))),
-    "instruction": Layout(("instruction", "output"), _pair(_get("instruction"), _get("output"))),
-    "instruction_input": Layout(
-        ("input", "instruction", "output"),
-        _pair(f"concat_ws('\\n\\n', {_get('instruction')}, nullif({_get('input')}, ''))", _get("output"))),
+    "instruction": Layout(("instruction", "output"), _pair(_get("instruction"), _get("output")), never=("input", "system")),
+    "instruction_input": Layout(("input", "instruction", "output"), _pair(_TASK, _get("output")), never=("system",)),
     "system_instruction_input": Layout(
-        ("input", "instruction", "output", "system"),
+        ("instruction", "output", "system"),
         "concat(filter(array(named_struct('role', 'system', 'text', " + _get("system")
-        + ")), t -> t.text is not null), "
-        + _pair(f"concat_ws('\\n\\n', {_get('instruction')}, nullif({_get('input')}, ''))", _get("output")) + ")"),
+        + ")), t -> t.text is not null), " + _pair(_TASK, _get("output")) + ")", maybe=("input",)),
+    "rows": Layout(("conv_id", "role", "text", "turn"), None),
 }
-#: The layout of a table with a row for each turn.
-ROWS = ("conv_id", "role", "text", "turn")
+
+
+def _digest(paths: Iterable[str]) -> str:
+    return hashlib.sha256("\n".join(sorted(paths)).encode()).hexdigest()
+
+
+def fingerprints(layout: Layout) -> list[str]:
+    """The hashes that lead to a layout: of its paths with any choice of those that may be there."""
+    n = len(layout.maybe)
+    return [_digest((*layout.paths, *(p for i, p in enumerate(layout.maybe) if choice >> i & 1))) for choice in range(1 << n)]
+
+
+#: From the vocabulary and the hash of the paths present to the name of the mapping.
+TABLE: Mapping[tuple[tuple[str, ...], str], str] = {(x.vocabulary, h): name for name, x in LAYOUTS.items() for h in fingerprints(x)}
 
 
 def schema_paths(schema: T.StructType, prefix: str = "") -> list[str]:
@@ -84,31 +123,50 @@ def schema_paths(schema: T.StructType, prefix: str = "") -> list[str]:
     return sorted(found)
 
 
+def layout_of(paths: Iterable[str]) -> str | None:
+    """The mapping of a frame with these paths; rows of single turns first, as their text may be of any layout."""
+    here = set(paths)
+    for name in ("rows", *LAYOUTS):
+        own = LAYOUTS[name].vocabulary
+        found = TABLE.get((own, _digest(here.intersection(own))))
+        if found:
+            return found
+    return None
+
+
+def _present(path: str, v: str) -> str:
+    """Whether a record has a path, null or not."""
+    name, inside, field = path.partition("[]")
+    items = _get(name, "array<variant>", v)
+    if not inside:
+        return f"{_get(name, 'variant', v)} is not null"
+    if not field:
+        return f"coalesce(size({items}) = 0, false)"
+    return f"coalesce(exists({items}, m -> {_get(field[1:], 'variant', 'm')} is not null), false)"
+
+
 def turns_of_json(df: DataFrame, value: str, layouts: Mapping[str, Layout] = LAYOUTS) -> DataFrame:
     """Adds ``layout`` and ``turns`` for a column of JSON documents of mixed layouts."""
-    v, f = fresh(df, "_v"), fresh(df, "_f")
+    v = fresh(df, "_v")
     marked = df.withColumn(v, F.expr(f"try_parse_json(`{value}`)"))
-    marked = marked.withColumn(f, F.expr(f"xxhash64(array_join({_paths_sql(v)}, '\\n'))"))
-    known = {name: F.xxhash64(F.lit("\n".join(x.paths))) for name, x in layouts.items()}
-    layout, turns = F.lit("unknown"), F.lit(None).cast(TURN)
-    for name, x in layouts.items():
-        hit = F.col(f) == known[name]
-        layout = F.when(hit, F.lit(name)).otherwise(layout)
-        turns = F.when(hit, F.expr(x.turns.replace("(v,", f"({v},")).cast(TURN)).otherwise(turns)
-    return marked.withColumn("layout", layout).withColumn("turns", turns).drop(v, f)
-
-
-def _paths_sql(value: str) -> str:
-    """Field paths from the printed schema of a variant: every name, with the brackets it stands in."""
-    # OBJECT<a: ARRAY<OBJECT<x: STRING, y: STRING>>, b: STRING>: an array of objects closes before the next name
-    schema = f"schema_of_variant({value})"
-    nested = f"regexp_extract_all({schema}, '(\\\\w+): ARRAY<OBJECT<([^<>]*)>>', 0)"
-    inner = (f"flatten(transform({nested}, s -> transform("
-             "regexp_extract_all(substr(s, instr(s, 'OBJECT<') + 7), '(\\\\w+): ', 1), "
-             "x -> concat(substring_index(s, ':', 1), '[].', x))))")
-    outer = (f"regexp_extract_all(regexp_replace(substr({schema}, 8), '(\\\\w+): ARRAY<OBJECT<[^<>]*>>', ''), "
-             "'(\\\\w+): ', 1)")
-    return f"array_sort(concat({inner}, {outer}))"
+    known = {name: x for name, x in layouts.items() if x.turns is not None}
+
+    def recognised(root: str) -> str:
+        """The record at ``root`` as (layout, turns), or null."""
+        cases = ""
+        for name, x in known.items():
+            here = ", ".join(f"if({_present(p, root)}, '{p}', null)" for p in sorted(x.vocabulary))
+            hashes = ", ".join(f"'{h}'" for h in fingerprints(x))
+            turns = x.turns.replace("(v,", f"({root},")
+            cases += (f" when sha2(concat_ws('\\n', {here}), 256) in ({hashes}) "
+                      f"then named_struct('layout', '{name}', 'turns', cast({turns} as {TURN}))")
+        return f"case{cases} end"
+
+    tries = [recognised(v), *(f"transform(array({_get(w, 'variant', v)}), w -> {recognised('w')})[0]" for w in WRAPPERS)]
+    found = fresh(df, "_f")
+    out = marked.withColumn(found, F.expr(f"coalesce({', '.join(tries)})"))
+    return out.withColumn("layout", F.coalesce(F.col(f"{found}.layout"), F.lit("unknown"))) \
+        .withColumn("turns", F.col(f"{found}.turns")).drop(v, found)
 
 
 def turns_of_rows(df: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role",
@@ -122,19 +180,19 @@ def turns_of_rows(df: DataFrame, conv_id: str = "conv_id", turn: str = "turn", r
 
 
 def canonical_turns(df: DataFrame) -> DataFrame:
-    """``conv_id, turns`` of a typed frame whose fingerprint is that of the row layout or of one known by LAYOUTS.
+    """``conv_id, turns`` of a typed frame, by the mapping that its schema's fingerprint selects.
 
-    A frame of another layout goes through JSON, which keeps its other columns out of the turns.
+    A frame of another layout than rows goes through JSON, which keeps its other columns out of the turns.
     """
-    names = set(schema_paths(df.schema))
-    if names.issuperset(ROWS):
+    name = layout_of(schema_paths(df.schema))
+    if name is None:
+        raise ValueError(f"no mapping for the layout {schema_paths(df.schema)}")
+    if LAYOUTS[name].turns is None:
         return turns_of_rows(df)
+    text = fresh(df, "_json")
     fields = [c for c in df.columns if c != "conv_id"]
-    for name, layout in LAYOUTS.items():
-        if names - {"conv_id"} == set(layout.paths):
-            as_json = df.select("conv_id", F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("_json"))
-            return turns_of_json(as_json, "_json", {name: layout}).select("conv_id", "turns")
-    raise ValueError(f"no mapping for the layout {sorted(names)}")
+    as_json = df.select("conv_id", F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias(text))
+    return turns_of_json(as_json, text, {name: LAYOUTS[name]}).select("conv_id", "turns")
 
 
 def escape(text: Column) -> Column:
@@ -154,10 +212,11 @@ def formatted(df: DataFrame, loss_role: str = "assistant") -> DataFrame:
     pieces = F.transform("turns", lambda t: F.struct(
         one(t).alias("head"), escape(F.coalesce(t["text"], F.lit(""))).alias("body"),
         (F.coalesce(t["role"], F.lit("")) == loss_role).alias("loss")))
-    parts = df.withColumn("_p", pieces)
+    p_ = fresh(df, "_p")
+    parts = df.withColumn(p_, pieces)
     size = len(CLOSE)
     spans = F.aggregate(
-        "_p", F.struct(F.lit(0).cast("long").alias("at"),
+        p_, F.struct(F.lit(0).cast("long").alias("at"),
                        F.array().cast("array<struct<start: bigint, end: bigint>>").alias("spans")),
         lambda acc, p: F.struct(
             (acc["at"] + F.length(p["head"]) + F.length(p["body"]) + size).alias("at"),
@@ -166,8 +225,8 @@ def formatted(df: DataFrame, loss_role: str = "assistant") -> DataFrame:
                 (acc["at"] + F.length(p["head"]) + F.length(p["body"])).alias("end")))))
             .otherwise(acc["spans"]).alias("spans")),
         lambda acc: acc["spans"])
-    text = F.array_join(F.transform("_p", lambda p: F.concat(p["head"], p["body"], F.lit(CLOSE))), "")
-    return parts.withColumn("formatted", text).withColumn("loss_spans", spans).drop("_p")
+    text = F.array_join(F.transform(p_, lambda p: F.concat(p["head"], p["body"], F.lit(CLOSE))), "")
+    return parts.withColumn("formatted", text).withColumn("loss_spans", spans).drop(p_)
 
 
 def parsed(text: Column) -> Column:
@@ -186,11 +245,12 @@ def masked_text(text: Column, spans: Column) -> Column:
 
 def digest(df: DataFrame) -> DataFrame:
     """``conv_id`` and what is read back from ``formatted`` and its mask."""
-    read = df.withColumn("_t", parsed(F.col("formatted"))).withColumn("_m", masked_text(F.col("formatted"), F.col("loss_spans")))
-    flat = F.array_join(F.transform("_t", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    turns, masked = fresh(df, "_t"), fresh(df, "_m")
+    read = df.withColumn(turns, parsed(F.col("formatted"))).withColumn(masked, masked_text(F.col("formatted"), F.col("loss_spans")))
+    flat = F.array_join(F.transform(turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return read.select(
-        "conv_id", F.size("_t").cast("long").alias("n_turns"), F.sha2(flat, 256).alias("turns_sha256"),
-        F.length("_m").cast("long").alias("loss_chars"), F.sha2(F.col("_m"), 256).alias("loss_sha256"),
+        "conv_id", F.size(turns).cast("long").alias("n_turns"), F.sha2(flat, 256).alias("turns_sha256"),
+        F.length(masked).cast("long").alias("loss_chars"), F.sha2(F.col(masked), 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 

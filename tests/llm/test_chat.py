@@ -46,6 +46,12 @@ def test_layouts(spark):
         '{"instruction":"i","input":"","output":"o"}': ("instruction_input", [("user", "i"), ("assistant", "o")]),
         '{"instruction":"i","input":"k","output":"o","system":"s"}': ("system_instruction_input", [("system", "s"), ("user", "i\n\nk"), ("assistant", "o")]),
         '{"question":"i","answer":"o"}': ("question_answer", [("user", "i"), ("assistant", "o")]),
+        '{"id":1,"my-id":2,"prompt":"p","messages":[{"role":"user","content":"a","name":"n"},{"role":"assistant","content":"b"}]}': ("messages", [("user", "a"), ("assistant", "b")]),
+        '{"data":{"messages":[{"role":"user","content":"a"}]},"x":{}}': ("messages", [("user", "a")]),
+        '{"messages":[{"role":"user","content":[{"type":"text","text":"a"},{"type":"text","text":"b"}]},{"role":"assistant","content":"[c]"}]}': ("messages", [("user", "ab"), ("assistant", "[c]")]),
+        '{"messages":[],"id":3}': ("no_messages", []), '{"messages":[1,2]}': ("unknown", None),
+        '{"instruction":"i","output":"o","system":"s"}': ("system_instruction_input", [("system", "s"), ("user", "i"), ("assistant", "o")]),
+        '{"instruction":"i","output":"o","my field":[{"a":1}]}': ("instruction", [("user", "i"), ("assistant", "o")]),
         "bad": ("unknown", None), "[1]": ("unknown", None), '{"other":1}': ("unknown", None),
     }
     df = spark.createDataFrame([(i, r) for i, r in enumerate([*rows, None])], "conv_id long, j string")
@@ -60,3 +66,20 @@ def test_typed_layout(spark):
     assert [tuple(t) for t in chat.canonical_turns(df).first()["turns"]] == [("user", "p"), ("assistant", "r")]
     with pytest.raises(ValueError):
         chat.canonical_turns(spark.createDataFrame([(1, 2)], "conv_id long, q long"))
+
+
+def test_one_table_of_fingerprints(spark):
+    assert len(chat.TABLE) == sum(len(chat.fingerprints(x)) for x in chat.LAYOUTS.values())
+    assert chat.layout_of(["conv_id", "turn", "role", "text", "extra"]) == "rows"
+    assert chat.layout_of(["id", "prompt", "completion"]) == "prompt_completion" and chat.layout_of(["text"]) is None
+    with pytest.raises(ValueError):
+        chat.canonical_turns(spark.createDataFrame([(1, "x")], "conv_id long, text string"))
+
+
+def test_scratch_names_do_not_clash(spark):
+    df = spark.createDataFrame([(1, [("user", "q"), ("assistant", "w")], 5, 6, 7)], TURNS + ", _p int, _t int, _m int")
+    out = chat.formatted(df)
+    assert out.columns == [*df.columns, "formatted", "loss_spans"] and out.first()["_p"] == 5
+    assert chat.digest(out).first()["n_turns"] == 2
+    clash = spark.createDataFrame([('{"prompt":"p","response":"r"}', 1, 2)], "j string, _v int, _f int")
+    assert chat.turns_of_json(clash, "j").first()["_v"] == 1
