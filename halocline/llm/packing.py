@@ -16,9 +16,9 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from halocline.llm.shared import columns_of, read
+from halocline.llm.shared import columns_of, read, shared_path
 from halocline.llm.tokens import cuts, token_ids
 
 CAPACITY = 2048
@@ -126,31 +126,53 @@ def packed_rows(df: DataFrame, capacity: int = CAPACITY, ranks: str | None = Non
 def write_matrices(packed: DataFrame, path: str, capacity: int = CAPACITY, rows: int = 256, pad_id: int = 0) -> None:
     """Parquet of id matrices: up to ``rows`` sequences in a row, padded to (n_rows, capacity) little-endian 32-bit ids.
 
-    Beside each matrix stand the cumulative lengths and position resets of its sequences.
+    Beside each matrix stand the pieces, cumulative lengths and position resets of its sequences.
     """
-    schema = ("first_sequence long, n_rows int, capacity int, matrix binary, cu_seqlens array<array<int>>, "
-              "position_resets array<array<int>>")
+    schema = ("first_sequence long, n_rows int, capacity int, matrix binary, doc_ids array<array<long>>, pieces array<array<int>>, "
+              "starts array<array<long>>, cu_seqlens array<array<int>>, position_resets array<array<int>>")
+    lists = {"doc_ids": pa.int64(), "pieces": pa.int32(), "starts": pa.int64(), "cu_seqlens": pa.int32(), "position_resets": pa.int32()}
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, rows):
-                own = batch.slice(at, rows).to_pydict()
-                matrix = np.full((len(own["input_ids"]), capacity), pad_id, "<u4")
-                for i, ids in enumerate(own["input_ids"]):
-                    matrix[i, :len(ids) // 4] = np.frombuffer(ids, "<u4")
-                nested = pa.list_(pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(own["sequence_id"][:1], pa.int64()), pa.array([len(matrix)], pa.int32()),
-                     pa.array([capacity], pa.int32()), pa.array([matrix.tobytes()], pa.binary()),
-                     pa.array([own["cu_seqlens"]], nested), pa.array([own["position_resets"]], nested)],
-                    ["first_sequence", "n_rows", "capacity", "matrix", "cu_seqlens", "position_resets"])
-
-    packed.select("sequence_id", "input_ids", "cu_seqlens", "position_resets").mapInArrow(run, schema).write.parquet(path)
+            number = np.asarray(batch.column(0))
+            # the sequences of a matrix follow one another without a gap
+            breaks = np.flatnonzero(np.diff(number) != 1) + 1
+            for low, high in zip(np.r_[0, breaks], np.r_[breaks, len(number)], strict=True):
+                for at in range(low, high, rows):
+                    own = batch.slice(at, min(rows, high - at))
+                    matrix = np.full((own.num_rows, capacity), pad_id, "<u4")
+                    for i, ids in enumerate(own.column(1)):
+                        ids = np.frombuffer(ids.as_buffer(), "<u4")
+                        matrix[i, :len(ids)] = ids
+                    yield pa.RecordBatch.from_arrays(
+                        [own.column(0).slice(0, 1), pa.array([len(matrix)], pa.int32()), pa.array([capacity], pa.int32()),
+                         pa.array([matrix.tobytes()], pa.binary()),
+                         *[pa.array([own.column(2 + j).to_pylist()], pa.list_(pa.list_(kind))) for j, kind in enumerate(lists.values())]],
+                        [c.split()[0] for c in schema.split(", ")])
+
+    packed.select("sequence_id", "input_ids", *lists).mapInArrow(run, schema).write.parquet(path)
+
+
+def read_matrices(spark: SparkSession, path: str) -> DataFrame:
+    """A row for each sequence of written matrices, like those of ``packed_rows`` but with a CRC-32 of its ids.
+
+    The ids are cut out of the matrix inside its row, so the matrix is not copied for every sequence.
+    """
+    rows = spark.read.parquet(path)
+    width = F.col("capacity") * 4
+    crc = F.transform(F.col("cu_seqlens"), lambda c, i: F.crc32(F.substr(F.col("matrix"), i * width + 1, F.element_at(c, -1) * 4)))
+    names = ["doc_ids", "pieces", "starts", "cu_seqlens", "position_resets"]
+    each = F.posexplode(F.arrays_zip(*names, crc.alias("ids_crc32"))).alias("at", "own")
+    out = rows.select("first_sequence", each).select("first_sequence", "at", "own.*")
+    return out.select((F.col("first_sequence") + F.col("at")).alias("sequence_id"), *names,
+                      F.element_at("cu_seqlens", -1).alias("n_tokens"), "ids_crc32")
 
 
 def op3_packed_ids(spark, sf_dir: str) -> DataFrame:
-    """Every packed sequence of ``documents``, its matrix row as a CRC-32."""
-    return packed_rows(read(spark, sf_dir, "documents")).withColumn("ids_crc32", F.crc32("input_ids")).drop("input_ids")
+    """Every packed sequence of ``documents``, read back from the matrices it was written to."""
+    path = shared_path(spark, "packed-matrices")
+    write_matrices(packed_rows(read(spark, sf_dir, "documents")), path)
+    return read_matrices(spark, path)
 
 
 def piece_digest(ids: np.ndarray) -> int:

@@ -135,6 +135,12 @@ def test_packed_matrices(spark, tmp_path):
         assert np.concatenate([v for _, v in sorted(found[r.doc_id].items())]).tolist() == tokens.token_ids(r.text or "").tolist()
     assert len(rows) <= 1.02 * rows.n_tokens.sum() / 256 + 2
     packing.write_matrices(packed, str(tmp_path / "m"), 256, rows=7)
+    back = packing.read_matrices(spark, str(tmp_path / "m")).toPandas().set_index("sequence_id")
+    assert len(back) == len(rows)
+    for r in rows.itertuples():
+        b = back.loc[r.sequence_id]
+        assert b.ids_crc32 == zlib.crc32(r.input_ids) and b.n_tokens == r.n_tokens and list(b.doc_ids) == list(r.doc_ids)
+        assert list(b.cu_seqlens) == list(r.cu_seqlens) and list(b.pieces) == list(r.pieces) and list(b.starts) == list(r.starts)
     got = spark.read.parquet(str(tmp_path / "m")).toPandas()
     assert got.n_rows.sum() == len(rows)
     m = got.iloc[0]
