@@ -66,6 +66,26 @@ def unmatched_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Da
     )
 
 
+def fingerprints(df: DataFrame, dataset: Sequence[str], columns: Sequence[str], tag: str = "print") -> DataFrame:
+    """(dataset, tag): a hash of each dataset's rows as a multiset of ``columns``, whatever their order.
+
+    Count, exclusive or and a sum of the row hashes; one aggregate that combines before its shuffle.
+    """
+    h = F.xxhash64(*columns)
+    print_ = F.struct(F.count("*").alias("n"), F.bit_xor(h).alias("x"), F.sum(F.shiftrightunsigned(h, 40)).alias("s"))
+    return df.groupBy(*dataset).agg(print_.alias(tag))
+
+
+def differing(left: DataFrame, right: DataFrame, dataset: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Datasets that are on one side only or whose rows differ in ``columns``; each side is read once."""
+    keys = list(dataset)
+    both = left.select(*keys, F.lit(0).alias("_side"), *[c for c in columns if c not in keys]).unionByName(
+        right.select(*keys, F.lit(1).alias("_side"), *[c for c in columns if c not in keys]))
+    prints = fingerprints(both, [*keys, "_side"], columns)
+    uneven = (F.count("*") < 2) | (F.min("print") != F.max("print"))
+    return prints.groupBy(*keys).agg(uneven.alias("_uneven")).where("_uneven").select(*keys)
+
+
 def grid_mismatch(left: DataFrame, right: DataFrame, keys: Sequence[str] = (),
                   cell: Sequence[str] = CELL) -> DataFrame:
     """Cells whose coordinates differ by more than rounding, or that one grid lacks."""

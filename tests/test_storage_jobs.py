@@ -363,3 +363,35 @@ def test_absent_inputs_are_named(tmp_path, caplog, spark):
     with pytest.raises(FileNotFoundError):
         ingest.load_fixed(spark, "era5", str(tmp_path), {"b": "gone.nc"})
     assert "gone.nc" in caplog.text
+
+
+def test_bucketed_field_needs_no_exchange(spark, make_field, tmp_path):
+    """Anomaly, climatology and sums of a field stored by cell run where the rows are; a new session reads it too."""
+    from halocline.operators import axis, running, series
+    from halocline.sources import buckets
+    rng = np.random.default_rng(3)
+    field = axis.with_time_index(make_field(rng.normal(size=(30, 3, 4)).astype("f4").astype(float)), ["var"])
+    path = str(tmp_path / "by cell")
+    buckets.write_bucketed(field, path, ["var"], buckets=3)
+    assert len([p for p in (tmp_path / "by cell").iterdir() if p.suffix == ".parquet"]) <= 3
+    for again in (False, True):
+        if again:
+            spark.sql(f"DROP TABLE {buckets._table(path)}")  # as if in another session
+        kept = buckets.read_bucketed(spark, path)
+        for out in (series.anomaly(kept, ["var"]), series.climatology(kept, ["var"]), running.period_sums(kept, ["var"])):
+            assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+        np.testing.assert_allclose(to_cube(series.anomaly(kept, ["var"])), to_cube(series.anomaly(field, ["var"])), atol=1e-12)
+    assert buckets.read_bucketed(spark, path, "2000-02", "2000-03").count() == 2 * 12
+
+
+def test_alignment_by_fingerprints(spark, make_field):
+    a = make_field(np.zeros((3, 2, 2)))
+    two = a.withColumn("model", F.lit("A")).unionByName(a.withColumn("model", F.lit("B")))
+    columns = ["model", "time", "iy", "ix", "lat", "lon"]
+    assert merge.differing(two, two.orderBy(F.desc("ix")).repartition(3), ["model"], columns).isEmpty()
+    moved = two.withColumn("lat", F.when((F.col("model") == "B") & (F.col("iy") == 1), F.col("lat") + 1e-12).otherwise(F.col("lat")))
+    assert [r.model for r in merge.differing(two, moved, ["model"], columns).collect()] == ["B"]
+    assert [r.model for r in merge.differing(two, two.where("model = 'A' or ix = 0"), ["model"], columns).collect()] == ["B"]
+    assert [r.model for r in merge.differing(two, two.where("model = 'A'"), ["model"], columns).collect()] == ["B"]
+    twice = a.withColumn("model", F.lit("A")).unionByName(a.withColumn("model", F.lit("A")))
+    assert not merge.differing(twice, two.where("model = 'A'"), ["model"], columns).isEmpty()
