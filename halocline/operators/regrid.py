@@ -189,7 +189,7 @@ def apply_weights(
     weights = settle(weights)
     seen = weights.limit(BROADCAST_ROWS + 1).agg(F.count("*"), F.max("iy"), F.max("ix")).first()
     small = seen[0] <= BROADCAST_ROWS
-    band = max(1, block_cells // ((seen[2] or 0) + 1))
+    band = max(1, block_cells // max((seen[2] or 0) + 1, 1))
     blocks = [F.expr(f"iy div {band}")] if small and band <= (seen[1] or 0) else []
     v = F.col(value)
     num = F.sum(F.col("w") * v)

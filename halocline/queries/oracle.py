@@ -527,6 +527,27 @@ wide AS (
 SELECT member, time, iy, ix, lat, lon, {r('tos')}, {r('sos')}, {r('psl')}, CAST(NULL AS VARCHAR) AS problem FROM wide
 UNION ALL
 SELECT member, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, problem FROM judged WHERE problem IS NOT NULL"""
+_SINGLE = "CAST(CAST({0} AS FLOAT) AS DOUBLE)"
+SQL["split_periods"] = f"""WITH {LINES}, {ORDERS}, zl AS (SELECT * REPLACE (0 AS member) FROM lines), zo AS (SELECT * REPLACE (0 AS member) FROM ord),
+{obs('ztos', 'zl', 'l_extendedprice')}, {cube('tc', 'ztos')}, {obs('zsos', 'zl', 'l_quantity')}, {cube('sc', 'zsos')},
+{obs('zpsl', 'zo', 'o_totalprice')}, {cube('pc', 'zpsl')},
+cubes AS MATERIALIZED (SELECT * FROM tc UNION ALL SELECT * REPLACE (4 AS member) FROM sc UNION ALL SELECT * REPLACE (8 AS member) FROM pc),
+{detrended('cubes')}, {anomalies('det')}, {corners('cubes')},
+reg AS ({regridded("anom").replace(r('v', 3, 'value'), 'v AS value')}),
+single AS MATERIALIZED (SELECT member, time, iy, ix, lat, lon, {_SINGLE.format('value')} AS value FROM reg),
+wide AS (
+  SELECT time, iy, ix, any_value(lat) AS lat, any_value(lon) AS lon, max(CASE WHEN member = 0 THEN value END) AS tos,
+    max(CASE WHEN member = 4 THEN value END) AS sos, max(CASE WHEN member = 8 THEN value END) AS psl
+  FROM single GROUP BY 1, 2, 3 HAVING count(*) = 3),
+target AS (
+  SELECT 'validation' AS split, time, {_SINGLE.format(
+      "sum(cos(radians(lat)) * value) / nullif(sum(CASE WHEN value IS NOT NULL THEN cos(radians(lat)) END), 0)")} AS nino34
+  FROM single WHERE member = 0 AND {BOX} AND time >= TIMESTAMP '1995-06-01' AND time < TIMESTAMP '1998-01-01' GROUP BY 2
+  UNION ALL
+  SELECT 'test', date_trunc('month', time), {_SINGLE.format(MEAN.format('o_totalprice'))}
+  FROM ord WHERE time >= TIMESTAMP '1998-01-01' AND time < TIMESTAMP '2001-01-01' GROUP BY 2)
+SELECT split, w.time, iy, ix, lat, lon, {r('tos', 1)}, {r('sos', 1)}, {r('psl', 1)}, {r('nino34', 1)}
+FROM wide w JOIN target ON target.time = w.time"""
 SQL["target_periods"] = f"""WITH {SERIES},
 inp AS (SELECT member, iy, ix, min(time) AS a, max(time) AS b FROM oobs WHERE iy % 3 <> 1 GROUP BY 1, 2, 3),
 com AS (SELECT member, iy, ix, max(a) AS a, min(b) AS b FROM (

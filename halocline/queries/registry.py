@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -12,9 +13,10 @@ from halocline.operators import axis, checks, merge, regrid, running, series, sp
 from halocline.operators.sizing import settle
 from halocline.queries import adapters as A
 from halocline.queries.adapters import AT, COARSE, MEMBER
-from halocline.plans import anomalies, columns, ingest, predictors, targets
+from halocline.plans import anomalies, columns, ingest, predictors, splits, targets
 from halocline.schema import VAR_ORDER, clean_missing
-from halocline.sources import catalog, configs, downloads
+from halocline.session import ensure_checkpoint_dir
+from halocline.sources import catalog, configs, downloads, store
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -567,6 +569,31 @@ def predictor_table(spark, sf):
     return merged.unionByName(bad, allowMissingColumns=True)
 
 
+@query
+def split_periods(spark, sf):
+    """Both extended splits, written and verified by the job: a row for each month and cell, with its target."""
+    def cube(rows, amount, var):
+        obs = A.located(rows.withColumn("member", F.lit(0)).groupBy("member", "iy", "ix", cal.month_start("time").alias("time")).agg(
+            A.exact_mean(F.col(amount)).alias("value")))
+        return A.field(axis.densify(obs, MEMBER), var).drop("member")
+
+    rows, orders = A.lines(spark, sf), A.order_rows(spark, sf).withColumn("time", A.later("o_orderdate"))
+    sea = cube(rows, "l_extendedprice", "tos").unionByName(cube(rows, "l_quantity", "sos"))
+    air = anomalies.anomaly_job(cube(orders, "o_totalprice", "psl"), ["var"], COARSE)
+    index = orders.groupBy(cal.month_start("time").alias("time")).agg(A.exact_mean(F.col("o_totalprice")).alias("nino34"))
+    early = F.col("time") < F.lit("1997-01-01").cast("timestamp_ntz")
+    paths = splits.build_splits(
+        spark, f"{ensure_checkpoint_dir(spark)}/splits-{uuid.uuid4().hex[:12]}", sea.where(early), sea.where(~early), air,
+        anomalies.anomaly_job(sea, ["var"], COARSE), air, index, variables=THREE, target=COARSE,
+        validation=splits.Split("validation", "1995-06", "1997-12", 31), test=splits.Split("test", "1998-01", "2000-12", 36))
+    parts = [
+        store.read_field(spark, paths[f"{name}_input"], values=THREE).join(
+            store.read_field(spark, paths[f"{name}_target"], values=("nino34",)).select("time", "nino34"), "time")
+        .withColumn("split", F.lit(name)) for name in ("validation", "test")]
+    out = parts[0].unionByName(parts[1]).select("split", "time", "iy", "ix", "lat", "lon", *THREE, "nino34")
+    return rounded(out, *THREE, "nino34", digits=1)
+
+
 @query
 def target_periods(spark, sf):
     # inputs of some rows of cells belong to another dataset
