@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from halocline.functions.calendar import month_start
 from halocline.functions.names import csv_items
 from halocline.functions.seawater import with_linear_sigma, with_sigma0
-from halocline.operators import stats
-from halocline.plans import anomalies, columns, ingest, predictors, splits, targets
+from halocline.operators import running, stats
+from halocline.plans import anomalies, columns, extend, ingest, predictors, splits, targets
 from halocline.schema import (
     DAILY_WIND_ALIASES, EXCLUDED_MODELS, QC_VAR_ORDER, SOURCE_ALIASES, VAR_ORDER, carry_attrs, plottable,
 )
@@ -218,6 +218,18 @@ def split(spark: SparkSession, args: argparse.Namespace) -> None:
         print(name, path)
 
 
+def append(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Add a period's stored field to the sums under ``--state``; write the anomalies of its months."""
+    df = read_field(spark, args.fields)
+    keys = [*_series_keys(df), "var"]
+    if args.dry_run:
+        running.period_sums(df.withColumn("t_idx", F.lit(0)), keys).explain("formatted")
+        return
+    extend.append_period(df, args.state, args.period, keys)
+    out = extend.anomalies_since(df, args.state, keys)
+    _publish(spark, carry_attrs(out, df), args, f"anomaly against all periods up to {args.period}")
+
+
 def _window(text: str | None) -> tuple[str, str, int] | None:
     """``start,end`` as months, and how many months that is."""
     if not text:
@@ -292,6 +304,7 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--period-mode", choices=("auto", "input", "common", "tos"), default="auto")
     command(split, ocean_held=str, ocean_added=str, validation_atmosphere=str, test_ocean=str, test_atmosphere=str,
             test_index=str, vars=None, validation=None, test=None)
+    command(append, fields=str, state=str, period=str)
     command(qc, fields=str, vars=None, frame_step=3)
     command(overview, root=str)
     return parser

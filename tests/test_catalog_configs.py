@@ -241,3 +241,10 @@ def test_first_existing_candidate(tmp_path):
     assert catalog.first_existing(None, paths, "target") == paths[1] and catalog.first_existing("x", paths, "target") == "x"
     with pytest.raises(FileNotFoundError, match="target not found; tried: .*a"):
         catalog.first_existing(None, paths[:1], "target")
+
+
+def test_absent_months_are_named(spark):
+    names = [f"x.{y}{m:02d}.nc" for y in (1980, 1981) for m in range(1, 13) if (y, m) not in ((1980, 3), (1981, 12))]
+    listing = spark.createDataFrame([(n,) for n in names], "name string")
+    with pytest.raises(FileNotFoundError, match="found 22; first months without one: 198003, 198112"):
+        catalog.period_files(listing, 1980, 1981)

@@ -135,3 +135,20 @@ def test_netcdf_export_with_attributes(spark, tmp_path):
     main(["ohc", "--root", p("temp.nc"), "--var", "temp", "--out", p("ohc"), "--netcdf", p("nc2"), "--netcdf-span", "all"])
     v = open_file(p("nc2/ohc300.ohc.all.nc")).variables["ohc300"]
     assert v.attrs["units"] == "J m-2" and "standard_name" not in v.attrs and len(v.shape) == 3
+
+
+def test_append_periods(spark, make_field, tmp_path):
+    """Two periods appended by command; the second one's anomalies are those of the whole field."""
+    from fields import to_cube
+    from halocline.operators import series
+    from halocline.sources.store import read_field, write_field
+    p = lambda n: str(tmp_path / n)
+    cube = np.random.default_rng(5).normal(size=(40, 2, 3)).astype("f4").astype(float)
+    field = make_field(cube)
+    cut = F.lit(month(24)).cast("timestamp_ntz")
+    write_field(field.where(F.col("time") < cut), p("a"))
+    write_field(field.where(F.col("time") >= cut), p("b"))
+    for name in "ab":
+        main(["append", "--fields", p(name), "--state", p("state"), "--period", name, "--out", p("out-" + name)])
+    want = to_cube(series.anomaly(field, ["var"]))[24:]
+    np.testing.assert_allclose(to_cube(read_field(spark, p("out-b"))), want, atol=1e-6)
