@@ -160,7 +160,9 @@ def read_matrices(spark: SparkSession, path: str) -> DataFrame:
     """
     rows = spark.read.parquet(path)
     width = F.col("capacity") * 4
-    crc = F.transform(F.col("cu_seqlens"), lambda c, i: F.crc32(F.substr(F.col("matrix"), i * width + 1, F.element_at(c, -1) * 4)))
+    # bound as a variable: named as a column, the matrix would be copied out of its row for every sequence
+    crc = F.transform(F.array("matrix"), lambda m: F.transform(
+        F.col("cu_seqlens"), lambda c, i: F.crc32(F.substr(m, i * width + 1, F.element_at(c, -1) * 4))))[0]
     names = ["doc_ids", "pieces", "starts", "cu_seqlens", "position_resets"]
     each = F.posexplode(F.arrays_zip(*names, crc.alias("ids_crc32"))).alias("at", "own")
     out = rows.select("first_sequence", each).select("first_sequence", "at", "own.*")
