@@ -4,7 +4,9 @@ Counts of every character n-gram of the highest order are taken over all trainin
 texts by partial sums; lower orders follow from them as continuation counts.  A model
 is a set of sorted hash arrays, one for each order, with the log probability of each
 n-gram in every language, smoothing included, so a position costs one search unless
-its n-gram is new.  The language of least cross-entropy per character wins.  A score is
+its n-gram is new.  Of more n-grams than MOST_GRAMS only the most frequent are held as
+arrays, with the same log probabilities; the others of a text are looked up by joins with
+the counts, so no n-gram is dropped.  The language of least cross-entropy per character wins.  A score is
 calibrated on a bounded sample of training texts (CALIBRATION_ROWS), and so are the
 bounds beyond which a document is rejected.
 
@@ -17,18 +19,19 @@ each.  Other columns are passed through by ``keep_known`` and ignored otherwise.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from halocline.llm.shared import held_out, mix, read, stored, text_slices
+from halocline.llm.shared import fresh, held_out, mix, read, stored, text_slices
 
 ORDER = 4
 BITS = 16
 DISCOUNT = 0.75
-#: A model's n-grams of the highest order; beyond it the least frequent are pruned, which bounds what is broadcast.
+#: Counts of the highest order that are compiled into arrays; beyond it only the most frequent are broadcast, the rest is joined.
 MOST_GRAMS = 2_000_000
 CALIBRATION_ROWS = 20_000
 #: A text is accepted if its language is right with at least this probability.
@@ -155,6 +158,8 @@ class Models:
     slope: float = 4.0
     shift: float = 0.0
     worst: np.ndarray | None = None
+    #: Beyond MOST_GRAMS: for every order from 1 the counts and contexts of all n-grams; the arrays hold the highest order alone.
+    tables: list[tuple[DataFrame, DataFrame]] | None = None
 
     def log_probability(self, g: np.ndarray, order: int = ORDER) -> np.ndarray:
         """(n-grams, languages); lower orders only for n-grams that no language has seen."""
@@ -186,9 +191,12 @@ class Models:
         """Language, score and rejection of each text."""
         if not self.langs:
             return ["und"] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
-        h, n = self.entropies(texts)
+        return self.decide(*self.entropies(texts))
+
+    def decide(self, h: np.ndarray, n: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Language, score and rejection from cross-entropies and letters."""
         best = h.argmin(axis=1)
-        least = h[np.arange(len(texts)), best]
+        least = h[np.arange(len(h)), best]
         s = 1 / (1 + np.exp(-np.clip(self.slope * _margin(h) + self.shift, -60, 60)))
         worst = self.worst[best] if self.worst is not None else np.inf
         rejected = (n == 0) | (least > worst) & (n >= LEAST_LETTERS) | (s < ACCEPT)
@@ -257,26 +265,98 @@ def fit(docs: DataFrame) -> Models:
     training = docs.select("doc_id", "lang", "text").where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull())
     table = stored(counts(training), "language-counts")
     size, highest = table.agg(F.count("*"), F.max("n")).first()
-    least = 1
-    while size > MOST_GRAMS and least <= highest:
-        least *= 2
-        size = table.where(F.col("n") >= least).count()
-    rows = table.where(F.col("n") >= least).toPandas()
-    langs = sorted(rows["lang"].unique())
-    models = compile_models(langs, np.searchsorted(np.array(langs, object), rows["lang"].to_numpy(object)) if langs else np.empty(0, int),
-                            rows["gram"].to_numpy(np.int64).view(np.uint64), rows["n"].to_numpy(np.int64)) if langs \
-        else Models([], [], [], [], [], np.empty(0))
-    if langs:
+    if size > MOST_GRAMS:
+        models = _spread(table, highest)
+    else:
+        rows = table.toPandas()
+        langs = sorted(rows["lang"].unique())
+        models = compile_models(langs, np.searchsorted(np.array(langs, object), rows["lang"].to_numpy(object)),
+                                rows["gram"].to_numpy(np.int64).view(np.uint64), rows["n"].to_numpy(np.int64)) if langs \
+            else Models([], [], [], [], [], np.empty(0))
+    if models.langs:
         _calibrate(models, training)
     return models
 
 
+def _spread(table: DataFrame, highest: int) -> Models:
+    """Models whose counts stay tables; the arrays hold the exact log probabilities of the most frequent n-grams."""
+    langs = sorted(r[0] for r in table.select("lang").distinct().collect())
+    number = F.array_position(F.array(*[F.lit(x) for x in langs]), F.col("lang")).cast("int") - 1
+    own = stored(table.select(number.alias("lang"), "gram", F.col("n").alias("value")), "language-order")
+    alphabet = own.select(F.col("gram").bitwiseAND(0xFFFF)).distinct().count() + 1
+    tables = []
+    for order in range(ORDER, 0, -1):
+        context = own.groupBy("lang", F.shiftrightunsigned("gram", BITS).alias("ctx")).agg(
+            F.sum("value").alias("total"), F.count("*").alias("kinds"))
+        tables.append((own, stored(context, "language-contexts")))
+        if order > 1:  # continuation counts
+            own = stored(own.groupBy("lang", F.col("gram").bitwiseAND((1 << (BITS * (order - 1))) - 1).alias("gram")).agg(
+                F.count("*").alias("value")), "language-order")
+    found = Models(langs, [], [], [], [], np.full(len(langs), -np.log(alphabet)), tables=tables[::-1])
+    least = 2
+    while least <= highest:
+        frequent = table.where(F.col("n") >= least).select("gram").distinct()
+        if frequent.count() * len(langs) <= MOST_GRAMS:
+            break
+        least *= 2
+    rows = _log_probabilities(table.where(F.col("n") >= least).select("gram").distinct(), found).toPandas().sort_values(["gram", "lang"])
+    keys = HashArray(rows["gram"].to_numpy(np.int64)[::len(langs)].view(np.uint64))
+    found.grams.append(keys)
+    found.logp.append(rows["logp"].to_numpy(np.float32).reshape(-1, len(langs))[keys.order])
+    return found
+
+
+def _log_probabilities(wanted: DataFrame, models: Models) -> DataFrame:
+    """``gram, lang, logp`` of distinct n-grams in every language, by number, from the tables."""
+    rows = wanted.select("gram", F.explode(F.sequence(F.lit(0), F.lit(len(models.langs) - 1))).alias("lang"),
+                         F.lit(float(np.exp(models.base[0]))).alias("p"))
+    for order, (own, context) in enumerate(models.tables, 1):
+        part = F.col("gram") if order == ORDER else F.col("gram").bitwiseAND((1 << (BITS * order)) - 1)
+        rows = rows.withColumn("_g", part).withColumn("ctx", F.shiftrightunsigned("_g", BITS))
+        rows = rows.join(own.withColumnRenamed("gram", "_g"), ["lang", "_g"], "left").join(context, ["lang", "ctx"], "left")
+        p = F.greatest(F.coalesce("value", F.lit(0)) - F.lit(DISCOUNT), F.lit(0e0)) + DISCOUNT * F.col("kinds") * F.col("p")
+        rows = rows.select("gram", "lang", F.when(F.col("total").isNull(), F.col("p")).otherwise(p / F.col("total")).alias("p"))
+    return rows.select("gram", "lang", F.log("p").cast("float").alias("logp"))
+
+
+def _entropies(df: DataFrame, models: Models) -> DataFrame:
+    """``uid, h, letters`` of every row ``uid, text``: cross-entropies of models with tables; ``uid`` is unique."""
+    shared = df.sparkSession.sparkContext.broadcast(replace(models, tables=None))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for batch in batches:
+            for part, texts in text_slices(batch, 1, PIECE_CHARS):
+                uid = np.asarray(part.column(0))
+                g, text, letters = grams(texts)
+                at = m.grams[-1].find(g)
+                known = at >= 0
+                total = np.stack([np.bincount(text[known], weights=own[at[known]], minlength=len(texts)) for own in m.logp[-1].T], axis=1)
+                n = np.bincount(text, minlength=len(texts))
+                pairs, many = np.unique(np.stack([text[~known].astype(np.uint64), g[~known]], axis=1), axis=0, return_counts=True)
+                none, some = len(pairs), len(texts)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.r_[uid, uid[pairs[:, 0].astype(np.int64)]]),
+                    pa.array(np.r_[np.zeros(some, np.int64), pairs[:, 1].view(np.int64)], mask=np.arange(some + none) < some),
+                    pa.array(np.r_[n, many].astype(np.int64)),
+                    pa.array(np.r_[letters, np.zeros(none)].astype(np.int64)),
+                    pa.array([*total.tolist(), *[None] * none], pa.list_(pa.float64()))], ["uid", "gram", "n", "letters", "total"])
+
+    found = stored(df.select("uid", "text").mapInArrow(run, "uid long, gram long, n long, letters long, total array<double>"), "language-sums")
+    rest = found.where("gram is not null").select("uid", "gram", "n")
+    sums = rest.join(_log_probabilities(rest.select("gram").distinct(), models), "gram").groupBy("uid", "lang").agg(
+        F.sum(F.col("n") * F.col("logp").cast("double")).alias("s")).groupBy("uid").agg(
+            F.array_sort(F.collect_list(F.struct("lang", "s"))).alias("rest"))  # an entry for each language
+    h = F.transform("total", lambda x, i: -(x + F.coalesce(F.col("rest")[i]["s"], F.lit(0e0))) / F.greatest(F.col("n"), F.lit(1)))
+    return found.where("gram is null").drop("gram").join(sums, "uid", "left").select("uid", h.alias("h"), "letters")
+
+
 def _calibrate(models: Models, training: DataFrame) -> None:
     """Slope and shift of P(right | margin), and each language's largest plausible cross-entropy."""
     total = max(training.count(), 1)
     share = min(1.0, CALIBRATION_ROWS / total)
     picked = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(7)), F.lit(1 << 30)) < int(share * (1 << 30))
-    shared = training.sparkSession.sparkContext.broadcast(models)
+    shared = training.sparkSession.sparkContext.broadcast(replace(models, tables=None))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
@@ -290,7 +370,14 @@ def _calibrate(models: Models, training: DataFrame) -> None:
                     [pa.array(best[use], pa.int32()), pa.array(h.min(axis=1)[use]), pa.array(_margin(h)[use]), pa.array(right[use])],
                     ["best", "least", "margin", "right"])
 
-    rows = training.where(picked).select("lang", "text").mapInArrow(run, "best int, least double, margin double, right boolean").toPandas()
+    if models.tables:
+        chosen = stored(training.where(picked).select(F.monotonically_increasing_id().alias("uid"), "lang", "text"), "language-calibration")
+        known = chosen.select("uid", "lang").join(_entropies(chosen, models).where("letters > 0"), "uid").toPandas()
+        h = np.array(known["h"].tolist()).reshape(len(known), len(models.langs))
+        rows = pd.DataFrame({"best": h.argmin(axis=1), "least": h.min(axis=1), "margin": _margin(h),
+                             "right": np.array(models.langs, object)[h.argmin(axis=1)] == known["lang"].to_numpy(object)})
+    else:
+        rows = training.where(picked).select("lang", "text").mapInArrow(run, "best int, least double, margin double, right boolean").toPandas()
     shared.destroy()
     if rows.empty:
         return
@@ -317,8 +404,27 @@ def _calibrate(models: Models, training: DataFrame) -> None:
     models.worst = worst
 
 
+def _decided(docs: DataFrame, models: Models) -> DataFrame:
+    """``uid, lang_pred, score, rejected`` of every row ``uid, text`` by models with tables."""
+    shared = docs.sparkSession.sparkContext.broadcast(replace(models, tables=None))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h = np.asarray(batch.column(1).flatten()).reshape(batch.num_rows, len(shared.value.langs))
+            lang, score, rejected = shared.value.decide(h, np.asarray(batch.column(2)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lang, pa.string()), pa.array(score), pa.array(rejected)],
+                                             ["uid", "lang_pred", "score", "rejected"])
+
+    return _entropies(docs, models).mapInArrow(run, "uid long, lang_pred string, score double, rejected boolean")
+
+
 def predictions(docs: DataFrame, models: Models) -> DataFrame:
     """``doc_id, held_out, lang_pred, score, rejected`` for every whole text."""
+    docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text")
+    columns = ("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
+    if models.tables:
+        marked = stored(docs.withColumn("uid", F.monotonically_increasing_id()), "language-documents")
+        return marked.select("uid", "doc_id").join(_decided(marked, models), "uid").select(*columns)
     shared = docs.sparkSession.sparkContext.broadcast(models)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -328,13 +434,16 @@ def predictions(docs: DataFrame, models: Models) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(lang, pa.string()), pa.array(score), pa.array(rejected)],
                                                  ["doc_id", "lang_pred", "score", "rejected"])
 
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, lang_pred string, score double, rejected boolean").select(
-            "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
+    return docs.mapInArrow(run, "doc_id long, lang_pred string, score double, rejected boolean").select(*columns)
 
 
 def keep_known(docs: DataFrame, models: Models) -> DataFrame:
     """The documents that are not rejected, with all their columns."""
+    if models.tables:
+        uid = fresh(docs, "_uid")
+        marked = stored(docs.withColumn(uid, F.monotonically_increasing_id()), "language-documents")
+        known = _decided(marked.select(F.col(uid).alias("uid"), "text"), models).where("not rejected").select(F.col("uid").alias(uid))
+        return marked.join(known, uid, "left_semi").select(*docs.columns)
     at, shared = docs.columns.index("text"), docs.sparkSession.sparkContext.broadcast(models)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

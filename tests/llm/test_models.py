@@ -110,6 +110,38 @@ def test_language_rejection(spark, make_docs):
     assert models.shift < 0  # without a margin a text counts as ambiguous
 
 
+def test_language_keeps_rare_grams(spark, monkeypatch):
+    """With more n-grams than are broadcast, results are those of models that hold them all."""
+    rng = np.random.default_rng(11)
+    letters = {"aa": "abcdefghij", "bb": "cdefghijkl"}
+
+    def text(lang, n):
+        return " ".join("".join(rng.choice(list(letters[lang]), rng.integers(2, 9))) for _ in range(n))
+
+    rows = [(i, text("aa" if i % 2 else "bb", 1 + i % 15), "aa" if i % 2 else "bb") for i in range(300)]
+    rows += [(1000 + i, t, None) for i, t in enumerate(ODD)] + [(None, "abc def"), (5, "fgh abc zzz"), (5, "fgh abc zzz")]
+    docs = spark.createDataFrame([(r[0], r[1], r[2] if len(r) > 2 else None, "keep") for r in rows], "doc_id long, text string, lang string, _uid string")
+
+    def found():
+        models = langid.fit(docs)
+        key = ["doc_id", "lang_pred", "score"]
+        kept = langid.keep_known(docs, models)
+        assert kept.columns == docs.columns
+        return models, langid.predictions(docs, models).toPandas().sort_values(key), sorted(map(str, kept.collect()))
+
+    whole, a, kept_a = found()
+    assert whole.tables is None
+    for most in (500, 0):  # some n-grams are broadcast, or none
+        monkeypatch.setattr(langid, "MOST_GRAMS", most)
+        models, b, kept_b = found()
+        assert models.tables and len(models.logp[-1]) * 2 <= most and (len(models.logp[-1]) > 0) == (most > 0)
+        assert len(a) == len(b) == len(rows) and kept_a == kept_b
+        for c in ("doc_id", "lang_pred", "rejected", "held_out"):
+            assert a[c].fillna(-1).tolist() == b[c].fillna(-1).tolist()
+        assert np.allclose(a.score, b.score, atol=1e-4)
+        assert np.isclose(models.slope, whole.slope, rtol=1e-3) and np.allclose(models.worst, whole.worst, rtol=1e-4)
+
+
 def test_kneser_ney_by_dictionaries():
     """Log probabilities against a plain recursive version; they sum to one over the alphabet."""
     texts = {"a": "abra cadabra abra", "b": "banana bandana"}
