@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from halocline.functions.numeric import ratio
 from halocline.functions.position import shortest_step
-from halocline.operators.sizing import BROADCAST_ROWS, settle
+from halocline.operators.merge import fingerprints
+from halocline.operators.sizing import BROADCAST_ROWS, settle, small_side
 from halocline.schema import CELL, TargetGrid
 
 #: Source cells of a slice that one task takes.
@@ -161,6 +162,14 @@ def _invert(q: DataFrame, hx: Column, hy: Column) -> DataFrame:
     return q.select(*keep, F.inline(F.array(F.struct(a.alias("_a"), b.alias("_b")))))
 
 
+def _in_common(weights: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(keys, _grid) and (_grid, weights): grids of equal weights hold them once, under one of their keys."""
+    prints = fingerprints(weights, keys, [c for c in weights.columns if c not in keys], "_print")
+    first = prints.groupBy("_print").agg(F.min(F.struct(*keys)).alias("_grid"))
+    own = settle(prints.join(first, "_print").select(*keys, "_grid"))
+    return own, settle(weights.join(small_side(own.where(F.struct(*keys) == F.col("_grid"))), keys).drop(*keys))
+
+
 def apply_weights(
     df: DataFrame,
     weights: DataFrame,
@@ -177,7 +186,8 @@ def apply_weights(
     The weights hold at most 5 rows per target point and grid.  Counted small they
     are broadcast, and source rows are exchanged by slice *before* they fan out to
     up to four targets each, so the weighted sums are taken where the rows already
-    are.  A slice of more than ``block_cells`` source cells is cut into bands of whole grid rows
+    are.  Grids of equal weights, as the members of one model have, share one copy where
+    the weights of all are too many.  A slice of more than ``block_cells`` source cells is cut into bands of whole grid rows
     that are exchanged apart; a target then adds up partial sums, of two bands at most, so tasks can
     outnumber slices.  Beyond the broadcast, source rows meet the weights by cell and the partial sums
     are exchanged.
@@ -188,7 +198,12 @@ def apply_weights(
     """
     weights = settle(weights)
     seen = weights.limit(BROADCAST_ROWS + 1).agg(F.count("*"), F.max("iy"), F.max("ix")).first()
-    small = seen[0] <= BROADCAST_ROWS
+    small, on, owners = seen[0] <= BROADCAST_ROWS, list(keys), None
+    if not small and on:
+        owned, common = _in_common(weights, on)
+        fewer = common.limit(BROADCAST_ROWS + 1).agg(F.count("*"), F.max("iy"), F.max("ix")).first()
+        if fewer[0] <= BROADCAST_ROWS:
+            small, weights, seen, owners, on = True, common, fewer, small_side(owned), ["_grid"]
     band = max(1, block_cells // max((seen[2] or 0) + 1, 1))
     blocks = [F.expr(f"iy div {band}")] if small and band <= (seen[1] or 0) else []
     v = F.col(value)
@@ -205,10 +220,10 @@ def apply_weights(
     slices = df.select(*dict.fromkeys([*at, *CELL, value]))
     slices = slices.unionByName(df.select(*at).distinct().select(
         *at, *[F.lit(NOWHERE).alias(c) for c in CELL], F.lit(None).cast(df.schema[value].dataType).alias(value)))
-    joined = (
-        slices.repartition(*step, *blocks).join(F.broadcast(weights), [*keys, *CELL]) if small
-        else slices.join(weights, [*keys, *CELL])
-    )
+    dealt = slices.repartition(*step, *blocks) if small else slices
+    if owners is not None:
+        dealt = dealt.join(owners, list(keys))
+    joined = dealt.join(F.broadcast(weights) if small else weights, [*on, *CELL])
     return (
         joined
         .groupBy(*step, "ty", "tx")

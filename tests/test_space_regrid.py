@@ -207,6 +207,26 @@ def test_regrid_plans_agree(spark, bound, monkeypatch):
     np.testing.assert_allclose(out["value"], 3 * out["lat"], atol=1e-9)
 
 
+def test_equal_grids_share_their_weights(spark, monkeypatch, capsys):
+    """Members on few grids exchange their source rows only, however many weights all of them have together."""
+    lat, lon = np.arange(5) * 10.0 - 20, np.arange(8) * 20.0
+    rng = np.random.default_rng(4)
+    rows = [(m, t, y, x, float(lat[y]), float(lon[x] + (m % 2)), None if (m + t + y) % 7 == 0 else float(rng.normal()))
+            for m in range(6) for t in range(3) for y in range(5) for x in range(8) if (m, y) != (5, 4)]
+    field = spark.createDataFrame(rows + [(None, 0, 0, 0, 0.0, 0.0, 1.0)], "member int, time int, iy int, ix int, lat double, lon double, value double")
+    weights = regrid.bilinear_weights(regrid.grid_of(field, ["member"]), TARGET, ["member"])
+    at = ["member", "time", "iy", "ix"]
+    want = regrid.apply_weights(field, weights, ["member", "time"], keys=["member"]).toPandas().sort_values(at)
+    per_grid = [r["count"] for r in weights.groupBy("member").count().collect()]
+    monkeypatch.setattr(regrid, "BROADCAST_ROWS", 3 * max(per_grid))  # six members, three grids
+    plan = regrid.apply_weights(field, weights, ["member", "time"], keys=["member"])
+    got = plan.toPandas().sort_values(at)
+    for c in want.columns:
+        np.testing.assert_allclose(want[c].to_numpy(float), got[c].to_numpy(float), rtol=1e-12)
+    plan.explain()
+    assert not [x for x in capsys.readouterr().out.splitlines() if "Exchange hashpartitioning" in x and "ty" in x]
+
+
 def test_regrid_exchanges_the_source_rows_only(spark, make_field):
     """The fan-out to targets happens after the exchange by slice."""
     df = make_field(np.ones((2, 3, 3)))
