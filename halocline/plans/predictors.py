@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from halocline.operators import checks, merge
-from halocline.operators.sizing import small_side
+from halocline.operators.sizing import settle, small_side
 from halocline.schema import CELL, VAR_ORDER
 
 
@@ -19,11 +19,13 @@ def rejected(df: DataFrame, dataset: Sequence[str], variables: Sequence[str] = V
     common steps do not cover.
     """
     keys, names = list(dataset), list(dict.fromkeys(variables))
-    lacking = merge.missing_variables(df, keys, names).select(*keys, "missing")
+    # All checks need only the steps of each variable: the field is read once for them.
+    steps = settle(df.select(*keys, "var", "time").distinct())
+    lacking = merge.missing_variables(steps, keys, names).select(*keys, "missing")
     incomplete = F.size("missing") > 0
     # Steps every variable has: what the merge will keep.
     shared = (
-        df.where(F.col("var").isin(*names)).select(*keys, "var", "time").distinct()
+        steps.where(F.col("var").isin(*names))
         .groupBy(*keys, "time").agg(F.count("*").alias("_n")).where(F.col("_n") == len(names))
     )
     out = lacking.where(incomplete).select(
