@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from halocline.functions.calendar import month_start, year_month
 from halocline.operators import checks, merge, space
-from halocline.operators.sizing import small_side
+from halocline.operators.sizing import settle, small_side
 from halocline.schema import CELL, EXCLUDED_MODELS, VAR_ORDER, main_variable
 
 NOT_VALUES = frozenset({
@@ -116,10 +116,12 @@ def cmip6_target_job(
     kept = fields.where(~F.col("model").isin(*exclude)) if exclude else fields
     if experiments:
         kept = kept.where(F.col("exp").isin(*experiments))
-    periods = small_side(target_periods(kept, keys, **period_options))
+    # Periods and spans need only the steps of each variable: the fields are read once for them.
+    steps = settle(kept.select(*keys, "var", "time").distinct())
+    periods = small_side(target_periods(steps, keys, **period_options))
     tos = kept.where(F.col("var") == "tos").join(periods, keys)
     month = year_month("time")
-    spans = tos.groupBy(*keys, "start", "end").agg(
+    spans = steps.where(F.col("var") == "tos").join(periods, keys).groupBy(*keys, "start", "end").agg(
         F.min(month).alias("first"), F.max(month).alias("last"))
     bad = small_side(spans.where((F.col("first") > F.col("start")) | (F.col("last") < F.col("end"))))
     inside = (
