@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from halocline.operators import checks, merge
+from halocline.operators.sizing import settle
 from halocline.plans.anomalies import anomaly_job
 from halocline.plans.predictors import reanalysis_job
 from halocline.plans.targets import index_of_field, index_series
@@ -70,7 +71,11 @@ def build_splits(
     """
     paths = {k: f"{out_root.rstrip('/')}/{k}" for k in (
         "ocean_anomaly", "validation_input", "validation_target", "test_input", "test_target")}
-    raw = extend_raw(ocean_held, ocean_added)
+    # Checked first and used several times: each field is computed once.
+    raw = extend_raw(settle(ocean_held), settle(ocean_added))
+    fields = (validation_atmosphere, test_ocean, test_atmosphere, test_index)
+    once = {k: settle(df) for k, df in {id(df): df for df in fields}.items()}
+    validation_atmosphere, test_ocean, test_atmosphere, test_index = (once[id(df)] for df in fields)
     write_field(anomaly_job(raw, ["var"], target), paths["ocean_anomaly"],
                 overwrite=overwrite)
     ocean = read_field(spark, paths["ocean_anomaly"])

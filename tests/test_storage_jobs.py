@@ -241,6 +241,40 @@ def test_rejections(make_field):
     assert why(a.unionByName(b), start="2001-01", end="2002-01") == ["ends early"]
 
 
+def counted(df):
+    """The field and the number of its rows that have been computed so far."""
+    seen = df.sparkSession.sparkContext.accumulator(0)
+
+    def one(var):
+        seen.add(1)
+        return var
+
+    return df.withColumn("var", F.udf(one, "string").asNondeterministic()("var")), seen
+
+
+def test_jobs_read_their_fields_once_for_all_checks(make_field):
+    """One pass for the checks or periods and one for the values."""
+    both = make_field(np.ones((24, 1, 2)), lat=[0], lon=[200, 210]).unionByName(make_field(np.ones((24, 1, 2)), lat=[0], lon=[200, 210], var="psl"))
+    field, seen = counted(both.withColumn("model", F.lit("m")))
+    table, bad = predictors.predictor_job(field, ["model"], ("tos", "psl"), start="2000-02", end="2001-06")
+    assert table.count() == 17 * 2 and bad.count() == 0 and seen.value <= 2 * 96
+    field, seen = counted(both.withColumn("model", F.lit("m")))
+    index, short = targets.cmip6_target_job(field, ["model"], mode="common", predictors=("tos", "psl"))
+    assert index.count() == 24 and short.count() == 0 and seen.value <= 2 * 96
+
+
+def test_splits_compute_their_fields_once(spark, make_field, tmp_path):
+    lat, lon = [-4.0, 0, 4], [190.0, 210, 230]
+    made = lambda n, start, var: counted(make_field(np.random.default_rng(1).normal(size=(n, 3, 3)), lat, lon, var=var, start=start))
+    (held, a), (added, b), (air, c), (sea, d) = made(12, 2000, "tos"), made(12, 2001, "tos"), made(36, 2000, "psl"), made(12, 2002, "tos")
+    index = spark.createDataFrame([(month(i, 2002), 1.0) for i in range(12)], "time timestamp_ntz, nino34 double")
+    splits.build_splits(
+        spark, str(tmp_path / "out"), held, added, air, sea, air, index, variables=("tos", "psl"),
+        target=TargetGrid(lat0=-4, dlat=4, nlat=3, lon0=190, dlon=20, nlon=3),
+        validation=splits.Split("validation", "2000-01", "2001-12", 24), test=splits.Split("test", "2002-01", "2002-12", 12))
+    assert [x.value for x in (a, b, c, d)] == [12 * 9, 12 * 9, 36 * 9, 12 * 9]
+
+
 def test_index_needs_cells_in_the_region(make_field):
     with pytest.raises(checks.CheckFailed):
         targets.index_of_field(make_field(np.ones((2, 2, 2)), lat=[50, 60]))
