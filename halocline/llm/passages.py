@@ -6,9 +6,11 @@ matched with the first document that holds it, which is the one of least id, so
 are as many as seeds and never pairs of a group.  A seed that many documents of a batch
 share is matched within the batch first, and only the batch's first one is shuffled.
 Runs of shared seeds as long as every exact passage of LEAST words has one are keys too.
-A run that no passage holds yet is matched with all its earlier holders, twice as many in
-each round, until it is in a passage or has met them all, so an exact passage is found
-whatever the first holders of its single seeds are.
+Around a run that no passage holds yet every window of LEAST words is a key, so an exact
+passage is found whatever the first holders of its single seeds are.  A run that is open
+after that has fewer exact words; it is matched with the first document that has it and
+one more of the shared seeds beside it.  So keys are as many as windows or seeds, however many
+documents hold a run.
 
 *Chains.*  The matches of a document with one earlier document are chained by score:
 each match adds K, each word between two matches takes GAP on either side.  Best
@@ -34,7 +36,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from halocline.llm.shared import columns_of, fresh, mix, read, shingles, stored, text_slices, word_hashes
 
@@ -46,8 +48,10 @@ SKIP = 24
 BLOCK = 64
 #: Documents of a batch that share a seed before it is matched within the batch.
 COMMON = 8
+_STEP = 0x9E3779B97F4A7C15
 
 MATCHES = "hash long, doc long, pos int, source long, at int"
+WINDOWS = MATCHES + ", wanted boolean"
 RUNS = "hash long, doc long, pos int, stop int, open boolean"
 CHAINS = "doc long, source long, x0 int, x1 int, y0 int, y1 int, matches binary"
 PASSAGES = ("doc_id long, source_doc_id long, start_word int, end_word int, source_start int, source_end int, "
@@ -77,26 +81,32 @@ def _seeds(k: int, window: int, least: int):
                 hashes.append(h[at].view(np.int64))
                 docs.append(np.full(len(at), doc, np.int64))
                 places.append(at.astype(np.int32))
-            if not hashes:
-                continue
-            h, d, p = np.concatenate(hashes), np.concatenate(docs), np.concatenate(places)
-            order = np.lexsort((p, d, h))
-            h, d, p = h[order], d[order], p[order]
-            head = np.r_[True, h[1:] != h[:-1]]
-            group = np.cumsum(head) - 1
-            begin = np.flatnonzero(head)
-            n_docs = np.add.reduceat(np.r_[True, (h[1:] != h[:-1]) | (d[1:] != d[:-1])].astype(int), begin)
-            source, at = d[begin][group], p[begin][group]
-            local = (n_docs[group] > COMMON) & (d != source)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(h), pa.array(d), pa.array(p), pa.array(source, pa.int64(), mask=~local), pa.array(at, pa.int32(), mask=~local)],
-                ["hash", "doc", "pos", "source", "at"])
+            if hashes:
+                yield _met_in_batch(np.concatenate(hashes), np.concatenate(docs), np.concatenate(places))
 
     return run
 
 
+def _met_in_batch(h: np.ndarray, d: np.ndarray, p: np.ndarray, **more: np.ndarray) -> pa.RecordBatch:
+    """Rows of MATCHES and further columns; a hash of more than COMMON documents is matched with the first of them."""
+    order = np.lexsort((p, d, h))
+    h, d, p = h[order], d[order], p[order]
+    head = np.r_[True, h[1:] != h[:-1]]
+    group = np.cumsum(head) - 1
+    begin = np.flatnonzero(head)
+    n_docs = np.add.reduceat(np.r_[True, (h[1:] != h[:-1]) | (d[1:] != d[:-1])].astype(int), begin)
+    source, at = d[begin][group], p[begin][group]
+    local = (n_docs[group] > COMMON) & (d != source)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(h), pa.array(d), pa.array(p), pa.array(source, pa.int64(), mask=~local), pa.array(at, pa.int32(), mask=~local),
+         *(pa.array(x[order]) for x in more.values())], ["hash", "doc", "pos", "source", "at", *more])
+
+
 def _matched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (hash, doc, pos): each seed of another document than the first is matched with the first."""
+    """Rows sorted by (hash, doc, pos): each seed of another document than the first is matched with the first.
+
+    Of rows with a sixth column only those where it is true are matched; the others may be matched with.
+    """
     last, doc0, pos0 = None, 0, 0
     for batch in batches:
         if not batch.num_rows:
@@ -115,6 +125,8 @@ def _matched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at[mine] = np.where(known, pm[np.maximum(first, 0)], pos0)
             last, doc0, pos0 = hm[-1], source[mine][-1], at[mine][-1]
         keep = source != d
+        if batch.num_columns > 5:
+            keep &= np.asarray(batch.column(5))
         yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (h, d, p, source, at)], ["hash", "doc", "pos", "source", "at"])
 
 
@@ -383,6 +395,11 @@ def _runs(k: int, window: int, reach: int):
         count = np.r_[0, np.cumsum(free)]
         return key.view(np.int64), p[at].astype(np.int32), (p[last] + k).astype(np.int32), count[last + 1] > count[at]
 
+    return _per_document(found, lambda h, d, *rest: pa.RecordBatch.from_arrays([pa.array(x) for x in (h, d, *rest)], _names(RUNS)))
+
+
+def _per_document(found, batch_of):
+    """Applies ``found`` to the columns behind the id of each document's rows, sorted by it; gives keys and what is beside them, or None."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, []
 
@@ -393,7 +410,7 @@ def _runs(k: int, window: int, reach: int):
 
         def rows(parts: list[tuple]) -> Iterator[pa.RecordBatch]:
             if parts:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts, strict=True)], _names(RUNS))
+                yield batch_of(*(np.concatenate(x) for x in zip(*parts, strict=True)))
 
         for batch in batches:
             out = []
@@ -411,10 +428,41 @@ def _runs(k: int, window: int, reach: int):
     return run
 
 
+def _contexts(k: int, far: int):
+    """Rows sorted by (doc, kind, pos), shared seeds before runs: a key of each run with each shared seed beside it, up to ``far`` words off."""
+    def found(held: list[list[np.ndarray]]) -> tuple[np.ndarray, ...] | None:
+        kind, pos, end, h, wanted = (np.concatenate([x[i] for x in held]) for i in range(5))
+        own = kind == 1
+        p, seeds = pos[own], h[own].view(np.uint64)
+        start, stop, runs, wanted = pos[~own], end[~own], h[~own].view(np.uint64), wanted[~own]
+        keys, of = [], []
+        with np.errstate(over="ignore"):
+            for side, low, high in ((1, start - far - k, start - 1), (2, stop - k + 1, stop + far)):
+                first, after = np.searchsorted(p, low), np.searchsorted(p, high, "right")
+                count = after - first
+                run = np.repeat(np.arange(len(runs)), count)
+                seed = np.arange(len(run)) - np.repeat(np.cumsum(count) - count, count) + first[run]
+                keys.append(mix(runs[run] + mix(seeds[seed] + np.uint64(side))))
+                of.append(run)
+        of, keys = np.concatenate(of), np.concatenate(keys).view(np.int64)
+        if len(of) == 0:
+            return None
+        order = np.lexsort((start[of], keys))
+        of, keys = of[order], keys[order]
+        need = np.r_[True, keys[1:] != keys[:-1]] | wanted[of]  # of equal keys that are only to be matched with, the first
+        return keys[need], start[of][need], wanted[of][need]
+
+    return _per_document(found, lambda h, d, p, wanted: _met_in_batch(h, d, p, wanted=wanted))
+
+
+def _shared_seeds(met: DataFrame) -> DataFrame:
+    """Seeds that several documents have; one that is matched and has been matched with comes twice."""
+    return met.select("doc", "pos", "hash").union(met.select("source", "at", "hash").distinct())
+
+
 def _shared_runs(met: DataFrame, passages: DataFrame, k: int, window: int, least: int) -> DataFrame:
     """The runs of seeds that a document shares with any other."""
-    seeds = met.select("doc", "pos", "hash").union(met.select("source", "at", "hash").distinct())
-    kinds = seeds.select("doc", F.lit(1).alias("kind"), "pos", F.lit(0).alias("end"), "hash").unionByName(passages.select(
+    kinds = _shared_seeds(met).select("doc", F.lit(1).alias("kind"), "pos", F.lit(0).alias("end"), "hash").unionByName(passages.select(
         F.col("doc_id").alias("doc"), F.lit(0).alias("kind"), F.col("start_word").alias("pos"), F.col("end_word").alias("end"), F.lit(0).cast("long").alias("hash")))
     # an exact passage of ``least`` words has seeds within ``window`` k-mers of both its ends
     distinct = kinds.repartition("doc").sortWithinPartitions("doc", "kind", "pos").mapInArrow(_first_of_place, kinds.schema)
@@ -433,6 +481,72 @@ def _first_of_place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield batch.filter(pa.array(new))
 
 
+def _meet(keys: DataFrame) -> DataFrame:
+    """Each key of a document matched with the first document that has it."""
+    by = F.when(F.col("source").isNull(), F.col("hash")).otherwise(F.xxhash64("doc", "source"))
+    return keys.repartition(by).sortWithinPartitions("hash", "doc", "pos").mapInArrow(_matched, MATCHES)
+
+
+def _windows(least: int):
+    """Hashes of the windows of ``least`` words of a document around its runs; wanted are those around an open one."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in columns_of(batches):
+            parts = []
+            for doc, runs, text in zip(batch.column(0).to_pylist(), batch.column(1), texts, strict=True):
+                own = window_hashes(word_hashes(text), least)
+                pos, stop, is_open = (np.asarray(runs.values.field(i)) for i in range(3))
+                if len(own) == 0:
+                    continue
+                # starts of windows that hold a run, counted from both its ends
+                low, high = np.clip(stop - least, 0, len(own)), np.clip(pos + 1, 0, len(own))
+                low = np.minimum(low, high)
+                inside = [np.cumsum(np.bincount(low[x], minlength=len(own) + 1) - np.bincount(high[x], minlength=len(own) + 1))[:-1] > 0
+                          for x in (np.ones(len(pos), bool), is_open)]
+                at = np.flatnonzero(inside[0])
+                at = at[_needed(own[at], at, inside[1][at], least)]
+                parts.append((own[at].view(np.int64), np.full(len(at), doc, np.int64), at.astype(np.int32), inside[1][at]))
+            if parts:
+                h, d, p, wanted = (np.concatenate(x) for x in zip(*parts, strict=True))
+                if len(h):
+                    yield _met_in_batch(h, d, p, wanted=wanted)
+
+    return run
+
+
+def _needed(keys: np.ndarray, at: np.ndarray, wanted: np.ndarray, length: int) -> np.ndarray:
+    """Of rising places with equal keys: the first, to be matched with, and as many wanted ones as cover the words of them all."""
+    order = np.lexsort((at, keys))
+    head = np.r_[True, keys[order][1:] != keys[order][:-1]][:len(keys)]
+    keep = np.zeros(len(keys), bool)
+    keep[order] = head | wanted[order]
+    begin = np.flatnonzero(head)
+    size = np.diff(np.r_[begin, len(keys)])
+    for b, n in zip(begin[size > 1], size[size > 1], strict=True):
+        own = order[b:b + n]
+        own = own[wanted[own]]
+        places, i = at[own], 0
+        # from each the farthest that begins where it ends or before
+        keep[own[1:]] = False
+        while i < len(own) - 1:
+            i = max(int(np.searchsorted(places, places[i] + length, "right")) - 1, i + 1)
+            keep[own[i]] = True
+        keep[order[b]] = True
+    return keep
+
+
+def window_hashes(words: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of every n successive words from one running sum; none of fewer words."""
+    if len(words) < n:
+        return np.empty(0, np.uint64)
+    powers = np.full(len(words), _STEP, np.uint64)
+    powers[0] = 1
+    with np.errstate(over="ignore"):
+        sums = np.r_[np.zeros(1, np.uint64), np.cumsum(words * np.cumprod(powers, dtype=np.uint64), dtype=np.uint64)]
+        back = np.full(len(words) - n + 1, pow(_STEP, -1, 1 << 64), np.uint64)
+        back[0] = 1
+        return mix((sums[n:] - sums[:-n]) * np.cumprod(back, dtype=np.uint64))
+
+
 def _passages(docs: DataFrame, met: DataFrame, k: int, least: int, share: float, fewest: int = 2) -> DataFrame:
     """The passages that matches ``doc, source, pos, at`` lead to."""
     found = met.select("doc", "source", "pos", "at").repartition("doc", "source").sortWithinPartitions("doc", "source", "pos", "at").mapInArrow(
@@ -463,28 +577,37 @@ def repeats(docs: DataFrame, k: int = K, window: int = WINDOW, least: int = LEAS
     """
     docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text").where("doc_id is not null")
     seeds = docs.mapInArrow(_seeds(k, window, int(least * share)), MATCHES)
-    by = F.when(F.col("source").isNull(), F.col("hash")).otherwise(F.xxhash64("doc", "source"))
-    met = stored(seeds.repartition(by).sortWithinPartitions("hash", "doc", "pos").mapInArrow(_matched, MATCHES), "passage-matches")
+    met = stored(_meet(seeds), "passage-matches")
     found = _passages(docs, met, k, least, share)
     runs = stored(_shared_runs(met, found, k, window, least), "passage-runs")
-    rest = stored(runs.where("open").drop("open"), "passage-open")
-    if rest.isEmpty():
+    holders = stored(_holders(runs), "passage-holders")
+    if holders.isEmpty():
         return found
-    # a run that one document alone has needs no holders
-    holders = runs.join(rest.select("hash").distinct(), "hash", "left_semi").select("hash", F.col("doc").alias("source"), F.col("pos").alias("at"))
-    number = F.dense_rank().over(Window.partitionBy("hash").orderBy("source"))
-    holders = stored(holders.withColumn("number", number), "passage-holders")
-    first, count = 1, 1
-    while not rest.isEmpty():
-        now = holders.where(F.col("number").between(first, first + count - 1))
-        again = stored(rest.join(now, "hash").where(F.col("source") < F.col("doc")).select("doc", "source", "pos", "at"), "passage-matches")
-        if again.isEmpty():  # numbers follow ids, so no earlier holder is left
-            break
-        found = found.unionByName(_passages(docs, again, k, least, share, fewest=1))
-        first, count = first + count, 2 * count
-        held = (rest["doc"] == found["doc_id"]) & (rest["pos"] >= found["start_word"]) & (rest["stop"] <= found["end_word"])
-        rest = stored(rest.join(found, held, "left_anti"), "passage-open")
-    return _longest(found)
+    spans = holders.groupBy("doc").agg(F.collect_list(F.struct("pos", "stop", "open")).alias("runs"))
+    whole = docs.join(spans, docs["doc_id"] == spans["doc"]).select("doc_id", "runs", "text").mapInArrow(_windows(least), WINDOWS)
+    found = stored(_longest(found.unionByName(
+        _passages(docs, stored(_meet(whole), "passage-matches"), k, least, share, fewest=1))), "passages")
+    # what is still open has too few exact words, but may be part of an edited passage
+    held = (holders["doc"] == found["doc_id"]) & (holders["pos"] >= found["start_word"]) & (holders["stop"] <= found["end_word"])
+    left = holders.where("open").join(found, held, "left_anti").select("hash", "doc", "pos", F.lit(True).alias("left"))
+    runs = holders.join(stored(left, "passage-open"), ["hash", "doc", "pos"], "left").withColumn("open", F.col("left").isNotNull()).drop("left")
+    holders = stored(_holders(runs), "passage-holders")
+    if holders.isEmpty():
+        return found
+    kinds = _shared_seeds(met).select("doc", F.lit(1).alias("kind"), "pos", F.lit(0).alias("end"), "hash", F.lit(False).alias("wanted")).unionByName(
+        holders.select("doc", F.lit(2).alias("kind"), "pos", F.col("stop").alias("end"), "hash", F.col("open").alias("wanted")))
+    beside = kinds.repartition("doc").sortWithinPartitions("doc", "kind", "pos").mapInArrow(_first_of_place, kinds.schema).mapInArrow(
+        _contexts(k, SKIP + least - max(least - 2 * (window - 1), k)), WINDOWS)
+    # one run meets a document through several seeds
+    again = stored(_meet(beside).select("doc", "source", "pos", "at").distinct(), "passage-matches")
+    return _longest(found.unionByName(_passages(docs, again, k, least, share, fewest=1)))
+
+
+def _holders(runs: DataFrame) -> DataFrame:
+    """Runs that are open in a document which is not the first to have them, with those of the documents before it."""
+    shared = runs.groupBy("hash").agg(F.min("doc").alias("first"), F.max(F.when(F.col("open"), F.col("doc"))).alias("last")).where("last > first")
+    is_open = F.col("open") & (F.col("doc") > F.col("first"))
+    return runs.join(shared, "hash").where(is_open | (F.col("doc") < F.col("last"))).select("hash", "doc", "pos", "stop", is_open.alias("open"))
 
 
 def _names(schema: str) -> list[str]:

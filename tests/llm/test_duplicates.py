@@ -369,3 +369,43 @@ def test_nearest_orders_ties_by_id(spark):
     got = ann.search(df, F.col("vec_id") % 50 == 0).where("query_id < 200").collect()
     for q in (0, 50, 100, 150):
         assert sorted((r["rank"], r["vec_id"]) for r in got if r["query_id"] == q) == list(enumerate([i for i in range(7) if i != q][:5], 1))
+
+
+def test_run_in_many_documents(spark, make_docs, words, monkeypatch):
+    """A line of 40 words in every document: passages that hold it are found, without a row for each pair of documents."""
+    line, more, edited = words(40), words(20), words(15)
+    rows = [(i, " ".join(words(30) + line + words(30))) for i in range(300)]
+    exact, near = line + more, line + words(1) + edited
+    rows += [(i, " ".join(words(20 + i % 7) + exact + words(9))) for i in (301, 302)]
+    rows += [(303, " ".join(words(20) + near + words(9))), (304, " ".join(words(31) + line + words(1) + edited + words(9)))]
+    rows += [(305, " ".join(words(20) + line + edited + words(9)))]  # the word between is missing
+    counts, real = {}, passages.stored
+
+    def counted(df, name):
+        out = real(df, name)
+        counts[name] = max(counts.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(passages, "stored", counted)
+    got = passages.repeats(make_docs(rows)).toPandas()
+    assert {(r.doc_id, r.source_doc_id) for r in got.itertuples()} >= {(302, 301), (304, 303), (305, 303)}
+    assert set(got.doc_id) == {302, 304, 305}
+    assert max(counts.values()) < 30 * len(rows), counts
+
+
+def test_every_exact_passage_is_covered(spark, make_docs, words):
+    """Documents dealt from a few lines: of each 50 words that an earlier document has, a run of 36 is in passages."""
+    rng = random.Random(3)
+    lines = [words(n) for n in (3, 12, 25, 37, 41, 49, 50, 58)]
+    texts = [sum(([*rng.choice(lines), *words(rng.choice((0, 0, 0, 2)))] for _ in range(rng.randrange(3, 9))), []) for _ in range(60)]
+    got = passages.repeats(make_docs([(i, " ".join(t)) for i, t in enumerate(texts)])).toPandas()
+    seen = set()
+    for doc, t in enumerate(texts):
+        covered = np.zeros(len(t), bool)
+        for r in got[got.doc_id == doc].itertuples():
+            covered[r.start_word:r.end_word] = True
+            assert r.source_doc_id < doc and r.end_word - r.start_word >= 50
+        windows = [tuple(t[i:i + 50]) for i in range(len(t) - 49)]
+        for i, w in enumerate(windows):
+            assert w not in seen or covered[i:i + 50].sum() >= 36, (doc, i)
+        seen.update(windows)
