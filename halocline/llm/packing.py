@@ -24,9 +24,14 @@ from halocline.llm.tokens import cuts, token_ids
 CAPACITY = 2048
 #: Tokens that a task packs together (about 16 MB of ids).
 GROUP_TOKENS = 4_000_000
+#: Sequences that leave a task at once.
+BATCH_ROWS = 64
 
 PACKED = ("sequence_id long, doc_ids array<long>, pieces array<int>, starts array<long>, cu_seqlens array<int>, "
           "position_resets array<int>, n_tokens int, input_ids binary")
+MATRICES = ("first_sequence long, n_rows int, capacity int, matrix binary, doc_ids array<array<long>>, pieces array<array<int>>, "
+            "starts array<array<long>>, cu_seqlens array<array<int>>, position_resets array<array<int>>")
+LISTS = {"doc_ids": pa.int64(), "pieces": pa.int32(), "starts": pa.int64(), "cu_seqlens": pa.int32(), "position_resets": pa.int32()}
 
 
 class CapacityTree:
@@ -85,16 +90,27 @@ def packed_rows(df: DataFrame, capacity: int = CAPACITY, ranks: str | None = Non
     ``position_resets`` are the places where positions start again at 0, which is at
     every piece.  ``sequence_id`` is the task number with a running number behind it.
     """
+    return df.select(df["doc_id"].cast("long").alias("doc_id"), "text").mapInArrow(_packed(capacity, ranks, end_id), PACKED)
+
+
+def _packed(capacity: int, ranks: str | None = None, end_id: int = 0):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         number = TaskContext.get().partitionId() << 33
         group: list[tuple[int, int, int, np.ndarray]] = []
         size = 0
 
-        def flush() -> pa.RecordBatch:
-            nonlocal number, group, size
+        def flush() -> Iterator[pa.RecordBatch]:
+            nonlocal group, size
+            packed = best_fit_decreasing([len(x[3]) for x in group], capacity)
+            for low in range(0, len(packed), BATCH_ROWS):
+                yield rows_of(packed[low:low + BATCH_ROWS])
+            group, size = [], 0
+
+        def rows_of(packed: list[list[int]]) -> pa.RecordBatch:
+            nonlocal number
             rows: list[list] = [[] for _ in range(8)]
-            for sequence in best_fit_decreasing([len(x[3]) for x in group], capacity):
+            for sequence in packed:
                 own = [group[i] for i in sequence]
                 ids = np.concatenate([x[3] for x in own])
                 ends = np.cumsum([len(x[3]) for x in own]).tolist()
@@ -103,7 +119,6 @@ def packed_rows(df: DataFrame, capacity: int = CAPACITY, ranks: str | None = Non
                         [0, *ends[:-1]], len(ids), ids.tobytes()), strict=True):
                     column.append(value)
                 number += 1
-            group, size = [], 0
             kinds = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int32()),
                      pa.list_(pa.int32()), pa.int32(), pa.binary())
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(rows, kinds, strict=True)],
@@ -116,22 +131,33 @@ def packed_rows(df: DataFrame, capacity: int = CAPACITY, ranks: str | None = Non
                     group.append((doc_id, piece, start, ids[start:start + length]))
                 size += len(ids)
                 if size >= GROUP_TOKENS:
-                    yield flush()
+                    yield from flush()
         if group:
-            yield flush()
+            yield from flush()
 
-    return df.select(df["doc_id"].cast("long").alias("doc_id"), "text").mapInArrow(run, PACKED)
+    return run
 
 
-def write_matrices(packed: DataFrame, path: str, capacity: int = CAPACITY, rows: int = 256, pad_id: int = 0) -> None:
+def write_matrices(packed: DataFrame, path: str, capacity: int = CAPACITY, rows: int = BATCH_ROWS, pad_id: int = 0) -> None:
     """Parquet of id matrices: up to ``rows`` sequences in a row, padded to (n_rows, capacity) little-endian 32-bit ids.
 
     Beside each matrix stand the pieces, cumulative lengths and position resets of its sequences.
     """
-    schema = ("first_sequence long, n_rows int, capacity int, matrix binary, doc_ids array<array<long>>, pieces array<array<int>>, "
-              "starts array<array<long>>, cu_seqlens array<array<int>>, position_resets array<array<int>>")
-    lists = {"doc_ids": pa.int64(), "pieces": pa.int32(), "starts": pa.int64(), "cu_seqlens": pa.int32(), "position_resets": pa.int32()}
+    packed.select("sequence_id", "input_ids", *LISTS).mapInArrow(_matrices(capacity, rows, pad_id), MATRICES).write.parquet(path)
+
+
+def pack_matrices(df: DataFrame, path: str, capacity: int = CAPACITY, ranks: str | None = None, end_id: int = 0,
+                  rows: int = BATCH_ROWS, pad_id: int = 0) -> None:
+    """``write_matrices`` of ``packed_rows`` in one Python worker of a task, so that no sequence is copied to another."""
+    pack, fill = _packed(capacity, ranks, end_id), _matrices(capacity, rows, pad_id)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return fill(b.select(["sequence_id", "input_ids", *LISTS]) for b in pack(batches))
+
+    df.select(df["doc_id"].cast("long").alias("doc_id"), "text").mapInArrow(run, MATRICES).write.parquet(path)
+
 
+def _matrices(capacity: int, rows: int, pad_id: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             number = np.asarray(batch.column(0))
@@ -147,10 +173,10 @@ def write_matrices(packed: DataFrame, path: str, capacity: int = CAPACITY, rows:
                     yield pa.RecordBatch.from_arrays(
                         [own.column(0).slice(0, 1), pa.array([len(matrix)], pa.int32()), pa.array([capacity], pa.int32()),
                          pa.array([matrix.tobytes()], pa.binary()),
-                         *[pa.array([own.column(2 + j).to_pylist()], pa.list_(pa.list_(kind))) for j, kind in enumerate(lists.values())]],
-                        [c.split()[0] for c in schema.split(", ")])
+                         *[pa.array([own.column(2 + j).to_pylist()], pa.list_(pa.list_(kind))) for j, kind in enumerate(LISTS.values())]],
+                        [c.split()[0] for c in MATRICES.split(", ")])
 
-    packed.select("sequence_id", "input_ids", *lists).mapInArrow(run, schema).write.parquet(path)
+    return run
 
 
 def read_matrices(spark: SparkSession, path: str) -> DataFrame:
@@ -173,7 +199,7 @@ def read_matrices(spark: SparkSession, path: str) -> DataFrame:
 def op3_packed_ids(spark, sf_dir: str) -> DataFrame:
     """Every packed sequence of ``documents``, read back from the matrices it was written to."""
     path = shared_path(spark, "packed-matrices")
-    write_matrices(packed_rows(read(spark, sf_dir, "documents")), path)
+    pack_matrices(read(spark, sf_dir, "documents"), path)
     return read_matrices(spark, path)
 
 

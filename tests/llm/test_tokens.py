@@ -161,3 +161,12 @@ def test_query_is_whole(spark):
     assert fit.op8_best_fit(spark, SF).select("doc_id").distinct().count() == n
     assert bpe.op5_bpe_round_trip(spark, SF).count() == n
     assert len({d for r in packing.op3_packed_ids(spark, SF).collect() for d in r["doc_ids"]}) == n
+
+
+def test_matrices_packed_and_written_in_one_worker(spark, make_docs, tmp_path):
+    docs = make_docs([(i, f"word {i} " * (i % 9)) for i in range(2000)]).coalesce(1)
+    packing.pack_matrices(docs, str(tmp_path / "m"), 32)
+    packing.write_matrices(packing.packed_rows(docs, 32), str(tmp_path / "w"), 32)
+    one, two = (packing.read_matrices(spark, str(tmp_path / x)).orderBy("sequence_id").collect() for x in "mw")
+    assert one == two and len(one) > 256
+    assert spark.read.parquet(str(tmp_path / "m")).agg({"n_rows": "max"}).first()[0] <= 64
