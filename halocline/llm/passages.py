@@ -45,7 +45,7 @@ LEAST, SHARE = 50, 0.8
 GAP = 0.08
 #: Words that an alignment may skip on either side before the next agreeing words.
 SKIP = 24
-BLOCK = 64
+BLOCK = 128
 #: Documents of a batch that share a seed before it is matched within the batch.
 COMMON = 8
 _STEP = 0x9E3779B97F4A7C15
