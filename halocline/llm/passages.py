@@ -434,6 +434,8 @@ def _contexts(k: int, far: int):
         kind, pos, end, h, wanted = (np.concatenate([x[i] for x in held]) for i in range(5))
         own = kind == 1
         p, seeds = pos[own], h[own].view(np.uint64)
+        once = np.r_[True, p[1:] != p[:-1]][:len(p)]  # one that is matched and has been matched with comes twice
+        p, seeds = p[once], seeds[once]
         start, stop, runs, wanted = pos[~own], end[~own], h[~own].view(np.uint64), wanted[~own]
         keys, of = [], []
         with np.errstate(over="ignore"):
@@ -449,10 +451,33 @@ def _contexts(k: int, far: int):
             return None
         order = np.lexsort((start[of], keys))
         of, keys = of[order], keys[order]
-        need = np.r_[True, keys[1:] != keys[:-1]] | wanted[of]  # of equal keys that are only to be matched with, the first
+        first = np.r_[True, keys[1:] != keys[:-1]]
+        # of equal keys that are only to be matched with, the first; a run between equal seeds has one key for them
+        need = first | wanted[of] & np.r_[True, start[of][1:] != start[of][:-1]]
         return keys[need], start[of][need], wanted[of][need]
 
-    return _per_document(found, lambda h, d, p, wanted: _met_in_batch(h, d, p, wanted=wanted))
+    return _per_document(found, lambda h, d, p, wanted: _met_once(_met_in_batch(h, d, p, wanted=wanted)))
+
+
+def _to_match(met: pa.RecordBatch) -> pa.RecordBatch:
+    """Rows of WINDOWS, sorted by (hash, doc, pos), without those that are only to be matched with and not the first of their hash."""
+    h, wanted = np.asarray(met.column(0)), np.asarray(met.column(5))
+    return met.filter(pa.array(wanted | np.r_[True, h[1:] != h[:-1]][:len(h)]))
+
+
+def _met_once(met: pa.RecordBatch) -> pa.RecordBatch:
+    """Rows of WINDOWS; of several keys that match a run with one place of a document within the batch, one."""
+    met = _to_match(met)
+    done = np.flatnonzero(np.asarray(met.column(3).is_valid()))
+    columns = [np.asarray(met.column(i).take(pa.array(done))) for i in (1, 2, 3, 4)]
+    order = np.lexsort(columns)
+    again = np.ones(len(done), bool)
+    again[:1] = False
+    for c in columns:
+        again[1:] &= c[order][1:] == c[order][:-1]
+    keep = np.ones(met.num_rows, bool)
+    keep[done[order[again]]] = False
+    return met.filter(pa.array(keep))
 
 
 def _shared_seeds(met: DataFrame) -> DataFrame:
@@ -508,7 +533,7 @@ def _windows(least: int):
             if parts:
                 h, d, p, wanted = (np.concatenate(x) for x in zip(*parts, strict=True))
                 if len(h):
-                    yield _met_in_batch(h, d, p, wanted=wanted)
+                    yield _to_match(_met_in_batch(h, d, p, wanted=wanted))
 
     return run
 
@@ -589,14 +614,14 @@ def repeats(docs: DataFrame, k: int = K, window: int = WINDOW, least: int = LEAS
         _passages(docs, stored(_meet(whole), "passage-matches"), k, least, share, fewest=1))), "passages")
     # what is still open has too few exact words, but may be part of an edited passage
     held = (holders["doc"] == found["doc_id"]) & (holders["pos"] >= found["start_word"]) & (holders["stop"] <= found["end_word"])
-    left = holders.where("open").join(found, held, "left_anti").select("hash", "doc", "pos", F.lit(True).alias("left"))
-    runs = holders.join(stored(left, "passage-open"), ["hash", "doc", "pos"], "left").withColumn("open", F.col("left").isNotNull()).drop("left")
-    holders = stored(_holders(runs), "passage-holders")
-    if holders.isEmpty():
+    left = stored(holders.where("open").join(found, held, "left_anti").select("hash", "doc", "pos", F.lit(True).alias("left")), "passage-open")
+    if left.isEmpty():
         return found
+    holders = stored(holders.join(left.select("hash").distinct(), "hash", "left_semi").join(left, ["hash", "doc", "pos"], "left").withColumn(
+        "open", F.col("left").isNotNull()).drop("left"), "passage-holders")
     kinds = _shared_seeds(met).select("doc", F.lit(1).alias("kind"), "pos", F.lit(0).alias("end"), "hash", F.lit(False).alias("wanted")).unionByName(
         holders.select("doc", F.lit(2).alias("kind"), "pos", F.col("stop").alias("end"), "hash", F.col("open").alias("wanted")))
-    beside = kinds.repartition("doc").sortWithinPartitions("doc", "kind", "pos").mapInArrow(_first_of_place, kinds.schema).mapInArrow(
+    beside = kinds.repartition("doc").sortWithinPartitions("doc", "kind", "pos").mapInArrow(
         _contexts(k, SKIP + least - max(least - 2 * (window - 1), k)), WINDOWS)
     # one run meets a document through several seeds
     again = stored(_meet(beside).select("doc", "source", "pos", "at").distinct(), "passage-matches")

@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -409,3 +410,37 @@ def test_every_exact_passage_is_covered(spark, make_docs, words):
         for i, w in enumerate(windows):
             assert w not in seen or covered[i:i + 50].sum() >= 36, (doc, i)
         seen.update(windows)
+
+
+@pytest.mark.parametrize("n_docs", [4, 60])
+def test_runs_beside_seeds_by_brute_force(n_docs):
+    """Each run is matched with the first document that has it and a seed beside it, in a row for each place it meets and each open key."""
+    rng = np.random.default_rng(n_docs)
+    far, rows = 38, []
+    for doc in range(n_docs):
+        for start in (0, 200):
+            same = doc % 3 == 0  # equal seeds all along, as a repeated word gives
+            rows += [(doc, 1, p, 0, 70 if same else 10 * int(rng.integers(1, 5)), False) for p in range(start, start + 150, 1 if same else 4)]
+        rows += [(doc, 2, p, p + 36, 100 + int(rng.integers(0, 2)), bool(doc and rng.integers(0, 2))) for p in range(45, 60, 5)]
+    rows.sort()
+    kinds = ("long", "int", "int", "int", "long", "bool")
+    types = {"long": pa.int64(), "int": pa.int32(), "bool": pa.bool_()}
+    batch = pa.RecordBatch.from_arrays([pa.array(c, types[t]) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], list("abcdef"))
+    found = pa.Table.from_batches(passages._contexts(passages.K, far)(iter([batch])))
+    ordered = found.sort_by([("hash", "ascending"), ("doc", "ascending"), ("pos", "ascending")]).combine_chunks().to_batches()
+    met = pa.Table.from_batches(passages._matched(iter(ordered)))
+    keys, n_keys = {}, set()
+    for doc in range(n_docs):
+        seeds = [(p, h) for d, kind, p, _, h, _ in rows if d == doc and kind == 1]
+        for _, _, start, stop, run, wanted in (r for r in rows if r[0] == doc and r[1] == 2):
+            for p, h in seeds:
+                for side, low, high in ((1, start - far - passages.K, start - 1), (2, stop - passages.K + 1, stop + far)):
+                    if low <= p <= high:
+                        keys.setdefault((run, h, side), []).append((doc, start, wanted))
+                        n_keys.add((run, h, side, doc, start))
+    want = {(d, p, *min(own)[:2]) for own in keys.values() for d, p, wanted in own if wanted and d != min(own)[0]}
+    got = met.select(["doc", "pos", "source", "at"]).to_pylist()
+    assert {tuple(r.values()) for r in got} == want
+    assert found.num_rows <= len(n_keys) and len(got) <= len(n_keys)
+    if n_docs > 8:  # most keys are met within the batch: a row for each place met, and the firsts
+        assert found.num_rows <= len(want) + 3 * len(keys)
