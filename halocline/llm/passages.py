@@ -38,7 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from halocline.llm.shared import columns_of, fresh, mix, read, shingles, stored, text_slices, word_hashes
+from halocline.llm.shared import columns_of, forget, fresh, mix, read, shingles, stored, text_slices, word_hashes
 
 K, WINDOW = 5, 8
 LEAST, SHARE = 50, 0.8
@@ -480,9 +480,13 @@ def _met_once(met: pa.RecordBatch) -> pa.RecordBatch:
     return met.filter(pa.array(keep))
 
 
-def _shared_seeds(met: DataFrame) -> DataFrame:
-    """Seeds that several documents have; one that is matched and has been matched with comes twice."""
-    return met.select("doc", "pos", "hash").union(met.select("source", "at", "hash").distinct())
+def _shared_seeds(met: DataFrame, of: DataFrame | None = None) -> DataFrame:
+    """Seeds that several documents have, of all documents or those of ``of``; one that is matched and has been matched with comes twice."""
+    own = met.select("doc", "pos", "hash")
+    first = met.select(F.col("source").alias("doc"), F.col("at").alias("pos"), "hash")
+    if of is not None:
+        own, first = (x.join(of, "doc", "left_semi").select("doc", "pos", "hash") for x in (own, first))
+    return own.union(first.distinct())
 
 
 def _shared_runs(met: DataFrame, passages: DataFrame, k: int, window: int, least: int) -> DataFrame:
@@ -592,7 +596,9 @@ def _passages(docs: DataFrame, met: DataFrame, k: int, least: int, share: float,
     matches = chained.select(*head, F.lit(2).alias("side"), F.lit(0).alias("block"), F.col("matches").alias("words"))
     sides = wanted.join(blocks, ["of", "block"]).select(*head, "side", "block", "words").unionByName(matches)
     aligned = sides.repartition("chain").sortWithinPartitions("chain").mapInArrow(_aligned(least, share), PASSAGES)
-    return stored(_longest(aligned), "passages")
+    out = stored(_longest(aligned), "passages")
+    forget(chained)
+    return out
 
 
 def repeats(docs: DataFrame, k: int = K, window: int = WINDOW, least: int = LEAST, share: float = SHARE) -> DataFrame:
@@ -606,9 +612,13 @@ def repeats(docs: DataFrame, k: int = K, window: int = WINDOW, least: int = LEAS
     found = _passages(docs, met, k, least, share)
     runs = stored(_shared_runs(met, found, k, window, least), "passage-runs")
     holders = stored(_holders(runs), "passage-holders")
+    forget(runs)
     if holders.isEmpty():
         return found
     spans = holders.groupBy("doc").agg(F.collect_list(F.struct("pos", "stop", "open")).alias("runs"))
+    # what follows concerns the holders only, so all texts are not exchanged again
+    of = stored(holders.select("doc").distinct(), "passage-documents")
+    docs = stored(docs.join(of, docs["doc_id"] == of["doc"], "left_semi"), "passage-texts")
     whole = docs.join(spans, docs["doc_id"] == spans["doc"]).select("doc_id", "runs", "text").mapInArrow(_windows(least), WINDOWS)
     found = stored(_longest(found.unionByName(
         _passages(docs, stored(_meet(whole), "passage-matches"), k, least, share, fewest=1))), "passages")
@@ -619,7 +629,7 @@ def repeats(docs: DataFrame, k: int = K, window: int = WINDOW, least: int = LEAS
         return found
     holders = stored(holders.join(left.select("hash").distinct(), "hash", "left_semi").join(left, ["hash", "doc", "pos"], "left").withColumn(
         "open", F.col("left").isNotNull()).drop("left"), "passage-holders")
-    kinds = _shared_seeds(met).select("doc", F.lit(1).alias("kind"), "pos", F.lit(0).alias("end"), "hash", F.lit(False).alias("wanted")).unionByName(
+    kinds = _shared_seeds(met, of).select("doc", F.lit(1).alias("kind"), "pos", F.lit(0).alias("end"), "hash", F.lit(False).alias("wanted")).unionByName(
         holders.select("doc", F.lit(2).alias("kind"), "pos", F.col("stop").alias("end"), "hash", F.col("open").alias("wanted")))
     beside = kinds.repartition("doc").sortWithinPartitions("doc", "kind", "pos").mapInArrow(
         _contexts(k, SKIP + least - max(least - 2 * (window - 1), k)), WINDOWS)

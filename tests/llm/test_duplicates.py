@@ -412,6 +412,24 @@ def test_every_exact_passage_is_covered(spark, make_docs, words):
         seen.update(windows)
 
 
+def test_texts_of_holders_only(spark, make_docs, words, monkeypatch):
+    """After the first matches only the texts of documents that hold an open run are read and exchanged again."""
+    line, edited = words(40), words(15)
+    rows = [(i, " ".join(words(90))) for i in range(100)]
+    rows += [(i, " ".join(words(30) + line + words(30))) for i in range(100, 120)]
+    rows += [(120 + i, " ".join(words(20 + i) + line + words(1) + edited + words(9))) for i in (1, 2)]
+    texts, real = [], passages._passages
+
+    def counted(docs, *args, **more):
+        texts.append(docs.count())
+        return real(docs, *args, **more)
+
+    monkeypatch.setattr(passages, "_passages", counted)
+    got = passages.repeats(make_docs(rows)).toPandas()
+    assert {(r.doc_id, r.source_doc_id) for r in got.itertuples()} == {(122, 121)}
+    assert texts[0] == len(rows) and len(texts) == 3 and max(texts[1:]) <= 22, texts
+
+
 @pytest.mark.parametrize("n_docs", [4, 60])
 def test_runs_beside_seeds_by_brute_force(n_docs):
     """Each run is matched with the first document that has it and a seed beside it, in a row for each place it meets and each open key."""
