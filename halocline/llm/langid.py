@@ -13,7 +13,9 @@ bounds beyond which a document is rejected.
 Defined results: null texts and texts without a letter are ``und`` with score 0 and
 rejected; ties go to the language first in the alphabet; rows with null ids are never
 learnt from; with no language to learn everything is ``und``.  Repeated rows count
-each.  Other columns are passed through by ``keep_known`` and ignored otherwise.
+each.  ``keep_known`` writes the language found into ``lang``, whatever the row had there,
+and adds that column where it is missing; other columns it passes through.  They are
+ignored otherwise.
 """
 
 from __future__ import annotations
@@ -438,18 +440,23 @@ def predictions(docs: DataFrame, models: Models) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, models: Models) -> DataFrame:
-    """The documents that are not rejected, with all their columns."""
+    """The documents that are not rejected, with the language found in ``lang`` and all their other columns."""
+    if "lang" not in docs.columns:
+        docs = docs.withColumn("lang", F.lit(None).cast("string"))
     if models.tables:
-        uid = fresh(docs, "_uid")
+        uid, found = fresh(docs, "_uid"), fresh(docs, "_lang")
         marked = stored(docs.withColumn(uid, F.monotonically_increasing_id()), "language-documents")
-        known = _decided(marked.select(F.col(uid).alias("uid"), "text"), models).where("not rejected").select(F.col("uid").alias(uid))
-        return marked.join(known, uid, "left_semi").select(*docs.columns)
-    at, shared = docs.columns.index("text"), docs.sparkSession.sparkContext.broadcast(models)
+        known = _decided(marked.select(F.col(uid).alias("uid"), "text"), models).where("not rejected").select(
+            F.col("uid").alias(uid), F.col("lang_pred").alias(found))
+        return marked.join(known, uid).select(*(F.col(found).alias(c) if c == "lang" else c for c in docs.columns))
+    at, own, shared = docs.columns.index("text"), docs.columns.index("lang"), docs.sparkSession.sparkContext.broadcast(models)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in text_slices(batch, at, PIECE_CHARS):
-                yield part.filter(pa.array(~shared.value.predict(texts)[2]))
+                lang, _, rejected = shared.value.predict(texts)
+                field = part.schema.field(own)
+                yield part.set_column(own, field, pa.array(lang, field.type)).filter(pa.array(~rejected))
 
     return docs.mapInArrow(run, docs.schema)
 

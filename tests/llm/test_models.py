@@ -142,6 +142,25 @@ def test_language_keeps_rare_grams(spark, monkeypatch):
         assert np.isclose(models.slope, whole.slope, rtol=1e-3) and np.allclose(models.worst, whole.worst, rtol=1e-4)
 
 
+def test_language_found_is_written(spark, make_docs, monkeypatch):
+    """Kept documents carry the language found, not a missing or wrong one, with arrays and with tables."""
+    rows = [(i, "the cat sat on the mat and ate " * 3, "en") for i in range(40)] + [(i, "der hund und die katze sind nicht da " * 3, "de") for i in range(40, 80)]
+    learnt = make_docs(rows)
+    odd = [(100, "the cat and the mat", None), (101, "der hund ist nicht da", None), (102, "the cat sat on the mat", "de"), (103, "der hund und die katze", "en"),
+           (103, "the mat and the cat", "en"), (None, "der hund und der hund", None), (104, "123", "en"), (105, None, "de")]
+    docs = make_docs(odd)
+    want = {t: "de" if t.startswith("der") else "en" for _, t, _ in odd[:6]}
+    for most in (langid.MOST_GRAMS, 0):
+        monkeypatch.setattr(langid, "MOST_GRAMS", most)
+        models = langid.fit(learnt)
+        kept = langid.keep_known(docs, models)
+        assert kept.schema == docs.schema and {r.text: r.lang for r in kept.collect()} == want
+        others = [c for c in docs.columns if c != "lang"]
+        assert sorted(map(str, kept.select(others).collect())) == sorted(map(str, docs.where("doc_id is null or doc_id < 104").select(others).collect()))
+        bare = langid.keep_known(docs.drop("lang"), models)
+        assert bare.columns == [*others, "lang"] and {r.text: r.lang for r in bare.collect()} == want
+
+
 def test_kneser_ney_by_dictionaries():
     """Log probabilities against a plain recursive version; they sum to one over the alphabet."""
     texts = {"a": "abra cadabra abra", "b": "banana bandana"}
